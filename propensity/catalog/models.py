@@ -1 +1,145 @@
-"""Model queries."""
+"""Model queries on orders whose outcome follows their columns.
+
+Fits have no SQL twin. Where a table of a whole job equals a single operator, its SQL is
+that operator's.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from propensity.catalog import evaluation, profiling, rates  # noqa: F401  (their SQL is reused below)
+from propensity.catalog.registry import ORACLES, query, rounded
+from propensity.operators import ensemble, features, folds, model, search
+from propensity.plans import jobs
+from propensity.session import stored, work_folder
+from propensity.sources import frames, ledger
+
+ROUNDS = {"num_boost_round": 10, "num_leaves": 15}
+FILL = {"Income_per_Age": 0.0, "Income_per_Commute": 0.0}
+
+
+def planted_splits(spark, folder, spec="v1") -> tuple[DataFrame, DataFrame]:
+    df = features.build_features(frames.planted_frame(spark, folder), spec, frames.ROLES)
+    df = stored(df.na.fill({c: v for c, v in FILL.items() if c in df.columns}), "planted")
+    train = folds.stratified_folds(df.where("split = 'train'"), "id", "y")
+    return train.drop("split"), df.where("split = 'test'").drop("split", "y")
+
+
+def encoded(spark, folder, encoder="codes", spec="v1") -> model.Encoded:
+    train, test = planted_splits(spark, folder, spec)
+    names, cats = features.discover_features(train.drop("fold"), "id", "y", frames.CATEGORIES)
+    return model.encode_frames(train, test, "id", "y", "fold", names, cats, encoder)
+
+
+@query()
+def cross_val_trees(spark, folder):
+    """Fold, mean and pooled AUC of boosted trees."""
+    return model.fold_report(model.fit_encoded(encoded(spark, folder), ROUNDS))
+
+
+@query()
+def cross_val_trees_one_hot(spark, folder):
+    return model.fold_report(model.fit_encoded(encoded(spark, folder, "onehot"), ROUNDS))
+
+
+@query()
+def cross_val_early_stopping(spark, folder):
+    result = model.fit_encoded(encoded(spark, folder), {**ROUNDS, "num_boost_round": 30, "learning_rate": 0.3},
+                               early_stopping=0.01)
+    trees = [(k, m.getNumTrees, a) for (k, m), a in zip(sorted(result.models.items()), result.fold_aucs)]
+    return spark.createDataFrame(trees, "fold int, trees int, auc double")
+
+
+@query()
+def logistic_baseline(spark, folder):
+    return model.fold_report(model.fit_encoded(encoded(spark, folder, "onehot"), kind="logistic"))
+
+
+@query()
+def scored_test_split(spark, folder):
+    """Mean of the fold models for every row of the test split."""
+    return model.fit_encoded(encoded(spark, folder), ROUNDS).test
+
+
+@query()
+def stack_of_two_models(spark, folder):
+    trees = model.fit_encoded(encoded(spark, folder), ROUNDS).oof
+    linear = model.fit_encoded(encoded(spark, folder, "onehot"), kind="logistic").oof
+    both = (trees.select("id", F.col("label").alias("y"), F.col("prediction").alias("trees"))
+            .join(linear.select("id", F.col("prediction").alias("linear")), "id"))
+    return ensemble.stack_logistic(both, "id", "y", ["trees", "linear"]).report
+
+
+@query()
+def search_trials(spark, folder):
+    found = search.search(encoded(spark, folder), 3, fixed={"num_boost_round": 5},
+                          ledger=ledger.RunLedger(spark, work_folder(spark, "ledger")))
+    return found.trials
+
+
+def _job_splits(spark, folder) -> tuple[DataFrame, DataFrame, DataFrame]:
+    df = stored(frames.planted_frame(spark, folder), "planted")
+    test = df.where("split = 'test'").drop("split", "y")
+    template = test.select("id", F.lit(0.0).alias("y"), F.col("segment").alias("extra"))
+    return df.where("split = 'train'").drop("split"), test, template
+
+
+def _summary(spark, summary) -> DataFrame:
+    return spark.createDataFrame([(k, float(v)) for k, v in sorted(summary.items())], "metric string, value double")
+
+
+def _train_job(spark, folder, spec) -> DataFrame:
+    train, test, template = _job_splits(spark, folder)
+    out = work_folder(spark, f"train-{spec}")
+    result = jobs.train_frames(train, test, template, "id", "y", out, spec, frames.ROLES, frames.CATEGORIES, ROUNDS,
+                               name=f"train_{spec}", ledger=ledger.RunLedger(spark, f"{out}/ledger"),
+                               fill={c: v for c, v in FILL.items() if c in features.feature_names(spec)})
+    return _summary(spark, result.summary)
+
+
+@query()
+def job_train_v1(spark, folder):
+    return _train_job(spark, folder, "v1")
+
+
+@query()
+def job_train_v2(spark, folder):
+    return _train_job(spark, folder, "v2")
+
+
+@query()
+def job_tune(spark, folder):
+    train, test, template = _job_splits(spark, folder)
+    out = work_folder(spark, "tune")
+    result, _ = jobs.tune_frames(train, test, template, "id", "y", out, frames.ROLES, frames.CATEGORIES, n_trials=2,
+                                 fixed={"num_boost_round": 5}, ledger=ledger.RunLedger(spark, f"{out}/ledger"),
+                                 fill={"Income_per_Age": 0.0})
+    return _summary(spark, result.summary)
+
+
+@query(ORACLES["level_consistency"])
+def job_profile_levels(spark, folder):
+    cats = ["region", "segment", "qty"]
+    df = stored(frames.orders_frame(spark, folder, ["id", "split", "amount", "target", *cats]), "orders")
+    train, test = (df.where(F.col("split") == s).drop("split") for s in ("train", "test"))
+    return jobs.profile_tables(train, test, "id", "target", ["amount"], cats, out=work_folder(spark, "profile"))["levels"]
+
+
+@query(ORACLES["pair_interactions"])
+def job_interactions_pairs(spark, folder):
+    df = stored(frames.orders_frame(spark, folder, [*frames.NUMBERS, *frames.CATEGORIES, "y"]), "orders")
+    tables = jobs.interaction_tables(df, "y", ["amount", "qty"], frames.CATEGORIES, frames.CATEGORIES, ["qty", "nation"],
+                                     frames.ROLES, out=work_folder(spark, "interactions"))
+    return rounded(tables["categorical_interactions"])
+
+
+@query(ORACLES["subgroup_auc"])
+def job_errors_subgroups(spark, folder):
+    df = frames.orders_frame(spark, folder, ["id", "y", "score_a", *frames.NUMBERS, *frames.CATEGORIES])
+    preds = df.select("id", F.col("score_a").alias("prediction"))
+    tables = jobs.error_tables(df.drop("score_a"), preds, "id", "y", ["amount", "qty"], frames.CATEGORIES,
+                               ["qty", "nation"], [(["rich"], {}), (["rich"], {"amount": 10})], 50,
+                               out=work_folder(spark, "errors"))
+    return rounded(tables["subgroups"])

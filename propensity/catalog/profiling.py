@@ -115,6 +115,17 @@ def crosstab_priority(spark, folder):
     return rounded(profile.crosstab_share(df, "priority", "target", ["No", "Yes"]))
 
 
+@query(with_p(" UNION ALL ".join(f"""
+  SELECT '{c}' AS feature, {c} AS value, count(*) FILTER (WHERE target = 'No') AS "n_No",
+         count(*) FILTER (WHERE target = 'Yes') AS "n_Yes",
+         round(100.0 * count(*) FILTER (WHERE target = 'No') / count(*), 6) AS "pct_No",
+         round(100.0 * count(*) FILTER (WHERE target = 'Yes') / count(*), 6) AS "pct_Yes"
+  FROM p GROUP BY {c}""" for c in frames.CATEGORIES)))
+def crosstabs_all(spark, folder):
+    df = frames.orders_frame(spark, folder, [*frames.CATEGORIES, "target"])
+    return rounded(profile.crosstab_shares(df, frames.CATEGORIES, "target", ["No", "Yes"]))
+
+
 def _class_mean_sql(col: str) -> str:
     return (f"SELECT '{col}' AS \"column\", avg({col}) FILTER (WHERE target = 'No') AS a, "
             f"avg({col}) FILTER (WHERE target = 'Yes') AS b FROM p")

@@ -18,6 +18,13 @@ def target_rate_region(spark, folder):
     return rounded(rates.target_rate(frames.orders_frame(spark, folder, ["region", "y"]), "region", "y"))
 
 
+@query(with_p(" UNION ALL ".join(
+    f"""SELECT '{c}' AS feature, {c} AS value, round(avg(y), 6) AS mean, count(*) AS count,
+               CAST(sum(y) AS BIGINT) AS positives, round(avg(y) * 100, 6) AS rate_pct FROM p GROUP BY {c}""" for c in CATS)))
+def target_rates_all_levels(spark, folder):
+    return rounded(rates.target_rates(frames.orders_frame(spark, folder, [*CATS, "y"]), CATS, "y"))
+
+
 @query(f"""SELECT source, round(avg(toxic), 6) AS mean, count(*) AS count, CAST(sum(toxic) AS BIGINT) AS positives,
                   round(avg(toxic) * 100, 6) AS rate_pct FROM ({L}) GROUP BY 1""")
 def target_rate_source(spark, folder):
@@ -106,6 +113,13 @@ def numeric_profile_event_value(spark, folder):
     return rounded(rates.numeric_profile(df, "value", "y", 10, event_count(spark, folder)), lo=5, hi=5)
 
 
+@query(with_p(" UNION ALL ".join(
+    f"SELECT '{c}' AS \"column\", * FROM ({_profile_sql('p', c, 10)}) t" for c in frames.NUMBERS)))
+def numeric_profiles_all(spark, folder):
+    df = frames.orders_frame(spark, folder, [*frames.NUMBERS, "y"])
+    return rounded(rates.numeric_profiles(df, frames.NUMBERS, "y", 10, order_count(spark, folder)), lo=5, hi=5)
+
+
 _GRID_NUMS = ["amount", "balance", "n_lines", "qty"]
 _BINNED = ", ".join(f"{bin_sql('e_' + c, c)} AS {c}_bin" for c in _GRID_NUMS)
 _EDGES = ", ".join(f"{edges_sql('p', c, 5)} AS e_{c}" for c in _GRID_NUMS)

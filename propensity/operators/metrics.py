@@ -7,7 +7,7 @@ group nor a heavily tied score ends up in one task.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -19,6 +19,7 @@ from propensity.operators.order import (
     edge_table,
     quantile_edges,
     running_totals,
+    unpivot_bins,
     with_bucket,
 )
 
@@ -114,19 +115,27 @@ def subgroup_auc(df: DataFrame, cols: Sequence[str], y: str, p: str, rows: int |
     return grouped_auc(long, ["feature", "value"], "_y", "_p", cuts=cuts)
 
 
+def auc_by_quantiles(df: DataFrame, cols: Sequence[str], y: str, p: str, q: int = 10, rows: int | None = None,
+                     cuts: Sequence[float] | None = None,
+                     edges: Mapping[str, Sequence[float]] | None = None) -> DataFrame:
+    """Per quantile bin of many columns: bounds, rows, positive rate, AUC, mean prediction.
+
+    The mean comes from the same per-score counts as the AUC, so the rows are read once.
+    """
+    edges = edges or quantile_edges(df, cols, q, rows)
+    cuts = cut_points(df, p, rows) if cuts is None else cuts
+    by = ["column", "bin"]
+    counts = _score_counts(unpivot_bins(df, edges, [y, p]), y, p, by)
+    means = counts.groupBy(*by).agg((F.sum(F.col("_s") * F.col("_n")) / F.sum("_n")).alias("mean_prediction"))
+    out = _auc_by(counts, by, cuts).join(means, by).join(F.broadcast(edge_table(df, edges)), by)
+    return out.select(*by, "lo", "hi", "n", (F.col("positives") / F.col("n")).alias("positive_rate"),
+                      "auc", "mean_prediction")
+
+
 def auc_by_quantile(df: DataFrame, col: str, y: str, p: str, q: int = 10, rows: int | None = None,
                     cuts: Sequence[float] | None = None) -> DataFrame:
-    """Per quantile bin of ``col``: bounds, rows, positive rate, AUC, mean prediction."""
-    edges = quantile_edges(df, [col], q, rows)[col]
-    cuts = cut_points(df, p, rows) if cuts is None else cuts
-    counts = _score_counts(df.withColumn("bin", bin_of(col, edges)), y, p, ["bin"])
-    # The mean comes from the same per-score counts, so the rows are read once.
-    means = counts.groupBy("bin").agg(
-        (F.sum(F.col("_s") * F.col("_n")) / F.sum("_n")).alias("mean_prediction"))
-    out = _auc_by(counts, ["bin"], cuts).join(means, "bin")
-    named = out.join(F.broadcast(edge_table(df, edges, "bin")), "bin")
-    return named.select("bin", "lo", "hi", "n", (F.col("positives") / F.col("n")).alias("positive_rate"),
-                        "auc", "mean_prediction")
+    """Per quantile bin of one column: bounds, rows, positive rate, AUC, mean prediction."""
+    return auc_by_quantiles(df, [col], y, p, q, rows, cuts).drop("column")
 
 
 def conditional_auc(df: DataFrame, y: str, p: str, by: Sequence[str] = (), bins: dict[str, int] | None = None,

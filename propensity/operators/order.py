@@ -11,7 +11,7 @@ the cuts.
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
@@ -242,10 +242,18 @@ def bin_of(col: str, edges: Sequence[float]) -> Column:
     return F.when(x.isNotNull(), inner).cast("int")
 
 
-def edge_table(df: DataFrame, edges: Sequence[float], out: str) -> DataFrame:
-    """Small table of bin number with its bounds."""
-    rows = [(i, float(lo), float(hi)) for i, (lo, hi) in enumerate(zip(edges, edges[1:]))]
-    return df.sparkSession.createDataFrame(rows, f"{out} int, lo double, hi double")
+def edge_table(df: DataFrame, edges: Mapping[str, Sequence[float]]) -> DataFrame:
+    """Small table (column, bin, lo, hi) of all bins."""
+    rows = [(c, i, float(lo), float(hi)) for c, marks in edges.items()
+            for i, (lo, hi) in enumerate(zip(marks, marks[1:]))]
+    return df.sparkSession.createDataFrame(rows, "column string, bin int, lo double, hi double")
+
+
+def unpivot_bins(df: DataFrame, edges: Mapping[str, Sequence[float]], keep: Sequence[str]) -> DataFrame:
+    """One row per (row, binned column): kept columns, ``column``, ``bin``. Null bins drop out."""
+    binned = df.select(*keep, *[bin_of(c, marks).alias(f"_bin_{c}") for c, marks in edges.items()])
+    long = binned.unpivot(list(keep), [f"_bin_{c}" for c in edges], "column", "bin")
+    return long.where(F.col("bin").isNotNull()).withColumn("column", F.substring("column", 6, 1 << 20))
 
 
 def quantile_bin(df: DataFrame, col: str, q: int, out: str | None = None, rows: int | None = None,

@@ -128,15 +128,26 @@ def level_consistency(train: DataFrame, test: DataFrame, cols: Sequence[str]) ->
         (only_train + only_test == 0).alias("same"))
 
 
-def crosstab_share(df: DataFrame, col: str, target: str, classes: Sequence[object]) -> DataFrame:
-    """Per level: count and percentage of each target class."""
-    known = df.where(F.col(col).isNotNull() & F.col(target).isin(list(classes)))
-    counts = known.groupBy(col).agg(
+def _class_shares(df: DataFrame, by: Sequence[str], target: str, classes: Sequence[object]) -> DataFrame:
+    known = df.where(F.col(target).isin(list(classes)))
+    counts = known.groupBy(*by).agg(
         *[F.count_if(F.col(target) == F.lit(k)).alias(f"n_{k}") for k in classes])
     total = sum((F.col(f"n_{k}") for k in classes), F.lit(0))
     return counts.withColumns({f"pct_{k}": F.col(f"n_{k}") / total * 100 for k in classes})
 
 
+def crosstab_share(df: DataFrame, col: str, target: str, classes: Sequence[object]) -> DataFrame:
+    """Per level: count and percentage of each target class."""
+    return _class_shares(df.where(F.col(col).isNotNull()), [col], target, classes)
+
+
+def crosstab_shares(df: DataFrame, cols: Sequence[str], target: str, classes: Sequence[object]) -> DataFrame:
+    """``crosstab_share`` of many columns, stacked as (feature, value, ...): one scan."""
+    texts = df.select(target, *[F.col(c).cast("string").alias(c) for c in cols])
+    long = texts.unpivot([target], list(cols), "feature", "value").where(F.col("value").isNotNull())
+    return _class_shares(long, ["feature", "value"], target, classes)
+
+
 def class_means(df: DataFrame, cols: Sequence[str], target: str, no: object = "No", yes: object = "Yes") -> DataFrame:
     """Per column: mean in either class and the difference in percent of the first, to 2 places."""
     def cell(c: str) -> Column:

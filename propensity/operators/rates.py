@@ -7,14 +7,14 @@ subsets sees only its groups.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from itertools import combinations
 from math import lcm
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from propensity.operators.order import bin_of, edge_table, quantile_edges
+from propensity.operators.order import bin_of, edge_table, quantile_edges, unpivot_bins
 
 # Subsets per pass: bounds how often a row is expanded.
 SETS_PER_PASS = 64
@@ -49,6 +49,14 @@ def _all_present(keys: Sequence[str]) -> Column:
     return keep
 
 
+def target_rates(df: DataFrame, cols: Sequence[str], y: str) -> DataFrame:
+    """Target rate per level of many columns, stacked as (feature, value, ...): one scan."""
+    texts = df.select(y, *[F.col(c).cast("string").alias(c) for c in cols if c != y])
+    long = texts.unpivot([y], list(cols), "feature", "value").where(F.col("value").isNotNull())
+    return _counts(long, ["feature", "value"], y).select(
+        "feature", "value", _rate().alias("mean"), "count", "positives", (_rate() * 100).alias("rate_pct"))
+
+
 def target_rate(df: DataFrame, col: str, y: str) -> DataFrame:
     """Mean, count, positives and percentage of the target per level, null levels left out."""
     stats = _counts(df.where(F.col(col).isNotNull()), [col], y)
@@ -175,12 +183,18 @@ def combo_frequencies(df: DataFrame, cats: Sequence[str]) -> DataFrame:
     ).select(_joined(pairs).alias("features"), "n_combinations", "min_count", "median_count", "max_count")
 
 
+def numeric_profiles(df: DataFrame, cols: Sequence[str], y: str, q: int = 10, rows: int | None = None,
+                     edges: Mapping[str, Sequence[float]] | None = None) -> DataFrame:
+    """Target rate per quantile bin of many columns: one scan for edges, one for counts."""
+    edges = edges or quantile_edges(df, cols, q, rows)
+    stats = _counts(unpivot_bins(df, edges, [y]), ["column", "bin"], y)
+    return (stats.join(F.broadcast(edge_table(df, edges)), ["column", "bin"])
+            .select("column", "bin", "lo", "hi", _rate().alias("mean"), "count", (_rate() * 100).alias("rate_pct")))
+
+
 def numeric_profile(df: DataFrame, col: str, y: str, q: int = 10, rows: int | None = None) -> DataFrame:
     """Target rate per quantile bin of a numeric column."""
-    edges = quantile_edges(df, [col], q, rows)[col]
-    stats = _counts(df.withColumn("bin", bin_of(col, edges)).where(F.col("bin").isNotNull()), ["bin"], y)
-    return (stats.join(F.broadcast(edge_table(df, edges, "bin")), "bin")
-            .select("bin", "lo", "hi", _rate().alias("mean"), "count", (_rate() * 100).alias("rate_pct")))
+    return numeric_profiles(df, [col], y, q, rows).drop("column")
 
 
 def numeric_cat_interactions(df: DataFrame, nums: Sequence[str], cats: Sequence[str], y: str, q: int = 5,

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def build_session(app: str = "propensity", master: str | None = None, **conf: str) -> SparkSession:
@@ -40,3 +40,14 @@ def work_folder(spark: SparkSession, label: str) -> str:
         shared = tempfile.mkdtemp(prefix="propensity-")
         spark.conf.set("spark.checkpoint.dir", shared)
     return f"{shared.rstrip('/')}/propensity/{label}-{uuid.uuid4().hex}"
+
+
+def stored(df: DataFrame, label: str) -> DataFrame:
+    """``df`` written to the work folder and read back.
+
+    Cuts the lineage of a frame that many later jobs read. A lost executor then costs a
+    re-read, and later scans see parquet statistics and read only their columns.
+    """
+    folder = work_folder(df.sparkSession, label)
+    df.write.parquet(folder)
+    return df.sparkSession.read.parquet(folder)
