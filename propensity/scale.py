@@ -29,12 +29,13 @@ def range_count(df: DataFrame) -> int:
     return max(16, min(8192, 4 * partitions))
 
 
-def local_table(df: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame | None:
+def local_table(df: DataFrame, limit: int | None = None) -> DataFrame | None:
     """``df`` as a local relation when it has at most ``limit`` rows, else None.
 
     Reads at most ``limit`` + 1 rows to the driver, so the size is proven before
     anything is broadcast.
     """
+    limit = BROADCAST_ROWS if limit is None else limit
     rows = df.limit(limit + 1).collect()
     if len(rows) > limit:
         return None
@@ -42,7 +43,7 @@ def local_table(df: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame | None:
 
 
 def join_small(big: DataFrame, small: DataFrame, on: list[str], how: str = "left",
-               limit: int = BROADCAST_ROWS) -> DataFrame:
+               limit: int | None = None) -> DataFrame:
     """Join that broadcasts ``small`` only when it was found to be small.
 
     Beyond the limit it is an ordinary shuffled join, which adaptive execution
