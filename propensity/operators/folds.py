@@ -22,7 +22,8 @@ MAX_CLASSES = 1000
 
 
 def key_hash(key: str, seed: int) -> Column:
-    return F.md5(F.concat(F.lit(f"{seed}:"), F.col(key).cast("string")))
+    """Hash of seed and key, as text. A null key fails the query."""
+    return F.md5(F.concat(F.lit(f"{seed}:"), _required(key)))
 
 
 def _hashed(df: DataFrame, key: str, y: str | None, seed: int) -> DataFrame:
@@ -31,7 +32,11 @@ def _hashed(df: DataFrame, key: str, y: str | None, seed: int) -> DataFrame:
     else:
         group = F.coalesce(F.col(y).cast("string"), F.raise_error(F.lit(f"null class in {y}")).cast("string"))
     return df.withColumns({"_class": group, "_hash": key_hash(key, seed)}).withColumn(
-        "_bucket", F.substring("_hash", 1, DIGITS))
+        "_bucket", F.coalesce(F.substring("_hash", 1, DIGITS), F.lit("")))
+
+
+def _required(key: str) -> Column:
+    return F.coalesce(F.col(key).cast("string"), F.raise_error(F.lit(f"null key in {key}")).cast("string"))
 
 
 def stratified_position(df: DataFrame, key: str, y: str | None, seed: int, out: str = "position") -> DataFrame:
@@ -92,21 +97,25 @@ def _smallest(df: DataFrame, key: str, y: str | None, seed: int, size) -> DataFr
                 edges.append((c, bucket, left))
                 break
             left -= n
-    table = df.sparkSession.createDataFrame(edges or [("", "", 0)], "_class string, _edge string, _left long")
-    # One row per class.
-    small = F.broadcast(table)
-    at_edge = (keyed.select("_class", "_bucket", "_hash").join(small, "_class")
-               .where(F.col("_bucket") == F.col("_edge")))
+    if not edges:
+        return df.withColumn("_taken", F.lit(False))
+    # One entry per class, as literals.
+    edge = _by_class({c: bucket for c, bucket, _ in edges})
+    at_edge = keyed.where(F.col("_bucket") == edge).select("_class", "_hash")
     ranked = at_edge.withColumn("_row", F.row_number().over(Window.partitionBy("_class").orderBy("_hash")))
-    last = {r["_class"]: r["_hash"] for r in ranked.where(F.col("_row") == F.col("_left")).collect()}
+    left = _by_class({c: n for c, _, n in edges})
+    last = {r["_class"]: r["_hash"] for r in ranked.where(F.col("_row") == left).collect()}
     # A class that takes nothing has an empty cut-off, below every hash.
-    cut = [(c, last.get(c, "")) for c, _, _ in edges] or [("", "")]
-    cuts = F.broadcast(df.sparkSession.createDataFrame(cut, "_class string, _last string"))
-    return (keyed.join(cuts, "_class", "left")
-            .withColumn("_taken", F.coalesce(F.col("_hash") <= F.col("_last"), F.lit(False)))
+    cut = _by_class({c: last.get(c, "") for c, _, _ in edges})
+    return (keyed.withColumn("_taken", F.coalesce(F.col("_hash") <= cut, F.lit(False)))
             .select(*df.columns, "_taken"))
 
 
+def _by_class(values: dict) -> Column:
+    """The value that belongs to the row's class."""
+    return F.create_map(*[F.lit(x) for pair in values.items() for x in pair])[F.col("_class")]
+
+
 def _part(frac: float, n: int) -> int:
     """frac x n, rounded half up, without float drift."""
     return int(Fraction(str(frac)) * n + Fraction(1, 2))

@@ -64,7 +64,8 @@ def with_bucket(df: DataFrame, col: str, cuts: Sequence[float]) -> DataFrame:
     # Adding zero turns -0.0 into 0.0, which compare equal everywhere else.
     keyed = df.withColumn("_x", F.col(col).cast("double") + F.lit(0.0))
     keyed = _bucketizer(["_x"], [cuts], [BUCKET]).transform(keyed)
-    return keyed.withColumn(BUCKET, F.col(BUCKET).cast("int")).drop("_x")
+    # Never null: joins on it then need no null filter, so both sides can share a shuffle.
+    return keyed.withColumn(BUCKET, F.coalesce(F.col(BUCKET).cast("int"), F.lit(-1))).drop("_x")
 
 
 # --- running totals -------------------------------------------------------------
