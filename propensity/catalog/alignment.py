@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from propensity.catalog.registry import P, order_count, query, rounded, with_p
+from propensity.catalog.registry import P, flat, order_count, query, rounded, with_p
 from propensity.operators import align, ensemble, order, profile
 from propensity.sources import frames
 
@@ -67,7 +67,7 @@ def id_mismatch(spark, folder):
          CAST(coalesce(b.s, 0) AS DOUBLE) AS hard_negative
   FROM a FULL OUTER JOIN b ON a.region = b.region""")
 def compare_hard_case_shares(spark, folder):
-    df = frames.orders_frame(spark, folder, ["id", "y", "score_a", "region"])
+    df = flat(spark, folder, ["id", "y", "score_a", "region"])
     hard = order.top_k(df, "score_a", 100, "id", ascending=True, where=F.col("y") == 1)
     easy = order.top_k(df, "score_a", 100, "id", where=F.col("y") == 0)
     return align.compare_shares(hard, easy, "region", ("hard_positive", "hard_negative"))

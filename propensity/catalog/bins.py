@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from propensity.catalog.registry import P, bin_sql, edges_sql, event_count, order_count, query, rounded, with_p
+from propensity.catalog.registry import P, bin_sql, edges_sql, event_count, flat, order_count, query, rounded, with_p
 from propensity.operators import features, order
 from propensity.sources import frames
 
@@ -23,7 +23,7 @@ def quantile_bin_amount(spark, folder):
 
 @query(with_p(_bin_query("p", "n_lines", 5)))
 def quantile_bin_tied_lines(spark, folder):
-    df = frames.orders_frame(spark, folder, ["id", "n_lines"])
+    df = flat(spark, folder, ["id", "n_lines"])
     binned = order.quantile_bin(df, "n_lines", 5, "b", order_count(spark, folder))
     return rounded(binned.select("id", "b.*"), 5)
 

@@ -1,6 +1,6 @@
 """Vocabularies, codes and one-hot columns."""
 
-from propensity.catalog.registry import P, query
+from propensity.catalog.registry import P, flat, query
 from propensity.operators import encode
 from propensity.sources import frames
 
@@ -12,7 +12,7 @@ _VOCAB = (f"WITH p AS ({P}), l AS ({_LEVELS}), v AS (SELECT \"column\", level, "
 
 
 def _vocab(spark, folder):
-    df = frames.orders_frame(spark, folder, ["split", *COLS])
+    df = flat(spark, folder, ["split", *COLS])
     return encode.build_vocab(df.where("split = 'train'"), df.where("split = 'test'"), COLS)
 
 

@@ -7,6 +7,7 @@ from propensity.catalog.registry import (
     auc_sql,
     bin_sql,
     edges_sql,
+    flat,
     order_count,
     query,
     rounded,
@@ -80,14 +81,14 @@ _MIN = 50
 
 @query(f"{S} {_group_sql('s', ['rich', 'n_lines'], f'n >= {_MIN} AND auc IS NOT NULL')}")
 def conditional_auc_two_keys(spark, folder):
-    df = frames.orders_frame(spark, folder, ["rich", "n_lines", "y", "score_a"])
+    df = flat(spark, folder, ["rich", "n_lines", "y", "score_a"])
     return rounded(metrics.conditional_auc(df, "y", "score_a", ["rich", "n_lines"], min_count=_MIN,
                                            rows=order_count(spark, folder)))
 
 
 @query(f"{S}, {_MIXED} {_group_sql('b', ['rich', 'amount_bin', 'n_lines_bin'], f'n >= {_MIN} AND auc IS NOT NULL')}")
 def conditional_auc_mixed(spark, folder):
-    df = frames.orders_frame(spark, folder, ["rich", "amount", "n_lines", "y", "score_a"])
+    df = flat(spark, folder, ["rich", "amount", "n_lines", "y", "score_a"])
     return rounded(metrics.conditional_auc(df, "y", "score_a", ["rich"], {"amount": 10, "n_lines": 5}, _MIN,
                                            order_count(spark, folder)))
 

@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from propensity.catalog.registry import P, event_count, order_count, query, rounded, with_p
+from propensity.catalog.registry import P, event_count, flat, order_count, query, rounded, with_p
 from propensity.functions import columns as fx
 from propensity.operators import order, profile
 from propensity.sources import frames
@@ -41,7 +41,7 @@ def key_uniqueness(spark, folder):
 
 @query("SELECT CAST(sum(n - 1) AS BIGINT) AS duplicates FROM (SELECT count(*) AS n FROM documents GROUP BY text) t")
 def duplicate_documents(spark, folder):
-    return profile.duplicate_rows(frames.table(spark, folder, "documents").select("text"))
+    return profile.duplicate_rows(frames.table(spark, folder, "documents").select("text"), digest=["text"])
 
 
 @query("""SELECT CAST(sum(n - 1) AS BIGINT) AS duplicates FROM (
@@ -100,7 +100,7 @@ def _levels_sql(col: str) -> str:
 
 @query(with_p(" UNION ALL ".join(_levels_sql(c) for c in ("region", "segment", "qty"))))
 def level_consistency(spark, folder):
-    df = frames.orders_frame(spark, folder, ["split", "region", "segment", "qty"])
+    df = flat(spark, folder, ["split", "region", "segment", "qty"])
     return profile.level_consistency(df.where("split = 'train'"), df.where("split = 'test'"),
                                      ["region", "segment", "qty"])
 
@@ -148,7 +148,7 @@ _HARD = f"""
     f""" SELECT '{c}' AS "column", round((SELECT avg({c}) FROM hp), 5) AS hard_positive_mean,
          round((SELECT avg({c}) FROM hn), 5) AS hard_negative_mean""" for c in NUM))
 def hard_case_means(spark, folder):
-    df = frames.orders_frame(spark, folder, ["id", "y", "score_a", *NUM])
+    df = flat(spark, folder, ["id", "y", "score_a", *NUM])
     hard = order.top_k(df, "score_a", 100, "id", ascending=True, where=F.col("y") == 1)
     easy = order.top_k(df, "score_a", 100, "id", where=F.col("y") == 0)
     return rounded(profile.group_means(hard, easy, NUM, ("hard_positive", "hard_negative")), 5)

@@ -2,7 +2,7 @@
 
 from itertools import combinations
 
-from propensity.catalog.registry import L, bin_sql, edges_sql, event_count, order_count, query, rounded, with_p
+from propensity.catalog.registry import L, bin_sql, edges_sql, event_count, flat, order_count, query, rounded, with_p
 from propensity.operators import rates
 from propensity.sources import frames
 
@@ -116,7 +116,7 @@ def numeric_profile_event_value(spark, folder):
 @query(with_p(" UNION ALL ".join(
     f"SELECT '{c}' AS \"column\", * FROM ({_profile_sql('p', c, 10)}) t" for c in frames.NUMBERS)))
 def numeric_profiles_all(spark, folder):
-    df = frames.orders_frame(spark, folder, [*frames.NUMBERS, "y"])
+    df = flat(spark, folder, [*frames.NUMBERS, "y"])
     return rounded(rates.numeric_profiles(df, frames.NUMBERS, "y", 10, order_count(spark, folder)), lo=5, hi=5)
 
 
@@ -129,7 +129,7 @@ _EDGES = ", ".join(f"{edges_sql('p', c, 5)} AS e_{c}" for c in _GRID_NUMS)
     _spread_sql(f"'{n}' AS numerical, '{c}' AS categorical", [f"{n}_bin", c], "b", _RANGE)
     for n in _GRID_NUMS for c in CATS)])))
 def numeric_cat_interactions(spark, folder):
-    df = frames.orders_frame(spark, folder, [*_GRID_NUMS, *CATS, "y"])
+    df = flat(spark, folder, [*_GRID_NUMS, *CATS, "y"])
     grid = rates.numeric_cat_interactions(df, _GRID_NUMS, CATS, "y", 5, MIN, order_count(spark, folder))
     return rounded(grid)
 

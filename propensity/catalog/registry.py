@@ -7,6 +7,7 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from propensity.session import stored
 from propensity.sources import frames
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -35,6 +36,11 @@ def rounded(df: DataFrame, digits: int = 6, **special: int) -> DataFrame:
         for c, kind in df.dtypes])
 
 
+def flat(spark: SparkSession, folder: str, columns: Sequence[str]) -> DataFrame:
+    """Columns of the orders frame, stored: for operators that read their input more than once."""
+    return stored(frames.orders_frame(spark, folder, columns), "flat")
+
+
 def order_count(spark: SparkSession, folder: str) -> int:
     """Rows of the orders frame: it has one row per order. Answered from file footers."""
     return frames.table(spark, folder, "orders").count()

@@ -58,10 +58,12 @@ def id_overlap(a: DataFrame, b: DataFrame, key: str) -> DataFrame:
 
 
 def id_mismatch(a: DataFrame, b: DataFrame, key: str) -> DataFrame:
-    """Keys present in one frame only, with the side."""
-    left = a.select(key).join(b.select(key), key, "left_anti").withColumn("side", F.lit("left"))
-    right = b.select(key).join(a.select(key), key, "left_anti").withColumn("side", F.lit("right"))
-    return left.unionByName(right)
+    """Keys present in one frame only, with the side. Repeated keys merge before the one join."""
+    left = a.select(key).distinct().withColumn("_l", F.lit(True))
+    right = b.select(key).distinct().withColumn("_r", F.lit(True))
+    both = left.join(right, key, "full_outer").where(F.col(key).isNotNull())
+    alone = both.where(F.col("_l").isNull() | F.col("_r").isNull())
+    return alone.select(key, F.when(F.col("_r").isNull(), "left").otherwise("right").alias("side"))
 
 
 def compare_shares(a: DataFrame, b: DataFrame, col: str, names: tuple[str, str]) -> DataFrame:

@@ -189,7 +189,9 @@ def _estimator(kind: str, params: Mapping[str, object], data: Encoded, early_sto
     if kind == "gbt":
         return make_gbt(params, data.max_bins, early_stopping)
     if kind == "logistic":
-        return LogisticRegression(featuresCol="features", labelCol="label", maxIter=100)
+        # A unit L2 penalty on the summed loss; MLlib's is set against the mean loss.
+        return LogisticRegression(featuresCol="features", labelCol="label", maxIter=100, tol=1e-4,
+                                  regParam=1.0 / max(1, data.rows))
     raise ValueError(f"estimator must be gbt or logistic, not {kind!r}")
 
 

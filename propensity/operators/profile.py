@@ -45,9 +45,13 @@ def is_unique(df: DataFrame, col: str) -> DataFrame:
                     (F.col("rows") == F.col("distinct") + F.least("_null", F.lit(1))).alias("unique")))
 
 
-def duplicate_rows(df: DataFrame, exclude: Sequence[str] = ()) -> DataFrame:
-    """How many rows repeat an earlier one; nulls equal each other. Copies merge map-side."""
-    keys = [c for c in df.columns if c not in exclude]
+def duplicate_rows(df: DataFrame, exclude: Sequence[str] = (), digest: Sequence[str] = ()) -> DataFrame:
+    """How many rows repeat an earlier one; nulls equal each other. Copies merge map-side.
+
+    Long texts named in ``digest`` are compared by their SHA-256, so that the shuffle
+    moves 64 characters instead of whole texts.
+    """
+    keys = [F.sha2(c, 256).alias(c) if c in digest else F.col(c) for c in df.columns if c not in exclude]
     groups = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
     return groups.agg(F.coalesce(F.sum(F.col("_n") - 1), F.lit(0)).alias("duplicates"))
 
@@ -198,14 +202,20 @@ def histogram(df: DataFrame, col: str, bins: int, by: str | None = None) -> Data
 
 
 def corr_matrix(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """Pearson correlation of every pair, long form, from one aggregation."""
-    cells = []
-    for i, a in enumerate(cols):
-        for b in cols[i:]:
-            r = F.corr(F.col(a).cast("double"), F.col(b).cast("double"))
-            names = [(a, b)] if a == b else [(a, b), (b, a)]
-            cells += [F.struct(F.lit(x).alias("a"), F.lit(z).alias("b"), r.alias("corr")) for x, z in names]
-    return _stack(df, cells)
+    """Pearson correlation of every pair over the rows where both are known, long form.
+
+    One scan. Pairs are rows of a generated column rather than aggregates of one wide
+    row: a few hundred aggregation buffers would make code too large to be compiled.
+    """
+    pairs = [(a, b) for i, a in enumerate(cols) for b in cols[i:]]
+    cells = [x for i, (a, b) in enumerate(pairs)
+             for x in (F.lit(i), F.col(a).cast("double"), F.col(b).cast("double"))]
+    long = df.select(F.stack(F.lit(len(pairs)), *cells).alias("_i", "_x", "_z"))
+    found = long.groupBy("_i").agg(F.corr("_x", "_z").alias("corr"))
+    sides = [(i, x, z) for i, (a, b) in enumerate(pairs) for x, z in {(a, b), (b, a)}]
+    # One row per cell of the matrix.
+    names = df.sparkSession.createDataFrame(sides, "_i int, a string, b string")
+    return F.broadcast(names).join(found, "_i", "left").select("a", "b", "corr")
 
 
 def corr_wide(long: DataFrame, cols: Sequence[str], digits: int = 3) -> DataFrame:

@@ -85,64 +85,47 @@ def interaction_range(table: DataFrame) -> DataFrame:
                      F.min("target_rate_pct").alias("min_pct"), F.max("target_rate_pct").alias("max_pct"))
 
 
-def subset_counts(df: DataFrame, subsets: Sequence[Sequence[str]], y: str | None = None,
-                  via: Sequence[Sequence[str]] | None = None) -> tuple[DataFrame, Column]:
+def subset_counts(df: DataFrame, subsets: Sequence[Sequence[str]],
+                  y: str | None = None) -> tuple[DataFrame, Column]:
     """Counts of every combination of every column subset, and the overall target rate.
 
     Rows (``subset``, ``count``, ``positives``), with ``subset`` the position in
     ``subsets``; combinations with a null key are left out. The rows of ``df`` are
-    grouped once per set of ``via`` (default: all columns together) and the subsets are
-    rolled up from those groups. Choose ``via`` so that its sets have few combinations.
+    grouped once by all columns, and the subsets are rolled up from those groups.
     """
     subsets = [tuple(s) for s in subsets]
-    via = [tuple(v) for v in via] if via else [tuple(sorted({c for s in subsets for c in s}))]
-    home = [next(i for i, v in enumerate(via) if set(s) <= set(v)) for s in subsets]
-    if len(via) == 1:
-        fine = _counts(df, via[0], y).withColumn("_v", F.lit(0))
-    else:
-        fine = _grouped_by_sets(_labelled(df, y), via, "_v", _ROW_SUMS)
-
+    fine = _counts(df, sorted({c for s in subsets for c in s}), y)
     out = None
     for start in range(0, len(subsets), SETS_PER_PASS):
-        chunk = list(range(start, min(start + SETS_PER_PASS, len(subsets))))
-        sets = [("_v", *subsets[i]) for i in chunk]
-        rolled = _grouped_by_sets(fine, sets, "_set", _GROUP_SUMS)
-        used = sorted({c for i in chunk for c in subsets[i]})
+        chunk = subsets[start:start + SETS_PER_PASS]
+        rolled = _grouped_by_sets(fine, chunk)
+        used = sorted({c for s in chunk for c in s})
         filled = sum((F.col(c).isNotNull().cast("int") for c in used), F.lit(0))
-        size = F.element_at(F.array(*[F.lit(len(subsets[i])) for i in chunk]), F.col("_set") + 1)
-        from_home = F.element_at(F.array(*[F.lit(home[i]) for i in chunk]), F.col("_set") + 1)
-        part = (rolled.where((filled == size) & (F.col("_v") == from_home))
-                .select((F.col("_set") + start).alias("subset"), "count", "positives"))
+        size = F.element_at(F.array(*[F.lit(len(s)) for s in chunk]), F.col("_set") + 1)
+        part = rolled.where(filled == size).select((F.col("_set") + start).alias("subset"), "count", "positives")
         out = part if out is None else out.unionByName(part)
-    overall = (fine.where(F.col("_v") == 0)
-               .agg((F.sum("positives") / F.sum("count")).alias("rate")).scalar())
+    overall = fine.agg((F.sum("positives") / F.sum("count")).alias("rate")).scalar()
     return out, overall
 
 
-_ROW_SUMS = (F.count, "_one"), (F.sum, "_label")
-_GROUP_SUMS = (F.sum, "count"), (F.sum, "positives")
-
-
-def _grouped_by_sets(df: DataFrame, sets: Sequence[Sequence[str]], number: str, sums) -> DataFrame:
-    """Grouping sets with the position of the set as a column."""
+def _grouped_by_sets(groups: DataFrame, sets: Sequence[Sequence[str]]) -> DataFrame:
+    """Counts rolled up to each set, with the position of the set as ``_set``."""
     used = sorted({c for s in sets for c in s})
-    grouped = df.groupingSets([list(s) for s in sets], *used).agg(
-        F.grouping_id().alias("_g"),
-        *[fn(c).alias(name) for (fn, c), name in zip(sums, ("count", "positives"))])
+    rolled = groups.groupingSets([list(s) for s in sets], *used).agg(
+        F.grouping_id().alias("_g"), F.sum("count").alias("count"), F.sum("positives").alias("positives"))
     # grouping_id has one bit per column, first column highest, set when rolled up.
     ids = {sum(1 << (len(used) - 1 - i) for i, c in enumerate(used) if c not in s): k
            for k, s in enumerate(sets)}
     place = F.create_map(*[F.lit(x) for pair in ids.items() for x in pair])
-    return grouped.withColumn(number, place[F.col("_g").cast("int")]).drop("_g")
+    return rolled.withColumn("_set", place[F.col("_g").cast("int")]).drop("_g")
 
 
-def _subset_spread(df: DataFrame, subsets: Sequence[Sequence[str]], y: str, min_count: int,
-                   via: Sequence[Sequence[str]] | None = None) -> DataFrame:
-    stats, overall = subset_counts(df, subsets, y, via)
-    base = (stats.where(F.col("count") >= min_count)
+def _spread(stats: DataFrame, by: Sequence[str], overall: Column, min_count: int) -> DataFrame:
+    """Groups kept, lowest and highest rate, their range, weighted mean deviation, per ``by``."""
+    kept = (stats.where(F.col("count") >= min_count)
             .withColumn("rate", _rate()).withColumn("_base", overall))
     gap = F.abs(F.col("rate") - F.col("_base")) * F.col("count")
-    return base.groupBy("subset").agg(
+    return kept.groupBy(*by).agg(
         F.count(F.lit(1)).alias("n"), F.min("rate").alias("min_rate"), F.max("rate").alias("max_rate"),
         (F.max("rate") - F.min("rate")).alias("rate_range"),
         (F.sum(gap) / F.sum("count")).alias("weighted_std"))
@@ -159,7 +142,8 @@ def _joined(subsets: Sequence[Sequence[str]]) -> Column:
 def pair_interactions(df: DataFrame, cats: Sequence[str], y: str, min_count: int = 100) -> DataFrame:
     """Spread of the target rate for every pair of columns; pairs without a kept group are left out."""
     pairs = list(combinations(cats, 2))
-    return _subset_spread(df, pairs, y, min_count).select(
+    stats, overall = subset_counts(df, pairs, y)
+    return _spread(stats, ["subset"], overall, min_count).select(
         _named(pairs, 0).alias("feature_1"), _named(pairs, 1).alias("feature_2"),
         F.col("n").alias("n_combinations"), "min_rate", "max_rate", "rate_range", "weighted_std")
 
@@ -167,7 +151,8 @@ def pair_interactions(df: DataFrame, cats: Sequence[str], y: str, min_count: int
 def triple_interactions(df: DataFrame, cols: Sequence[str], y: str, min_count: int = 100) -> DataFrame:
     """Spread of the target rate for every triple of columns."""
     triples = list(combinations(cols, 3))
-    return _subset_spread(df, triples, y, min_count).select(
+    stats, overall = subset_counts(df, triples, y)
+    return _spread(stats, ["subset"], overall, min_count).select(
         _joined(triples).alias("features"), F.col("n").alias("n_groups"), "min_rate", "max_rate", "rate_range")
 
 
@@ -198,17 +183,22 @@ def numeric_profile(df: DataFrame, col: str, y: str, q: int = 10, rows: int | No
 
 
 def numeric_cat_interactions(df: DataFrame, nums: Sequence[str], cats: Sequence[str], y: str, q: int = 5,
-                             min_count: int = 100, rows: int | None = None) -> DataFrame:
-    """Spread of the target rate for each numeric-bin by category grid: one scan for edges, one for counts."""
-    edges = quantile_edges(df, nums, q, rows)
-    names = {c: f"{c}_bin" for c in nums}
-    binned = df.select(y, *cats, *[bin_of(c, edges[c]).alias(names[c]) for c in nums])
-    grids = [(names[n], c) for n in nums for c in cats]
-    labels = [(n, c) for n in nums for c in cats]
-    # Few combinations per numeric column, not the product over all of them.
-    via = [(names[n], *cats) for n in nums]
-    return _subset_spread(binned, grids, y, min_count, via).select(
-        _named(labels, 0).alias("numerical"), _named(labels, 1).alias("categorical"),
+                             min_count: int = 100, rows: int | None = None,
+                             edges: Mapping[str, Sequence[float]] | None = None) -> DataFrame:
+    """Spread of the target rate for each numeric-bin by category grid: one scan for edges, one for counts.
+
+    Rows are grouped by (numeric column, bin, all categories) and only those groups are
+    spread over the categories.
+    """
+    edges = edges or quantile_edges(df, nums, q, rows)
+    texts = df.select(y, *nums, *[F.col(c).cast("string").alias(f"_cat_{c}") for c in cats])
+    cells = [f"_cat_{c}" for c in cats]
+    fine = _counts(unpivot_bins(texts, edges, [y, *cells]), ["column", "bin", *cells], y)
+    long = fine.unpivot(["column", "bin", "count", "positives"], cells, "category", "level")
+    stats = (long.where(F.col("level").isNotNull()).groupBy("column", "bin", "category", "level")
+             .agg(F.sum("count").alias("count"), F.sum("positives").alias("positives")))
+    return _spread(stats, ["column", "category"], F.lit(0.0), min_count).select(
+        F.col("column").alias("numerical"), F.substring("category", 6, 1 << 20).alias("categorical"),
         "min_rate", "max_rate", "rate_range")
 
 

@@ -38,11 +38,26 @@ def test_filters_reach_the_scan(spark, folder):
 
 
 def test_one_scan_per_family(spark, folder):
+    cols = ["priority", "urgency", "split", "target"]
+    df = frames.orders_frame(spark, folder, [*cols, "y"])
+    for made in (rates.triple_interactions(df, cols, "y", 1), rates.combo_frequencies(df, cols)):
+        made.collect()
+        text = plan(made, "simple").split("\n+- == Initial Plan ==")[0]
+        # All subsets expand from one grouped scan.
+        assert text.count("FileScan") == 1 and text.count("Expand") == 1
+
+
+def test_overall_rate_reuses_the_groups(spark, folder):
     df = frames.orders_frame(spark, folder, ["priority", "urgency", "split", "y"])
-    text = plan(rates.pair_interactions(df, ["priority", "urgency", "split"], "y", 1))
-    # The main plan and the overall rate both start from the finest groups.
-    assert text.count("Expand") <= 2 + text.count("Arguments: [[")
-    assert len(set(re.findall(r"Location: InMemoryFileIndex \[(.*?)\]", text))) == 1
+    made = rates.pair_interactions(df, ["priority", "urgency", "split"], "y", 1)
+    made.collect()
+    assert "ReusedExchange" in plan(made, "simple")
+
+
+def test_average_precision_groups_the_scores_once(spark, folder, tiny_tasks):
+    made = metrics.average_precision(frames.orders_frame(spark, folder, ["y", "score_a"]), "y", "score_a")
+    made.collect()
+    assert "ReusedExchange" in plan(made, "simple")
 
 
 @pytest.mark.parametrize("make", [
