@@ -56,13 +56,13 @@ def running_totals_by_score(spark, folder):
 
 
 @query(with_p(f"""
-  SELECT bin, count(*) AS count, round(avg(y), 6) AS actual_rate, round(avg(score_a), 6) AS mean_prediction,
-         min(score_a) AS min_prediction, max(score_a) AS max_prediction, round(avg(y) * 100, 6) AS actual_rate_pct
-  FROM (SELECT y, score_a, {bin_sql('e', 'score_a')} AS bin
-        FROM (SELECT y, score_a, {edges_sql('p', 'score_a', 10)} AS e FROM p) a) b GROUP BY bin"""))
+  SELECT bin, count(*) AS count, avg(y) AS actual_rate, sum(score_d) / count(*) AS mean_prediction,
+         min(score_d) AS min_prediction, max(score_d) AS max_prediction, avg(y) * 100 AS actual_rate_pct
+  FROM (SELECT y, score_d, {bin_sql('e', 'score_d')} AS bin
+        FROM (SELECT y, score_d, {edges_sql('p', 'score_d', 10)} AS e FROM p) a) b GROUP BY bin"""))
 def decile_table(spark, folder):
-    df = frames.orders_frame(spark, folder, ["score_a", "y"])
-    return rounded(order.decile_table(df, "score_a", "y", 10, order_count(spark, folder)))
+    df = frames.orders_frame(spark, folder, ["score_d", "y"])
+    return order.decile_table(df, "score_d", "y", 10, order_count(spark, folder))
 
 
 @query(with_p("""SELECT id, target, y, score_a, round(y - score_a, 6) AS residual, round(abs(y - score_a), 6) AS abs_residual

@@ -62,16 +62,17 @@ def subgroup_auc(spark, folder):
 _AMOUNT_BIN = f"b AS (SELECT *, {bin_sql('e', 'amount')} AS bin FROM (SELECT s.*, {edges_sql('s', 'amount', 10)} AS e FROM s) a)"
 
 
-@query(f"""{S}, {_AMOUNT_BIN}
-  SELECT t.bin, round(m.lo, 5) AS lo, round(m.hi, 5) AS hi, n, round(positives / n, 6) AS positive_rate,
-         round(auc, 6) AS auc, round(m.mp, 6) AS mean_prediction
+@query(f"""{S.replace('score_a AS s', 'score_d AS s')}, {_AMOUNT_BIN}
+  SELECT t.bin, round(m.lo, 5) AS lo, round(m.hi, 5) AS hi, n, positives / n AS positive_rate,
+         round(auc, 6) AS auc, m.mp AS mean_prediction
   FROM ({auc_sql('b', ['bin'])}) t
-  JOIN (SELECT bin, any_value(e[bin + 1]) AS lo, any_value(e[bin + 2]) AS hi, avg(s) AS mp FROM b GROUP BY bin) m
+  JOIN (SELECT bin, any_value(e[bin + 1]) AS lo, any_value(e[bin + 2]) AS hi, sum(s) / count(*) AS mp
+        FROM b GROUP BY bin) m
     ON t.bin = m.bin""")
 def auc_by_quantile(spark, folder):
-    df = frames.orders_frame(spark, folder, ["amount", "y", "score_a"])
-    out = metrics.auc_by_quantile(df, "amount", "y", "score_a", 10, order_count(spark, folder))
-    return rounded(out, lo=5, hi=5)
+    df = frames.orders_frame(spark, folder, ["amount", "y", "score_d"])
+    out = metrics.auc_by_quantile(df, "amount", "y", "score_d", 10, order_count(spark, folder))
+    return rounded(out, exact=["positive_rate", "mean_prediction"], lo=5, hi=5)
 
 
 _MIXED = (f"b AS (SELECT *, {bin_sql('ea', 'amount')} AS amount_bin, {bin_sql('eb', 'n_lines')} AS n_lines_bin FROM "

@@ -154,19 +154,19 @@ def modulo_audit(spark, folder):
 
 @query(with_p(" UNION ALL ".join(
     f"""SELECT '{c}' AS feature, CAST({m} AS INTEGER) AS mod, count(*) AS n_groups,
-               round(max(abs(r)), 6) AS max_abs_mean_residual
-        FROM (SELECT {_floor_mod(c, m)} AS v, avg(y - score_a) AS r FROM p GROUP BY 1) g"""
+               max(abs(r)) AS max_abs_mean_residual
+        FROM (SELECT {_floor_mod(c, m)} AS v, sum(y - score_d) / count(*) AS r FROM p GROUP BY 1) g"""
     for c in ("nation", "qty", "n_lines") for m in MODS)))
 def modulo_residual_audit(spark, folder):
-    df = frames.orders_frame(spark, folder, ["nation", "qty", "n_lines", "y", "score_a"])
-    return rounded(rates.modulo_residual_audit(df, ["nation", "qty", "n_lines"], MODS, "y", "score_a"))
+    df = frames.orders_frame(spark, folder, ["nation", "qty", "n_lines", "y", "score_d"])
+    return rates.modulo_residual_audit(df, ["nation", "qty", "n_lines"], MODS, "y", "score_d")
 
 
 @query(with_p(" UNION ALL ".join(
-    f"""SELECT 'qty' AS feature, CAST({m} AS INTEGER) AS mod, v AS value, count(*) AS n, round(avg(y), 6) AS target_rate,
-               round(avg(score_a), 6) AS mean_prediction, round(avg(y - score_a), 6) + 0.0 AS mean_residual,
-               round(abs(avg(y - score_a)), 6) AS residual_abs
+    f"""SELECT 'qty' AS feature, CAST({m} AS INTEGER) AS mod, v AS value, count(*) AS n,
+               sum(y) / CAST(count(*) AS DOUBLE) AS target_rate, sum(score_d) / count(*) AS mean_prediction,
+               sum(y - score_d) / count(*) + 0.0 AS mean_residual, abs(sum(y - score_d) / count(*)) AS residual_abs
         FROM (SELECT *, {_floor_mod('qty', m)} AS v FROM p) g GROUP BY v""" for m in MODS)))
 def modulo_residual_groups(spark, folder):
-    df = frames.orders_frame(spark, folder, ["qty", "y", "score_a"])
-    return rounded(rates.modulo_residuals(df, ["qty"], MODS, "y", "score_a"))
+    df = frames.orders_frame(spark, folder, ["qty", "y", "score_d"])
+    return rates.modulo_residuals(df, ["qty"], MODS, "y", "score_d")

@@ -17,9 +17,9 @@ from propensity.operators.features import Roles
 CUSTOMER = {"balance", "nation", "segment", "rich"}
 REGION = {"region"}
 LINES = {"n_lines", "n_supp", "qty"}
-ORDERS = ["id", "split", "amount", "priority", "urgency", "target", "y", "score_a", "score_b"]
+ORDERS = ["id", "split", "amount", "priority", "urgency", "target", "y", "score_a", "score_b", "score_d"]
 ALL = ["id", "split", "amount", "balance", "nation", "n_lines", "n_supp", "qty", "priority",
-       "segment", "region", "rich", "urgency", "target", "y", "score_a", "score_b"]
+       "segment", "region", "rich", "urgency", "target", "y", "score_a", "score_b", "score_d"]
 
 NUMBERS = ["amount", "balance", "nation", "n_lines", "n_supp", "qty"]
 CATEGORIES = ["priority", "segment", "region", "rich", "urgency"]
@@ -65,6 +65,8 @@ def orders_frame(spark: SparkSession, folder: str, columns: Sequence[str] | None
         "target": F.when(is_yes, "Yes").otherwise("No"),
         "y": F.when(is_yes, 1).otherwise(0),
         "score_a": ((key * 7919 + F.when(is_yes, 211).otherwise(0)) % 1000).cast("double") / 1000.0,
+        # A whole number of 1/1024: its sums are exact in any order.
+        "score_d": ((key * 7919 + F.when(is_yes, 211).otherwise(0)) % 1024).cast("double") / 1024.0,
         "score_b": ((key * 7877 + F.when(is_yes, 97).otherwise(0)) % 500).cast("double") / 500.0,
         **{c: F.coalesce(F.col(c), F.lit(0)) for c in LINES},
     }
@@ -104,7 +106,7 @@ def planted_frame(spark: SparkSession, folder: str) -> DataFrame:
 
     The tables' own outcomes are random, so models are tried on this outcome.
     """
-    base = orders_frame(spark, folder, [c for c in ALL if c not in ("target", "y", "score_a", "score_b")])
+    base = orders_frame(spark, folder, [c for c in ALL if c not in ("target", "y", "score_a", "score_b", "score_d")])
     pull = (4.0 * fx.flag("rich", "Yes") + 2.0 * fx.ordinal("urgency", ROLES.anxiety_levels)
             + 1.6 * (F.col("n_lines") - 4) + (F.col("amount") - 250000.0) / 60000.0 - 5.4)
     chance = 1.0 / (1.0 + F.exp(-pull))
