@@ -16,6 +16,9 @@ from propensity.catalog import QUERIES
 from propensity.session import build_session
 
 HEADLINE = [
+    # the largest table: profile, rates, interactions, evaluation
+    "line_describe", "line_target_rates", "line_pair_interactions", "line_triple_interactions",
+    "line_numeric_profiles", "line_numeric_cat_interactions", "line_modulo_audit", "line_roc_auc", "line_grouped_auc",
     # profile
     "describe_orders", "missing_counts", "duplicate_lines", "level_consistency", "corr_matrix", "histogram_amount_by_class",
     # target rates and interactions

@@ -7,6 +7,7 @@ from propensity.catalog import (  # noqa: F401
     encoding,
     evaluation,
     features,
+    lines,
     models,
     profiling,
     rates,

@@ -72,20 +72,20 @@ def distinct_counts(spark, folder):
     return profile.distinct_count(frames.table(spark, folder, "lineitem"), ["l_suppkey", "l_returnflag", "l_quantity"])
 
 
-def _describe_sql(col: str, src: str) -> str:
+def describe_sql(col: str, src: str) -> str:
     q = [f"round(quantile_cont(CAST({col} AS DOUBLE), {v}), 4) AS q{int(v * 100)}" for v in (0.25, 0.5, 0.75)]
     return (f"SELECT '{col}' AS \"column\", count({col}) AS count, round(avg({col}), 4) AS mean, "
             f"round(stddev_samp({col}), 4) AS std, round(CAST(min({col}) AS DOUBLE), 4) AS min, {', '.join(q)}, "
             f"round(CAST(max({col}) AS DOUBLE), 4) AS max FROM {src}")
 
 
-@query(with_p(" UNION ALL ".join(_describe_sql(c, "p") for c in NUM)))
+@query(with_p(" UNION ALL ".join(describe_sql(c, "p") for c in NUM)))
 def describe_orders(spark, folder):
     df = frames.orders_frame(spark, folder, NUM)
     return rounded(profile.describe(df, NUM, order_count(spark, folder)), 4)
 
 
-@query(_describe_sql("value", "events"))
+@query(describe_sql("value", "events"))
 def describe_events(spark, folder):
     return rounded(profile.describe(frames.table(spark, folder, "events"), ["value"], event_count(spark, folder)), 4)
 

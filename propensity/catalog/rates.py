@@ -59,26 +59,26 @@ def interaction_range(spark, folder):
     return rounded(rates.interaction_range(rates.interaction_table(df, "rich", "urgency", "y", MIN)))
 
 
-def _spread_sql(head: str, keys: list[str], src: str, tail: str, minimum: int = MIN) -> str:
+def spread_sql(head: str, keys: list[str], src: str, tail: str, minimum: int = MIN) -> str:
     names = ", ".join(keys)
     return (f"SELECT {head}, {tail} FROM (SELECT {names}, avg(y) AS rate, count(*) AS n FROM {src} "
             f"GROUP BY {names} HAVING count(*) >= {minimum}) g HAVING count(*) > 0")
 
 
-_RANGE = ("round(min(rate), 6) AS min_rate, round(max(rate), 6) AS max_rate, "
+RANGE_SQL = ("round(min(rate), 6) AS min_rate, round(max(rate), 6) AS max_rate, "
           "round(max(rate) - min(rate), 6) AS rate_range")
 _STD = "round(sum(abs(rate - (SELECT avg(y) FROM p)) * n) / sum(n), 6) AS weighted_std"
 
 
 @query(with_p(" UNION ALL ".join(
-    _spread_sql(f"'{a}' AS feature_1, '{b}' AS feature_2, count(*) AS n_combinations", [a, b], "p", f"{_RANGE}, {_STD}")
+    spread_sql(f"'{a}' AS feature_1, '{b}' AS feature_2, count(*) AS n_combinations", [a, b], "p", f"{RANGE_SQL}, {_STD}")
     for a, b in combinations(CATS, 2))))
 def pair_interactions(spark, folder):
     return rounded(rates.pair_interactions(frames.orders_frame(spark, folder, [*CATS, "y"]), CATS, "y", MIN))
 
 
 @query(with_p(" UNION ALL ".join(
-    _spread_sql(f"'{' × '.join(t)}' AS features, count(*) AS n_groups", list(t), "p", _RANGE)
+    spread_sql(f"'{' × '.join(t)}' AS features, count(*) AS n_groups", list(t), "p", RANGE_SQL)
     for t in combinations(CATS, 3))))
 def triple_interactions(spark, folder):
     return rounded(rates.triple_interactions(frames.orders_frame(spark, folder, [*CATS, "y"]), CATS, "y", MIN))
@@ -92,7 +92,7 @@ def combo_frequencies(spark, folder):
     return rates.combo_frequencies(frames.orders_frame(spark, folder, CATS), CATS)
 
 
-def _profile_sql(src: str, col: str, q: int) -> str:
+def profile_sql(src: str, col: str, q: int) -> str:
     return f"""
       SELECT bin, round(any_value(e[bin + 1]), 5) AS lo, round(any_value(e[bin + 2]), 5) AS hi,
              round(avg(y), 6) AS mean, count(*) AS count, round(avg(y) * 100, 6) AS rate_pct
@@ -101,20 +101,20 @@ def _profile_sql(src: str, col: str, q: int) -> str:
       GROUP BY bin"""
 
 
-@query(with_p(_profile_sql("p", "amount", 10)))
+@query(with_p(profile_sql("p", "amount", 10)))
 def numeric_profile_amount(spark, folder):
     df = frames.orders_frame(spark, folder, ["amount", "y"])
     return rounded(rates.numeric_profile(df, "amount", "y", 10, order_count(spark, folder)), lo=5, hi=5)
 
 
-@query(_profile_sql("(SELECT value, CASE WHEN event_type = 'purchase' THEN 1 ELSE 0 END AS y FROM events)", "value", 10))
+@query(profile_sql("(SELECT value, CASE WHEN event_type = 'purchase' THEN 1 ELSE 0 END AS y FROM events)", "value", 10))
 def numeric_profile_event_value(spark, folder):
     df = frames.events_frame(spark, folder)
     return rounded(rates.numeric_profile(df, "value", "y", 10, event_count(spark, folder)), lo=5, hi=5)
 
 
 @query(with_p(" UNION ALL ".join(
-    f"SELECT '{c}' AS \"column\", * FROM ({_profile_sql('p', c, 10)}) t" for c in frames.NUMBERS)))
+    f"SELECT '{c}' AS \"column\", * FROM ({profile_sql('p', c, 10)}) t" for c in frames.NUMBERS)))
 def numeric_profiles_all(spark, folder):
     df = flat(spark, folder, [*frames.NUMBERS, "y"])
     return rounded(rates.numeric_profiles(df, frames.NUMBERS, "y", 10, order_count(spark, folder)), lo=5, hi=5)
@@ -126,7 +126,7 @@ _EDGES = ", ".join(f"{edges_sql('p', c, 5)} AS e_{c}" for c in _GRID_NUMS)
 
 
 @query(with_p(f", b AS (SELECT *, {_BINNED} FROM (SELECT p.*, {_EDGES} FROM p) a) ".join(["", " UNION ALL ".join(
-    _spread_sql(f"'{n}' AS numerical, '{c}' AS categorical", [f"{n}_bin", c], "b", _RANGE)
+    spread_sql(f"'{n}' AS numerical, '{c}' AS categorical", [f"{n}_bin", c], "b", RANGE_SQL)
     for n in _GRID_NUMS for c in CATS)])))
 def numeric_cat_interactions(spark, folder):
     df = flat(spark, folder, [*_GRID_NUMS, *CATS, "y"])

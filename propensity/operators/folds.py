@@ -12,7 +12,6 @@ from fractions import Fraction
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from propensity import scale
 from propensity.operators.checks import ContractError
 
 # 16^3 buckets per class.

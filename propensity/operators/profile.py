@@ -215,7 +215,7 @@ def corr_matrix(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     sides = [(i, x, z) for i, (a, b) in enumerate(pairs) for x, z in {(a, b), (b, a)}]
     # One row per cell of the matrix.
     names = df.sparkSession.createDataFrame(sides, "_i int, a string, b string")
-    return F.broadcast(names).join(found, "_i", "left").select("a", "b", "corr")
+    return names.join(found, "_i", "left").select("a", "b", "corr")
 
 
 def corr_wide(long: DataFrame, cols: Sequence[str], digits: int = 3) -> DataFrame:

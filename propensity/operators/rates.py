@@ -14,7 +14,7 @@ from math import lcm
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from propensity.operators.order import bin_of, edge_table, quantile_edges, unpivot_bins
+from propensity.operators.order import edge_table, quantile_edges, unpivot_bins
 
 # Subsets per pass: bounds how often a row is expanded.
 SETS_PER_PASS = 64

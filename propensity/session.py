@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -29,16 +30,18 @@ def build_session(app: str = "propensity", master: str | None = None, **conf: st
     return builder.getOrCreate()
 
 
+@cache
+def _local_folder() -> str:
+    return tempfile.mkdtemp(prefix="propensity-")
+
+
 def work_folder(spark: SparkSession, label: str) -> str:
     """A fresh folder for written intermediate tables.
 
     The cluster names a shared folder in ``spark.checkpoint.dir``. Only when that is
     unset (local tests) does this fall back to a temporary folder of the machine.
     """
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    if not shared:
-        shared = tempfile.mkdtemp(prefix="propensity-")
-        spark.conf.set("spark.checkpoint.dir", shared)
+    shared = spark.conf.get("spark.checkpoint.dir", None) or _local_folder()
     return f"{shared.rstrip('/')}/propensity/{label}-{uuid.uuid4().hex}"
 
 

@@ -89,6 +89,23 @@ def events_frame(spark: SparkSession, folder: str) -> DataFrame:
                      (F.col("event_type") == "purchase").cast("int").alias("y"), text.alias("label_text"))
 
 
+LINE_NUMBERS = ["quantity", "price", "line"]
+LINE_CATEGORIES = ["status", "line", "discount", "tax"]
+
+
+def lines_frame(spark: SparkSession, folder: str) -> DataFrame:
+    """Order lines as a flat table without a key: returned or not, with a price score."""
+    df = table(spark, folder, "lineitem")
+
+    def percent(c: str):
+        return F.round(F.col(c) * 100).cast("long")
+
+    return df.select((F.col("l_returnflag") == "R").cast("int").alias("y"), F.col("l_quantity").alias("quantity"),
+                     F.col("l_extendedprice").alias("price"), F.col("l_linenumber").alias("line"),
+                     F.col("l_linestatus").alias("status"), percent("l_discount").alias("discount"),
+                     percent("l_tax").alias("tax"))
+
+
 def documents_frame(spark: SparkSession, folder: str) -> DataFrame:
     """Labelled documents."""
     labels, docs = table(spark, folder, "labels"), table(spark, folder, "documents")

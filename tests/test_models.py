@@ -266,3 +266,14 @@ def test_rowwise_operators_serve_a_stream(spark, fitted, buyers_7k, tmp_path):
 
 def test_work_folder_is_the_shared_one(spark):
     assert work_folder(spark, "x").startswith(spark.conf.get("spark.checkpoint.dir"))
+
+
+def test_work_folder_without_a_shared_one():
+    class Unset:
+        class conf:
+            @staticmethod
+            def get(name, default):
+                return default
+
+    a, b = work_folder(Unset, "x"), work_folder(Unset, "x")
+    assert a != b and a.rsplit("/", 2)[0] == b.rsplit("/", 2)[0]
