@@ -185,9 +185,8 @@ def _quantiles_by_range(df: DataFrame, cols: list[str], probs: list[float], rows
     values = df.select(*[(F.col(c).cast("double") + F.lit(0.0)).alias(f"v{i}")
                          for i, c in enumerate(cols)])
     keyed = _bucketizer(values.columns, cuts, [f"b{i}" for i in range(len(cols))]).transform(values)
-    cells = F.array(*[F.struct(F.lit(i).alias("c"), F.col(f"b{i}").cast("int").alias("b"),
-                               F.col(f"v{i}").alias("v")) for i in range(len(cols))])
-    long = keyed.select(F.explode(cells).alias("x")).select("x.*").where(F.col("v").isNotNull())
+    cells = [x for i in range(len(cols)) for x in (F.lit(i), F.col(f"b{i}").cast("int"), F.col(f"v{i}"))]
+    long = keyed.select(F.stack(F.lit(len(cols)), *cells).alias("c", "b", "v")).where(F.col("v").isNotNull())
 
     # At most (columns x ranges) rows.
     counted = sorted((r["c"], r["b"], r["n"]) for r in

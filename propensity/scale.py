@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 # Rows that one task may sort or one aggregation buffer may hold.
-TASK_ROWS = 1_000_000
+TASK_ROWS = 250_000
 # Rows of a side table that may be broadcast.
 BROADCAST_ROWS = 100_000
 # Rows a sampled estimate is drawn from.
