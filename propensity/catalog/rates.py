@@ -138,7 +138,9 @@ _MOD_COLS = ["nation", "qty", "n_lines", "balance"]
 
 
 def _floor_mod(c: str, m: int) -> str:
-    return f"((CAST({c} AS DOUBLE) % {m}) + {m}) % {m}"
+    """Remainder with the sign of the modulus. Adding the modulus to a positive remainder too would round it."""
+    r = f"(CAST({c} AS DOUBLE) % {m})"
+    return f"(CASE WHEN {r} < 0 THEN {r} + {m} ELSE {r} END)"
 
 
 @query(with_p(" UNION ALL ".join(
