@@ -5,7 +5,7 @@ Each query applies its operator to the whole of its table and derives the wanted
 
 from __future__ import annotations
 
-from propensity.llm import byte_bpe, url_filter
+from propensity.llm import byte_bpe, exact_dedup, html_extract, url_filter
 from propensity.llm.texts import table
 
 QUERIES = {}
@@ -17,11 +17,30 @@ def query(fn):
     return fn
 
 
+@query
+def op1_html_extract(spark, sf_dir):
+    return html_extract.extract(table(spark, sf_dir, "pages"))
+
+
 @query
 def op3_byte_bpe(spark, sf_dir):
     return byte_bpe.encode(table(spark, sf_dir, "documents"))
 
 
+@query
+def op5_exact_dedup(spark, sf_dir):
+    return exact_dedup.groups(table(spark, sf_dir, "documents"))
+
+
+ORACLES["op5_exact_dedup"] = r"""
+WITH t AS (SELECT doc_id, coalesce(length(text), 0) AS points,
+                  regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]', '', 'g') AS body FROM documents),
+k AS (SELECT doc_id, body, first_value(doc_id) OVER (PARTITION BY body ORDER BY points DESC, doc_id) AS keep_id,
+             count(*) OVER (PARTITION BY body) AS group_size FROM t)
+SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(body) AS text_sha256 FROM k
+"""
+
+
 @query
 def op7_url_filter(spark, sf_dir):
     pages = table(spark, sf_dir, "pages").select("page_id", "url")
