@@ -158,6 +158,7 @@ _MARKED = (
     "<div>M<p>L<p>T</div><article>{}</article><div>S<p>M<p>L<p>T</div>",
 )
 _BARE = (
+    "<div class=notice><p>L<p>M</div><nav><p>L</nav>{}<div class=sidebar><p>L<p>L<p>M</div><aside><p>L</aside>",
     "<ul>LINKS</ul>{}<ul>LINKS</ul><p>S",
     "<table><tr><td><a href=/>home</a><td><a href=/b>news</a></table><p>S<ul>LINKS</ul>{}<hr><p><a href=/x>M</a>",
 )
