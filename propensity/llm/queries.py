@@ -5,7 +5,7 @@ Each query applies its operator to the whole of its table and derives the wanted
 
 from __future__ import annotations
 
-from propensity.llm import byte_bpe, exact_dedup, html_extract, url_filter
+from propensity.llm import byte_bpe, exact_dedup, html_extract, quality, toxicity, url_filter
 from propensity.llm.texts import table
 
 QUERIES = {}
@@ -22,11 +22,21 @@ def op1_html_extract(spark, sf_dir):
     return html_extract.extract(table(spark, sf_dir, "pages"))
 
 
+@query
+def op2_quality(spark, sf_dir):
+    return quality.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 @query
 def op3_byte_bpe(spark, sf_dir):
     return byte_bpe.encode(table(spark, sf_dir, "documents"))
 
 
+@query
+def op4_toxicity(spark, sf_dir):
+    return toxicity.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 @query
 def op5_exact_dedup(spark, sf_dir):
     return exact_dedup.groups(table(spark, sf_dir, "documents"))
