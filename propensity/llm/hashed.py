@@ -24,11 +24,11 @@ def _powers(bits: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 class Points:
-    """Code points of texts laid end to end, one line end after each."""
+    """Code points of texts laid end to end, each between two line ends."""
 
     def __init__(self, texts: list[str]):
-        self.code = np.frombuffer(("\n".join(texts) + "\n").encode("utf-32-le", "surrogatepass"), np.uint32)
-        size = np.array([len(t) + 1 for t in texts], np.int64)
+        self.code = np.frombuffer(("\n" + "\n\n".join(texts) + "\n").encode("utf-32-le", "surrogatepass"), np.uint32)
+        size = np.array([len(t) + 2 for t in texts], np.int64)
         self.ends = np.cumsum(size)
         self.starts = self.ends - size
         self.space = (self.code == 32) | ((self.code >= 9) & (self.code <= 13))

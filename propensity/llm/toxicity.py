@@ -82,7 +82,8 @@ def train(data: list[tuple[np.ndarray, int]], size: int = 4, epochs: int = 20, r
           least: float = 15.0, seed: int = 7) -> Model:
     """Adaptive stochastic gradient descent over (buckets, label), one document at a time.
 
-    Only ``telling`` terms are learned. Without data every score is 0.5.
+    Only ``telling`` terms are learned; the bias stays at the log odds of label 1. Without data
+    every score is 0.5.
     """
     if not data:
         return Model(np.zeros(0, np.int64), np.zeros(0), np.zeros((0, size)), 0.0)
@@ -101,7 +102,6 @@ def train(data: list[tuple[np.ndarray, int]], size: int = 4, epochs: int = 20, r
             total = v.sum(0)
             margin = bias + weight[at].sum() + 0.5 * float(total @ total - (v * v).sum())
             error = 1 / (1 + np.exp(-min(50.0, max(-50.0, margin)))) - label
-            bias -= 0.1 * now * error
             g = error + ridge * weight[at]
             seen_w[at] += g * g
             weight[at] -= now * g / np.sqrt(seen_w[at])
