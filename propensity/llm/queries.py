@@ -5,7 +5,7 @@ Each query applies its operator to the whole of its table and derives the wanted
 
 from __future__ import annotations
 
-from propensity.llm import byte_bpe, exact_dedup, html_extract, quality, toxicity, url_filter
+from propensity.llm import byte_bpe, exact_dedup, html_extract, quality, simhash, toxicity, url_filter
 from propensity.llm.texts import table
 
 QUERIES = {}
@@ -55,3 +55,8 @@ SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(body) AS te
 def op7_url_filter(spark, sf_dir):
     pages = table(spark, sf_dir, "pages").select("page_id", "url")
     return url_filter.judge(pages).select("page_id", "host", "path", "rule", "verdict", "score")
+
+
+@query
+def op9_simhash(spark, sf_dir):
+    return simhash.groups(table(spark, sf_dir, "documents"))
