@@ -5,7 +5,7 @@ Each query applies its operator to the whole of its table and derives the wanted
 
 from __future__ import annotations
 
-from propensity.llm import byte_bpe, exact_dedup, html_extract, quality, simhash, toxicity, url_filter
+from propensity.llm import byte_bpe, decontaminate, exact_dedup, html_extract, quality, simhash, toxicity, url_filter
 from propensity.llm.texts import table
 
 QUERIES = {}
@@ -51,6 +51,11 @@ SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(body) AS te
 """
 
 
+@query
+def op6_decontaminate(spark, sf_dir):
+    return decontaminate.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 @query
 def op7_url_filter(spark, sf_dir):
     pages = table(spark, sf_dir, "pages").select("page_id", "url")
