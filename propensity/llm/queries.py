@@ -65,3 +65,10 @@ def op7_url_filter(spark, sf_dir):
 @query
 def op9_simhash(spark, sf_dir):
     return simhash.groups(table(spark, sf_dir, "documents"))
+
+
+@query
+def pipeline(spark, sf_dir):
+    import corpus_pipeline  # it imports this subpackage; both are left out together
+
+    return corpus_pipeline.run(spark, sf_dir).drop("ids")

@@ -9,6 +9,7 @@ by bit. Equal fingerprints are one node, so copies never meet in pairs.
 
 from __future__ import annotations
 
+from collections import Counter
 from itertools import product
 
 import numpy as np
@@ -112,3 +113,99 @@ def groups(docs: DataFrame, width: int = 3, radius: int = RADIUS, id_col: str =
     of = of.join(lowest, "root").select("f", "component_id")
     return rows.join(of, "f").select(
         F.col("id").alias(id_col), F.lower(F.lpad(F.hex("f"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+# Documents whose shingles are alike to 0.8 differ in about 6 of 64 bits of a fingerprint over
+# five-word shingles, too many for a grid of radius 2. Fingerprints over single words, each
+# weighted by the root of its count, differ in about 2. Four of them find nearly all such pairs;
+# the shingles themselves then decide.
+PRINTS = 4
+FAR = 20                 # bits of the shingle fingerprint beyond which a pair is not looked at
+
+
+def word_prints(text: str) -> list[int]:
+    """Four fingerprints over the words of a text."""
+    counts = Counter(text.encode().lower().split())
+    if not counts:
+        return [0] * PRINTS
+    weight = np.sqrt(np.fromiter(counts.values(), np.float32, len(counts)))
+    digest = xxhash.xxh3_128_digest
+    raw = np.frombuffer(b"".join([digest(w, s) for w in counts for s in (1, 2)]), np.uint8).reshape(-1, 8 * PRINTS)
+    total = np.zeros(64 * PRINTS)
+    for i in range(0, len(raw), 4096):
+        total += weight[i:i + 4096] @ np.unpackbits(raw[i:i + 4096], axis=1).astype(np.float32)
+    bits = np.packbits(2 * total > weight.sum(dtype=np.float64))
+    return np.frombuffer(bits.tobytes(), ">i8").tolist()
+
+
+def similarity(a: str, b: str, width: int) -> float:
+    """Jaccard similarity of the sets of word shingles; two texts without words are alike."""
+    def shingles(text: str) -> set[bytes]:
+        words = text.encode().lower().split()
+        n = max(1, len(words) - width + 1)
+        return {b" ".join(words[i:i + width]) for i in range(n)} if words else set()
+    x, y = shingles(a), shingles(b)
+    return len(x & y) / len(x | y) if x or y else 1.0
+
+
+def _prints(docs: DataFrame, width: int) -> DataFrame:
+    """id, text -> id, prints, five (the shingle fingerprint)."""
+    def work():
+        def each(batch: pa.RecordBatch) -> pa.RecordBatch:
+            texts = strings(batch, "text")
+            return pa.RecordBatch.from_pydict({
+                "id": batch.column("id"), "prints": pa.array([word_prints(x) for x in texts], pa.list_(pa.int64())),
+                "five": pa.array([fingerprint(shingle_hashes(x, width)) for x in texts], pa.int64())})
+        return each
+    return map_batches(docs, work, f"id {dict(docs.dtypes)['id']}, prints array<long>, five long")
+
+
+def _candidates(prints: DataFrame) -> DataFrame:
+    """x < y: a document and the first of its class of equal prints, and the firsts of linked classes."""
+    pairs = None
+    for t in range(PRINTS):
+        rows = prints.select("id", "five", F.col("prints")[t].alias("f"))
+        first = stored(rows.groupBy("f").agg(F.min(F.struct("id", "five")).alias("first")), "classes")
+        star = rows.join(first, "f").select(F.struct("id", "five").alias("x"), F.col("first").alias("y"))
+        met = links(first)
+        met = (met.join(first.select(F.col("f").alias("a"), F.col("first").alias("x")), "a")
+               .join(first.select(F.col("f").alias("b"), F.col("first").alias("y")), "b").select("x", "y"))
+        both = star.unionByName(met).where("x.id <> y.id").where(
+            F.bit_count(F.col("x.five").bitwiseXOR(F.col("y.five"))) <= FAR)
+        both = both.select(F.least("x.id", "y.id").alias("x"), F.greatest("x.id", "y.id").alias("y"))
+        pairs = both if pairs is None else pairs.unionByName(both)
+    return pairs.distinct()
+
+
+def _alike(texts: DataFrame, pairs: DataFrame, width: int, least: float) -> DataFrame:
+    """The pairs whose texts have a similarity of ``least`` or more."""
+    ends = pairs.select(F.explode(F.array("x", "y")).alias("id"), "x", "y")
+    sides = texts.join(ends, "id").groupBy("x", "y").agg(
+        F.max(F.when(F.col("id") == F.col("x"), F.col("text"))).alias("s"),
+        F.max(F.when(F.col("id") == F.col("y"), F.col("text"))).alias("t"))
+
+    def work():
+        def each(batch: pa.RecordBatch) -> pa.RecordBatch:
+            good = [similarity(s, t, width) >= least for s, t in zip(strings(batch, "s"), strings(batch, "t"))]
+            return batch.select(["x", "y"]).filter(pa.array(good, pa.bool_()))
+        return each
+    kind = dict(pairs.dtypes)["x"]
+    return map_batches(sides, work, f"x {kind}, y {kind}")
+
+
+def keep_one(docs: DataFrame, width: int = 5, least: float = 0.8, id_col: str = "doc_id", text: str = "text") -> DataFrame:
+    """``docs`` with one row, that of the least id, of each group of near duplicates.
+
+    Two documents are linked when fingerprints find them and the sets of their shingles have a
+    similarity of ``least`` or more. Of documents with equal fingerprints each is compared with
+    the first, and of linked fingerprints the firsts are compared, so a large group costs a
+    number of comparisons in proportion to its size. Null counts as empty, and texts without words are
+    alike. Rows that share an id are one document and stay or go together; rows without an id stay.
+    """
+    given = docs.select(docs[id_col].alias("id"), F.coalesce(docs[text], F.lit("")).alias("text")).where("id is not null")
+    prints = stored(_prints(given, width), "prints")
+    linked = stored(_alike(given, _candidates(prints), width, least), "alike")
+    root = stored(components(linked.select(F.col("x").alias("a"), F.col("y").alias("b"))), "groups")
+    least_id = root.groupBy("root").agg(F.min("node").alias("least"))
+    gone = root.join(least_id, "root").where("node <> least").select(F.col("node").alias("_gone"))
+    return docs.join(gone, docs[id_col] == gone["_gone"], "left_anti")
