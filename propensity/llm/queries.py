@@ -5,7 +5,7 @@ Each query applies its operator to the whole of its table and derives the wanted
 
 from __future__ import annotations
 
-from propensity.llm import byte_bpe, decontaminate, exact_dedup, html_extract, quality, simhash, toxicity, url_filter
+from propensity.llm import byte_bpe, decontaminate, exact_dedup, html_extract, quality, repeat_index, simhash, toxicity, url_filter
 from propensity.llm.texts import table
 
 QUERIES = {}
@@ -62,6 +62,11 @@ def op7_url_filter(spark, sf_dir):
     return url_filter.judge(pages).select("page_id", "host", "path", "rule", "verdict", "score")
 
 
+@query
+def op8_repeat_index(spark, sf_dir):
+    return repeat_index.digest(table(spark, sf_dir, "documents"))
+
+
 @query
 def op9_simhash(spark, sf_dir):
     return simhash.groups(table(spark, sf_dir, "documents"))
