@@ -1,22 +1,23 @@
 """Repeated passages by a run-length index: every byte of a string of 400 that starts elsewhere too.
 
-Finding where to look. A hash orders the 16-byte grams of a text; the least gram of each 400-byte
-window is its anchor (about one per 190 bytes). Equal windows have equal anchors at equal places.
-A window reaches either far to the right of its anchor or far to the left, so each anchor asks
-two questions: does what follows it (209 bytes), does what leads up to it (208 bytes), occur
-elsewhere? Only contexts of which that is true go on. Contexts that are all equal are repeated
-as a whole and need no index; of others one of each kind is indexed.
-
-Index. Contexts that share a question are laid end to end, the anchor marked by a symbol of its
-own, so that only matches that are aligned at the anchor can be long. Of the Burrows-Wheeler
-transform only the runs are kept, with the text position at both ends of each run. The common
-prefix with the neighbour before (run starts) and after (run ends) is computed at these samples
-alone; inside a run it falls by one per step, so one pass over the text streams the length of the
-longest match elsewhere, the matching statistics, from the samples. Where it is 400 or more
-around the anchor, the window is repeated.
-
-A question with more than ``MANY`` different contexts is not indexed in one task: its windows are
-counted by hash, aligned at the anchor, over all tasks. The answer is the same.
+Finding where to look. A hash orders the 17-byte grams of a text; the least gram of each window
+of 400 bytes is its anchor (about one per 190 bytes). Equal windows have equal anchors at equal
+places. A window holds either the 209 bytes from its anchor on or the 209 bytes that end with
+it: its core. Each anchor asks for the cores of its windows whether they occur elsewhere. Where
+all that share a core are equal around it too, as far as the windows of the anchor reach, they
+are repeated as a whole and need no index; of others one of each kind is indexed.
+
+Index. Contexts that share a core are sorted by what follows it; this is the suffix order at
+the core. Stepping to the left, the bytes before the suffixes, in suffix order, are the
+Burrows-Wheeler transform of the contexts, and sorting by them keeps the order within equal
+bytes. Only the runs of the transform matter: inside a run neighbours stay neighbours and their
+common prefix grows by one, so it is looked up at the ends of runs alone, as the least of the
+stretch between two runs of a byte. Each step thus streams the matching statistics of all
+contexts: the length of the longest match elsewhere, that of the nearer neighbour. Where it
+is 400 or more, a window is repeated.
+
+A core with more than ``MANY`` different contexts is not indexed in one task: its windows are
+counted by hash over all tasks. The answer is the same.
 """
 
 from __future__ import annotations
@@ -33,12 +34,12 @@ from propensity.llm.texts import map_batches, mix32
 from propensity.session import stored
 
 LENGTH = 400
-GRAM = 16
-SPLIT = 192              # windows with fewer bytes before the anchor ask to the right, others to the left
-AFTER = LENGTH - SPLIT + 1
-MANY = 2000              # different contexts of a question that one task indexes
-BATCH = 1_000_000        # symbols indexed at once
-SEGMENT = 4_000_000      # bytes looked at at once
+GRAM = 17
+CORE = (LENGTH + 1 + GRAM) // 2   # 209
+REST = LENGTH - CORE              # bytes of a window outside its core
+MANY = 20_000                     # different contexts of a core that one task indexes
+BATCH = 20_000                    # contexts indexed at once
+SEGMENT = 4_000_000               # bytes looked at at once
 _BYTE = mix32(np.arange(1, 257, dtype=np.uint32))
 
 
@@ -47,16 +48,19 @@ def _binary(batch: pa.RecordBatch, column: str) -> list[bytes]:
 
 
 def anchors(raw: bytes) -> np.ndarray:
-    """Positions of the least gram (the first of equal ones) of every window."""
+    """Rows (anchor, first, last): the windows that start from first to last have this anchor,
+    the least gram, the first of equal ones."""
     found = []
     for at in range(0, max(1, len(raw) - LENGTH + 1), SEGMENT):
         part = np.frombuffer(raw, np.uint8)[at:at + SEGMENT + LENGTH - 1]
         if len(part) < LENGTH:
             break
         h, factor, width = _BYTE[part], 0x01000193, 1
-        while width < GRAM:
+        while 2 * width <= GRAM:
             h = h[:-width] * np.uint32(factor) + h[width:]
             factor, width = factor * factor & 0xFFFFFFFF, 2 * width
+        if width < GRAM:
+            h = h[:-(GRAM - width)] * np.uint32(0x85EBCA6B) + h[GRAM - width:]
         low = mix32(h).astype(np.uint64) << np.uint64(32) | np.arange(len(h), dtype=np.uint64)
         grams, width = LENGTH - GRAM + 1, 1
         while 2 * width <= grams:
@@ -65,159 +69,128 @@ def anchors(raw: bytes) -> np.ndarray:
         if width < grams:
             low = np.minimum(low[:-(grams - width)], low[grams - width:])
         low &= np.uint64(0xFFFFFFFF)
-        found.append(low[np.concatenate(([True], low[1:] != low[:-1]))].astype(np.int64) + at)
-    return np.unique(np.concatenate(found)) if found else np.zeros(0, np.int64)
-
-
-def _questions(docs: DataFrame) -> DataFrame:
-    """id, tid, raw -> per anchor and side: ask and context (hashes), id, tid, pos, lo, hi (context in the text)."""
+        first = np.flatnonzero(np.concatenate(([True], low[1:] != low[:-1])))
+        last = np.concatenate((first[1:], [len(low)])) - 1
+        found.append(np.column_stack((low[first].astype(np.int64), first, last)) + at)
+    return np.concatenate(found) if found else np.zeros((0, 3), np.int64)
+
+
+def cores(raw: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Side, start of the core, and least and most bytes that the windows reach before it."""
+    p, first, last = anchors(raw).T
+    edge = p - (CORE - GRAM)              # windows that start up to here hold the core before the anchor
+    left, right = first <= edge, last > edge
+    side = np.repeat([0, 1], [left.sum(), right.sum()])
+    core = np.concatenate((edge[left], p[right]))
+    low = core - np.concatenate((np.minimum(last, edge)[left], last[right]))
+    high = core - np.concatenate((first[left], np.maximum(first, edge + 1)[right]))
+    return side, core, low, high
+
+
+def _questions(rows: DataFrame) -> DataFrame:
+    """rid, raw -> per anchor and core: ask and context (hashes), rid and place (core, least and most before it)."""
     def work():
         def each(batch: pa.RecordBatch) -> pa.RecordBatch:
-            row, ask, context, pos, lo, hi = [], [], [], [], [], []
+            taken, ask, context, place = [], [], [], []
             digest = xxhash.xxh3_64_intdigest
             for i, raw in enumerate(_binary(batch, "raw")):
-                size = len(raw)
-                if size < LENGTH:
+                if len(raw) < LENGTH:
                     continue
-                for p in anchors(raw).tolist():
-                    if p + AFTER <= size:
-                        a, b = max(0, p - SPLIT + 1), min(size, p + LENGTH)
-                        if b - a >= LENGTH:
-                            row.append(i)
-                            ask.append(digest(raw[p:p + AFTER], 1))
-                            context.append(digest(raw[a:b], 2 * (p - a)))
-                            pos.append(p)
-                            lo.append(a)
-                            hi.append(b)
-                    if p >= SPLIT:
-                        a, b = max(0, p - LENGTH + GRAM), min(size, p + LENGTH - SPLIT)
-                        if b - a >= LENGTH:
-                            row.append(i)
-                            ask.append(digest(raw[p - SPLIT:p + GRAM], 2))
-                            context.append(digest(raw[a:b], 2 * (p - a) + 1))
-                            pos.append(p)
-                            lo.append(a)
-                            hi.append(b)
-            take = pa.array(row, pa.int64())
+                side, core, low, high = cores(raw)
+                taken.append(np.full(len(core), i))
+                place.append(core << 16 | low << 8 | high)
+                side, core, low, high = side.tolist(), core.tolist(), low.tolist(), high.tolist()
+                ask += [digest(raw[c:c + CORE], s) for s, c in zip(side, core)]
+                context += [digest(raw[c - b:c + LENGTH - a], b) for c, a, b in zip(core, low, high)]
+            whole = lambda parts: np.concatenate(parts) if parts else np.zeros(0, np.int64)
             signed = lambda v: pa.array(np.array(v, np.uint64).view(np.int64))
-            return pa.RecordBatch.from_pydict({
-                "ask": signed(ask), "context": signed(context), "id": batch.column("id").take(take),
-                "tid": batch.column("tid").take(take), **{k: pa.array(v, pa.int32()) for k, v in
-                                                          (("pos", pos), ("lo", lo), ("hi", hi))}})
+            return pa.RecordBatch.from_pydict({"ask": signed(ask), "context": signed(context), "place": pa.array(whole(place)),
+                                               "rid": batch.column("rid").take(pa.array(whole(taken)))})
         return each
-    kind = dict(docs.dtypes)["id"]
-    return map_batches(docs, work, f"ask long, context long, id {kind}, tid long, pos int, lo int, hi int")
+    return map_batches(rows, work, "ask long, context long, place long, rid long")
+
+
+def _padded(parts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """One row per text, bytes counted from 1 and 0 past the end; and the lengths."""
+    length = np.array([len(p) for p in parts], np.int64)
+    flat = np.frombuffer(b"".join([p.ljust(REST, b"\0") for p in parts]), np.uint8).reshape(-1, REST)
+    return np.where(np.arange(REST) < length[:, None], flat.astype(np.int16) + 1, np.int16(0)), length
 
 
-def suffixes(symbols: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, list[tuple[int, np.ndarray]]]:
-    """Suffix array, and the ranks of all prefixes of 7, 14, 28 ... symbols, by prefix doubling.
+def repeated(asks: list[int], left: list[bytes], right: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """Per context the least and the most bytes before the core of its repeated windows (most is -1: none).
 
-    ``ends`` are the positions of the end marks; no two of them are equal, whatever their symbol.
+    A context is what stands left and right of a core, at most REST bytes each; contexts with
+    the same ask share the core. No two contexts are equal.
     """
-    n = len(symbols)
-    padded = np.concatenate((symbols.astype(np.int64), np.zeros(1024, np.int64)))
-    pack = np.zeros(n, np.int64)
-    for k in range(7):
-        pack = pack << 9 | padded[k:k + n]
-    next_end = ends[np.minimum(np.searchsorted(ends, np.arange(n)), len(ends) - 1)]
-    near = np.where(next_end - np.arange(n) < 7, next_end, 0)
-    order = np.lexsort((near, pack))
-    new = np.concatenate(([0], ((pack[order][1:] != pack[order][:-1]) | (near[order][1:] != near[order][:-1])).cumsum()))
-    rank = np.empty(n, np.int64)
-    rank[order] = new
-    width, ranks = 7, [(7, rank.astype(np.int32))]
-    while new[-1] < n - 1:
-        ahead = np.concatenate((rank[width:], np.full(min(width, n), -1)))[:n]
-        key = rank * (n + 1) + ahead + 1
-        order = np.argsort(key, kind="stable")
-        new = np.concatenate(([0], (key[order][1:] != key[order][:-1]).cumsum()))
-        rank = np.empty(n, np.int64)
-        rank[order] = new
-        width *= 2
-        ranks.append((width, rank.astype(np.int32)))
-    return order, ranks
-
-
-def common(symbols: np.ndarray, ranks: list[tuple[int, np.ndarray]], a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Length of the common prefix of the suffixes at a and at b."""
-    n, length = len(symbols), np.zeros(len(a), np.int64)
-    for width, rank in reversed(ranks):
-        x, y = np.minimum(a + length, n - 1), np.minimum(b + length, n - 1)
-        same = (rank[x] == rank[y]) & (a + length < n) & (b + length < n) & (x != y)
-        length += same * width
-    for _ in range(6):
-        x, y = a + length, b + length
-        inside = (x < n) & (y < n)
-        x, y = np.minimum(x, n - 1), np.minimum(y, n - 1)
-        length += inside & (symbols[x] == symbols[y]) & (symbols[x] > 0)
-    return length
-
-
-def matching(symbols: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """Length of the longest match elsewhere, at every position, from the ends of the runs."""
-    order, ranks = suffixes(symbols, ends)
-    n = len(order)
-    before = symbols[order - 1]
-    change = np.flatnonzero((before[1:] != before[:-1]) | (before[1:] == 0)) + 1  # no two end marks are equal
-    heads = np.concatenate(([0], change))            # first rows of the runs
-    tails = np.concatenate((change - 1, [n - 1]))    # last rows
-    best = np.zeros(n, np.int64)                     # match length at the sampled positions
-    some = heads[heads > 0]
-    best[order[some]] = common(symbols, ranks, order[some], order[some - 1])
-    some = tails[tails < n - 1]
-    np.maximum.at(best, order[some], common(symbols, ranks, order[some], order[some + 1]))
-    place = np.arange(n)
-    return np.maximum(np.maximum.accumulate(best + place) - place, 0)
-
-
-def repeated(contexts: list[tuple[bytes, int]]) -> list[list[tuple[int, int]]]:
-    """Per (bytes, place of the anchor): the maximal spans covered by windows that another context
-    has at the same place from its anchor. No two of the contexts are equal."""
-    parts, starts, ends, at = [], [], [], 0
-    for raw, anchor in contexts:
-        own = np.frombuffer(raw, np.uint8).astype(np.uint16) + 2
-        parts += [own[:anchor], np.ones(1, np.uint16), own[anchor:], np.zeros(1, np.uint16)]
-        starts.append(at)
-        at += len(own) + 2
-        ends.append(at - 1)
-    found = matching(np.concatenate(parts), np.array(ends)) >= LENGTH + 1
-    out = []
-    for start, end in zip(starts, ends):
-        hit = np.flatnonzero(found[start:end - LENGTH])  # windows with the mark have one symbol more
-        spans: list[tuple[int, int]] = []
-        if len(hit):
-            cut = np.flatnonzero(np.diff(hit) > LENGTH)
-            spans = [(int(a), int(b) + LENGTH) for a, b in zip(hit[np.concatenate(([0], cut + 1))],
-                                                               hit[np.concatenate((cut, [len(hit) - 1]))])]
-        out.append(spans)
-    return out
+    n = len(asks)
+    least, most = np.full(n, LENGTH), np.full(n, -1)
+    order = np.array(sorted(range(n), key=lambda i: (asks[i], right[i])), np.int64)
+    after, size = _padded([right[i] for i in order])
+    before = _padded([p[::-1] for p in left])[0]
+    own = np.array([asks[i] for i in order], np.int64)
+    group = np.concatenate(([0], np.cumsum(own[1:] != own[:-1])))   # by place in the order, then by context
+    unlike = after[1:] != after[:-1]
+    match = np.where(unlike.any(1), unlike.argmax(1), REST)
+    match = np.minimum(match, np.minimum(size[1:], size[:-1])) + CORE
+    common = np.concatenate(([0], np.where(group[1:] == group[:-1], match, 0)))  # with the one before in order
+    of = np.empty(n, np.int64)
+    of[order] = group
+    for step in range(REST + 1):
+        if step:
+            byte = before[order, step - 1]
+            key = of[order] * 257 + byte
+            moved = np.argsort(key, kind="stable")
+            key = key[moved]
+            same = (key[1:] == key[:-1]) & (byte[moved][1:] > 0)
+            was, now = moved[:-1], moved[1:]
+            grown = np.zeros(len(order), np.int64)
+            inside = np.flatnonzero(same & (now == was + 1))         # inside a run
+            grown[inside + 1] = common[now[inside]] + 1
+            edge = np.flatnonzero(same & (now != was + 1))           # from the end of one run to the next
+            if len(edge):
+                cuts = np.column_stack((was[edge] + 1, now[edge] + 1)).ravel()
+                grown[edge + 1] = np.minimum.reduceat(np.append(common, 0), cuts)[::2] + 1
+            order, common = order[moved], grown
+        hit = common >= LENGTH
+        hit[:-1] |= hit[1:].copy()
+        at = order[hit]
+        least[at] = np.minimum(least[at], step)
+        most[at] = step
+        if step % 8 == 7:                                            # those that match nothing drop out
+            alive = common > 0
+            alive[:-1] |= common[1:] > 0
+            order, common = order[alive], common[alive]
+            if not len(order):
+                break
+    return least, most
 
 
 def _index(contexts: DataFrame) -> DataFrame:
-    """ask, context, anchor, raw (rows of an ask together) -> ask, context and spans (a, b) in the context."""
+    """ask, context, left, right (rows of an ask together) -> ask, context, least, most."""
     def run(batches):
-        waiting: dict[tuple[int, int], tuple[bytes, int]] = {}
-        size, last = 0, None
+        waiting: dict[tuple[int, int], tuple[bytes, bytes]] = {}
+        last = None
 
         def flush():
-            found = repeated(list(waiting.values())) if len(waiting) > 1 else []
-            rows = [(*k, a, b) for k, spans in zip(waiting, found) for a, b in spans]
+            keys = list(waiting)
+            least, most = repeated([k[0] for k in keys], [v[0] for v in waiting.values()], [v[1] for v in waiting.values()])
             waiting.clear()
-            ask, context, a, b = zip(*rows) if rows else ((), (), (), ())
-            return pa.RecordBatch.from_pydict({"ask": pa.array(ask, pa.int64()), "context": pa.array(context, pa.int64()),
-                                               "a": pa.array(a, pa.int32()), "b": pa.array(b, pa.int32())})
+            hit = most >= 0
+            both = np.array(keys, np.int64).reshape(-1, 2)[hit]
+            return pa.RecordBatch.from_pydict({"ask": pa.array(both[:, 0]), "context": pa.array(both[:, 1]),
+                                               "least": pa.array(least[hit].astype(np.int32)),
+                                               "most": pa.array(most[hit].astype(np.int32))})
         for batch in batches:
-            columns = (batch.column(c).to_pylist() for c in ("ask", "context", "anchor", "raw"))
-            for ask, context, anchor, raw in zip(*columns):
-                if ask != last and size >= BATCH:
+            columns = (batch.column(c).to_pylist() for c in ("ask", "context", "left", "right"))
+            for ask, context, left, right in zip(*columns):
+                if ask != last and len(waiting) >= BATCH:
                     yield flush()
-                    size = 0
                 last = ask
-                if (ask, context) not in waiting:
-                    waiting[ask, context] = (raw, anchor)
-                    size += len(raw) + 2
-        yield flush()
-    return contexts.mapInArrow(run, "ask long, context long, a int, b int")
+                waiting[ask, context] = (left, right)
+        if waiting:
+            yield flush()
+    return contexts.mapInArrow(run, "ask long, context long, least int, most int")
 
 
 def _windows(contexts: DataFrame) -> DataFrame:
@@ -225,101 +198,105 @@ def _windows(contexts: DataFrame) -> DataFrame:
     def work():
         def each(batch: pa.RecordBatch) -> pa.RecordBatch:
             rows = []
-            columns = (batch.column(c).to_pylist() for c in ("ask", "context", "anchor", "raw"))
-            for ask, context, anchor, raw in zip(*columns):
-                for a in range(len(raw) - LENGTH + 1):
-                    h = xxhash.xxh3_128_digest(raw[a:a + LENGTH], seed=anchor - a + LENGTH)
-                    rows.append((h, ask, context, a))
-            h, ask, context, a = zip(*rows) if rows else ((), (), (), ())
+            columns = (batch.column(c).to_pylist() for c in ("ask", "context", "left", "right"))
+            for ask, context, left, right in zip(*columns):
+                for e in range(max(0, REST - len(right)), len(left) + 1):
+                    h = xxhash.xxh3_128_digest(left[len(left) - e:] + right[:REST - e], seed=e)
+                    rows.append((h, ask, context, e))
+            h, ask, context, e = zip(*rows) if rows else ((), (), (), ())
             return pa.RecordBatch.from_pydict({"h": pa.array(h, pa.binary()), "ask": pa.array(ask, pa.int64()),
-                                               "context": pa.array(context, pa.int64()), "a": pa.array(a, pa.int32())})
+                                               "context": pa.array(context, pa.int64()), "e": pa.array(e, pa.int32())})
         return each
-    rows = map_batches(contexts, work, "h binary, ask long, context long, a int").distinct()
+    rows = map_batches(contexts, work, "h binary, ask long, context long, e int").distinct()
     twice = rows.groupBy("ask", "h").count().where("count > 1").select("ask", "h")
-    return rows.join(twice, ["ask", "h"]).select("ask", "context", "a", (F.col("a") + LENGTH).alias("b"))
+    return rows.join(twice, ["ask", "h"]).groupBy("ask", "context").agg(F.min("e").alias("least"), F.max("e").alias("most"))
 
 
 def _contexts(texts: DataFrame) -> DataFrame:
-    """raw and wanted (ask, context, pos, lo, hi) -> one row per wanted context with its bytes."""
+    """raw and wanted (ask, context, place) -> one row per wanted context: ask, context, left, right."""
     def work():
         def each(batch: pa.RecordBatch) -> pa.RecordBatch:
-            ask, context, anchor, out = [], [], [], []
+            ask, context, left, right = [], [], [], []
             for raw, wanted in zip(_binary(batch, "raw"), batch.column("wanted").to_pylist()):
                 for w in wanted:
+                    core, low, high = w["place"] >> 16, w["place"] >> 8 & 255, w["place"] & 255
                     ask.append(w["ask"])
                     context.append(w["context"])
-                    anchor.append(w["pos"] - w["lo"])
-                    out.append(raw[w["lo"]:w["hi"]])
+                    left.append(raw[core - high:core])
+                    right.append(raw[core + CORE:core + LENGTH - low])
             return pa.RecordBatch.from_pydict({"ask": pa.array(ask, pa.int64()), "context": pa.array(context, pa.int64()),
-                                               "anchor": pa.array(anchor, pa.int32()), "raw": pa.array(out, pa.binary())})
+                                               "left": pa.array(left, pa.binary()), "right": pa.array(right, pa.binary())})
         return each
-    return map_batches(texts.select("raw", "wanted"), work, "ask long, context long, anchor int, raw binary")
+    return map_batches(texts.select("raw", "wanted"), work, "ask long, context long, left binary, right binary")
 
 
 def _cut(texts: DataFrame) -> DataFrame:
-    """id, tid, raw and spans -> id, tid, spans merged, n_removed, n_spans, kept."""
+    """rid, raw and spans -> rid, spans merged, n_removed, kept."""
     def work():
         def each(batch: pa.RecordBatch) -> pa.RecordBatch:
             merged, removed, kept = [], [], []
             for raw, spans in zip(_binary(batch, "raw"), batch.column("spans").to_pylist()):
                 own: list[list[int]] = []
-                for s in sorted((s["a"], s["b"]) for s in spans):
-                    if own and s[0] <= own[-1][1]:
-                        own[-1][1] = max(own[-1][1], s[1])
+                for a, b in sorted((s["a"], s["b"]) for s in spans):
+                    if own and a <= own[-1][1]:
+                        own[-1][1] = max(own[-1][1], b)
                     else:
-                        own.append(list(s))
+                        own.append([a, b])
                 merged.append([{"a": a, "b": b} for a, b in own])
                 removed.append(sum(b - a for a, b in own))
                 edges = [0, *(x for s in own for x in s), len(raw)]
                 kept.append(b"".join(raw[a:b] for a, b in zip(edges[::2], edges[1::2])))
-            kind = pa.list_(pa.struct([("a", pa.int32()), ("b", pa.int32())]))
-            return pa.RecordBatch.from_pydict({
-                "id": batch.column("id"), "tid": batch.column("tid"), "spans": pa.array(merged, kind),
-                "n_removed": pa.array(removed, pa.int64()), "kept": pa.array(kept, pa.binary())})
+            kind = pa.list_(pa.struct([("a", pa.int64()), ("b", pa.int64())]))
+            return pa.RecordBatch.from_pydict({"rid": batch.column("rid"), "spans": pa.array(merged, kind),
+                                               "n_removed": pa.array(removed, pa.int64()), "kept": pa.array(kept, pa.binary())})
         return each
-    kind = dict(texts.dtypes)["id"]
-    return map_batches(texts.select("id", "tid", "raw", "spans"), work,
-                       f"id {kind}, tid long, spans array<struct<a:int,b:int>>, n_removed long, kept binary")
+    return map_batches(texts.select("rid", "raw", "spans"), work,
+                       "rid long, spans array<struct<a:long,b:long>>, n_removed long, kept binary")
 
 
 def _rows(docs: DataFrame, id_col: str, text: str) -> DataFrame:
-    """id, tid (hash of the text) and raw. Rows without an id are told apart by their texts."""
+    """id, rid and raw. rid is a hash of id and text, the same for repeated rows."""
     raw = F.coalesce(docs[text], F.lit(""))
-    return docs.select(docs[id_col].alias("id"), F.xxhash64(raw).alias("tid"), raw.alias("raw"))
+    return docs.select(docs[id_col].alias("id"), F.xxhash64(F.coalesce(docs[id_col].cast("string"), F.lit("-")), raw).alias("rid"),
+                       raw.alias("raw"))
+
+
+def _span(least, most) -> list:
+    core = F.shiftright("place", 16)
+    return [(core - most).alias("a"), (core - least + LENGTH).alias("b")]
 
 
 def remove(docs: DataFrame, id_col: str = "doc_id", text: str = "text", many: int = MANY) -> DataFrame:
-    """Per text with repeated passages: id, tid, spans, n_removed, kept (the bytes that stay)."""
-    rows = _rows(docs, id_col, text)
+    """Per text with repeated passages: rid, spans, n_removed, kept (the bytes that stay)."""
+    rows = _rows(docs, id_col, text).select("rid", "raw")
     asked = stored(_questions(rows), "questions")
     known = asked.groupBy("ask").agg(F.count(F.lit(1)).alias("times"), F.min("context").alias("low"),
                                      F.max("context").alias("high")).where("times > 1")
     again = stored(asked.join(known.select("ask", (F.col("low") == F.col("high")).alias("same")), "ask"), "again")
-    same = again.where("same").select("id", "tid", F.col("lo").alias("a"), F.col("hi").alias("b"))
+    whole = _span(F.shiftright("place", 8).bitwiseAND(F.lit(255)), F.col("place").bitwiseAND(F.lit(255)))
+    same = again.where("same").select("rid", *whole)
 
-    kinds = again.where("not same").groupBy("ask", "context").agg(
-        F.count(F.lit(1)).alias("times"), F.min(F.struct("tid", "id", "pos", "lo", "hi")).alias("first"))
-    kinds = stored(kinds, "kinds")
+    kinds = stored(again.where("not same").groupBy("ask", "context").agg(
+        F.count(F.lit(1)).alias("times"), F.min("rid").alias("rid"), F.min_by("place", F.struct("rid", "place")).alias("place")),
+        "kinds")
     crowded = kinds.groupBy("ask").count().where(F.col("count") > many).select("ask", F.lit(True).alias("crowded"))
-    wanted = kinds.join(crowded, "ask", "left").select(
-        F.coalesce("crowded", F.lit(False)).alias("crowded"), "ask", "context", "first.*")
-    texts = stored(rows.join(again.select("id", "tid").distinct().withColumnsRenamed({"id": "i", "tid": "t"}),
-                             (F.col("tid") == F.col("t")) & F.col("id").eqNullSafe(F.col("i")))
-                   .select("id", "tid", "raw").dropDuplicates(["id", "tid"]), "texts")
+    wanted = kinds.join(crowded, "ask", "left")
+    texts = stored(rows.join(again.select("rid").distinct(), "rid").dropDuplicates(["rid"]), "texts")
 
     def contexts(side):
-        listed = side.groupBy("id", "tid").agg(F.collect_list(F.struct("ask", "context", "pos", "lo", "hi")).alias("wanted"))
-        listed = listed.withColumnsRenamed({"id": "i", "tid": "t"})
-        return _contexts(texts.join(listed, (F.col("tid") == F.col("t")) & F.col("id").eqNullSafe(F.col("i"))))
+        listed = side.groupBy("rid").agg(F.collect_list(F.struct("ask", "context", "place")).alias("wanted"))
+        return _contexts(texts.join(listed, "rid"))
 
-    plain = contexts(wanted.where("not crowded")).repartition("ask").sortWithinPartitions("ask")
-    marks = stored(_index(plain).unionByName(_windows(contexts(wanted.where("crowded")))), "marks")
-    often = kinds.where("times > 1").select("ask", "context", F.lit(0).alias("a"), (F.col("first.hi") - F.col("first.lo")).alias("b"))
-    found = again.where("not same").join(marks.unionByName(often), ["ask", "context"]).select(
-        "id", "tid", (F.col("lo") + F.col("a")).alias("a"), (F.col("lo") + F.col("b")).alias("b"))
-    spans = same.unionByName(found).groupBy("id", "tid").agg(F.collect_set(F.struct("a", "b")).alias("spans"))
-    spans = spans.withColumnsRenamed({"id": "i", "tid": "t"})
-    return _cut(texts.join(spans, (F.col("tid") == F.col("t")) & F.col("id").eqNullSafe(F.col("i"))))
+    plain = contexts(wanted.where("crowded is null")).repartition("ask").sortWithinPartitions("ask")
+    marks = _index(plain).unionByName(_windows(contexts(wanted.where("crowded"))))
+    # A context that occurs more than once is repeated as a whole.
+    often = kinds.where("times > 1").select("ask", "context", F.shiftright("place", 8).bitwiseAND(F.lit(255)).cast("int").alias("least"),
+                                            F.col("place").bitwiseAND(F.lit(255)).cast("int").alias("most"))
+    marks = stored(marks.unionByName(often).groupBy("ask", "context").agg(F.min("least").alias("least"), F.max("most").alias("most")),
+                   "marks")
+    found = again.where("not same").join(marks, ["ask", "context"]).select("rid", *_span(F.col("least"), F.col("most")))
+    spans = same.unionByName(found).groupBy("rid").agg(F.collect_set(F.struct("a", "b")).alias("spans"))
+    return _cut(texts.join(spans, "rid"))
 
 
 def digest(docs: DataFrame, id_col: str = "doc_id", text: str = "text", many: int = MANY) -> DataFrame:
@@ -332,15 +309,13 @@ def digest(docs: DataFrame, id_col: str = "doc_id", text: str = "text", many: in
     def work():
         def each(batch: pa.RecordBatch) -> pa.RecordBatch:
             return pa.RecordBatch.from_pydict({
-                "i": batch.column("id"), "t": batch.column("tid"), "n_removed": batch.column("n_removed"),
+                "rid": batch.column("rid"), "n_removed": batch.column("n_removed"),
                 "n_spans": pa.array([len(s) for s in batch.column("spans").to_pylist()], pa.int64()),
                 "kept_sha256": pa.array([hashlib.sha256(k).hexdigest() for k in batch.column("kept").to_pylist()], pa.string())})
         return each
-    kind = dict(docs.dtypes)[id_col]
-    cut = map_batches(remove(docs, id_col, text, many), work, f"i {kind}, t long, n_removed long, n_spans long, kept_sha256 string")
-    all_rows = _rows(docs, id_col, text).select("id", "tid", F.octet_length("raw").cast("long").alias("n_bytes"),
+    cut = map_batches(remove(docs, id_col, text, many), work, "rid long, n_removed long, n_spans long, kept_sha256 string")
+    all_rows = _rows(docs, id_col, text).select("id", "rid", F.octet_length("raw").cast("long").alias("n_bytes"),
                                                 F.sha2(F.col("raw").cast("binary"), 256).alias("whole"))
-    both = all_rows.join(cut, (F.col("tid") == F.col("t")) & F.col("id").eqNullSafe(F.col("i")), "left")
-    return both.select(F.col("id").alias(id_col), "n_bytes", F.coalesce("n_removed", F.lit(0)).cast("long").alias("n_removed"),
-                       F.coalesce("n_spans", F.lit(0)).cast("long").alias("n_spans"),
-                       F.coalesce("kept_sha256", "whole").alias("kept_sha256"))
+    return all_rows.join(cut, "rid", "left").select(
+        F.col("id").alias(id_col), "n_bytes", F.coalesce("n_removed", F.lit(0)).cast("long").alias("n_removed"),
+        F.coalesce("n_spans", F.lit(0)).cast("long").alias("n_spans"), F.coalesce("kept_sha256", "whole").alias("kept_sha256"))

@@ -31,39 +31,44 @@ def rows_of(df):
     return sorted(map(tuple, df.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256").collect()), key=repr)
 
 
-def test_matching_statistics():
+def test_longest_matches_around_a_core():
     rng = random.Random(1)
-    for _ in range(150):
-        base = [rng.randint(2, 4) for _ in range(30)]
-        parts, ends = [], []
-        for _ in range(rng.randint(1, 5)):
-            own = base[rng.randint(0, 10):rng.randint(11, 30)]
-            own[rng.randrange(len(own))] = rng.randint(2, 4)
-            parts += [*own, 0]
-            ends.append(len(parts) - 1)
-        s = np.array(parts, np.uint16)
-        got = ri.matching(s, np.array(ends))
-        for i in range(len(s)):
-            best = 0
-            for j in range(len(s)):
-                k = 0
-                while j != i and max(i, j) + k < len(s) and s[i + k] == s[j + k] > 0:
-                    k += 1
-                best = max(best, k)
-            assert got[i] == best
-
-
-def test_every_window_has_an_anchor_that_moves_with_it():
+    for _ in range(200):
+        def side():
+            own = list(b"abcabcabc" * 25)[:rng.choice([0, 5, 100, 190, 191])]
+            for _ in range(rng.choice([0, 0, 1, 3])):
+                if own:
+                    own[rng.randrange(len(own))] = rng.choice(b"\0abc")
+            return bytes(own)
+        contexts = list({(rng.randint(0, 2), side()[::-1], side()) for _ in range(rng.randint(1, 25))})
+        least, most = ri.repeated(*map(list, zip(*contexts)))
+        for k, (ask, left, right) in enumerate(contexts):
+            hits = [e for e in range(ri.REST + 1) if e <= len(left) and ri.REST - e <= len(right) and any(
+                j != k and o[0] == ask and e <= len(o[1]) and ri.REST - e <= len(o[2])
+                and left[len(left) - e:] == o[1][len(o[1]) - e:] and right[:ri.REST - e] == o[2][:ri.REST - e]
+                for j, o in enumerate(contexts))]
+            assert (most[k], least[k] if hits else 0) == (max(hits, default=-1), min(hits, default=0))
+
+
+def test_every_window_has_one_core_that_moves_with_it():
     rng = random.Random(2)
     raw = bytes(rng.randrange(97, 100) for _ in range(6000))
-    own = set(ri.anchors(raw).tolist())
-    assert all(any(s <= p <= s + N - ri.GRAM for p in own) for s in range(len(raw) - N + 1))
-    part = set((ri.anchors(raw[1000:3000]) + 1000).tolist())
-    assert part <= own
-    assert set(ri.anchors(raw[:N - 1]).tolist()) == set()
+
+    def windows(raw, shift=0):
+        out = {}
+        for side, core, low, high in zip(*(x.tolist() for x in ri.cores(raw))):
+            for before in range(low, high + 1):
+                start = core - before
+                assert 0 <= start and start + N <= len(raw) and 0 <= before <= ri.REST
+                assert out.setdefault(start + shift, (side, before)) == (side, before)
+        return out
+    own = windows(raw)
+    assert sorted(own) == list(range(len(raw) - N + 1))
+    assert windows(raw[1000:3000], 1000).items() <= own.items()
+    assert windows(raw[:N - 1]) == {}
     big, ri.SEGMENT = ri.SEGMENT, 1000
     try:
-        assert set(ri.anchors(raw).tolist()) == own
+        assert windows(raw) == own
     finally:
         ri.SEGMENT = big
 
