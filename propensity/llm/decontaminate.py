@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from propensity.llm.texts import SPACE
+from propensity.llm.texts import SPACE, filtered_joins
 from propensity.session import stored
 
 WIDTH = 5
@@ -96,9 +96,10 @@ def leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text: s
     highest = F.least(F.col("pos"), F.greatest(F.lit(0), F.col("length") - F.col("n")))
     windows = hits.where(lowest <= highest).select(
         "key", "n", "width", F.explode(F.sequence(F.least(lowest, highest), highest)).alias("start")).distinct()
-    some = stored(hits.select("key").distinct(), "keys")
+    some = stored(hits.groupBy("key").agg(F.count(F.lit(1)).alias("times")), "keys").where("times > 0").select("key")
     texts = docs.select(key, F.col(text).alias("_text")).join(some, "key").groupBy("key").agg(F.first("_text").alias("_text"))
-    texts = stored(texts.select("key", words(F.col("_text")).alias("w")), "words")
+    with filtered_joins(docs.sparkSession):
+        texts = stored(texts.select("key", words(F.col("_text")).alias("w")), "words")
     part = F.slice("w", F.col("start") + 1, F.col("n"))
     own = F.when(F.col("width") == WIDTH, shingles(F.col("part"), WIDTH))
     for k in range(1, WIDTH):

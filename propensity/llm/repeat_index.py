@@ -30,7 +30,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from propensity.llm.texts import map_batches, mix32
+from propensity.llm.texts import filtered_joins, map_batches, mix32
 from propensity.session import stored
 
 LENGTH = 400
@@ -281,7 +281,9 @@ def remove(docs: DataFrame, id_col: str = "doc_id", text: str = "text", many: in
         "kinds")
     crowded = kinds.groupBy("ask").count().where(F.col("count") > many).select("ask", F.lit(True).alias("crowded"))
     wanted = kinds.join(crowded, "ask", "left")
-    texts = stored(rows.join(again.select("rid").distinct(), "rid").dropDuplicates(["rid"]), "texts")
+    ids = stored(again.groupBy("rid").agg(F.count(F.lit(1)).alias("n")), "ids").where("n > 0").select("rid")
+    with filtered_joins(docs.sparkSession):
+        texts = stored(rows.join(ids, "rid").dropDuplicates(["rid"]), "texts")
 
     def contexts(side):
         listed = side.groupBy("rid").agg(F.collect_list(F.struct("ask", "context", "place")).alias("wanted"))

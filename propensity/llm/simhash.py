@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from propensity.llm.components import components
-from propensity.llm.texts import map_batches, strings
+from propensity.llm.texts import filtered_joins, map_batches, strings
 from propensity.session import stored
 
 SEGMENTS = 8             # of eight bits each
@@ -179,7 +179,7 @@ def _candidates(prints: DataFrame) -> DataFrame:
 
 def _alike(texts: DataFrame, pairs: DataFrame, width: int, least: float) -> DataFrame:
     """The pairs whose texts have a similarity of ``least`` or more."""
-    ends = pairs.select(F.explode(F.array("x", "y")).alias("id"), "x", "y")
+    ends = stored(pairs.select(F.explode(F.array("x", "y")).alias("id"), "x", "y"), "ends").where("x <> y")
     sides = texts.join(ends, "id").groupBy("x", "y").agg(
         F.max(F.when(F.col("id") == F.col("x"), F.col("text"))).alias("s"),
         F.max(F.when(F.col("id") == F.col("y"), F.col("text"))).alias("t"))
@@ -204,7 +204,8 @@ def keep_one(docs: DataFrame, width: int = 5, least: float = 0.8, id_col: str =
     """
     given = docs.select(docs[id_col].alias("id"), F.coalesce(docs[text], F.lit("")).alias("text")).where("id is not null")
     prints = stored(_prints(given, width), "prints")
-    linked = stored(_alike(given, _candidates(prints), width, least), "alike")
+    with filtered_joins(docs.sparkSession):
+        linked = stored(_alike(given, _candidates(prints), width, least), "alike")
     root = stored(components(linked.select(F.col("x").alias("a"), F.col("y").alias("b"))), "groups")
     least_id = root.groupBy("root").agg(F.min("node").alias("least"))
     gone = root.join(least_id, "root").where("node <> least").select(F.col("node").alias("_gone"))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -73,3 +74,19 @@ def mix32(values: np.ndarray) -> np.ndarray:
     values = values ^ (values >> np.uint32(15))
     values = values * np.uint32(0x846CA68B)
     return values ^ (values >> np.uint32(16))
+
+
+@contextmanager
+def filtered_joins(spark: SparkSession):
+    """Within it, Spark may drop rows by a Bloom filter of the other, smaller side before a shuffle.
+
+    Spark builds the filter by itself, of bounded size, where that side is small enough by its own
+    settings; here the least size of the large side is lowered. Results are the same either way.
+    """
+    name = "spark.sql.optimizer.runtime.bloomFilter.applicationSideScanSizeThreshold"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "0")
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
