@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from propensity.catalog.registry import P, flat, order_count, query, rounded, with_p
+from propensity.catalog.registry import P, flat, query, rounded, with_p
 from propensity.operators import align, ensemble, order, profile
 from propensity.sources import frames
 
@@ -37,7 +37,7 @@ def _rank_sql(col: str) -> str:
 @query(with_p(f"SELECT id, round(0.928 * ({_rank_sql('score_a')}) + 0.072 * ({_rank_sql('score_b')}), 6) AS blend FROM p"))
 def blend_of_ranks(spark, folder):
     weights = dict(zip(("a", "b"), ensemble.RANK_WEIGHTS))
-    blend = ensemble.blend_rank(_models(spark, folder), weights, "id", rows=order_count(spark, folder))
+    blend = ensemble.blend_rank(_models(spark, folder), weights, "id")
     return rounded(blend.select("id", "blend"))
 
 

@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from propensity.catalog.registry import P, bin_sql, edges_sql, event_count, flat, order_count, query, rounded, with_p
+from propensity.catalog.registry import P, bin_sql, edges_sql, flat, query, rounded, with_p
 from propensity.operators import features, order
 from propensity.sources import frames
 
@@ -17,14 +17,14 @@ def _bin_query(src: str, col: str, q: int) -> str:
 @query(with_p(_bin_query("p", "amount", 10)))
 def quantile_bin_amount(spark, folder):
     df = frames.orders_frame(spark, folder, ["id", "amount"])
-    binned = order.quantile_bin(df, "amount", 10, "b", order_count(spark, folder))
+    binned = order.quantile_bin(df, "amount", 10, "b")
     return rounded(binned.select("id", "b.*"), 5)
 
 
 @query(with_p(_bin_query("p", "n_lines", 5)))
 def quantile_bin_tied_lines(spark, folder):
     df = flat(spark, folder, ["id", "n_lines"])
-    binned = order.quantile_bin(df, "n_lines", 5, "b", order_count(spark, folder))
+    binned = order.quantile_bin(df, "n_lines", 5, "b")
     return rounded(binned.select("id", "b.*"), 5)
 
 
@@ -36,13 +36,13 @@ def _rank_sql(col: str, src: str) -> str:
 @query(with_p(_rank_sql("score_b", "p")))
 def percentile_rank_score(spark, folder):
     df = frames.orders_frame(spark, folder, ["id", "score_b"])
-    return rounded(order.percentile_rank(df, "score_b", "id", rows=order_count(spark, folder)).select("id", "pct_rank"))
+    return rounded(order.percentile_rank(df, "score_b", "id").select("id", "pct_rank"))
 
 
 @query(_rank_sql("value", "(SELECT event_id AS id, value FROM events)"))
 def percentile_rank_event_value(spark, folder):
     df = frames.events_frame(spark, folder).select("id", "value")
-    return rounded(order.percentile_rank(df, "value", "id", rows=event_count(spark, folder)).select("id", "pct_rank"))
+    return rounded(order.percentile_rank(df, "value", "id").select("id", "pct_rank"))
 
 
 @query(with_p("""
@@ -52,7 +52,7 @@ def percentile_rank_event_value(spark, folder):
 def running_totals_by_score(spark, folder):
     df = frames.orders_frame(spark, folder, ["score_a", "y"])
     ones = df.select("score_a", F.lit(1).alias("n"), F.col("y").cast("long").alias("positives"))
-    return order.ordered_cumsum(ones, "score_a", ["n", "positives"], rows=order_count(spark, folder))
+    return order.ordered_cumsum(ones, "score_a", ["n", "positives"])
 
 
 @query(with_p(f"""
@@ -62,7 +62,7 @@ def running_totals_by_score(spark, folder):
         FROM (SELECT y, score_d, {edges_sql('p', 'score_d', 10)} AS e FROM p) a) b GROUP BY bin"""))
 def decile_table(spark, folder):
     df = frames.orders_frame(spark, folder, ["score_d", "y"])
-    return order.decile_table(df, "score_d", "y", 10, order_count(spark, folder))
+    return order.decile_table(df, "score_d", "y", 10)
 
 
 @query(with_p("""SELECT id, target, y, score_a, round(y - score_a, 6) AS residual, round(abs(y - score_a), 6) AS abs_residual

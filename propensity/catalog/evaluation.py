@@ -8,7 +8,6 @@ from propensity.catalog.registry import (
     bin_sql,
     edges_sql,
     flat,
-    order_count,
     query,
     rounded,
     with_p,
@@ -23,13 +22,13 @@ S = f"WITH p AS ({P}), s AS (SELECT *, score_a AS s FROM p)"
 @query(f"{S} SELECT n, positives, round(auc, 6) AS auc FROM ({auc_sql('s')}) t")
 def roc_auc(spark, folder):
     df = frames.orders_frame(spark, folder, ["y", "score_a"])
-    return rounded(metrics.roc_auc(df, "y", "score_a", order_count(spark, folder)))
+    return rounded(metrics.roc_auc(df, "y", "score_a"))
 
 
 @query(f"{S} SELECT round(average_precision, 6) AS average_precision FROM ({ap_sql('s')}) t")
 def average_precision(spark, folder):
     df = frames.orders_frame(spark, folder, ["y", "score_a"])
-    return rounded(metrics.average_precision(df, "y", "score_a", rows=order_count(spark, folder)))
+    return rounded(metrics.average_precision(df, "y", "score_a"))
 
 
 def _group_sql(src: str, by: list[str], where: str = "true") -> str:
@@ -40,7 +39,7 @@ def _group_sql(src: str, by: list[str], where: str = "true") -> str:
 @query(f"{S} {_group_sql('s', ['region'])}")
 def grouped_auc_region(spark, folder):
     df = frames.orders_frame(spark, folder, ["region", "y", "score_a"])
-    return rounded(metrics.grouped_auc(df, ["region"], "y", "score_a", rows=order_count(spark, folder)))
+    return rounded(metrics.grouped_auc(df, ["region"], "y", "score_a"))
 
 
 @query(f"WITH s AS (SELECT *, CAST(n_chars AS DOUBLE) AS s, toxic AS y FROM ({L})) {_group_sql('s', ['source'])}")
@@ -56,7 +55,7 @@ _LONG = " UNION ALL ".join(
 @query(f"{S}, u AS ({_LONG}) {_group_sql('u', ['feature', 'value'])}")
 def subgroup_auc(spark, folder):
     df = frames.orders_frame(spark, folder, [*frames.CATEGORIES, "y", "score_a"])
-    return rounded(metrics.subgroup_auc(df, frames.CATEGORIES, "y", "score_a", order_count(spark, folder)))
+    return rounded(metrics.subgroup_auc(df, frames.CATEGORIES, "y", "score_a"))
 
 
 _AMOUNT_BIN = f"b AS (SELECT *, {bin_sql('e', 'amount')} AS bin FROM (SELECT s.*, {edges_sql('s', 'amount', 10)} AS e FROM s) a)"
@@ -71,7 +70,7 @@ _AMOUNT_BIN = f"b AS (SELECT *, {bin_sql('e', 'amount')} AS bin FROM (SELECT s.*
     ON t.bin = m.bin""")
 def auc_by_quantile(spark, folder):
     df = frames.orders_frame(spark, folder, ["amount", "y", "score_d"])
-    out = metrics.auc_by_quantile(df, "amount", "y", "score_d", 10, order_count(spark, folder))
+    out = metrics.auc_by_quantile(df, "amount", "y", "score_d", 10)
     return rounded(out, exact=["positive_rate", "mean_prediction"], lo=5, hi=5)
 
 
@@ -83,15 +82,13 @@ _MIN = 50
 @query(f"{S} {_group_sql('s', ['rich', 'n_lines'], f'n >= {_MIN} AND auc IS NOT NULL')}")
 def conditional_auc_two_keys(spark, folder):
     df = flat(spark, folder, ["rich", "n_lines", "y", "score_a"])
-    return rounded(metrics.conditional_auc(df, "y", "score_a", ["rich", "n_lines"], min_count=_MIN,
-                                           rows=order_count(spark, folder)))
+    return rounded(metrics.conditional_auc(df, "y", "score_a", ["rich", "n_lines"], min_count=_MIN))
 
 
 @query(f"{S}, {_MIXED} {_group_sql('b', ['rich', 'amount_bin', 'n_lines_bin'], f'n >= {_MIN} AND auc IS NOT NULL')}")
 def conditional_auc_mixed(spark, folder):
     df = flat(spark, folder, ["rich", "amount", "n_lines", "y", "score_a"])
-    return rounded(metrics.conditional_auc(df, "y", "score_a", ["rich"], {"amount": 10, "n_lines": 5}, _MIN,
-                                           order_count(spark, folder)))
+    return rounded(metrics.conditional_auc(df, "y", "score_a", ["rich"], {"amount": 10, "n_lines": 5}, _MIN))
 
 
 _FOLDED = ("f AS (SELECT *, CAST((row_number() OVER (ORDER BY y, md5('42:' || id), id) - 1) % 5 AS INTEGER) AS fold "
@@ -100,19 +97,19 @@ _FOLDED = ("f AS (SELECT *, CAST((row_number() OVER (ORDER BY y, md5('42:' || id
 
 def _folded(spark, folder):
     df = frames.orders_frame(spark, folder, ["id", "y", "score_a"])
-    return stratified_folds(df, "id", "y", 5, 42, rows=order_count(spark, folder))
+    return stratified_folds(df, "id", "y", 5, 42)
 
 
 @query(f"{S}, {_FOLDED} {_group_sql('f', ['fold'])}")
 def fold_auc(spark, folder):
-    return rounded(metrics.fold_auc(_folded(spark, folder), "y", "score_a", "fold", order_count(spark, folder)))
+    return rounded(metrics.fold_auc(_folded(spark, folder), "y", "score_a", "fold"))
 
 
 @query(f"""{S}, {_FOLDED}, g AS ({auc_sql('f', ['fold'])}), a AS ({auc_sql('s')})
   SELECT count(*) AS folds, round(avg(g.auc), 6) AS mean_auc, round(stddev_pop(g.auc), 6) AS std_auc,
          round(any_value(a.auc), 6) AS pooled_auc FROM g, a""")
 def pooled_vs_fold(spark, folder):
-    return rounded(metrics.pooled_vs_fold(_folded(spark, folder), "y", "score_a", "fold", order_count(spark, folder)))
+    return rounded(metrics.pooled_vs_fold(_folded(spark, folder), "y", "score_a", "fold"))
 
 
 _LEVELS = (0.1, 0.175, 0.3, 0.5)

@@ -18,10 +18,6 @@ def _with(body: str) -> str:
     return f"WITH t AS ({T}) {body}"
 
 
-def _rows(spark, folder) -> int:
-    return frames.table(spark, folder, "lineitem").count()
-
-
 @query(_with(" UNION ALL ".join(
     f"""SELECT '{c}' AS feature, CAST({c} AS VARCHAR) AS value, avg(y) AS mean, count(*) AS count,
                CAST(sum(y) AS BIGINT) AS positives, avg(y) * 100 AS rate_pct FROM t GROUP BY {c}""" for c in CATS)))
@@ -46,7 +42,7 @@ def line_triple_interactions(spark, folder):
 @query(_with(" UNION ALL ".join(f"SELECT '{c}' AS \"column\", * FROM ({profile_sql('t', c, 10)}) x" for c in NUMS)))
 def line_numeric_profiles(spark, folder):
     df = frames.lines_frame(spark, folder)
-    return rounded(rates.numeric_profiles(df, NUMS, "y", 10, _rows(spark, folder)), lo=5, hi=5)
+    return rounded(rates.numeric_profiles(df, NUMS, "y", 10), lo=5, hi=5)
 
 
 _BINNED = ", ".join(f"{bin_sql('e_' + c, c)} AS {c}_bin" for c in ("quantity", "price"))
@@ -58,7 +54,7 @@ _EDGES = ", ".join(f"{edges_sql('t', c, 5)} AS e_{c}" for c in ("quantity", "pri
     for n in ("quantity", "price") for c in CATS))
 def line_numeric_cat_interactions(spark, folder):
     df = frames.lines_frame(spark, folder)
-    return rounded(rates.numeric_cat_interactions(df, ["quantity", "price"], CATS, "y", 5, 100, _rows(spark, folder)))
+    return rounded(rates.numeric_cat_interactions(df, ["quantity", "price"], CATS, "y", 5, 100))
 
 
 @query(_with(" UNION ALL ".join(
@@ -73,7 +69,7 @@ def line_modulo_audit(spark, folder):
 @query(f"WITH t AS ({T}), s AS (SELECT y, price AS s FROM t) "
        f"SELECT n, positives, round(auc, 6) AS auc FROM ({auc_sql('s')}) x")
 def line_roc_auc(spark, folder):
-    return rounded(metrics.roc_auc(frames.lines_frame(spark, folder), "y", "price", _rows(spark, folder)))
+    return rounded(metrics.roc_auc(frames.lines_frame(spark, folder), "y", "price"))
 
 
 @query(f"WITH t AS ({T}), s AS (SELECT *, quantity AS s FROM t) "
@@ -81,11 +77,11 @@ def line_roc_auc(spark, folder):
        f"FROM ({auc_sql('s', ['status', 'line'])}) x")
 def line_grouped_auc(spark, folder):
     df = frames.lines_frame(spark, folder)
-    return rounded(metrics.grouped_auc(df, ["status", "line"], "y", "quantity", rows=_rows(spark, folder)),
+    return rounded(metrics.grouped_auc(df, ["status", "line"], "y", "quantity"),
                    exact=["positive_rate"])
 
 
 @query(_with(" UNION ALL ".join(describe_sql(c, "t") for c in ("quantity", "line", "discount", "tax"))))
 def line_describe(spark, folder):
     df = frames.lines_frame(spark, folder)
-    return rounded(profile.describe(df, ["quantity", "line", "discount", "tax"], _rows(spark, folder)), 4)
+    return rounded(profile.describe(df, ["quantity", "line", "discount", "tax"]), 4)

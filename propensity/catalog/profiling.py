@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from propensity.catalog.registry import P, event_count, flat, order_count, query, rounded, with_p
+from propensity.catalog.registry import P, flat, query, rounded, with_p
 from propensity.functions import columns as fx
 from propensity.operators import order, profile
 from propensity.sources import frames
@@ -82,12 +82,12 @@ def describe_sql(col: str, src: str) -> str:
 @query(with_p(" UNION ALL ".join(describe_sql(c, "p") for c in NUM)))
 def describe_orders(spark, folder):
     df = frames.orders_frame(spark, folder, NUM)
-    return rounded(profile.describe(df, NUM, order_count(spark, folder)), 4)
+    return rounded(profile.describe(df, NUM), 4)
 
 
 @query(describe_sql("value", "events"))
 def describe_events(spark, folder):
-    return rounded(profile.describe(frames.table(spark, folder, "events"), ["value"], event_count(spark, folder)), 4)
+    return rounded(profile.describe(frames.table(spark, folder, "events"), ["value"]), 4)
 
 
 def _levels_sql(col: str) -> str:
@@ -221,5 +221,5 @@ def corr_of_candidates(spark, folder):
          quantile_cont(score_d, 0.5) AS median, round(stddev_pop(score_d), 6) AS std FROM p"""))
 def prediction_stats(spark, folder):
     df = frames.orders_frame(spark, folder, ["score_d"])
-    stats = profile.prediction_stats(df, "score_d", order_count(spark, folder))
+    stats = profile.prediction_stats(df, "score_d")
     return rounded(stats, exact=["min", "max", "mean", "median"])

@@ -2,7 +2,7 @@
 
 from itertools import combinations
 
-from propensity.catalog.registry import L, bin_sql, edges_sql, event_count, flat, order_count, query, rounded, with_p
+from propensity.catalog.registry import L, bin_sql, edges_sql, flat, query, rounded, with_p
 from propensity.operators import rates
 from propensity.sources import frames
 
@@ -104,20 +104,20 @@ def profile_sql(src: str, col: str, q: int) -> str:
 @query(with_p(profile_sql("p", "amount", 10)))
 def numeric_profile_amount(spark, folder):
     df = frames.orders_frame(spark, folder, ["amount", "y"])
-    return rounded(rates.numeric_profile(df, "amount", "y", 10, order_count(spark, folder)), lo=5, hi=5)
+    return rounded(rates.numeric_profile(df, "amount", "y", 10), lo=5, hi=5)
 
 
 @query(profile_sql("(SELECT value, CASE WHEN event_type = 'purchase' THEN 1 ELSE 0 END AS y FROM events)", "value", 10))
 def numeric_profile_event_value(spark, folder):
     df = frames.events_frame(spark, folder)
-    return rounded(rates.numeric_profile(df, "value", "y", 10, event_count(spark, folder)), lo=5, hi=5)
+    return rounded(rates.numeric_profile(df, "value", "y", 10), lo=5, hi=5)
 
 
 @query(with_p(" UNION ALL ".join(
     f"SELECT '{c}' AS \"column\", * FROM ({profile_sql('p', c, 10)}) t" for c in frames.NUMBERS)))
 def numeric_profiles_all(spark, folder):
     df = flat(spark, folder, [*frames.NUMBERS, "y"])
-    return rounded(rates.numeric_profiles(df, frames.NUMBERS, "y", 10, order_count(spark, folder)), lo=5, hi=5)
+    return rounded(rates.numeric_profiles(df, frames.NUMBERS, "y", 10), lo=5, hi=5)
 
 
 _GRID_NUMS = ["amount", "balance", "n_lines", "qty"]
@@ -130,7 +130,7 @@ _EDGES = ", ".join(f"{edges_sql('p', c, 5)} AS e_{c}" for c in _GRID_NUMS)
     for n in _GRID_NUMS for c in CATS)])))
 def numeric_cat_interactions(spark, folder):
     df = flat(spark, folder, [*_GRID_NUMS, *CATS, "y"])
-    grid = rates.numeric_cat_interactions(df, _GRID_NUMS, CATS, "y", 5, MIN, order_count(spark, folder))
+    grid = rates.numeric_cat_interactions(df, _GRID_NUMS, CATS, "y", 5, MIN)
     return rounded(grid)
 
 

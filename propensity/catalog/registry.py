@@ -45,15 +45,6 @@ def flat(spark: SparkSession, folder: str, columns: Sequence[str]) -> DataFrame:
     return stored(frames.orders_frame(spark, folder, columns), "flat")
 
 
-def order_count(spark: SparkSession, folder: str) -> int:
-    """Rows of the orders frame: it has one row per order. Answered from file footers."""
-    return frames.table(spark, folder, "orders").count()
-
-
-def event_count(spark: SparkSession, folder: str) -> int:
-    return frames.table(spark, folder, "events").count()
-
-
 # One row per order, as SQL.
 P = """
   SELECT o.o_orderkey AS id,

@@ -1,6 +1,6 @@
 """Folds, holdouts and samples."""
 
-from propensity.catalog.registry import P, order_count, query, rounded, with_p
+from propensity.catalog.registry import P, query, rounded, with_p
 from propensity.operators import folds
 from propensity.sources import frames
 
@@ -15,7 +15,7 @@ def _orders(spark, folder):
 
 @query(with_p(f"SELECT id, y, CAST(({_PLACE}) % 5 AS INTEGER) AS fold FROM p"))
 def stratified_folds(spark, folder):
-    return folds.stratified_folds(_orders(spark, folder), "id", "y", 5, 42, rows=order_count(spark, folder))
+    return folds.stratified_folds(_orders(spark, folder), "id", "y", 5, 42)
 
 
 @query(with_p(f"""SELECT fold, count(*) AS rows, round(avg(y), 6) AS positive_rate

@@ -52,8 +52,8 @@ def target_lenient(c: ColumnLike) -> Column:
 
 
 def integral(c: ColumnLike) -> Column:
-    """Whole number held as a float, to long. A fraction or null fails the query."""
-    x = _col(c).cast("double")
+    """Whole number held as a float, decimal or text, to long. A fraction or null fails the query."""
+    x = _col(c)
     whole = F.when(x == F.floor(x), x.cast("long"))
     shown = F.coalesce(x.cast("string"), F.lit("null"))
     return F.coalesce(whole, F.raise_error(F.concat(F.lit("not a whole number: "), shown)).cast("long"))

@@ -40,16 +40,27 @@ def attach(df: DataFrame, preds: DataFrame, key: str) -> DataFrame:
 
 
 def align_models(preds: Mapping[str, DataFrame], key: str, value: str = "prediction") -> DataFrame:
-    """One column per model. A key or finite value missing in any model fails the query."""
-    out = None
+    """One column per model. Keys that differ or repeat, and predictions that are not finite, are refused.
+
+    One shuffle of all models' rows in long form. The check is an aggregation of its own, so
+    that no later projection can drop it.
+    """
+    long = None
     for name, frame in preds.items():
-        one = frame.select(key, F.col(value).cast("double").alias(name))
-        out = one if out is None else out.join(one, key, "full_outer")
-    text = F.concat(F.lit("model has no finite prediction for key "), F.col(key).cast("string"))
-    for name in preds:
-        ok = F.col(name).isNotNull() & ~F.isnan(name) & (F.abs(F.col(name)) < float("inf"))
-        out = out.withColumn(name, F.when(ok, F.col(name)).otherwise(F.raise_error(text).cast("double")))
-    return out
+        one = frame.select(F.col(key), F.lit(name).alias("_model"), F.col(value).cast("double").alias("_value"))
+        long = one if long is None else long.unionByName(one)
+    mine = {name: F.col("_model") == name for name in preds}
+    finite = F.col("_value").isNotNull() & ~F.isnan("_value") & (F.abs(F.col("_value")) < float("inf"))
+    wide = long.groupBy(key).agg(
+        *[F.max(F.when(m, F.col("_value"))).alias(name) for name, m in mine.items()],
+        *[F.count_if(m).alias(f"_n_{i}") for i, m in enumerate(mine.values())], F.count_if(~finite).alias("_bad"))
+    uneven = sum(((F.col(f"_n_{i}") != 1).cast("int") for i in range(len(mine))), F.lit(0))
+    found = wide.agg(F.count_if(F.col(key).isNull()).alias("null_keys"), F.count_if(uneven > 0).alias("missing_or_repeated_keys"),
+                     F.count_if(F.col("_bad") > 0).alias("not_finite")).first().asDict()
+    wrong = {k: v for k, v in found.items() if v}
+    if wrong:
+        raise ContractError(f"models do not align: {wrong}")
+    return wide.select(key, *preds)
 
 
 def id_overlap(a: DataFrame, b: DataFrame, key: str) -> DataFrame:

@@ -4,13 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from propensity import scale
 from propensity.operators.checks import ContractError
+from propensity.operators.order import ordered_cumsum
 
-# Columns a one-hot table may get.
+# Levels that ``level_lists`` reads to the driver, and columns that ``one_hot`` makes, unless told otherwise.
+MAX_LEVELS = 100_000
 MAX_ONE_HOT = 5000
 
 
@@ -28,39 +29,39 @@ def build_vocab(train: DataFrame, test: DataFrame, cols: Sequence[str]) -> DataF
         return texts.unpivot([], shared, "column", "level").where(F.col("level").isNotNull())
 
     # Equal levels merge map-side, so only the vocabulary itself is shuffled.
-    both = levels(train).unionByName(levels(test)).distinct()
-    place = Window.partitionBy("column").orderBy("level")
-    return both.withColumn("code", (F.row_number().over(place) - 1).cast("int"))
+    both = levels(train).unionByName(levels(test)).distinct().withColumn("n", F.lit(1))
+    # Counted through by ranges of levels: a column of very many levels is not one task.
+    placed = ordered_cumsum(both, "level", ["n"], by=["column"])
+    return placed.select("column", "level", (F.col("cum_n") - 1).cast("int").alias("code"))
 
 
 def encode_codes(df: DataFrame, vocab: DataFrame, cols: Sequence[str], suffix: str = "") -> DataFrame:
     """Levels to codes; unseen levels and nulls give null."""
-    local = scale.local_table(vocab)
-    source = vocab if local is None else local
     out = df
     for c in cols:
-        mine = source.where(F.col("column") == c).select(F.col("level").alias("_level"), F.col("code").alias("_code"))
-        side = mine if local is None else F.broadcast(mine)
-        joined = out.join(side, F.col(c).cast("string") == F.col("_level"), "left").drop("_level")
+        mine = vocab.where(F.col("column") == c).select(F.col("level").alias("_level"), F.col("code").alias("_code"))
+        joined = out.join(mine, F.col(c).cast("string") == F.col("_level"), "left").drop("_level")
         out = joined.withColumn(f"{c}{suffix}", F.col("_code")).drop("_code")
     order = [*df.columns, *[f"{c}{suffix}" for c in cols if f"{c}{suffix}" not in df.columns]]
     return out.select(*order)
 
 
-def level_lists(vocab: DataFrame, limit: int = scale.BROADCAST_ROWS) -> dict[str, list[str]]:
-    """Levels per column in code order, read to the driver after a size check."""
+def level_lists(vocab: DataFrame, limit: int = MAX_LEVELS) -> dict[str, list[str]]:
+    """Levels per column in code order, for uses that hold them on the driver: names of one-hot
+    columns, category codes of a tree. More than ``limit`` of them are refused, never cut."""
     rows = vocab.limit(limit + 1).collect()
     if len(rows) > limit:
-        raise ContractError(f"vocabulary has more than {limit} levels")
+        raise ContractError(f"more than {limit} levels in all: raise the limit, or encode the widest columns by encode_codes")
     out: dict[str, list[str]] = {}
     for r in sorted(rows, key=lambda r: (r["column"], r["code"])):
         out.setdefault(r["column"], []).append(r["level"])
     return out
 
 
-def one_hot(df: DataFrame, vocab: DataFrame, cols: Sequence[str], keep: Sequence[str] = ()) -> DataFrame:
+def one_hot(df: DataFrame, vocab: DataFrame, cols: Sequence[str], keep: Sequence[str] = (),
+            limit: int = MAX_ONE_HOT) -> DataFrame:
     """``keep`` columns, then a 0/1 column ``<col>_<level>`` per level: one projection."""
-    levels = level_lists(vocab, MAX_ONE_HOT)
+    levels = level_lists(vocab, limit)
     bits = [F.coalesce((F.col(c).cast("string") == level).cast("int"), F.lit(0)).alias(f"{c}_{level}")
             for c in cols for level in levels.get(c, [])]
     return df.select(*keep, *bits)

@@ -7,17 +7,18 @@ bucket counts: no class, however large, is sorted in one task.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from fractions import Fraction
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from propensity.operators.checks import ContractError
+from propensity.operators.order import ordered_cumsum
+from propensity.session import stored
 
 # 16^3 buckets per class.
 DIGITS = 3
-# Classes a stratified split may have; bounds the bucket table.
-MAX_CLASSES = 1000
 
 
 def key_hash(key: str, seed: int) -> Column:
@@ -27,7 +28,7 @@ def key_hash(key: str, seed: int) -> Column:
 
 def _hashed(df: DataFrame, key: str, y: str | None, seed: int) -> DataFrame:
     if y is None:
-        group = F.lit("")
+        group = F.substring(_required(key), 1, 0)
     else:
         group = F.coalesce(F.col(y).cast("string"), F.raise_error(F.lit(f"null class in {y}")).cast("string"))
     return df.withColumns({"_class": group, "_hash": key_hash(key, seed)}).withColumn(
@@ -42,20 +43,21 @@ def stratified_position(df: DataFrame, key: str, y: str | None, seed: int, out:
     """Append the 0-based place of a row when sorted by class, then hash."""
     keyed = _hashed(df, key, y, seed)
     counts = keyed.groupBy("_class", "_bucket").agg(F.count(F.lit(1)).alias("_n"))
-    # At most classes x 4096 rows.
-    earlier = Window.orderBy("_class", "_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select("_class", "_bucket", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"))
+    # At most 4,096 buckets of a class meet in a task; classes are counted through by ranges.
+    earlier = Window.partitionBy("_class").orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    totals = ordered_cumsum(counts, "_class", ["_n"]).select("_class", (F.col("cum__n") - F.col("_n")).alias("_start"))
+    offsets = counts.select("_class", "_bucket", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_in")).join(
+        totals, "_class").select("_class", "_bucket", (F.col("_in") + F.col("_start")).alias("_before"))
     inside = Window.partitionBy("_class", "_bucket").orderBy("_hash", key)
     placed = keyed.withColumn("_row", F.row_number().over(inside)).join(offsets, ["_class", "_bucket"])
     return placed.select(*df.columns, (F.col("_before") + F.col("_row") - 1).alias(out))
 
 
-def stratified_folds(df: DataFrame, key: str, y: str, k: int = 5, seed: int = 42, out: str = "fold",
-                     rows: int | None = None) -> DataFrame:
+def stratified_folds(df: DataFrame, key: str, y: str, k: int = 5, seed: int = 42, out: str = "fold") -> DataFrame:
     """Append a fold 0..k-1: every row in one fold, classes balanced, sizes within one."""
     if k < 2:
         raise ContractError("at least two folds are needed")
-    found = df.limit(k).count() if rows is None else rows
+    found = df.limit(k).count()
     if found < k:
         raise ContractError(f"{found} rows cannot fill {k} folds")
     placed = stratified_position(df, key, y, seed, "_position")
@@ -67,57 +69,42 @@ def fold_audit(df: DataFrame, fold: str, y: str) -> DataFrame:
     return df.groupBy(fold).agg(F.count(F.lit(1)).alias("rows"), F.avg(y).alias("positive_rate"))
 
 
-def class_counts(df: DataFrame, y: str) -> dict[str, int]:
-    rows = df.groupBy(F.col(y).cast("string").alias("c")).agg(F.count(F.lit(1)).alias("n")).limit(MAX_CLASSES + 1).collect()
-    if len(rows) > MAX_CLASSES:
-        raise ContractError(f"{y} has more than {MAX_CLASSES} classes")
-    return {r["c"]: r["n"] for r in rows}
-
-
-def _smallest(df: DataFrame, key: str, y: str | None, seed: int, size) -> DataFrame:
+def _smallest(df: DataFrame, key: str, y: str | None, seed: int, size: Callable[[Column], Column]) -> DataFrame:
     """Flag ``_taken`` on the ``size(class count)`` rows of lowest hash in every class.
 
     Bucket counts tell which buckets are wholly in or out; only the rows of one boundary
     bucket per class (1 in 4096) are ranked, and the cut-off hash is read from them. The
-    flag itself is then a comparison: no row of ``df`` is shuffled.
+    table of cut-offs has one row per class and stays distributed; where it is small, the join
+    with it moves no row of ``df``.
     """
     keyed = _hashed(df, key, y, seed)
-    counted = (keyed.groupBy("_class", "_bucket").agg(F.count(F.lit(1)).alias("n"))
-               .limit(MAX_CLASSES * 16 ** DIGITS + 1).collect())
-    classes = sorted({r["_class"] for r in counted})
-    if len(classes) > MAX_CLASSES:
-        raise ContractError(f"more than {MAX_CLASSES} classes")
-    edges = []
-    for c in classes:
-        mine = sorted((r["_bucket"], r["n"]) for r in counted if r["_class"] == c)
-        left = size(sum(n for _, n in mine))
-        for bucket, n in mine:
-            if left <= n:
-                edges.append((c, bucket, left))
-                break
-            left -= n
-    if not edges:
-        return df.withColumn("_taken", F.lit(False))
-    # One entry per class, as literals.
-    edge = _by_class({c: bucket for c, bucket, _ in edges})
-    at_edge = keyed.where(F.col("_bucket") == edge).select("_class", "_hash")
+    counted = keyed.groupBy("_class", "_bucket").agg(F.count(F.lit(1)).alias("_n"))
+    upto = Window.partitionBy("_class").orderBy("_bucket").rowsBetween(Window.unboundedPreceding, 0)
+    whole = Window.partitionBy("_class")
+    run = counted.withColumns({"_upto": F.sum("_n").over(upto), "_want": size(F.sum("_n").over(whole))})
+    # The bucket in which the wanted count is reached, and how many of its rows are in.
+    edges = run.where((F.col("_want") > F.col("_upto") - F.col("_n")) & (F.col("_want") <= F.col("_upto"))).select(
+        "_class", F.col("_bucket").alias("_edge"), (F.col("_want") - F.col("_upto") + F.col("_n")).alias("_left"))
+    at_edge = keyed.select("_class", "_bucket", "_hash").join(edges, "_class").where(F.col("_bucket") == F.col("_edge"))
     ranked = at_edge.withColumn("_row", F.row_number().over(Window.partitionBy("_class").orderBy("_hash")))
-    left = _by_class({c: n for c, _, n in edges})
-    last = {r["_class"]: r["_hash"] for r in ranked.where(F.col("_row") == left).collect()}
-    # A class that takes nothing has an empty cut-off, below every hash.
-    cut = _by_class({c: last.get(c, "") for c, _, _ in edges})
-    return (keyed.withColumn("_taken", F.coalesce(F.col("_hash") <= cut, F.lit(False)))
-            .select(*df.columns, "_taken"))
+    # Stored, its true size tells the planner whether to broadcast it.
+    cut = stored(ranked.where(F.col("_row") == F.col("_left")).select("_class", F.col("_hash").alias("_cut")), "cuts")
+    # A class that takes nothing has no cut-off.
+    joined = keyed.join(cut, "_class", "left").withColumn("_taken", F.coalesce(F.col("_hash") <= F.col("_cut"), F.lit(False)))
+    return joined.select(*df.columns, "_taken")
 
 
-def _by_class(values: dict) -> Column:
-    """The value that belongs to the row's class."""
-    return F.create_map(*[F.lit(x) for pair in values.items() for x in pair])[F.col("_class")]
+def _ratio(frac: float, n: Column, add: Fraction = Fraction(0)) -> Column:
+    """Whole part of frac x n + add, without float drift."""
+    part = Fraction(str(frac))
+    below = part.denominator * add.denominator
+    above = n.cast("decimal(38,0)") * (part.numerator * add.denominator) + add.numerator * part.denominator
+    return ((above - above % below) / below).cast("long")
 
 
-def _part(frac: float, n: int) -> int:
-    """frac x n, rounded half up, without float drift."""
-    return int(Fraction(str(frac)) * n + Fraction(1, 2))
+def _part(frac: float, n: Column) -> Column:
+    """frac x n, rounded half up."""
+    return _ratio(frac, n, Fraction(1, 2))
 
 
 def stratified_holdout(df: DataFrame, key: str, y: str, frac: float = 0.2, seed: int = 42,
@@ -128,8 +115,8 @@ def stratified_holdout(df: DataFrame, key: str, y: str, frac: float = 0.2, seed:
 
 def stratified_sample(df: DataFrame, key: str, y: str, frac: float, floor: int = 0, seed: int = 42) -> DataFrame:
     """Exactly max(floor, whole part of frac x n) rows of every class, at most the class."""
-    def size(n: int) -> int:
-        return min(n, max(floor, int(Fraction(str(frac)) * n)))
+    def size(n: Column) -> Column:
+        return F.least(n, F.greatest(F.lit(floor).cast("long"), _ratio(frac, n)))
 
     return _smallest(df, key, y, seed, size).where("_taken").drop("_taken")
 

@@ -25,12 +25,17 @@ from propensity.operators.order import (
 
 
 def _score_counts(df: DataFrame, y: str, p: str, by: Sequence[str]) -> DataFrame:
-    """Positives and negatives per (by, score). Null keys, labels and scores drop out."""
-    named = [F.col(c).isNotNull() for c in (*by, y, p)]
-    keep = named[0]
-    for cond in named[1:]:
-        keep = keep & cond
-    return (df.where(keep).groupBy(*by, F.col(p).cast("double").alias("_s"))
+    """Positives and negatives per (by, score). Rows with a null key have no group; a label that
+    is not 0 or 1 and a score that is null, NaN or infinite fail the query."""
+    keep = F.lit(True)
+    for c in by:
+        keep = keep & F.col(c).isNotNull()
+    score, label = F.col(p).cast("double"), F.col(y).cast("double")
+    good = label.isin(0.0, 1.0) & ~F.isnan(score) & (F.abs(score) < float("inf"))
+    text = F.concat(F.lit("label or score not usable: "), F.coalesce(F.col(y).cast("string"), F.lit("null")), F.lit(", "),
+                    F.coalesce(F.col(p).cast("string"), F.lit("null")))
+    checked = F.when(F.coalesce(good, F.lit(False)), score).otherwise(F.raise_error(text).cast("double"))
+    return (df.where(keep).groupBy(*by, checked.alias("_s"))
             .agg(F.sum(F.col(y).cast("long")).alias("_pos"), F.count(F.lit(1)).alias("_n"))
             .withColumn("_neg", F.col("_n") - F.col("_pos")))
 
@@ -56,74 +61,74 @@ def _auc_by(counts: DataFrame, by: Sequence[str], cuts: Sequence[float]) -> Data
                         F.when(pairs > 0, F.col("_wins") / pairs).alias("auc"))
 
 
-def roc_auc(df: DataFrame, y: str, p: str, rows: int | None = None,
+def roc_auc(df: DataFrame, y: str, p: str,
             cuts: Sequence[float] | None = None) -> DataFrame:
     """One row ``auc``: chance that a positive outscores a negative, ties half."""
-    cuts = cut_points(df, p, rows) if cuts is None else cuts
+    cuts = cut_points(df, p) if cuts is None else cuts
     return _auc_by(_score_counts(df, y, p, ()), (), cuts).select("n", "positives", "auc")
 
 
 def grouped_auc(df: DataFrame, by: Sequence[str], y: str, p: str, min_count: int = 0,
-                drop_single_class: bool = False, rows: int | None = None,
+                drop_single_class: bool = False,
                 cuts: Sequence[float] | None = None) -> DataFrame:
     """Rows, positive rate and AUC per group, null keys left out.
 
     Single-class groups keep a null AUC, or go when ``drop_single_class``.
     """
-    cuts = cut_points(df, p, rows) if cuts is None else cuts
+    cuts = cut_points(df, p) if cuts is None else cuts
     out = _auc_by(_score_counts(df, y, p, by), by, cuts).where(F.col("n") >= min_count)
     if drop_single_class:
         out = out.where(F.col("auc").isNotNull())
     return out.select(*by, "n", (F.col("positives") / F.col("n")).alias("positive_rate"), "auc")
 
 
-def average_precision(df: DataFrame, y: str, p: str, by: Sequence[str] = (), rows: int | None = None,
+def average_precision(df: DataFrame, y: str, p: str, by: Sequence[str] = (),
                       cuts: Sequence[float] | None = None) -> DataFrame:
     """Sum of precision times gained recall over distinct scores, highest first.
 
     Step-wise, not the trapezoid under the precision-recall curve. Null without positives.
     """
-    cuts = cut_points(df, p, rows) if cuts is None else cuts
+    cuts = cut_points(df, p) if cuts is None else cuts
     run = running_totals(_score_counts(df, y, p, by), "_s", ["_pos", "_n"], by, cuts, descending=True)
     gained = F.col("_pos").cast("double") * F.col("cum__pos") / F.col("cum__n")
     return (run.groupBy(*by).agg(F.sum(gained).alias("_gain"), F.sum("_pos").alias("_pos"))
             .select(*by, F.when(F.col("_pos") > 0, F.col("_gain") / F.col("_pos")).alias("average_precision")))
 
 
-def fold_auc(df: DataFrame, y: str, p: str, fold: str, rows: int | None = None,
+def fold_auc(df: DataFrame, y: str, p: str, fold: str,
              cuts: Sequence[float] | None = None) -> DataFrame:
     """AUC per fold, one row each."""
-    return grouped_auc(df, [fold], y, p, rows=rows, cuts=cuts)
+    return grouped_auc(df, [fold], y, p, cuts=cuts)
 
 
-def pooled_vs_fold(df: DataFrame, y: str, p: str, fold: str, rows: int | None = None,
+def pooled_vs_fold(df: DataFrame, y: str, p: str, fold: str,
                    cuts: Sequence[float] | None = None) -> DataFrame:
     """Pooled AUC beside mean and population deviation of the fold AUCs."""
-    cuts = cut_points(df, p, rows) if cuts is None else cuts
+    cuts = cut_points(df, p) if cuts is None else cuts
     folds = fold_auc(df, y, p, fold, cuts=cuts)
     pooled = roc_auc(df, y, p, cuts=cuts)
     return folds.agg(F.count(F.lit(1)).alias("folds"), F.avg("auc").alias("mean_auc"),
                      F.stddev_pop("auc").alias("std_auc")).withColumn("pooled_auc", pooled.select("auc").scalar())
 
 
-def subgroup_auc(df: DataFrame, cols: Sequence[str], y: str, p: str, rows: int | None = None,
+def subgroup_auc(df: DataFrame, cols: Sequence[str], y: str, p: str,
                  cuts: Sequence[float] | None = None) -> DataFrame:
     """``grouped_auc`` for each of many columns, stacked as (feature, value, ...)."""
-    cuts = cut_points(df, p, rows) if cuts is None else cuts
+    cuts = cut_points(df, p) if cuts is None else cuts
     texts = df.select(F.col(y).alias("_y"), F.col(p).alias("_p"), *[F.col(c).cast("string").alias(c) for c in cols])
     long = texts.unpivot(["_y", "_p"], list(cols), "feature", "value")
     return grouped_auc(long, ["feature", "value"], "_y", "_p", cuts=cuts)
 
 
-def auc_by_quantiles(df: DataFrame, cols: Sequence[str], y: str, p: str, q: int = 10, rows: int | None = None,
+def auc_by_quantiles(df: DataFrame, cols: Sequence[str], y: str, p: str, q: int = 10,
                      cuts: Sequence[float] | None = None,
                      edges: Mapping[str, Sequence[float]] | None = None) -> DataFrame:
     """Per quantile bin of many columns: bounds, rows, positive rate, AUC, mean prediction.
 
     The mean comes from the same per-score counts as the AUC, so the rows are read once.
     """
-    edges = edges or quantile_edges(df, cols, q, rows)
-    cuts = cut_points(df, p, rows) if cuts is None else cuts
+    edges = edges or quantile_edges(df, cols, q)
+    cuts = cut_points(df, p) if cuts is None else cuts
     by = ["column", "bin"]
     counts = _score_counts(unpivot_bins(df, edges, [y, p]), y, p, by)
     means = counts.groupBy(*by).agg((F.sum(F.col("_s") * F.col("_n")) / F.sum("_n")).alias("mean_prediction"))
@@ -132,14 +137,14 @@ def auc_by_quantiles(df: DataFrame, cols: Sequence[str], y: str, p: str, q: int
                       "auc", "mean_prediction")
 
 
-def auc_by_quantile(df: DataFrame, col: str, y: str, p: str, q: int = 10, rows: int | None = None,
+def auc_by_quantile(df: DataFrame, col: str, y: str, p: str, q: int = 10,
                     cuts: Sequence[float] | None = None) -> DataFrame:
     """Per quantile bin of one column: bounds, rows, positive rate, AUC, mean prediction."""
-    return auc_by_quantiles(df, [col], y, p, q, rows, cuts).drop("column")
+    return auc_by_quantiles(df, [col], y, p, q, cuts).drop("column")
 
 
 def conditional_auc(df: DataFrame, y: str, p: str, by: Sequence[str] = (), bins: dict[str, int] | None = None,
-                    min_count: int = 500, rows: int | None = None,
+                    min_count: int = 500,
                     cuts: Sequence[float] | None = None) -> DataFrame:
     """AUC over groups that mix plain keys with quantile bins (column -> number of bins).
 
@@ -149,10 +154,10 @@ def conditional_auc(df: DataFrame, y: str, p: str, by: Sequence[str] = (), bins:
     keyed, names = df, list(by)
     for q in sorted(set(bins.values())):
         cols = [c for c, want in bins.items() if want == q]
-        edges = quantile_edges(df, cols, q, rows)
+        edges = quantile_edges(df, cols, q)
         keyed = keyed.withColumns({f"{c}_bin": bin_of(c, edges[c]) for c in cols})
     names += [f"{c}_bin" for c in bins]
-    return grouped_auc(keyed, names, y, p, min_count, True, rows, cuts)
+    return grouped_auc(keyed, names, y, p, min_count, True, cuts)
 
 
 def confusion_at(df: DataFrame, y: str, p: str, thresholds: Sequence[float]) -> DataFrame:

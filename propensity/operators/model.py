@@ -32,7 +32,7 @@ DEFAULTS: dict[str, float] = {
     "min_data_in_leaf": 100,
     "feature_fraction": 0.9,
     "bagging_fraction": 0.9,
-    "num_boost_round": 20,
+    "num_boost_round": 2000,
     "seed": 42,
 }
 # Other booster's names for the same settings.
@@ -43,8 +43,10 @@ SAME_AS = {
 }
 # Settings MLlib trees lack, with the value that means "off".
 NO_COUNTERPART = {"lambda_l1": 0, "lambda_l2": 0, "reg_alpha": 0, "reg_lambda": 0, "gamma": 0, "bagging_freq": 0}
-# Settings that only concern other engines' output or objective, which is fixed here.
-IGNORED = {"objective", "metric", "eval_metric", "verbose", "verbosity", "n_jobs", "tree_method"}
+# Settings that are fixed here, with the values that name what is in force.
+FIXED = {"objective": ("binary", "binary:logistic"), "metric": ("auc",), "eval_metric": ("auc",), "tree_method": ("hist",)}
+# Settings that only concern other engines' output.
+IGNORED = {"verbose", "verbosity", "n_jobs"}
 
 
 def merge_params(overrides: Mapping[str, object] | None = None,
@@ -55,6 +57,10 @@ def merge_params(overrides: Mapping[str, object] | None = None,
         name = SAME_AS.get(name, name)
         if name in IGNORED:
             continue
+        if name in FIXED:
+            if value not in FIXED[name]:
+                raise ValueError(f"{name}={value!r} is not what the trees are fitted with: {FIXED[name]}")
+            continue
         if name in NO_COUNTERPART:
             if value != NO_COUNTERPART[name]:
                 raise ValueError(f"{name}={value} has no counterpart in MLlib trees; leave it out")
@@ -80,7 +86,7 @@ def make_gbt(params: Mapping[str, object], max_bins: int, early_stopping: float
         maxIter=int(params["num_boost_round"]), maxDepth=tree_depth(params),
         minInstancesPerNode=int(params["min_data_in_leaf"]), subsamplingRate=float(params["bagging_fraction"]),
         featureSubsetStrategy=str(float(params["feature_fraction"])), seed=int(params["seed"]),
-        maxBins=max(int(params.get("max_bin", 32)), max_bins),
+        maxBins=max(int(params.get("max_bin", 256)), max_bins),
         checkpointInterval=int(params.get("checkpoint_interval", 10)), **stop)
 
 
@@ -234,7 +240,7 @@ def fit_encoded(data: Encoded, params: Mapping[str, object] | None = None, kind:
         pool.close()
     # Scores are kept as a table: every later reading would run all models again.
     oof = stored(out_of_fold(data, models), "oof")
-    found = fold_auc(oof, "label", "prediction", "fold", rows=data.rows)
+    found = fold_auc(oof, "label", "prediction", "fold")
     aucs = {r["fold"]: r["auc"] for r in found.collect()}
     test = None if data.test is None else score(data.test, list(models.values())).drop("features")
     return CvResult(models, oof, test, [aucs[k] for k in ks], data, merged)
@@ -250,6 +256,6 @@ def cross_val_fit(train: DataFrame, test: DataFrame | None, key: str, y: str, fo
 
 def fold_report(result: CvResult) -> DataFrame:
     """Rows (metric, value): fold AUCs, mean, deviation and pooled AUC."""
-    pooled = roc_auc(result.oof, "label", "prediction", rows=result.data.rows).first()["auc"]
+    pooled = roc_auc(result.oof, "label", "prediction").first()["auc"]
     rows = [*result.metrics().items(), ("pooled_auc", pooled)]
     return result.oof.sparkSession.createDataFrame([(k, float(v)) for k, v in rows], "metric string, value double")

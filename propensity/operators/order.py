@@ -4,8 +4,11 @@ A window over the whole table would put every row in one task. Here the value ra
 cut into buckets at sampled points. Windows run inside a bucket, and the small table of
 bucket totals carries the sums from one bucket to the next. The cut points are literals
 read to the driver once, so a retried task sees the same buckets; results do not depend
-on where the cuts fall, only the balance does. Inputs counted below ``TASK_ROWS`` skip
-the cuts.
+on where the cuts fall, only the balance does. A small table is one bucket.
+
+Cuts are taken on a number that never falls as the value rises (``place``); inside a bucket
+rows are ordered by the value itself, so texts, times and whole numbers beyond the reach of
+a double are ordered as they are.
 """
 
 from __future__ import annotations
@@ -24,25 +27,39 @@ BUCKET = "_bucket"
 
 # --- cut points -----------------------------------------------------------------
 
-def _sampled_quantiles(df: DataFrame, cols: Sequence[str], rows: int, parts: int) -> dict[str, list[float]]:
+def place(df: DataFrame, col: str) -> Column:
+    """A double that never falls as ``col`` rises: the value, its time, or a text's first six bytes."""
+    kind = dict(df.dtypes)[col]
+    if kind == "string":
+        return F.conv(F.rpad(F.hex(F.substring(F.col(col).cast("binary"), 1, 6)), 12, "0"), 16, 10).cast("double")
+    if kind == "date":
+        return F.unix_date(col).cast("double")
+    if kind.startswith("timestamp"):
+        return F.unix_micros(F.col(col).cast("timestamp")).cast("double")
+    # Adding zero turns -0.0 into 0.0, which compare equal everywhere else.
+    return F.col(col).cast("double") + F.lit(0.0)
+
+
+def _sampled_quantiles(df: DataFrame, cols: Sequence[str], rows: int) -> dict[str, list[float]]:
+    parts = scale.range_count(df, rows)
+    if parts < 2:
+        return {c: [] for c in cols}
     probs = [i / parts for i in range(1, parts)]
-    picked = df.select(*[F.col(c).cast("double").alias(c) for c in cols])
-    if rows > scale.SAMPLE_ROWS:
+    picked = df.select(*[place(df, c).alias(c) for c in cols])
+    sample = max(scale.SAMPLE_ROWS, scale.SAMPLE_PER_RANGE * parts)
+    if rows > sample:
         # The sample is bounded, so the sketches that meet in one task are too.
-        picked = picked.sample(scale.SAMPLE_ROWS / rows, seed=17)
+        picked = picked.sample(sample / rows, seed=17)
     row = picked.agg(*[F.percentile_approx(c, probs, 4 * parts).alias(c) for c in cols]).first()
     return {c: list(row[c] or []) for c in cols}
 
 
-def cut_points(df: DataFrame, col: str, rows: int | None = None) -> list[float]:
-    """Sorted interior cuts that split ``col`` into balanced ranges; [] for few rows.
+def cut_points(df: DataFrame, col: str) -> list[float]:
+    """Sorted interior cuts that split the places of ``col`` into balanced ranges; [] for one range.
 
     A value that fills a whole range (many ties) becomes a range of its own.
     """
-    n = scale.row_bound(df, rows)
-    if n <= scale.TASK_ROWS:
-        return []
-    return _with_heavy_values(_sampled_quantiles(df, [col], n, scale.range_count(df))[col])
+    return _with_heavy_values(_sampled_quantiles(df, [col], df.count())[col])
 
 
 def _with_heavy_values(quantiles: Sequence[float]) -> list[float]:
@@ -58,14 +75,13 @@ def _bucketizer(cols: Sequence[str], cuts: Sequence[Sequence[float]], outs: Sequ
 
 
 def with_bucket(df: DataFrame, col: str, cuts: Sequence[float]) -> DataFrame:
-    """Append the range number of ``col``; 0 when there are no cuts."""
+    """Append the range number of ``col``; 0 when there are no cuts, -1 for null."""
     if not cuts:
-        return df.withColumn(BUCKET, F.lit(0))
-    # Adding zero turns -0.0 into 0.0, which compare equal everywhere else.
-    keyed = df.withColumn("_x", F.col(col).cast("double") + F.lit(0.0))
-    keyed = _bucketizer(["_x"], [cuts], [BUCKET]).transform(keyed)
+        return df.withColumn(BUCKET, F.when(F.col(col).isNull(), -1).otherwise(0))
+    keyed = _bucketizer(["_x"], [cuts], [BUCKET]).transform(df.withColumn("_x", place(df, col)))
     # Never null: joins on it then need no null filter, so both sides can share a shuffle.
-    return keyed.withColumn(BUCKET, F.coalesce(F.col(BUCKET).cast("int"), F.lit(-1))).drop("_x")
+    number = F.when(F.col(col).isNull(), -1).otherwise(F.col(BUCKET).cast("int"))
+    return keyed.withColumn(BUCKET, F.coalesce(number, F.lit(-1))).drop("_x")
 
 
 # --- running totals -------------------------------------------------------------
@@ -79,6 +95,7 @@ def running_totals(df: DataFrame, order: str, totals: Sequence[str], by: Sequenc
     by = list(by)
     key = F.col(order).desc() if descending else F.col(order).asc()
     if not cuts:
+        # One range: nothing comes before it.
         upto = Window.partitionBy(*by).orderBy(key).rowsBetween(Window.unboundedPreceding, 0)
         return df.withColumns({f"cum_{c}": F.sum(c).over(upto) for c in totals})
 
@@ -97,14 +114,13 @@ def running_totals(df: DataFrame, order: str, totals: Sequence[str], by: Sequenc
                                         for c in totals])
 
 
-def ordered_cumsum(df: DataFrame, order: str, cols: Sequence[str], by: Sequence[str] = (),
-                   rows: int | None = None) -> DataFrame:
+def ordered_cumsum(df: DataFrame, order: str, cols: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
     """Totals and running totals per distinct value of ``order``: one row per (by, value).
 
     Rows with equal ``order`` are summed before the shuffle, so a value held by a third
     of the table costs one row per map task.
     """
-    cuts = cut_points(df, order, rows)
+    cuts = cut_points(df, order)
     grouped = (df.where(F.col(order).isNotNull()).groupBy(*by, order)
                .agg(*[F.sum(c).alias(c) for c in cols]))
     return running_totals(grouped, order, cols, by, cuts)
@@ -112,75 +128,55 @@ def ordered_cumsum(df: DataFrame, order: str, cols: Sequence[str], by: Sequence[
 
 # --- ranks ----------------------------------------------------------------------
 
-def percentile_rank(df: DataFrame, col: str, key: str, out: str = "pct_rank",
-                    rows: int | None = None) -> DataFrame:
-    """Average rank of ties divided by the number of non-null values, in (0, 1].
+def percentile_rank(df: DataFrame, col: str, key: str, out: str = "pct_rank") -> DataFrame:
+    """Average rank of ties divided by the number of non-null values, in (0, 1]; null for null.
 
-    One shuffle of the rows. A heavily tied value is a bucket of its own whose rank
-    follows from the bucket counts, so its rows are salted over many tasks.
+    One shuffle of the rows. A bucket that holds a single value has a rank that follows from
+    the bucket counts, so its rows, like those of the nulls, are salted over many tasks.
     """
-    x = F.col(col)
-    n = scale.row_bound(df, rows)
-    cuts = cut_points(df, col, n)
-    if not cuts:
-        return _rank_in_task(df, col, out)
-
-    keyed = with_bucket(df.where(x.isNotNull()), col, cuts)
-    sizes = {r[BUCKET]: r["n"] for r in
-             keyed.groupBy(BUCKET).agg(F.count(F.lit(1)).alias("n")).collect()}
-    total = sum(sizes.values())
-    known, before = [], 0
-    for b in sorted(sizes):
-        tied = 0 < b < len(cuts) and math.nextafter(cuts[b - 1], math.inf) == cuts[b]
-        known.append((b, before, sizes[b], tied))
-        before += sizes[b]
-    # One row per bucket: bounded by range_count.
-    table = df.sparkSession.createDataFrame(known, f"{BUCKET} int, _before long, _size long, _tied boolean")
-
-    salted = (keyed.join(F.broadcast(table), BUCKET)
-              .withColumn("_salt", F.when(F.col("_tied"), F.pmod(F.xxhash64(key), F.lit(len(cuts))))
-                          .otherwise(F.lit(0))))
-    place = Window.partitionBy(BUCKET, "_salt").orderBy(x)
-    peers = place.rangeBetween(Window.currentRow, Window.currentRow)
-    inside = F.rank().over(place) + (F.count(F.lit(1)).over(peers) - 1) / 2
-    rank = F.when(F.col("_tied"), (F.col("_size") + 1) / 2).otherwise(inside) + F.col("_before")
-    ranked = salted.withColumn(out, rank / F.lit(total)).select(*df.columns, out)
-    missing = df.where(x.isNull()).withColumn(out, F.lit(None).cast("double"))
-    return ranked.unionByName(missing)
-
-
-def _rank_in_task(df: DataFrame, col: str, out: str) -> DataFrame:
-    x = F.col(col)
-    place = Window.partitionBy(x.isNull()).orderBy(x)
-    peers = place.rangeBetween(Window.currentRow, Window.currentRow)
-    whole = place.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    rank = F.rank().over(place) + (F.count(x).over(peers) - 1) / 2
-    return df.withColumn(out, F.when(x.isNotNull(), rank / F.count(x).over(whole)))
+    return percentile_ranks(df, {col: out}, key)
+
+
+def percentile_ranks(df: DataFrame, cols: Mapping[str, str], key: str) -> DataFrame:
+    """``percentile_rank`` of several columns (column -> name of its rank): one shuffle for each."""
+    n = df.count()
+    sampled = _sampled_quantiles(df, list(cols), n)
+    out = df
+    for col, name in cols.items():
+        cuts = _with_heavy_values(sampled[col])
+        x = F.col(col)
+        # Counted over ``df``, not over the ranks so far.
+        sizes = (with_bucket(df, col, cuts).groupBy(BUCKET)
+                 .agg(F.count(F.lit(1)).alias("n"), (F.min(x) == F.max(x)).alias("one")).collect())
+        known, before = [], 0
+        for r in sorted(sizes, key=lambda r: r[BUCKET]):
+            null = r[BUCKET] < 0
+            known.append((r[BUCKET], before, r["n"], bool(r["one"]) or null))
+            before += 0 if null else r["n"]
+        # One row per bucket.
+        table = df.sparkSession.createDataFrame(known, f"{BUCKET} int, _before long, _size long, _tied boolean")
+        salts = max(1, len(cuts))
+        salted = (with_bucket(out, col, cuts).join(F.broadcast(table), BUCKET)
+                  .withColumn("_salt", F.when(F.col("_tied"), F.pmod(F.xxhash64(key), F.lit(salts))).otherwise(F.lit(0))))
+        at = Window.partitionBy(BUCKET, "_salt").orderBy(x)
+        peers = at.rangeBetween(Window.currentRow, Window.currentRow)
+        inside = F.rank().over(at) + (F.count(F.lit(1)).over(peers) - 1) / 2
+        rank = F.when(F.col("_tied"), (F.col("_size") + 1) / 2).otherwise(inside) + F.col("_before")
+        ranked = F.when(x.isNotNull(), rank / F.lit(max(1, before)))
+        out = salted.withColumn(name, ranked).select(*out.columns, name)
+    return out
 
 
 # --- exact quantiles ------------------------------------------------------------
 
-def quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
-              rows: int | None = None) -> dict[str, list[float]]:
-    """Exact quantiles with linear interpolation, for all columns together.
+def quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float]) -> dict[str, list[float]]:
+    """Exact quantiles of numbers with linear interpolation, for all columns together.
 
-    Few rows: one aggregation. Otherwise three column-pruned scans: sampled cuts, counts
-    per range, then only the ranges that hold a wanted position are grouped by value and
-    counted through. No value map of a whole column is ever built.
+    A count, a sample for the cuts, counts per range; then only the ranges that hold a wanted
+    position are grouped by value and counted through. No value map of a whole column is built.
     """
     cols, probs = list(cols), list(probs)
-    n = scale.row_bound(df, rows)
-    if n <= scale.TASK_ROWS:
-        wanted = F.array(*[F.lit(float(p)) for p in probs])
-        row = df.agg(*[F.percentile(F.col(c).cast("double"), wanted).alias(f"q{i}")
-                       for i, c in enumerate(cols)]).first()
-        return {c: list(row[i] or []) for i, c in enumerate(cols)}
-    return _quantiles_by_range(df, cols, probs, n)
-
-
-def _quantiles_by_range(df: DataFrame, cols: list[str], probs: list[float], rows: int) -> dict[str, list[float]]:
-    parts = scale.range_count(df)
-    sampled = _sampled_quantiles(df, cols, rows, parts)
+    sampled = _sampled_quantiles(df, cols, df.count())
     cuts = [_with_heavy_values(sampled[c]) for c in cols]
     values = df.select(*[(F.col(c).cast("double") + F.lit(0.0)).alias(f"v{i}")
                          for i, c in enumerate(cols)])
@@ -226,9 +222,9 @@ def _quantiles_by_range(df: DataFrame, cols: list[str], probs: list[float], rows
     return out
 
 
-def quantile_edges(df: DataFrame, cols: Sequence[str], q: int, rows: int | None = None) -> dict[str, list[float]]:
+def quantile_edges(df: DataFrame, cols: Sequence[str], q: int) -> dict[str, list[float]]:
     """Distinct equal-frequency bin edges per column."""
-    found = quantiles(df, cols, [i / q for i in range(q + 1)], rows)
+    found = quantiles(df, cols, [i / q for i in range(q + 1)])
     return {c: sorted(set(edges)) for c, edges in found.items()}
 
 
@@ -256,14 +252,14 @@ def unpivot_bins(df: DataFrame, edges: Mapping[str, Sequence[float]], keep: Sequ
     return long.where(F.col("bin").isNotNull()).withColumn("column", F.substring("column", 6, 1 << 20))
 
 
-def quantile_bin(df: DataFrame, col: str, q: int, out: str | None = None, rows: int | None = None,
+def quantile_bin(df: DataFrame, col: str, q: int, out: str | None = None,
                  edges: Sequence[float] | None = None) -> DataFrame:
     """Append ``<col>_bin``, a struct of bin number and its (lo, hi] bounds.
 
     Equal-frequency bins, ties never split, equal edges merged. Null where the value is
     null or the column has a single value.
     """
-    cuts = list(edges) if edges is not None else quantile_edges(df, [col], q, rows)[col]
+    cuts = list(edges) if edges is not None else quantile_edges(df, [col], q)[col]
     number = bin_of(col, cuts)
     if len(cuts) < 2:
         bounds = F.struct(number.alias("bin"), F.lit(None).cast("double").alias("lo"),
@@ -291,9 +287,9 @@ def sort_rows(df: DataFrame, by: str, key: str, ascending: bool = False) -> Data
     return df.orderBy(first, F.col(key).asc())
 
 
-def decile_table(df: DataFrame, p: str, y: str, q: int = 10, rows: int | None = None) -> DataFrame:
+def decile_table(df: DataFrame, p: str, y: str, q: int = 10) -> DataFrame:
     """Per prediction quantile: rows, actual rate, mean, min and max prediction."""
-    edges = quantile_edges(df, [p], q, rows)[p]
+    edges = quantile_edges(df, [p], q)[p]
     return (df.withColumn("bin", bin_of(p, edges)).where(F.col("bin").isNotNull())
             .groupBy("bin").agg(
                 F.count(F.lit(1)).alias("count"), F.avg(y).alias("actual_rate"),

@@ -7,7 +7,6 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from propensity import scale
 from propensity.operators.order import quantiles
 
 
@@ -84,14 +83,10 @@ def distinct_levels(df: DataFrame, col: str) -> DataFrame:
     return df.select(col).where(F.col(col).isNotNull()).distinct().orderBy(col)
 
 
-def describe(df: DataFrame, cols: Sequence[str], rows: int | None = None) -> DataFrame:
+def describe(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """count, mean, sample deviation, min, quartiles, max: one row per column."""
-    n = scale.row_bound(df, rows)
-    if n <= scale.TASK_ROWS:
-        q = {c: F.percentile(F.col(c).cast("double"), F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))) for c in cols}
-    else:
-        found = quantiles(df, cols, [0.25, 0.5, 0.75], n)
-        q = {c: F.array(*[F.lit(v) for v in found[c] or [None] * 3]) for c in cols}
+    found = quantiles(df, cols, [0.25, 0.5, 0.75])
+    q = {c: F.array(*[F.lit(v) for v in found[c] or [None] * 3]) for c in cols}
 
     def cell(c: str) -> Column:
         x = F.col(c).cast("double")
@@ -103,13 +98,9 @@ def describe(df: DataFrame, cols: Sequence[str], rows: int | None = None) -> Dat
     return _stack(df, [cell(c) for c in cols])
 
 
-def prediction_stats(df: DataFrame, col: str, rows: int | None = None) -> DataFrame:
+def prediction_stats(df: DataFrame, col: str) -> DataFrame:
     """min, max, mean, median and population deviation of a prediction column."""
-    n = scale.row_bound(df, rows)
-    if n <= scale.TASK_ROWS:
-        median = F.percentile(F.col(col).cast("double"), 0.5)
-    else:
-        median = F.lit((quantiles(df, [col], [0.5], n)[col] or [None])[0]).cast("double")
+    median = F.lit((quantiles(df, [col], [0.5])[col] or [None])[0]).cast("double")
     return df.agg(F.min(col).alias("min"), F.max(col).alias("max"), F.avg(col).alias("mean"),
                   median.alias("median"), F.stddev_pop(col).alias("std"))
 
@@ -184,7 +175,7 @@ def histogram(df: DataFrame, col: str, bins: int, by: str | None = None) -> Data
     ranges = known.groupBy(*keys).agg(F.min(x).alias("_lo"), F.max(x).alias("_hi"), F.count(x).alias("_total"))
     # The rows are read twice but only (class, bin) counts are shuffled.
     if by:
-        ends = scale.join_small(known, ranges, keys, "inner")
+        ends = known.join(ranges, keys)
     else:
         one = ranges.first()
         ends = known.withColumns({k: F.lit(one[k]) for k in ("_lo", "_hi", "_total")})

@@ -1,8 +1,7 @@
 """Target rates over one, two and three columns, from few scans.
 
-Counts and sums add up, so every family of column subsets is taken from one table at
-the finest grain: that aggregation runs map-side over the rows, and the expansion into
-subsets sees only its groups.
+Every family of column subsets comes from one scan and one shuffle: a row is spread over
+the subsets and counted map-side, so that groups, not rows, cross the network.
 """
 
 from __future__ import annotations
@@ -16,9 +15,6 @@ from pyspark.sql import functions as F
 
 from propensity.operators.order import edge_table, quantile_edges, unpivot_bins
 
-# Subsets per pass: bounds how often a row is expanded.
-SETS_PER_PASS = 64
-
 
 def _rate(positives: str = "positives", count: str = "count") -> Column:
     return F.col(positives) / F.col(count)
@@ -90,34 +86,23 @@ def subset_counts(df: DataFrame, subsets: Sequence[Sequence[str]],
     """Counts of every combination of every column subset, and the overall target rate.
 
     Rows (``subset``, ``count``, ``positives``), with ``subset`` the position in
-    ``subsets``; combinations with a null key are left out. The rows of ``df`` are
-    grouped once by all columns, and the subsets are rolled up from those groups.
+    ``subsets``; combinations with a null key are left out. Any number of columns and subsets:
+    a group is known by its subset's number and the texts of its keys.
     """
     subsets = [tuple(s) for s in subsets]
-    fine = _counts(df, sorted({c for s in subsets for c in s}), y)
-    out = None
-    for start in range(0, len(subsets), SETS_PER_PASS):
-        chunk = subsets[start:start + SETS_PER_PASS]
-        rolled = _grouped_by_sets(fine, chunk)
-        used = sorted({c for s in chunk for c in s})
-        filled = sum((F.col(c).isNotNull().cast("int") for c in used), F.lit(0))
-        size = F.element_at(F.array(*[F.lit(len(s)) for s in chunk]), F.col("_set") + 1)
-        part = rolled.where(filled == size).select((F.col("_set") + start).alias("subset"), "count", "positives")
-        out = part if out is None else out.unionByName(part)
-    overall = fine.agg((F.sum("positives") / F.sum("count")).alias("rate")).scalar()
-    return out, overall
-
-
-def _grouped_by_sets(groups: DataFrame, sets: Sequence[Sequence[str]]) -> DataFrame:
-    """Counts rolled up to each set, with the position of the set as ``_set``."""
-    used = sorted({c for s in sets for c in s})
-    rolled = groups.groupingSets([list(s) for s in sets], *used).agg(
-        F.grouping_id().alias("_g"), F.sum("count").alias("count"), F.sum("positives").alias("positives"))
-    # grouping_id has one bit per column, first column highest, set when rolled up.
-    ids = {sum(1 << (len(used) - 1 - i) for i, c in enumerate(used) if c not in s): k
-           for k, s in enumerate(sets)}
-    place = F.create_map(*[F.lit(x) for pair in ids.items() for x in pair])
-    return rolled.withColumn("_set", place[F.col("_g").cast("int")]).drop("_g")
+    used = sorted({c for s in subsets for c in s})
+    place = {c: i for i, c in enumerate(used)}
+    # Subset number -> places of its columns, as one literal.
+    places = F.expr("array(" + ", ".join(f"array({', '.join(str(place[c]) for c in s)})" for s in subsets) + ")")
+    texts = F.array(*[F.col(c).cast("string") for c in used])
+    rows = _labelled(df, y).select("_one", "_label", texts.alias("_texts"),
+                                   F.explode(F.sequence(F.lit(0), F.lit(len(subsets) - 1))).alias("subset"))
+    keys = F.transform(F.get(places, F.col("subset")), lambda i: F.get(F.col("_texts"), i))
+    stats = (rows.select("_one", "_label", "subset", keys.alias("_keys"))
+             .where(~F.exists("_keys", lambda k: k.isNull()))
+             .groupBy("subset", "_keys").agg(F.count("_one").alias("count"), F.sum("_label").alias("positives")))
+    overall = _labelled(df, y).agg((F.sum("_label") / F.count("_one")).alias("rate")).scalar()
+    return stats.drop("_keys"), overall
 
 
 def _spread(stats: DataFrame, by: Sequence[str], overall: Column, min_count: int) -> DataFrame:
@@ -168,29 +153,29 @@ def combo_frequencies(df: DataFrame, cats: Sequence[str]) -> DataFrame:
     ).select(_joined(pairs).alias("features"), "n_combinations", "min_count", "median_count", "max_count")
 
 
-def numeric_profiles(df: DataFrame, cols: Sequence[str], y: str, q: int = 10, rows: int | None = None,
+def numeric_profiles(df: DataFrame, cols: Sequence[str], y: str, q: int = 10,
                      edges: Mapping[str, Sequence[float]] | None = None) -> DataFrame:
     """Target rate per quantile bin of many columns: one scan for edges, one for counts."""
-    edges = edges or quantile_edges(df, cols, q, rows)
+    edges = edges or quantile_edges(df, cols, q)
     stats = _counts(unpivot_bins(df, edges, [y]), ["column", "bin"], y)
     return (stats.join(F.broadcast(edge_table(df, edges)), ["column", "bin"])
             .select("column", "bin", "lo", "hi", _rate().alias("mean"), "count", (_rate() * 100).alias("rate_pct")))
 
 
-def numeric_profile(df: DataFrame, col: str, y: str, q: int = 10, rows: int | None = None) -> DataFrame:
+def numeric_profile(df: DataFrame, col: str, y: str, q: int = 10) -> DataFrame:
     """Target rate per quantile bin of a numeric column."""
-    return numeric_profiles(df, [col], y, q, rows).drop("column")
+    return numeric_profiles(df, [col], y, q).drop("column")
 
 
 def numeric_cat_interactions(df: DataFrame, nums: Sequence[str], cats: Sequence[str], y: str, q: int = 5,
-                             min_count: int = 100, rows: int | None = None,
+                             min_count: int = 100,
                              edges: Mapping[str, Sequence[float]] | None = None) -> DataFrame:
     """Spread of the target rate for each numeric-bin by category grid: one scan for edges, one for counts.
 
     Rows are grouped by (numeric column, bin, all categories) and only those groups are
     spread over the categories.
     """
-    edges = edges or quantile_edges(df, nums, q, rows)
+    edges = edges or quantile_edges(df, nums, q)
     texts = df.select(y, *nums, *[F.col(c).cast("string").alias(f"_cat_{c}") for c in cats])
     cells = [f"_cat_{c}" for c in cats]
     fine = _counts(unpivot_bins(texts, edges, [y, *cells]), ["column", "bin", *cells], y)
@@ -210,10 +195,16 @@ def _remainders(df: DataFrame, cols: Sequence[str], mods: Sequence[int], sums: d
     once per column and modulus.
     """
     span = lcm(*mods)
-    long = (df.select(*[F.col(c).cast("double").alias(c) for c in cols], *[v.alias(k) for k, v in sums.items()])
-            .unpivot(list(sums), list(cols), "feature", "value").where(F.col("value").isNotNull()))
-    coarse = (long.withColumn("_r", F.col("value") % F.lit(float(span)))
-              .groupBy("feature", "_r").agg(*[F.sum(k).alias(k) for k in sums], F.count(F.lit(1)).alias("count")))
+    kinds = dict(df.dtypes)
+
+    def rest(c: str) -> Column:
+        # Whole numbers stay whole: as doubles they lose their last digits beyond 2^53.
+        if kinds[c] in ("tinyint", "smallint", "int", "bigint") or kinds[c].endswith(",0)"):
+            return (F.col(c) % F.lit(span)).cast("double")
+        return F.col(c).cast("double") % F.lit(float(span))
+    long = (df.select(*[rest(c).alias(c) for c in cols], *[v.alias(k) for k, v in sums.items()])
+            .unpivot(list(sums), list(cols), "feature", "_r").where(F.col("_r").isNotNull()))
+    coarse = long.groupBy("feature", "_r").agg(*[F.sum(k).alias(k) for k in sums], F.count(F.lit(1)).alias("count"))
     spread = coarse.withColumn("mod", F.explode(F.array(*[F.lit(m) for m in mods])))
     return (spread.withColumn("value", F.pmod(F.col("_r"), F.col("mod").cast("double")) + F.lit(0.0))
             .groupBy("feature", "mod", "value")

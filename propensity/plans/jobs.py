@@ -12,7 +12,6 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from propensity import scale
 from propensity.functions import columns as fx
 from propensity.operators import align, checks, features, folds, metrics, model, order, profile, rates
 from propensity.operators import search as tuning
@@ -60,8 +59,8 @@ def _finish(cv: model.CvResult, template: DataFrame, key: str, y: str, out: str,
 
     n = cv.data.rows
     stats = profile.prediction_stats(test, "prediction").first()
-    ap = metrics.average_precision(cv.oof, "label", "prediction", rows=n).first()[0]
-    pooled = metrics.roc_auc(cv.oof, "label", "prediction", rows=n).first()["auc"]
+    ap = metrics.average_precision(cv.oof, "label", "prediction").first()[0]
+    pooled = metrics.roc_auc(cv.oof, "label", "prediction").first()["auc"]
     summary = {**cv.metrics(), "pooled_auc": pooled, "average_precision": ap, "train_rows": float(n),
                "scored_min": stats["min"], "scored_max": stats["max"], "scored_mean": stats["mean"], **(extra or {})}
     if ledger is not None:
@@ -166,23 +165,10 @@ def profile_tables(train: DataFrame, test: DataFrame, key: str, target: str, num
     return _write_all(tables, out)
 
 
-# The written shortlist of derived columns.
-CANDIDATES = (
-    ("Stations_Total", "numeric", "Combined charging infrastructure"),
-    ("Stations_Difference", "numeric", "Home vs work charging asymmetry"),
-    ("Income_per_Age", "numeric", "Economic capacity relative to age"),
-    ("Income_per_Commute", "numeric", "Economic capacity relative to mobility demand"),
-    ("Subsidy_x_Environmental", "interaction", "Strong individual signals may interact"),
-    ("Subsidy_x_Anxiety", "interaction", "Potential policy × adoption barrier interaction"),
-    ("Environmental_x_Anxiety", "interaction", "Potential motivation × barrier interaction"),
-)
-
-
 def interaction_tables(df: DataFrame, y: str, nums: Sequence[str], cats: Sequence[str], strong: Sequence[str],
                        digits: Sequence[str], roles: Roles = Roles(), min_count: int = 100,
                        mods: Sequence[int] = (2, 3, 5, 10, 100), out: str | None = None) -> dict[str, DataFrame]:
     """Target rates over one, two and three columns, digit audit, correlations."""
-    rows = df.count()
     r = roles
     ratios = {
         "income_per_age": fx.ratio(r.income, r.age, offset=1),
@@ -195,10 +181,10 @@ def interaction_tables(df: DataFrame, y: str, nums: Sequence[str], cats: Sequenc
     by_range = F.desc("rate_range")
     tables = {
         "rates": rates.target_rates(df, cats, y).orderBy("feature", F.desc("mean"), "value"),
-        "profiles": rates.numeric_profiles(df, nums, y, 10, rows).orderBy("column", "bin"),
+        "profiles": rates.numeric_profiles(df, nums, y, 10).orderBy("column", "bin"),
         "categorical_interactions": rates.pair_interactions(df, cats, y, min_count)
         .orderBy(by_range, "feature_1", "feature_2"),
-        "numeric_categorical_interactions": rates.numeric_cat_interactions(df, nums, cats, y, 5, min_count, rows)
+        "numeric_categorical_interactions": rates.numeric_cat_interactions(df, nums, cats, y, 5, min_count)
         .orderBy(by_range, "numerical", "categorical"),
         "three_way_interactions": rates.triple_interactions(df, strong, y, min_count).orderBy(by_range, "features"),
         "combination_frequencies": rates.combo_frequencies(df, cats).orderBy("features"),
@@ -206,7 +192,6 @@ def interaction_tables(df: DataFrame, y: str, nums: Sequence[str], cats: Sequenc
         .orderBy(F.desc("max_deviation"), "feature", "operation"),
         "correlations": profile.corr_wide(profile.corr_matrix(df, [*nums, y]), [*nums, y]),
         "ratio_correlations": profile.corr_with_target(df, ratios, y).orderBy(F.desc("corr")),
-        "candidate_features": df.sparkSession.createDataFrame(CANDIDATES, "feature string, type string, reason string"),
     }
     return _write_all(tables, out)
 
@@ -217,28 +202,27 @@ def error_tables(df: DataFrame, preds: DataFrame, key: str, y: str, nums: Sequen
     """Diagnostics of one model's out-of-fold predictions, joined by key and stored once."""
     p = "prediction"
     joined = stored(features.residuals(align.attach(df, preds.select(key, p), key), y, p), "analysis")
-    rows = joined.count()
-    cuts = order.cut_points(joined, p, rows)
+    cuts = order.cut_points(joined, p)
     # One hundred rows each, read by many tables below.
-    hard, easy = (scale.local_table(order.top_k(joined, p, 100, key, ascending=k == 1, where=F.col(y) == k), 100)
+    hard, easy = (stored(order.top_k(joined, p, 100, key, ascending=k == 1, where=F.col(y) == k), "hard")
                   for k in (1, 0))
     pair = ("hard_positive", "hard_negative")
     tables = {
-        "stats": profile.prediction_stats(joined, p, rows),
+        "stats": profile.prediction_stats(joined, p),
         "roc_auc": metrics.roc_auc(joined, y, p, cuts=cuts),
         "average_precision": metrics.average_precision(joined, y, p, cuts=cuts),
         "histogram": profile.histogram(joined, p, 100, y),
-        "deciles": order.decile_table(joined, p, y, 10, rows).orderBy("bin"),
+        "deciles": order.decile_table(joined, p, y, 10).orderBy("bin"),
         "subgroups": metrics.subgroup_auc(joined, cats, y, p, cuts=cuts).orderBy("auc", "feature", "value"),
         "largest_residuals": order.top_k(joined, "abs_residual", 50, key).select(key, y, p, "residual", "abs_residual"),
         "hard_positive": hard, "hard_negative": easy,
         "hard_means": profile.group_means(hard, easy, nums, pair),
         "modulo_residuals": rates.modulo_residual_audit(joined, mod_cols, (2, 3, 5, 10, 100), y, p),
     }
-    tables["auc_by_quantile"] = metrics.auc_by_quantiles(joined, nums, y, p, 10, rows, cuts).orderBy("column", "bin")
+    tables["auc_by_quantile"] = metrics.auc_by_quantiles(joined, nums, y, p, 10, cuts).orderBy("column", "bin")
     tables |= {f"hard_share_{c}": align.compare_shares(hard, easy, c, pair) for c in cats}
     for by, bins in conditions:
         label = "_".join([*by, *[f"{c}{q}" for c, q in bins.items()]])
         tables[f"conditional_{label}"] = metrics.conditional_auc(
-            joined, y, p, by, dict(bins), min_count, rows, cuts).orderBy("auc")
+            joined, y, p, by, dict(bins), min_count, cuts).orderBy("auc")
     return _write_all(tables, out)

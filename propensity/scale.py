@@ -1,55 +1,24 @@
-"""Size checks that choose between a simple plan and a distributed one.
+"""How many value ranges an ordered operator cuts its input into.
 
-A plan that is only safe on few rows (one sort task, a broadcast) is taken after its
-input was counted against a bound here. Every caller has a second way that holds at
-any size, and tests run both.
+One plan serves every size: a table that fits one range is the case of a single range.
 """
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
-# Rows that one task may sort or one aggregation buffer may hold.
-TASK_ROWS = 250_000
-# Rows of a side table that may be broadcast.
-BROADCAST_ROWS = 100_000
-# Rows a sampled estimate is drawn from.
+# Rows of a range: no window holds many more, whatever the size of the table.
+MOST_ROWS = 1_000_000
+# Below this a range is not worth a task of its own.
+LEAST_ROWS = 20_000
+# Rows a sampled estimate is drawn from, at least, and for each range.
 SAMPLE_ROWS = 200_000
+SAMPLE_PER_RANGE = 20
 
 
-def row_bound(df: DataFrame, rows: int | None) -> int:
-    """``rows`` when the caller knows an upper bound, else a count."""
-    return df.count() if rows is None else rows
-
-
-def range_count(df: DataFrame) -> int:
-    """How many value ranges to cut a sort into: several per shuffle partition."""
+def range_count(df: DataFrame, rows: int) -> int:
+    """Enough ranges to use the shuffle partitions, none of them tiny, none of them huge."""
     partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return max(16, min(8192, 4 * partitions))
-
-
-def local_table(df: DataFrame, limit: int | None = None) -> DataFrame | None:
-    """``df`` as a local relation when it has at most ``limit`` rows, else None.
-
-    Reads at most ``limit`` + 1 rows to the driver, so the size is proven before
-    anything is broadcast.
-    """
-    limit = BROADCAST_ROWS if limit is None else limit
-    rows = df.limit(limit + 1).collect()
-    if len(rows) > limit:
-        return None
-    return df.sparkSession.createDataFrame(rows, df.schema)
-
-
-def join_small(big: DataFrame, small: DataFrame, on: list[str], how: str = "left",
-               limit: int | None = None) -> DataFrame:
-    """Join that broadcasts ``small`` only when it was found to be small.
-
-    Beyond the limit it is an ordinary shuffled join, which adaptive execution
-    splits where a key is skewed.
-    """
-    local = local_table(small, limit)
-    if local is None:
-        return big.join(small, on, how)
-    return big.join(F.broadcast(local), on, how)
+    return max(1, math.ceil(rows / MOST_ROWS), min(4 * partitions, rows // LEAST_ROWS))

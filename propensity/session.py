@@ -36,12 +36,17 @@ def _local_folder() -> str:
 
 
 def work_folder(spark: SparkSession, label: str) -> str:
-    """A fresh folder for written intermediate tables.
+    """A fresh folder for written intermediate tables, under ``spark.checkpoint.dir``.
 
-    The cluster names a shared folder in ``spark.checkpoint.dir``. Only when that is
-    unset (local tests) does this fall back to a temporary folder of the machine.
+    The cluster names a folder there that all its machines share. Where it is unset, only a
+    session whose executors run in the driver (``local``) gets a temporary folder of the machine;
+    any other is refused, as each executor would write to its own disk.
     """
-    shared = spark.conf.get("spark.checkpoint.dir", None) or _local_folder()
+    shared = spark.conf.get("spark.checkpoint.dir", None)
+    if not shared:
+        if not spark.conf.get("spark.master", "").startswith("local["):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        shared = _local_folder()
     return f"{shared.rstrip('/')}/propensity/{label}-{uuid.uuid4().hex}"
 
 

@@ -138,10 +138,13 @@ def load_predictions(spark: SparkSession, path: str, model: str, key: str, fallb
     from pyspark.errors import AnalysisException
 
     try:
-        return spark.read.parquet(f"{path.rstrip('/')}/model={model}").select(key, "prediction")
-    except AnalysisException:
-        if fallback is None or fallback_target is None:
+        saved = spark.read.parquet(f"{path.rstrip('/')}/model={model}")
+    except AnalysisException as error:
+        # Only a table that is not there is replaced; a damaged one fails.
+        if error.getCondition() != "PATH_NOT_FOUND" or fallback is None or fallback_target is None:
             raise
+    else:
+        return saved.select(key, "prediction")
     scored = spark.read.option("header", True).csv(fallback)
     if fallback_target not in scored.columns:
         raise ContractError(f"{fallback} has no column {fallback_target!r}; found {scored.columns}")

@@ -31,7 +31,10 @@ ROLES = Roles(age="nation", income="amount", commute="balance", home="n_lines",
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/{name}.parquet")
+    """A given table; NaN reads as null."""
+    df = spark.read.parquet(f"{folder}/{name}.parquet")
+    floats = [c for c, kind in df.dtypes if kind in ("double", "float")]
+    return df.withColumns({c: F.when(~F.isnan(c), F.col(c)) for c in floats}) if floats else df
 
 
 def orders_frame(spark: SparkSession, folder: str, columns: Sequence[str] | None = None) -> DataFrame:

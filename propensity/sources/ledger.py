@@ -29,7 +29,9 @@ class RunLedger:
     def _read(self, table: str, schema: str) -> DataFrame:
         try:
             return self.spark.read.schema(schema).parquet(f"{self.folder}/{table}")
-        except AnalysisException:
+        except AnalysisException as error:
+            if error.getCondition() != "PATH_NOT_FOUND":
+                raise
             return self.spark.createDataFrame([], schema)
 
     def start(self, name: str, summary: Mapping[str, object] | None = None) -> str:

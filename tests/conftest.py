@@ -25,10 +25,11 @@ def folder():
 
 @pytest.fixture
 def tiny_tasks(monkeypatch):
-    """Every size check fails, so operators take their distributed ways."""
-    monkeypatch.setattr(scale, "TASK_ROWS", 20)
+    """Ranges of a few rows, so that small tables are cut into many."""
+    monkeypatch.setattr(scale, "MOST_ROWS", 40)
+    monkeypatch.setattr(scale, "LEAST_ROWS", 20)
     monkeypatch.setattr(scale, "SAMPLE_ROWS", 200)
-    monkeypatch.setattr(scale, "BROADCAST_ROWS", 3)
+    monkeypatch.setattr(scale, "SAMPLE_PER_RANGE", 5)
 
 
 @pytest.fixture(scope="session")

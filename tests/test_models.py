@@ -269,11 +269,18 @@ def test_work_folder_is_the_shared_one(spark):
 
 
 def test_work_folder_without_a_shared_one():
-    class Unset:
-        class conf:
-            @staticmethod
-            def get(name, default):
-                return default
-
-    a, b = work_folder(Unset, "x"), work_folder(Unset, "x")
-    assert a != b and a.rsplit("/", 2)[0] == b.rsplit("/", 2)[0]
+    class Session:
+        def __init__(self, master):
+            self.conf = {"spark.master": master}
+
+    assert work_folder(Session("local[2]"), "x").startswith("/")
+    for master in ("spark://host:7077", "local-cluster[2,1,1024]", "yarn"):
+        with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+            work_folder(Session(master), "x")
+
+
+def test_settings_that_name_another_objective_are_refused():
+    assert model.merge_params({"objective": "binary", "metric": "auc"}) == model.merge_params()
+    for wrong in ({"objective": "regression"}, {"metric": "rmse"}, {"tree_method": "exact"}):
+        with pytest.raises(ValueError, match="fitted with"):
+            model.merge_params(wrong)

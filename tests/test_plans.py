@@ -5,7 +5,7 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
-from __spark_entry__ import queries
+from propensity.catalog import QUERIES
 from propensity.operators import folds, metrics, order, rates
 from propensity.sources import frames
 
@@ -15,18 +15,18 @@ def plan(df, mode="formatted"):
 
 
 ROWWISE = ["features_v1", "features_v2", "cross_texts", "encode_target_strict", "ratio_amount_per_line"]
-NO_MODEL = sorted(n for n, f in queries().items() if f.__module__ != "propensity.catalog.models")
+NO_MODEL = sorted(n for n, f in QUERIES.items() if f.__module__ != "propensity.catalog.models")
 
 
 @pytest.mark.parametrize("name", NO_MODEL)
 def test_no_cross_join_and_no_python(spark, folder, name):
-    text = plan(queries()[name](spark, folder), "simple")
+    text = plan(QUERIES[name](spark, folder), "simple")
     for bad in ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "ArrowEvalPython", "MapInPandas"):
         assert bad not in text, bad
 
 
 def test_scan_reads_only_the_needed_columns(spark, folder):
-    text = plan(queries()["target_rate_region"](spark, folder))
+    text = plan(QUERIES["target_rate_region"](spark, folder))
     reads = re.findall(r"ReadSchema: struct<([^>]*)>", text)
     assert any(set(r.split(",")) == {"o_custkey:bigint", "o_orderstatus:string"} for r in reads)
     assert "lineitem" not in text
@@ -44,7 +44,7 @@ def test_one_scan_per_family(spark, folder):
         made.collect()
         text = plan(made, "simple").split("\n+- == Initial Plan ==")[0]
         # All subsets expand from one grouped scan.
-        assert text.count("FileScan") == 1 and text.count("Expand") == 1
+        assert text.count("FileScan") == 1 and text.count("Generate explode") == 1
 
 
 def test_overall_rate_reuses_the_groups(spark, folder):
