@@ -47,6 +47,24 @@ def fingerprint(hashes: Column) -> Column:
                            F.lit(0).cast("long"))))
 
 
+def fingerprints(df: DataFrame, keys: list[str], hashes: str, out: str) -> DataFrame:
+    """The same for many rows: keys and fingerprint.
+
+    Bits are summed by an aggregation, which is compiled and sums a row's hashes before the
+    shuffle; two bits share a sum, 32 binary places apart.
+    """
+    pair = F.lit((1 << 32) + 1)
+    bits = df.select(*keys, F.explode(hashes).alias("h")).groupBy(*keys).agg(
+        F.count(F.lit(1)).alias("_n"), *(F.sum(F.shiftrightunsigned("h", b).bitwiseAND(pair)).alias(f"_{b}") for b in range(32)))
+    f = F.lit(0).cast("long")
+    for b in range(32):
+        low, high = F.col(f"_{b}").bitwiseAND(F.lit((1 << 32) - 1)), F.shiftrightunsigned(F.col(f"_{b}"), 32)
+        for count, at in ((low, b), (high, b + 32)):
+            one = F.lit((1 << at) - (1 << 64) * (at == 63)).cast("long")
+            f = f.bitwiseOR(F.when(count * 2 > F.col("_n"), one).otherwise(F.lit(0).cast("long")))
+    return bits.select(*keys, f.alias(out))
+
+
 def blocks(f: Column, radius: int) -> Column:
     """(block number, its bits) of each of radius + 1 blocks."""
     cuts = [64 * k // (radius + 1) for k in range(radius + 2)]
@@ -106,10 +124,11 @@ def leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text: s
         own = own.when(F.col("width") == k, shingles(F.col("part"), k))
     windows = (texts.join(windows, "key").select("key", "n", "start", "width", part.alias("part"))
                .select("key", "n", "start", own.alias("w_own")).where("size(w_own) > 0"))
-    windows = stored(windows.withColumn("w_f", fingerprint(F.col("w_own"))), "windows")
+    windows = stored(windows, "windows")
 
     side = items.select("item", "n", "f", F.explode(blocks(F.col("f"), radius)).alias("block"))
-    asks = windows.select("key", "start", "n", "w_f", F.explode(blocks(F.col("w_f"), radius)).alias("block"))
+    prints = fingerprints(windows, ["key", "start", "n"], "w_own", "w_f")
+    asks = prints.select("key", "start", "n", "w_f", F.explode(blocks(F.col("w_f"), radius)).alias("block"))
     near = asks.join(side, ["n", "block"]).where(F.bit_count(F.col("f").bitwiseXOR(F.col("w_f"))) <= radius)
     near = near.select("key", "start", "n", "item").distinct()
     both = near.join(windows, ["key", "start", "n"]).join(items.select("item", "own"), "item")

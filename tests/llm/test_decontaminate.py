@@ -69,3 +69,11 @@ def test_whole_table(spark):
     docs = pd.read_parquet(f"{SF}/documents.parquet")
     items = pd.read_parquet(f"{SF}/benchmark.parquet")
     check(spark, list(zip(docs.doc_id.tolist(), docs.text)), list(zip(items.item_id.tolist(), items.text)))
+
+
+def test_both_ways_to_a_fingerprint(spark):
+    from pyspark.sql import functions as F
+
+    df = spark.range(50).withColumn("h", F.transform(F.sequence(F.lit(0), F.col("id") % 9), lambda i: F.xxhash64("id", i)))
+    one = {r.id: r.f for r in df.select("id", dc.fingerprint(F.col("h")).alias("f")).collect()}
+    assert {r.id: r.f for r in dc.fingerprints(df, ["id"], "h", "f").collect()} == one and len(set(one.values())) > 40
