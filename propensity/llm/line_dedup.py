@@ -124,6 +124,6 @@ def clean(docs: DataFrame, id_col: str = "doc_id", text: str = "text", similarit
     """``docs`` with the removed lines cut from the text."""
     gone = dedup(docs, id_col, text, similarity).where("n_removed > 0").select(
         F.col(id_col).alias("_id"), F.col("removed").alias("_gone")).dropDuplicates(["_id"])
-    kept = F.array_join(F.filter(F.split(docs[text], "\n"), lambda line, k: ~F.coalesce(F.array_contains("_gone", k), F.lit(False))), "\n")
+    kept = F.array_join(F.filter(F.split(docs[text], "\n"), lambda line, k: ~F.coalesce(F.array_contains(gone["_gone"], k), F.lit(False))), "\n")
     both = docs.join(gone, docs[id_col].eqNullSafe(gone["_id"]), "left")
     return both.select(*(kept.alias(c) if c == text else docs[c] for c in docs.columns))

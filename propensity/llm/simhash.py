@@ -116,26 +116,31 @@ def groups(docs: DataFrame, width: int = 3, radius: int = RADIUS, id_col: str =
 
 
 # Documents whose shingles are alike to 0.8 differ in about 6 of 64 bits of a fingerprint over
-# five-word shingles, too many for a grid of radius 2. Fingerprints over single words, each
-# weighted by the root of its count, differ in about 2. Four of them find nearly all such pairs;
-# the shingles themselves then decide.
-PRINTS = 4
-FAR = 20                 # bits of the shingle fingerprint beyond which a pair is not looked at
+# five-word shingles, too many for a grid of radius 2. Fingerprints over single words differ in
+# about 2. Three weigh a word by its count and two by the root of it, which still tells texts apart
+# that a single word fills to the half. Together they find nearly all such pairs; the shingles
+# themselves then decide.
+BY_COUNT, BY_ROOT = 3, 2
+PRINTS = BY_COUNT + BY_ROOT
+FAR = 22                 # bits of the shingle fingerprint beyond which a pair is not looked at
 
 
 def word_prints(text: str) -> list[int]:
-    """Four fingerprints over the words of a text."""
+    """The fingerprints over the words of a text."""
     counts = Counter(text.encode().lower().split())
     if not counts:
         return [0] * PRINTS
-    weight = np.sqrt(np.fromiter(counts.values(), np.float32, len(counts)))
-    digest = xxhash.xxh3_128_digest
-    raw = np.frombuffer(b"".join([digest(w, s) for w in counts for s in (1, 2)]), np.uint8).reshape(-1, 8 * PRINTS)
-    total = np.zeros(64 * PRINTS)
+    count = np.fromiter(counts.values(), np.float64, len(counts))
+    digest, edge = xxhash.xxh3_128_digest, 64 * BY_COUNT
+    raw = np.frombuffer(b"".join([digest(w, s) for w in counts for s in (1, 2, 3)]), np.uint8).reshape(-1, 48)
+    ones = np.zeros(64 * PRINTS)
     for i in range(0, len(raw), 4096):
-        total += weight[i:i + 4096] @ np.unpackbits(raw[i:i + 4096], axis=1).astype(np.float32)
-    bits = np.packbits(2 * total > weight.sum(dtype=np.float64))
-    return np.frombuffer(bits.tobytes(), ">i8").tolist()
+        bits = np.unpackbits(raw[i:i + 4096, :8 * PRINTS], axis=1).astype(np.float32)
+        part = count[i:i + 4096].astype(np.float32)
+        ones[:edge] += part @ bits[:, :edge]
+        ones[edge:] += np.sqrt(part) @ bits[:, edge:]
+    half = np.repeat([count.sum() / 2, np.sqrt(count).sum() / 2], [edge, 64 * BY_ROOT])
+    return np.frombuffer(np.packbits(ones > half).tobytes(), ">i8").tolist()
 
 
 def similarity(a: str, b: str, width: int) -> float:

@@ -9,6 +9,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 # The six ASCII white space characters, as a class of Java, Python and DuckDB patterns.
 SPACE = r"[\x20\x09-\x0D]"
@@ -25,7 +26,7 @@ def lower_ascii(column: Column) -> Column:
 
 
 def map_batches(df: DataFrame, work: Callable[[], Callable[[pa.RecordBatch], pa.RecordBatch | None]],
-                schema: str) -> DataFrame:
+                schema: str | StructType) -> DataFrame:
     """``work()`` runs once in each task and gives the function for its batches."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         each = work()

@@ -129,12 +129,12 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", rows: int = RO
     return train([(bucket[int(i)].values.to_numpy(), label_[int(i)].as_py()) for i in order])
 
 
-def _scorer(model, columns: list[str], keep_below: float | None = None):
+def _scorer(model, columns: list[str], text: str, keep_below: float | None = None):
     def work():
         own = model.value
 
         def each(batch: pa.RecordBatch) -> pa.RecordBatch:
-            s = own.scores(strings(batch, "_text"))
+            s = own.scores(strings(batch, text))
             out = {c: batch.column(c) for c in columns}
             if keep_below is not None:
                 return pa.RecordBatch.from_pydict(out).filter(pa.array(s < keep_below))
@@ -152,7 +152,7 @@ def score(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD, id_c
     """
     model = docs.sparkSession.sparkContext.broadcast(fit(docs, labels, id_col=id_col, text=text))
     kind = dict(docs.dtypes)[id_col]
-    got = map_batches(docs.select(docs[id_col].alias("_id"), docs[text].alias("_text")), _scorer(model, ["_id"]),
+    got = map_batches(docs.select(docs[id_col].alias("_id"), docs[text].alias("_text")), _scorer(model, ["_id"], "_text"),
                       f"_id {kind}, _score double")
     return got.select(F.col("_id").alias(id_col), held_out(F.col("_id"), PARTS, LEFT_OUT).alias("held_out"),
                       F.col("_score").alias("score"), (F.col("_score") >= threshold).cast("int").alias("predicted"))
@@ -162,5 +162,4 @@ def keep_clean(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD,
                text: str = "text") -> DataFrame:
     """``docs`` without the rows that score at or above the threshold; no row moves between tasks."""
     model = docs.sparkSession.sparkContext.broadcast(fit(docs, labels, id_col=id_col, text=text))
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
-    return map_batches(docs.withColumn("_text", docs[text]), _scorer(model, docs.columns, threshold), schema)
+    return map_batches(docs, _scorer(model, docs.columns, text, threshold), docs.schema)

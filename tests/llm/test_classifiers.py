@@ -97,8 +97,8 @@ def test_rows(spark, module):
 
 def test_keep_clean(spark):
     texts = [(i, ("you moron " if i % 4 == 0 else "you friend ") + f"w{i}", i) for i in range(400)]
-    docs = spark.createDataFrame([*texts, (None, None, 1)], "doc_id long, text string, _score int")
+    docs = spark.createDataFrame([*texts, (None, None, 1)], "doc_id long, text string, _text int")
     labels = spark.createDataFrame([(i, int(i % 4 == 0)) for i in range(300)], "doc_id long, toxic int")
     left = toxicity.keep_clean(docs, labels)
-    assert left.columns == docs.columns
+    assert left.columns == docs.columns and all(r._text == r.doc_id for r in left.collect() if r.doc_id is not None)
     assert sorted((r.doc_id for r in left.collect()), key=repr) == sorted([*(i for i in range(400) if i % 4), None], key=repr)

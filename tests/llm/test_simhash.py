@@ -84,3 +84,41 @@ def test_rows(spark):
     got = sorted(((r.doc_id, r.fingerprint == "0" * 16, r.component_id) for r in simhash.groups(docs).collect()), key=repr)
     assert got == sorted([(5, True, 3), (3, True, 3), (3, True, 3), (9, False, 9), (None, False, 9), (None, False, None)], key=repr)
     assert simhash.groups(docs.limit(0)).count() == 0
+
+
+def near_by_hand(rows, least=0.8):
+    """Kept ids: of each component of texts with five-word shingles alike to 0.8, the least."""
+    shingles = {}
+    for i, t in rows:
+        w = (t or "").encode().lower().split()
+        shingles[i] = {tuple(w[k:k + 5]) for k in range(max(1, len(w) - 4))} if w else set()
+    ids = sorted(shingles)
+    linked = [(a, b) for k, a in enumerate(ids) for b in ids[k + 1:]
+              if 5 * len(shingles[a] & shingles[b]) >= 4 * len(shingles[a] | shingles[b])]
+    return set(roots(ids, linked).values())
+
+
+def test_keep_one(spark):
+    rng = random.Random(8)
+    rows = []
+    for g in range(12):
+        base = [f"w{rng.randrange(3000)}" for _ in range(rng.choice([30, 120, 400]))]
+        for _ in range(rng.choice([1, 2, 15])):
+            words = list(base)
+            words[rng.randrange(len(words))] = "new"
+            rows.append((len(rows), rng.choice([" ", "\n"]).join(words)))
+        rows.append((len(rows), " ".join(base[:len(base) // 2])))
+    rows += [(900, None), (901, ""), (902, " \n"), (903, "one"), (904, "ONE"), (905, "one two")]
+    docs = spark.createDataFrame([(i, t, i) for i, t in rows], "doc_id long, text string, five long")
+    left = simhash.keep_one(docs)
+    assert left.columns == docs.columns
+    assert {r.doc_id for r in left.collect()} == near_by_hand(rows)
+    extra = spark.createDataFrame([(None, "one", 1), (903, "one", 1)], "doc_id long, text string, five long")
+    both = [r.doc_id for r in simhash.keep_one(docs.unionByName(extra)).where("text = 'one'").collect()]
+    assert sorted(both, key=repr) == [903, 903, None]
+    assert simhash.keep_one(docs.limit(0)).count() == 0
+
+
+def test_similarity():
+    assert simhash.similarity("", " ", 5) == 1.0 and simhash.similarity("", "a", 5) == 0.0
+    assert simhash.similarity("A b", "a  B", 5) == 1.0 and simhash.similarity("a b c d e f", "a b c d e g", 5) == 1 / 3
