@@ -21,8 +21,8 @@ SIMILARITY = 0.8
 
 
 def words(line: Column) -> Column:
-    """Distinct lower-cased words between ASCII white space."""
-    return F.array_distinct(F.filter(F.split(F.lower(line), f"{SPACE}+"), lambda w: w != ""))
+    """Lower-cased words between ASCII white space, repeats included."""
+    return F.array_remove(F.split(F.lower(line), f"{SPACE}+"), "")
 
 
 def lines(docs: DataFrame, id_col: str, text: str) -> DataFrame:
@@ -41,17 +41,23 @@ def _levels(docs: DataFrame, text: str) -> Column:
 
 
 def _sets(rows: DataFrame, levels: Column, similarity: float) -> DataFrame:
-    """id, no -> set (hash of the ordered words), size, parity and the prefix; lines without words are left out."""
-    hashes = F.transform(words(F.col("line")), lambda w: F.xxhash64(w))
-    rows = rows.select("id", "no", F.array_distinct(hashes).alias("h")).where("size(h) > 0")
-    key = lambda h: F.shiftleft(F.element_at(levels, h.bitwiseAND(F.lit(BUCKETS - 1)).cast("int") + 1).cast("long"), 56).bitwiseOR(
-        F.shiftrightunsigned(h, 8))
-    parity = F.aggregate("h", F.lit(0).cast("long"), lambda p, h: p.bitwiseXOR(
-        F.call_function("shiftleft", F.lit(1).cast("long"), h.bitwiseAND(F.lit(63)).cast("int"))))
-    rows = rows.select("id", "no", parity.alias("parity"), F.sort_array(F.transform("h", key)).alias("k"))
+    """id, no -> set (hash of the ordered words), size, parity and the prefix; lines without words are left out.
+
+    A word is a whole number: its frequency class above 56 bits of its hash. The prefix holds 32
+    bits of each, enough to find candidates.
+    """
+    def key(w: Column) -> Column:
+        h = F.xxhash64(w)
+        level = F.element_at(levels, h.bitwiseAND(F.lit(BUCKETS - 1)).cast("int") + 1)
+        return F.shiftleft(level.cast("long"), 56).bitwiseOR(F.shiftrightunsigned(h, 8))
+    rows = rows.select("id", "no", F.sort_array(F.array_distinct(F.transform(words(F.col("line")), key))).alias("k"))
+    one = F.lit(1).cast("long")
+    parity = F.aggregate("k", F.lit(0).cast("long"), lambda p, k: p.bitwiseXOR(
+        F.call_function("shiftleft", one, k.bitwiseAND(F.lit(63)).cast("int"))))
     size = F.size("k")
-    return rows.select("id", "no", F.xxhash64("k").alias("set"), size.alias("size"), "parity",
-                       F.slice("k", F.lit(1), size - F.ceil(size * similarity - 1e-9).cast("int") + 1).alias("prefix"))
+    first = F.slice("k", F.lit(1), size - F.ceil(size * similarity - 1e-9).cast("int") + 1)
+    return rows.where(size > 0).select("id", "no", F.xxhash64("k").alias("set"), size.alias("size"), parity.alias("parity"),
+                                       F.transform(first, lambda k: F.hash(k)).alias("prefix"))
 
 
 def matches(docs: DataFrame, id_col: str = "doc_id", text: str = "text", similarity: float = SIMILARITY) -> DataFrame:
@@ -80,22 +86,36 @@ def matches(docs: DataFrame, id_col: str = "doc_id", text: str = "text", similar
     pairs = near.select(F.struct(*node).alias("a"), F.struct(*(F.col(f"{c}2").alias(c) for c in node)).alias("b")).distinct()
     pairs = stored(pairs, "pairs")
 
-    ends = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-    sought = stored(nodes.join(ends, "node").select("node", "at"), "sought")
-    ids = stored(sought.groupBy(F.col("at.id").alias("id")).agg(F.count(F.lit(1)).alias("n")), "ids").where("n > 0")
-    some = docs.select(docs[id_col].alias("id"), docs[text].alias("text"))
-    some = some.join(ids.select(F.col("id").alias("i")), F.col("id").eqNullSafe(F.col("i")))
+    # The later line of each pair asks, the earlier one answers.
+    at = nodes.select("node", "at")
+    both = (pairs.join(at.withColumnsRenamed({"node": "a", "at": "a_at"}), "a")
+            .join(at.withColumnsRenamed({"node": "b", "at": "b_at"}), "b"))
+    sides = [F.struct(F.col(f"{c}_at").alias("at"), F.col(c).alias("node")) for c in "ab"]
+    asked = stored(both.select(F.greatest(*sides).alias("y"), F.least(*sides).alias("x")), "asked")
+    ids = asked.select(F.explode(F.array("x.at", "y.at")).alias("at")).distinct()
+    places = stored(ids.withColumn("n", F.lit(1)), "places").where("n > 0").select("at")
+    ids = stored(places.groupBy(F.col("at.id").alias("i")).agg(F.count(F.lit(1)).alias("n")), "ids").where("n > 0").select("i")
+    some = docs.select(docs[id_col].alias("id"), docs[text].alias("text")).join(ids, F.col("id").eqNullSafe(F.col("i")))
+    found = lines(some, "id", "text").select(F.struct("id", "no").alias("at"), "line").join(places, "at")
     with filtered_joins(spark):
-        place = sought.select("node", F.col("at.id").alias("i"), F.col("at.no").alias("n"))
-        found = lines(some, "id", "text").join(place, F.col("id").eqNullSafe(F.col("i")) & (F.col("no") == F.col("n")))
-        found = stored(found.select("node", F.struct("id", "no").alias("at"), words(F.col("line")).alias("w")).dropDuplicates(["node"]),
-                       "words")
-    left = found.select(F.col("node").alias("a"), F.col("at").alias("a_at"), F.col("w").alias("a_w"))
-    right = found.select(F.col("node").alias("b"), F.col("at").alias("b_at"), F.col("w").alias("b_w"))
-    common = F.size(F.array_intersect("a_w", "b_w"))
-    good = pairs.join(left, "a").join(right, "b").where(
-        common >= similarity * (F.size("a_w") + F.size("b_w") - common) - 1e-9)
-    later = good.select(F.when(F.col("a_at") > F.col("b_at"), F.col("a")).otherwise(F.col("b")).alias("node")).distinct()
+        found = stored(found.select("at", F.array_distinct(words(F.col("line"))).alias("w")).dropDuplicates(["at"]), "words")
+
+    def matched(tries: DataFrame) -> DataFrame:
+        """The asking lines of the pairs that are alike enough."""
+        w = tries.select(F.col("y.at").alias("y_at"), F.col("x.at").alias("x_at"), F.col("y.node").alias("node"))
+        w = w.join(found.withColumnsRenamed({"at": "y_at", "w": "y_w"}), "y_at").join(
+            found.withColumnsRenamed({"at": "x_at", "w": "x_w"}), "x_at")
+        common = F.size(F.array_intersect("x_w", "y_w"))
+        alike = common >= similarity * (F.size("x_w") + F.size("y_w") - common) - 1e-9
+        return w.where(alike).select("node").distinct()
+
+    # Nearly all that have a match have it in their earliest candidate. Only the others try all.
+    earliest = asked.groupBy("y").agg(F.min("x").alias("x"))
+    sure = stored(matched(earliest), "matched")
+    open_ = asked.join(sure.select(F.col("node").alias("sure")), F.col("y.node") == F.col("sure"), "left_anti")
+    open_ = open_.join(earliest.withColumnsRenamed({"y": "y1", "x": "x1"}),
+                       (F.col("y") == F.col("y1")) & (F.col("x") == F.col("x1")), "left_anti")
+    later = sure.unionByName(matched(open_)).distinct()
     state = nodes.join(later.withColumn("matched", F.lit(True)), "node", "left").select(
         "node.*", "at", F.coalesce("matched", F.lit(False)).alias("matched"))
     return sets.select("id", "no", *node).join(state, node).select(
