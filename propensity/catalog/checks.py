@@ -114,3 +114,35 @@ def best_run_by_rate(spark, folder):
     rates = frames.orders_frame(spark, folder, ["segment", "y"]).groupBy("segment").agg(F.avg("y").alias("value"))
     metrics = rates.select(F.col("segment").alias("run"), F.lit("rate").alias("key"), "value")
     return rounded(ledger.best_run(metrics, "rate"))
+
+
+@query(with_p("""SELECT id, split, amount, n_lines, region, CASE WHEN split = 'train' THEN CAST(y AS BIGINT) END AS target FROM p"""))
+def loaded_pair(spark, folder):
+    """Both splits written as text, then loaded under one contract: target coded, whole numbers whole."""
+    df = frames.orders_frame(spark, folder, ["id", "split", "amount", "n_lines", "region", "target"])
+    paths = {}
+    for split in ("train", "test"):
+        mine = df.where(F.col("split") == split).drop("split").withColumn("n_lines", F.col("n_lines").cast("double"))
+        paths[split] = files.write_scored(mine if split == "train" else mine.drop("target"), work_folder(spark, split), "id")
+    fields = contract.contract_of(df.drop("split").withColumn("n_lines", F.col("n_lines").cast("double")), "id", "target", ("n_lines",))
+    train, test = files.load_pair(spark, paths["train"], paths["test"], fields)
+    return (train.withColumn("split", F.lit("train"))
+            .unionByName(test.withColumns({"split": F.lit("test"), "target": F.lit(None).cast("long")})))
+
+
+@query(with_p("""
+  SELECT * FROM (
+    SELECT 0 AS position, 'amount' AS feature, count(amount) FILTER (WHERE split = 'train') AS train,
+           count(amount) FILTER (WHERE split = 'test') AS test FROM p
+    UNION ALL SELECT 1, 'region', count(region) FILTER (WHERE split = 'train'), count(region) FILTER (WHERE split = 'test') FROM p
+    UNION ALL SELECT 2, 'qty', count(qty) FILTER (WHERE split = 'train'), count(qty) FILTER (WHERE split = 'test') FROM p) t"""))
+def shared_features(spark, folder):
+    """The features of both splits in their order, with the rows that know them."""
+    df = checks.check_columns(frames.orders_frame(spark, folder, ["id", "split", "amount", "region", "qty", "y"]),
+                              {"id", "split", "amount", "region", "qty", "y"})
+    train = df.where("split = 'train'").drop("split")
+    names = checks.column_parity(train, df.where("split = 'test'").drop("split", "y"), "id", "y")
+    known = [F.struct(F.lit(i).alias("position"), F.lit(c).alias("feature"),
+                      *[F.count_if(F.col(c).isNotNull() & (F.col("split") == s)).alias(s) for s in ("train", "test")])
+             for i, c in enumerate(names)]
+    return df.agg(F.array(*known).alias("known")).select(F.inline("known"))

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from propensity.catalog import evaluation, profiling, rates  # noqa: F401  (their SQL is reused below)
-from propensity.catalog.registry import ORACLES, query, rounded
+from propensity.catalog.registry import ORACLES, P, query, rounded
 from propensity.operators import ensemble, features, folds, model, search
 from propensity.plans import jobs
 from propensity.session import stored, work_folder
@@ -143,3 +143,24 @@ def job_errors_subgroups(spark, folder):
                                ["qty", "nation"], [(["rich"], {}), (["rich"], {"amount": 10})], 50,
                                out=work_folder(spark, "errors"))
     return rounded(tables["subgroups"])
+
+
+@query(f"""
+  WITH p AS ({P}), n AS (SELECT count(*) AS n FROM p WHERE split = 'train')
+  SELECT CAST(k AS INTEGER) AS fold, (n - k + 4) // 5 AS rows, (n - k + 4) // 5 AS keys, (n - k + 4) // 5 AS in_range,
+         true AS above_floor
+  FROM n, (VALUES (0), (1), (2), (3), (4)) f(k)""")
+def out_of_fold_audit(spark, folder):
+    """What was scored out of fold: rows, distinct keys, scores within 0 and 1, AUC above 0.6, by fold."""
+    result = model.fit_encoded(encoded(spark, folder), ROUNDS)
+    auc = spark.createDataFrame([(k, a) for k, a in zip(sorted(result.models), result.fold_aucs)], "fold int, auc double")
+    found = result.oof.groupBy("fold").agg(
+        F.count(F.lit(1)).alias("rows"), F.countDistinct("id").alias("keys"),
+        F.count_if(F.col("prediction").between(0.0, 1.0)).alias("in_range"))
+    return found.join(auc, "fold").select("fold", "rows", "keys", "in_range", (F.col("auc") > 0.6).alias("above_floor"))
+
+
+@query(f"SELECT id, true AS in_range FROM ({P}) p WHERE split = 'test'")
+def scored_test_keys(spark, folder):
+    """Every row of the test split, and whether its score is a probability."""
+    return model.fit_encoded(encoded(spark, folder), ROUNDS).test.select("id", F.col("prediction").between(0.0, 1.0).alias("in_range"))

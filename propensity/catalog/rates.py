@@ -2,9 +2,10 @@
 
 from itertools import combinations
 
-from propensity.catalog.registry import L, bin_sql, edges_sql, flat, query, rounded, with_p
+from propensity.catalog.registry import ORACLES, L, bin_sql, edges_sql, flat, query, rounded, with_p
 from propensity.operators import rates
-from propensity.sources import frames
+from propensity.session import work_folder
+from propensity.sources import files, frames
 
 CATS = frames.CATEGORIES
 MODS = (2, 3, 5, 10, 100)
@@ -172,3 +173,10 @@ def modulo_residual_audit(spark, folder):
 def modulo_residual_groups(spark, folder):
     df = frames.orders_frame(spark, folder, ["qty", "y", "score_d"])
     return rates.modulo_residuals(df, ["qty"], MODS, "y", "score_d")
+
+
+@query(ORACLES["target_rate_region"])
+def report_round_trip(spark, folder):
+    """A result table written as a text report and read back with its types."""
+    df = rounded(rates.target_rate(frames.orders_frame(spark, folder, ["region", "y"]), "region", "y"))
+    return rounded(files.read_back(spark, files.write_report(df, work_folder(spark, "report")), df.schema))
