@@ -9,12 +9,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from propensity.catalog import evaluation, profiling, rates  # noqa: F401  (their SQL is reused below)
-from propensity.catalog.registry import ORACLES, P, query, rounded
+from propensity.catalog import alignment, evaluation, profiling, rates  # noqa: F401  (their SQL is reused below)
+from propensity.catalog.registry import ORACLES, P, query, rounded, with_p
 from propensity.operators import ensemble, features, folds, model, search
 from propensity.plans import jobs
 from propensity.session import stored, work_folder
-from propensity.sources import frames, ledger
+from propensity.sources import files, frames, ledger
 
 ROUNDS = {"num_boost_round": 10, "num_leaves": 15}
 FILL = {"Income_per_Age": 0.0, "Income_per_Commute": 0.0}
@@ -164,3 +164,34 @@ def out_of_fold_audit(spark, folder):
 def scored_test_keys(spark, folder):
     """Every row of the test split, and whether its score is a probability."""
     return model.fit_encoded(encoded(spark, folder), ROUNDS).test.select("id", F.col("prediction").between(0.0, 1.0).alias("in_range"))
+
+
+@query(ORACLES["blend_of_ranks"])
+def job_blend_ranks(spark, folder):
+    """Two saved models blended by rank into a template, written and read back."""
+    df = frames.orders_frame(spark, folder, ["id", "score_a", "score_b"])
+    out = work_folder(spark, "blend")
+    for name in ("a", "b"):
+        files.save_predictions(df, out, name, "id", f"score_{name}")
+    saved = {name: files.load_predictions(spark, out, name, "id") for name in ("a", "b")}
+    weights = dict(zip(("a", "b"), ensemble.RANK_WEIGHTS))
+    scored, _ = jobs.blend(saved, df.select("id", F.lit(0.0).alias("blend")), "id", "blend", weights, out, by_rank=True)
+    return rounded(files.read_back(spark, f"{out}/scored", scored.schema))
+
+
+@query(with_p(profiling._histogram_sql("p", "amount", 30, "target")))
+def job_profile_histogram(spark, folder):
+    """The histogram of amounts among the tables of the profile job."""
+    df = stored(frames.orders_frame(spark, folder, ["id", "split", "amount", "target", "region"]), "orders")
+    train, test = (df.where(F.col("split") == s).drop("split") for s in ("train", "test"))
+    tables = jobs.profile_tables(train.unionByName(test), test, "id", "target", ["amount"], ["region"])
+    return rounded(tables["histogram_amount"], 5, density=8)
+
+
+@query(ORACLES["interaction_table"])
+def job_interactions_named_pair(spark, folder):
+    """One named pair in full among the tables of the interaction job."""
+    df = stored(frames.orders_frame(spark, folder, [*frames.NUMBERS, *frames.CATEGORIES, "y"]), "orders")
+    tables = jobs.interaction_tables(df, "y", ["amount"], frames.CATEGORIES, frames.CATEGORIES, ["qty"], frames.ROLES,
+                                     pairs=[("rich", "urgency")])
+    return rounded(tables["pair_rich_urgency"])

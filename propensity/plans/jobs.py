@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from propensity.functions import columns as fx
-from propensity.operators import align, checks, features, folds, metrics, model, order, profile, rates
+from propensity.operators import align, checks, ensemble, features, folds, metrics, model, order, profile, rates
 from propensity.operators import search as tuning
 from propensity.operators.features import Roles
 from propensity.session import stored
@@ -137,6 +137,25 @@ def tune(spark: SparkSession, train_path: str, test_path: str, template_path: st
     return tune_frames(train, test, template, contract.key, contract.target, out, declared=contract.categorical, **options)
 
 
+def blend(predictions: Mapping[str, DataFrame], template: DataFrame, key: str, target: str, weights: Mapping[str, float],
+          out: str, by_rank: bool = False, form: str = "csv") -> tuple[DataFrame, DataFrame]:
+    """Saved predictions of several models to one scored file: align, blend, fill the template, write, read back.
+
+    Weights belong to the models of the same names. Gives the scored table and the report of
+    the read-back; keys or values that do not fit fail before anything is written.
+    """
+    if set(weights) != set(predictions):
+        raise checks.ContractError(f"weights for {sorted(weights)}, predictions of {sorted(predictions)}")
+    aligned = stored(align.align_models(predictions, key), "aligned")
+    mixed = (ensemble.blend_rank(aligned, weights, key, "prediction") if by_rank
+             else ensemble.blend_probability(aligned, weights, "prediction"))
+    scored = align.apply_template(template, stored(mixed.select(key, "prediction"), "blend"), key, target)
+    path = files.write_scored(scored, f"{out}/scored", key, form)
+    checked = files.verify_written(path, scored, key, target, form)
+    checks.require(checked, path)
+    return scored, checked
+
+
 def _write_all(tables: Mapping[str, DataFrame], out: str | None) -> dict[str, DataFrame]:
     if out is not None:
         for name, table in tables.items():
@@ -145,7 +164,8 @@ def _write_all(tables: Mapping[str, DataFrame], out: str | None) -> dict[str, Da
 
 
 def profile_tables(train: DataFrame, test: DataFrame, key: str, target: str, nums: Sequence[str], cats: Sequence[str],
-                   classes: tuple[object, object] = ("No", "Yes"), out: str | None = None) -> dict[str, DataFrame]:
+                   classes: tuple[object, object] = ("No", "Yes"), out: str | None = None,
+                   bins: int = 30) -> dict[str, DataFrame]:
     """Integrity and signal report of both splits."""
     tables = {
         "shape": profile.shape_types(train),
@@ -160,6 +180,7 @@ def profile_tables(train: DataFrame, test: DataFrame, key: str, target: str, num
         "train_numbers": profile.describe(train, nums),
         "test_numbers": profile.describe(test, nums),
         "class_means": profile.class_means(train, nums, target, *classes),
+        **{f"histogram_{c}": profile.histogram(train, c, bins, target).orderBy(target, "bin") for c in nums},
         "crosstabs": profile.crosstab_shares(train, cats, target, list(classes)).orderBy("feature", "value"),
     }
     return _write_all(tables, out)
@@ -167,8 +188,9 @@ def profile_tables(train: DataFrame, test: DataFrame, key: str, target: str, num
 
 def interaction_tables(df: DataFrame, y: str, nums: Sequence[str], cats: Sequence[str], strong: Sequence[str],
                        digits: Sequence[str], roles: Roles = Roles(), min_count: int = 100,
-                       mods: Sequence[int] = (2, 3, 5, 10, 100), out: str | None = None) -> dict[str, DataFrame]:
-    """Target rates over one, two and three columns, digit audit, correlations."""
+                       mods: Sequence[int] = (2, 3, 5, 10, 100), out: str | None = None,
+                       pairs: Sequence[tuple[str, str]] = ()) -> dict[str, DataFrame]:
+    """Target rates over one, two and three columns, the named pairs in full, digit audit, correlations."""
     r = roles
     ratios = {
         "income_per_age": fx.ratio(r.income, r.age, offset=1),
@@ -180,7 +202,10 @@ def interaction_tables(df: DataFrame, y: str, nums: Sequence[str], cats: Sequenc
     }
     by_range = F.desc("rate_range")
     tables = {
+        "missing": profile.missing_counts(df),
+        "duplicates": profile.duplicate_rows(df),
         "rates": rates.target_rates(df, cats, y).orderBy("feature", F.desc("mean"), "value"),
+        **{f"pair_{a}_{b}": rates.interaction_table(df, a, b, y, min_count).orderBy(a, b) for a, b in pairs},
         "profiles": rates.numeric_profiles(df, nums, y, 10).orderBy("column", "bin"),
         "categorical_interactions": rates.pair_interactions(df, cats, y, min_count)
         .orderBy(by_range, "feature_1", "feature_2"),
