@@ -99,7 +99,7 @@ def test_parameters():
     assert model.tree_depth(merged) == 6
     assert model.tree_depth(model.merge_params({"num_leaves": 255, "max_depth": 4})) == 4
     gbt = model.make_gbt(merged, 50)
-    assert (gbt.getStepSize(), gbt.getMaxIter(), gbt.getMaxBins(), gbt.getMinInstancesPerNode()) == (0.3, 7, 50, 100)
+    assert (gbt.getStepSize(), gbt.getMaxIter(), gbt.getMaxBins(), gbt.getMinInstancesPerNode()) == (0.3, 7, 256, 100)
 
 
 def test_search_points():
