@@ -117,10 +117,10 @@ def groups(docs: DataFrame, width: int = 3, radius: int = RADIUS, id_col: str =
 
 # Documents whose shingles are alike to 0.8 differ in about 6 of 64 bits of a fingerprint over
 # five-word shingles, too many for a grid of radius 2. Fingerprints over single words differ in
-# about 2. Three weigh a word by its count and two by the root of it, which still tells texts apart
+# about 2. Two weigh a word by its count and two by the root of it, which still tells texts apart
 # that a single word fills to the half. Together they find nearly all such pairs; the shingles
 # themselves then decide.
-BY_COUNT, BY_ROOT = 3, 2
+BY_COUNT, BY_ROOT = 2, 2
 PRINTS = BY_COUNT + BY_ROOT
 FAR = 22                 # bits of the shingle fingerprint beyond which a pair is not looked at
 
@@ -132,10 +132,10 @@ def word_prints(text: str) -> list[int]:
         return [0] * PRINTS
     count = np.fromiter(counts.values(), np.float64, len(counts))
     digest, edge = xxhash.xxh3_128_digest, 64 * BY_COUNT
-    raw = np.frombuffer(b"".join([digest(w, s) for w in counts for s in (1, 2, 3)]), np.uint8).reshape(-1, 48)
+    raw = np.frombuffer(b"".join([digest(w, s) for w in counts for s in (1, 2)]), np.uint8).reshape(-1, 8 * PRINTS)
     ones = np.zeros(64 * PRINTS)
     for i in range(0, len(raw), 4096):
-        bits = np.unpackbits(raw[i:i + 4096, :8 * PRINTS], axis=1).astype(np.float32)
+        bits = np.unpackbits(raw[i:i + 4096], axis=1).astype(np.float32)
         part = count[i:i + 4096].astype(np.float32)
         ones[:edge] += part @ bits[:, :edge]
         ones[edge:] += np.sqrt(part) @ bits[:, edge:]
@@ -177,7 +177,8 @@ def _candidates(prints: DataFrame) -> DataFrame:
                .join(first.select(F.col("f").alias("b"), F.col("first").alias("y")), "b").select("x", "y"))
         both = star.unionByName(met).where("x.id <> y.id").where(
             F.bit_count(F.col("x.five").bitwiseXOR(F.col("y.five"))) <= FAR)
-        both = both.select(F.least("x.id", "y.id").alias("x"), F.greatest("x.id", "y.id").alias("y"))
+        # Stored, so that the driver holds the plan of one kind of fingerprint at a time.
+        both = stored(both.select(F.least("x.id", "y.id").alias("x"), F.greatest("x.id", "y.id").alias("y")).distinct(), "near")
         pairs = both if pairs is None else pairs.unionByName(both)
     return pairs.distinct()
 
