@@ -102,6 +102,9 @@ def groups(docs: DataFrame, id_col: str = "doc_id", text: str = "text", bits: in
 
 
 def keep_first(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
-    """``docs`` without the rows that ``groups`` drops; a null id is dropped unless it is kept."""
-    gone = groups(docs, id_col, text).where("not kept").select(F.col(id_col).alias("_gone")).distinct()
-    return docs.join(gone, docs[id_col].eqNullSafe(gone["_gone"]), "left_anti")
+    """``docs`` without the rows that ``groups`` drops: of a null or repeated id only those of the dropped text."""
+    gone = groups(docs, id_col, text).where("not kept").select(F.col(id_col).alias("_gone"), F.col("text_sha256").alias("_sha")).distinct()
+    body = F.translate(F.coalesce(docs[text], F.lit("")), SPACE_BYTES.decode(), "")
+    rows = docs.withColumn("_body", F.sha2(body.cast("binary"), 256))
+    dropped = rows[id_col].eqNullSafe(gone["_gone"]) & (rows["_body"] == gone["_sha"])
+    return rows.join(gone, dropped, "left_anti").select(*docs.columns)

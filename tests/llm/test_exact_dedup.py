@@ -50,5 +50,13 @@ def test_repeated_rows_null_ids_and_empty_table(spark):
     assert ed.groups(docs.limit(0)).count() == 0 and ed.keep_first(docs.limit(0)).count() == 0
 
 
+def test_keep_first_drops_rows_not_ids(spark):
+    rows = [(None, "abc"), (1, "a b c"), (None, "only here"), (3, "abcd "), (5, "abcd"), (5, "another text"),
+            (6, None), (7, ""), (7, "\u00e9\x0b x"), (8, "\u00e9x\xa0")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    left = sorted(map(tuple, ed.keep_first(docs).collect()), key=repr)
+    assert left == sorted([r for r in rows if r not in ((None, "abc"), (5, "abcd"), (7, ""))], key=repr)
+
+
 def test_whole_table(same_as_sql):
     same_as_sql("op5_exact_dedup")
