@@ -9,8 +9,9 @@ by bit. Equal fingerprints are one node, so copies never meet in pairs.
 
 from __future__ import annotations
 
-from collections import Counter
+from collections.abc import Callable
 from itertools import product
+from math import ceil
 
 import numpy as np
 import pyarrow as pa
@@ -19,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from propensity.llm.components import components
-from propensity.llm.texts import filtered_joins, map_batches, strings
+from propensity.llm.texts import filtered_joins, map_batches, pieces, strings
 from propensity.session import stored
 
 SEGMENTS = 8             # of eight bits each
@@ -115,32 +116,13 @@ def groups(docs: DataFrame, width: int = 3, radius: int = RADIUS, id_col: str =
         F.col("id").alias(id_col), F.lower(F.lpad(F.hex("f"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-# Documents whose shingles are alike to 0.8 differ in about 6 of 64 bits of a fingerprint over
-# five-word shingles, too many for a grid of radius 2. Fingerprints over single words differ in
-# about 2. Two weigh a word by its count and two by the root of it, which still tells texts apart
-# that a single word fills to the half. Together they find nearly all such pairs; the shingles
-# themselves then decide.
-BY_COUNT, BY_ROOT = 2, 2
-PRINTS = BY_COUNT + BY_ROOT
-FAR = 22                 # bits of the shingle fingerprint beyond which a pair is not looked at
-
-
-def word_prints(text: str) -> list[int]:
-    """The fingerprints over the words of a text."""
-    counts = Counter(text.encode().lower().split())
-    if not counts:
-        return [0] * PRINTS
-    count = np.fromiter(counts.values(), np.float64, len(counts))
-    digest, edge = xxhash.xxh3_128_digest, 64 * BY_COUNT
-    raw = np.frombuffer(b"".join([digest(w, s) for w in counts for s in (1, 2)]), np.uint8).reshape(-1, 8 * PRINTS)
-    ones = np.zeros(64 * PRINTS)
-    for i in range(0, len(raw), 4096):
-        bits = np.unpackbits(raw[i:i + 4096], axis=1).astype(np.float32)
-        part = count[i:i + 4096].astype(np.float32)
-        ones[:edge] += part @ bits[:, :edge]
-        ones[edge:] += np.sqrt(part) @ bits[:, edge:]
-    half = np.repeat([count.sum() / 2, np.sqrt(count).sum() / 2], [edge, 64 * BY_ROOT])
-    return np.frombuffer(np.packbits(ones > half).tobytes(), ">i8").tolist()
+# Documents whose shingles are alike to 0.8 differ in about 10 of 64 bits of a fingerprint, too many
+# for a grid of radius 2. So pairs for keep_one come from the shingles themselves: under one order of
+# all shingles, two sets with a Jaccard similarity of 0.8 share one of their first
+# size - ceil(0.8 size) + 1. Any fixed order gives the same result; shingles of rare cells come first.
+CELLS = 1 << 16
+SAMPLE = 8               # one document of so many is counted for the order
+STARS = 3                # rounds that ask one candidate per document before all that is left is asked
 
 
 def similarity(a: str, b: str, width: int) -> float:
@@ -153,46 +135,123 @@ def similarity(a: str, b: str, width: int) -> float:
     return len(x & y) / len(x | y) if x or y else 1.0
 
 
-def _prints(docs: DataFrame, width: int) -> DataFrame:
-    """id, text -> id, prints, five (the shingle fingerprint)."""
+def _tokens(text: str, width: int) -> np.ndarray:
+    """Distinct hashes of the shingles, ascending."""
+    return np.unique(shingle_hashes(text, width).view(">u8").ravel().astype(np.uint64))
+
+
+def _levels(docs: DataFrame, width: int) -> np.ndarray:
+    """Frequency class of each cell of shingles: twice the binary logarithm of its count, at most 126."""
+    def work():
+        def each(batch: pa.RecordBatch) -> pa.RecordBatch:
+            texts, count = strings(batch, "text"), np.zeros(CELLS, np.int64)
+            for i, j in pieces(texts):
+                cell = np.concatenate([_tokens(x, width) for x in texts[i:j]]) & np.uint64(CELLS - 1)
+                count += np.bincount(cell.astype(np.int64), minlength=CELLS)
+            at = np.flatnonzero(count)
+            return pa.RecordBatch.from_pydict({"cell": pa.array(at, pa.int32()), "n": pa.array(count[at], pa.int64())})
+        return each
+
+    some = docs.where(F.pmod(F.xxhash64("id"), F.lit(SAMPLE)) == 0)
+    got = map_batches(some, work, "cell int, n long").groupBy("cell").agg(F.sum("n").alias("n")).toArrow()  # CELLS rows at most
+    count = np.zeros(CELLS)
+    count[got.column("cell").to_numpy()] = got.column("n").to_numpy()
+    return np.minimum(126, 2 * np.log2(count + 1)).astype(np.uint64)
+
+
+def _sets(docs: DataFrame, width: int, least: float) -> DataFrame:
+    """id, hash, text -> id, hash, node and more (128 bits of the set of shingles), n (its size), prefix."""
+    levels = _levels(docs, width)
+
     def work():
         def each(batch: pa.RecordBatch) -> pa.RecordBatch:
-            texts = strings(batch, "text")
+            nodes, mores, sizes, prefixes = [], [], [], []
+            for x in batch.column("text"):  # one text at a time
+                token = _tokens(x.as_py(), width)
+                whole = np.frombuffer(xxhash.xxh3_128_digest(token.tobytes()), np.int64)
+                n = len(token)
+                key = np.sort(levels[token & np.uint64(CELLS - 1)] << np.uint64(56) | token >> np.uint64(8))
+                nodes.append(int(whole[0]))
+                mores.append(int(whole[1]))
+                sizes.append(n)
+                prefixes.append(key[:n - ceil(least * n - 1e-9) + 1].astype(np.int64) if n else [])
             return pa.RecordBatch.from_pydict({
-                "id": batch.column("id"), "prints": pa.array([word_prints(x) for x in texts], pa.list_(pa.int64())),
-                "five": pa.array([fingerprint(shingle_hashes(x, width)) for x in texts], pa.int64())})
+                "id": batch.column("id"), "hash": batch.column("hash"), "node": pa.array(nodes, pa.int64()),
+                "more": pa.array(mores, pa.int64()), "n": pa.array(sizes, pa.int64()),
+                "prefix": pa.array(prefixes, pa.list_(pa.int64()))})
         return each
-    return map_batches(docs, work, f"id {dict(docs.dtypes)['id']}, prints array<long>, five long")
-
-
-def _candidates(prints: DataFrame) -> DataFrame:
-    """x < y: a document and the first of its class of equal prints, and the firsts of linked classes."""
-    pairs = None
-    for t in range(PRINTS):
-        rows = prints.select("id", "five", F.col("prints")[t].alias("f"))
-        first = stored(rows.groupBy("f").agg(F.min(F.struct("id", "five")).alias("first")), "classes")
-        star = rows.join(first, "f").select(F.struct("id", "five").alias("x"), F.col("first").alias("y"))
-        met = links(first)
-        met = (met.join(first.select(F.col("f").alias("a"), F.col("first").alias("x")), "a")
-               .join(first.select(F.col("f").alias("b"), F.col("first").alias("y")), "b").select("x", "y"))
-        both = star.unionByName(met).where("x.id <> y.id").where(
-            F.bit_count(F.col("x.five").bitwiseXOR(F.col("y.five"))) <= FAR)
-        # Stored, so that the driver holds the plan of one kind of fingerprint at a time.
-        both = stored(both.select(F.least("x.id", "y.id").alias("x"), F.greatest("x.id", "y.id").alias("y")).distinct(), "near")
-        pairs = both if pairs is None else pairs.unionByName(both)
-    return pairs.distinct()
+    return map_batches(docs, work, f"id {dict(docs.dtypes)['id']}, hash long, node long, more long, n long, prefix array<long>")
+
+
+def _may_match(least: float) -> Column:
+    """Whether sizes n, m and places (from 0) i, j of a shared token leave room for the similarity."""
+    both = F.col("n") + F.col("m")
+    needed = F.ceil(both * least / (1 + least) - 1e-9)
+    return ((F.col("n") >= F.col("m") * least - 1e-9) & (F.col("m") >= F.col("n") * least - 1e-9)
+            & (F.least("i", "j") + F.least(F.col("n") - F.col("i"), F.col("m") - F.col("j")) >= needed))
+
+
+def _pair(a: str, b: str) -> list[Column]:
+    return [F.least(a, b).alias("x"), F.greatest(a, b).alias("y")]
+
+
+def _linked(rows: DataFrame, alike: Callable[[DataFrame], DataFrame], least: float) -> DataFrame | None:
+    """x, y: links of nodes whose components are those of all pairs of sets alike to ``least``.
+
+    First every node asks one candidate of another component, a few times over: a large group of
+    near copies becomes one component at a cost in proportion to its size. Then all pairs of
+    different components that share a token of their prefixes are compared.
+    """
+    each = rows.select("node", "n", F.posexplode("prefix").alias("i", "token"))
+    shared = each.groupBy("token").agg(F.min("node").alias("a"), F.max("node").alias("b")).where("a <> b").select("token")
+    shared = stored(shared, "shared").where("token is not null")
+    live = stored(each.join(shared, "token").select("token", "node", "n", "i").distinct(), "prefixes")
+    links_, tried = None, None
+    for turn in range(STARS + 1):
+        if links_ is not None:
+            root = stored(components(links_.select(F.col("x").alias("a"), F.col("y").alias("b"))), "roots")
+            at = live.join(root, "node", "left")
+        else:
+            at = live.withColumn("root", F.lit(None).cast("long"))
+        at = at.select("token", "node", "n", "i", F.coalesce("root", "node").alias("root"))
+        first = at.groupBy("token").agg(
+            F.min("root").alias("lo"), F.max("root").alias("hi"),
+            F.min(F.struct(F.xxhash64("node", F.lit(turn)).alias("h"), "node", "n", "i", "root")).alias("p")).where("lo <> hi")
+        first = first.select("token", F.col("p.node").alias("other"), F.col("p.n").alias("m"), F.col("p.i").alias("j"),
+                             F.col("p.root").alias("other_root"))
+        if turn < STARS:
+            asks = at.join(first, "token").where((F.col("root") != F.col("other_root")) & _may_match(least))
+            best = asks.groupBy("node", "other").count().groupBy("node").agg(F.max(F.struct("count", "other"))["other"].alias("other"))
+            pairs = best.select(*_pair("node", "other")).distinct()
+        else:
+            open_ = stored(at.join(first.select("token"), "token"), "open")
+            kinds = open_.select("token", "root").distinct()
+            apart = kinds.join(kinds.withColumnRenamed("root", "other_root"), "token").where("root < other_root")
+            others = open_.withColumnsRenamed({"node": "other", "n": "m", "i": "j", "root": "other_root"})
+            met = apart.join(open_, ["token", "root"]).join(others, ["token", "other_root"]).where(_may_match(least))
+            pairs = met.select(*_pair("node", "other")).distinct()
+        if tried is not None:
+            pairs = pairs.join(tried, ["x", "y"], "left_anti")
+        pairs = stored(pairs, "pairs")
+        if pairs.isEmpty():
+            continue
+        tried = pairs if tried is None else tried.unionByName(pairs)
+        found = alike(pairs)
+        links_ = found if links_ is None else links_.unionByName(found)
+    return links_
 
 
 def _alike(texts: DataFrame, pairs: DataFrame, width: int, least: float) -> DataFrame:
-    """The pairs whose texts have a similarity of ``least`` or more."""
-    ends = stored(pairs.select(F.explode(F.array("x", "y")).alias("id"), "x", "y"), "ends").where("x <> y")
-    sides = texts.join(ends, "id").groupBy("x", "y").agg(
-        F.max(F.when(F.col("id") == F.col("x"), F.col("text"))).alias("s"),
-        F.max(F.when(F.col("id") == F.col("y"), F.col("text"))).alias("t"))
+    """The pairs of nodes whose texts (node, text) have a similarity of ``least`` or more."""
+    ends = stored(pairs.select(F.explode(F.array("x", "y")).alias("node"), "x", "y"), "ends").where("x <> y")
+    sides = texts.join(ends, "node").groupBy("x", "y").agg(
+        F.max(F.when(F.col("node") == F.col("x"), F.col("text"))).alias("s"),
+        F.max(F.when(F.col("node") == F.col("y"), F.col("text"))).alias("t"))
 
     def work():
         def each(batch: pa.RecordBatch) -> pa.RecordBatch:
-            good = [similarity(s, t, width) >= least for s, t in zip(strings(batch, "s"), strings(batch, "t"))]
+            both = zip(batch.column("s"), batch.column("t"))  # one pair of texts at a time
+            good = [similarity(s.as_py(), t.as_py(), width) >= least for s, t in both]
             return batch.select(["x", "y"]).filter(pa.array(good, pa.bool_()))
         return each
     kind = dict(pairs.dtypes)["x"]
@@ -202,17 +261,34 @@ def _alike(texts: DataFrame, pairs: DataFrame, width: int, least: float) -> Data
 def keep_one(docs: DataFrame, width: int = 5, least: float = 0.8, id_col: str = "doc_id", text: str = "text") -> DataFrame:
     """``docs`` with one row, that of the least id, of each group of near duplicates.
 
-    Two documents are linked when fingerprints find them and the sets of their shingles have a
-    similarity of ``least`` or more. Of documents with equal fingerprints each is compared with
-    the first, and of linked fingerprints the firsts are compared, so a large group costs a
-    number of comparisons in proportion to its size. Null counts as empty, and texts without words are
-    alike. Rows that share an id are one document and stay or go together; rows without an id stay.
+    Two documents are linked when the sets of their shingles have a similarity of ``least`` or more;
+    a group is what chains of links join. No such pair is missed (but for equal 64-bit hashes of different
+    sets), and pairs that are joined already are not compared. Null counts as empty, and texts
+    without words are alike. Rows that share an id are one document, linked by each of its texts,
+    and stay or go together; rows without an id stay.
     """
     given = docs.select(docs[id_col].alias("id"), F.coalesce(docs[text], F.lit("")).alias("text")).where("id is not null")
-    prints = stored(_prints(given, width), "prints")
-    with filtered_joins(docs.sparkSession):
-        linked = stored(_alike(given, _candidates(prints), width, least), "alike")
-    root = stored(components(linked.select(F.col("x").alias("a"), F.col("y").alias("b"))), "groups")
+    given = given.select("id", F.xxhash64("text").alias("hash"), "text")  # tells the texts of a repeated id apart
+    rows = stored(_sets(given, width, least), "sets")
+    first = stored(rows.groupBy("node", "more").agg(F.min(F.struct("id", "hash")).alias("at")), "nodes")
+    same = rows.select("node", "more", "id").join(first, ["node", "more"]).where("id <> at.id").select(
+        F.col("id").alias("a"), F.col("at.id").alias("b")).distinct()
+    place = rows.join(first, ["node", "more"]).where("id = at.id and hash = at.hash").select("id", "hash", "node").distinct()
+    place = stored(place, "places")
+
+    def alike(pairs: DataFrame) -> DataFrame:
+        wanted = pairs.select(F.explode(F.array("x", "y")).alias("node")).distinct()
+        wanted = stored(place.join(wanted, "node"), "wanted").where("id is not null")
+        with filtered_joins(docs.sparkSession):
+            return stored(_alike(given.join(wanted, ["id", "hash"]).select("node", "text"), pairs, width, least), "near")
+
+    found = _linked(rows, alike, least)
+    if found is not None:
+        ids = first.select("node", F.col("at.id").alias("id"))
+        met = (found.join(ids.withColumnsRenamed({"node": "x", "id": "a"}), "x")
+               .join(ids.withColumnsRenamed({"node": "y", "id": "b"}), "y").select("a", "b"))
+        same = same.unionByName(met)
+    root = stored(components(same), "groups")
     least_id = root.groupBy("root").agg(F.min("node").alias("least"))
     gone = root.join(least_id, "root").where("node <> least").select(F.col("node").alias("_gone"))
     return docs.join(gone, docs[id_col] == gone["_gone"], "left_anti")

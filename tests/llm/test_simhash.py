@@ -119,6 +119,33 @@ def test_keep_one(spark):
     assert simhash.keep_one(docs.limit(0)).count() == 0
 
 
+def edited(rng, words, kind):
+    new = [f"new{rng.randrange(10**6)}" for _ in words]
+    n = len(words)
+    if kind == "tail cut":
+        return words[:int(n * rng.uniform(0.81, 0.9))]
+    if kind == "block added":
+        at, more = rng.choice([0, n // 2, n]), int(n * rng.uniform(0.1, 0.2))
+        return words[:at] + new[:more] + words[at:]
+    out = list(words)
+    for at in rng.sample(range(n), max(1, int(n * rng.uniform(0.012, 0.02)))):
+        out[at] = new[at]
+    return out
+
+
+def test_keep_one_finds_pairs_of_every_kind_of_edit(spark):
+    rng = random.Random(3)
+    rows = []
+    for g in range(90):
+        words = [f"w{int(rng.paretovariate(0.6)) % 5000}" for _ in range(rng.randint(60, 600))]
+        rows += [(len(rows), " ".join(words)),
+                 (len(rows) + 1, " ".join(edited(rng, words, ["tail cut", "block added", "scattered"][g % 3])))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    want = near_by_hand(rows)
+    assert 85 < len(rows) - len(want) <= 90
+    assert {r.doc_id for r in simhash.keep_one(docs).collect()} == want
+
+
 def test_similarity():
     assert simhash.similarity("", " ", 5) == 1.0 and simhash.similarity("", "a", 5) == 0.0
     assert simhash.similarity("A b", "a  B", 5) == 1.0 and simhash.similarity("a b c d e f", "a b c d e g", 5) == 1 / 3
