@@ -146,6 +146,17 @@ def test_keep_one_finds_pairs_of_every_kind_of_edit(spark):
     assert {r.doc_id for r in simhash.keep_one(docs).collect()} == want
 
 
+def test_keep_one_where_the_first_of_equal_words_is_unlike(spark):
+    rng = random.Random(4)
+    x = [f"w{k}" for k in range(300)]
+    y = x[:100] + [x[101], x[100]] + x[102:]
+    f = rng.sample(x, len(x))
+    rows = [(1, " ".join(f)), (2, " ".join(x)), (3, " ".join(y))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert near_by_hand(rows) == {1, 2}
+    assert {r.doc_id for r in simhash.keep_one(docs).collect()} == {1, 2}
+
+
 def test_similarity():
     assert simhash.similarity("", " ", 5) == 1.0 and simhash.similarity("", "a", 5) == 0.0
     assert simhash.similarity("A b", "a  B", 5) == 1.0 and simhash.similarity("a b c d e f", "a b c d e g", 5) == 1 / 3
