@@ -55,18 +55,21 @@ class Points:
 
 def sampled(docs: DataFrame, labels: DataFrame, label: str, rows: int, parts: int, left_out: int,
             id_col: str = "doc_id", text: str = "text") -> DataFrame:
-    """id, text and label of at most ``rows`` labelled documents to learn from.
+    """id, text and label of at most ``rows`` labelled documents to learn from, one row for each id.
 
     Documents whose crc32 of the id (as text) leaves ``left_out`` modulo ``parts`` are never among
-    them. The rows are those of the lowest hashes of the id, so the choice does not depend on the
-    order of the input. Null labels and ids are left out; of repeated labels of an id the highest holds.
+    them. The rows are those of the lowest hashes of the ids that are among ``docs``, so the choice does
+    not depend on the order of the input. Null labels and ids are left out; of repeated labels of an id
+    the highest holds, of its texts the least (null counts as empty).
     """
     marks = (labels.where(F.col(label).isNotNull() & F.col(id_col).isNotNull())
              .where(~held_out(F.col(id_col), parts, left_out))
-             .groupBy(F.col(id_col).alias("id")).agg(F.max(label).cast("int").alias("label"))
-             .orderBy(F.xxhash64("id"), "id").limit(rows))
-    given = docs.select(docs[id_col].alias("id"), docs[text].alias("text"))
-    return given.join(F.broadcast(marks), "id")  # at most ``rows`` short rows
+             .groupBy(F.col(id_col).alias("id")).agg(F.max(label).cast("int").alias("label")))
+    present = docs.select(docs[id_col].alias("id")).distinct()
+    marks = marks.join(present, "id").orderBy(F.xxhash64("id"), "id").limit(rows)
+    given = docs.select(docs[id_col].alias("id"), F.coalesce(docs[text], F.lit("")).alias("text"))
+    given = given.join(F.broadcast(marks), "id")  # at most ``rows`` short rows
+    return given.groupBy("id", "label").agg(F.min("text").alias("text")).select("id", "text", "label")
 
 
 def held_out(column, parts: int, left_out: int):

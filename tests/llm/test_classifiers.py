@@ -5,7 +5,7 @@ import pandas as pd
 import pytest
 
 from propensity.llm import quality, toxicity
-from propensity.llm.hashed import Points
+from propensity.llm.hashed import Points, sampled
 
 SF = "/root/testdata/sf0.1"
 
@@ -102,3 +102,14 @@ def test_keep_clean(spark):
     left = toxicity.keep_clean(docs, labels)
     assert left.columns == docs.columns and all(r._text == r.doc_id for r in left.collect() if r.doc_id is not None)
     assert sorted((r.doc_id for r in left.collect()), key=repr) == sorted([*(i for i in range(400) if i % 4), None], key=repr)
+
+
+def test_sampled_is_bounded_by_rows_among_the_documents(spark):
+    rows = [(i, f"text {i}") for i in range(40)] + [(7, "a text")] * 30 + [(8, None), (None, "no id")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(4000)], "doc_id long, toxic int")
+    kept = {i for i in range(40) if zlib.crc32(str(i).encode()) % 4 != 2}
+    got = {r.id: (r.text, r.label) for r in sampled(docs, labels, "toxic", 100, 4, 2).collect()}
+    assert set(got) == kept and sampled(docs, labels, "toxic", 100, 4, 2).count() == len(kept)
+    assert all(got[i] == ({7: "a text", 8: ""}.get(i, f"text {i}"), i % 2) for i in kept)
+    assert sampled(docs, labels, "toxic", 5, 4, 2).count() == 5
