@@ -5,7 +5,9 @@ Each query applies its operator to the whole of its table and derives the wanted
 
 from __future__ import annotations
 
-from propensity.llm import byte_bpe, decontaminate, exact_dedup, html_extract, line_dedup, quality, repeat_index, simhash, toxicity, url_filter
+from propensity.llm import (
+    byte_bpe, decontaminate, entropy_mix, exact_dedup, html_extract, line_dedup, quality, repeat_index, simhash, toxicity,
+    url_filter)
 from propensity.llm.texts import table
 
 QUERIES = {}
@@ -77,6 +79,11 @@ def op10_line_dedup(spark, sf_dir):
     return line_dedup.dedup(table(spark, sf_dir, "documents"))
 
 
+@query
+def op11_entropy_mix(spark, sf_dir):
+    return entropy_mix.mix(table(spark, sf_dir, "documents"))
+
+
 @query
 def pipeline(spark, sf_dir):
     import corpus_pipeline  # it imports this subpackage; both are left out together
