@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from propensity.llm import (
     byte_bpe, decontaminate, entropy_mix, exact_dedup, html_extract, line_dedup, quality, repeat_index, simhash, toxicity,
-    url_filter)
+    url_filter, whitening)
 from propensity.llm.texts import table
 
 QUERIES = {}
@@ -84,6 +84,11 @@ def op11_entropy_mix(spark, sf_dir):
     return entropy_mix.mix(table(spark, sf_dir, "documents"))
 
 
+@query
+def op12_whitening(spark, sf_dir):
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
 @query
 def pipeline(spark, sf_dir):
     import corpus_pipeline  # it imports this subpackage; both are left out together
