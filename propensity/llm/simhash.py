@@ -4,14 +4,14 @@ Bits of a fingerprint are counted in eight segments of eight bits. Two fingerpri
 in d bits differ by at most d in the sum of their count differences (Manhattan distance), so all
 pairs within a radius lie in cells of the count grid at most that far apart. Each fingerprint
 asks one half of the cells around its own, the other half asks it; what meets is compared bit
-by bit. Equal fingerprints are one node, so copies never meet in pairs.
+by bit. Counts alone would let a fixed share of all pairs meet, so there are three grids: two bits
+leave one of three blocks of segments as it is, and each grid takes that block's bits whole and
+the counts of the other segments. Equal fingerprints are one node, so copies never meet in pairs.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
 from itertools import product
-from math import ceil
 
 import numpy as np
 import pyarrow as pa
@@ -20,10 +20,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from propensity.llm.components import components
-from propensity.llm.texts import filtered_joins, map_batches, pieces, strings
+from propensity.llm.texts import map_batches, strings
 from propensity.session import stored
 
 SEGMENTS = 8             # of eight bits each
+BLOCKS = ((0, 1, 2), (3, 4, 5), (6, 7))  # one more than the radius
 RADIUS = 2
 SEED = 42
 
@@ -57,238 +58,101 @@ def fingerprint(hashes: np.ndarray) -> int:
 
 
 def fingerprints(docs: DataFrame, width: int, id_col: str = "doc_id", text: str = "text") -> DataFrame:
-    """id and f, of every row; null counts as empty, and without words f is 0."""
+    """id, hash (of the text) and f, of every row; null counts as empty, and without words f is 0."""
     def work():
         def each(batch: pa.RecordBatch) -> pa.RecordBatch:
             found = [fingerprint(shingle_hashes(x, width)) for x in strings(batch, "text")]
-            return pa.RecordBatch.from_pydict({"id": batch.column("id"), "f": pa.array(found, pa.int64())})
+            return pa.RecordBatch.from_pydict({"id": batch.column("id"), "hash": batch.column("hash"), "f": pa.array(found, pa.int64())})
         return each
 
     kind = dict(docs.dtypes)[id_col]
-    return map_batches(docs.select(docs[id_col].alias("id"), docs[text].alias("text")), work, f"id {kind}, f long")
-
-
-def _cell(f: Column) -> Column:
-    """Bit counts of the segments, each in four bits with room for two steps down and up."""
-    cell = F.lit(0).cast("long")
-    for k in range(SEGMENTS):
-        part = F.shiftrightunsigned(f, 8 * k).bitwiseAND(F.lit(255))
-        cell = cell + F.shiftleft(F.bit_count(part).cast("long") + 2, 4 * k)
-    return cell
+    given = docs.select(docs[id_col].alias("id"), _hash(docs[text]).alias("hash"), docs[text].alias("text"))
+    return map_batches(given, work, f"id {kind}, hash long, f long")
+
+
+def _hash(text: Column) -> Column:
+    """Tells the texts of a repeated id apart."""
+    return F.xxhash64(F.coalesce(text, F.lit("")))
+
+
+def _grids(f: Column) -> list[tuple[Column, Column, int]]:
+    """Per block: a hash of its bits, the bit counts of the other segments (four bits each, with room for
+    two steps down and up) and how many those are."""
+    out = []
+    for at, block in enumerate(BLOCKS):
+        mask = sum(255 << 8 * k for k in block)
+        own = F.xxhash64(F.lit(at), f.bitwiseAND(F.lit(mask - 2**64 if mask >> 63 else mask)))
+        rest = [k for k in range(SEGMENTS) if k not in block]
+        cell = F.lit(0).cast("long")
+        for i, k in enumerate(rest):
+            part = F.shiftrightunsigned(f, 8 * k).bitwiseAND(F.lit(255))
+            cell = cell + F.shiftleft(F.bit_count(part).cast("long") + 2, 4 * i)
+        out.append((own, cell, len(rest)))
+    return out
 
 
-def steps(radius: int) -> list[int]:
+def steps(radius: int, segments: int) -> list[int]:
     """Offsets between cells up to ``radius`` apart: of each two opposite ones the first, and 0."""
     out = [0]
-    for move in product(range(-radius, radius + 1), repeat=SEGMENTS):
+    for move in product(range(-radius, radius + 1), repeat=segments):
         if 0 < sum(map(abs, move)) <= radius and next(m for m in move if m) > 0:
             out.append(sum(m << 4 * k for k, m in enumerate(move)))
     return out
 
 
+def met(points: DataFrame, radius: int) -> DataFrame:
+    """f, g: the numbers of column f that a grid brings together, some of them repeatedly."""
+    grids = _grids(F.col("f"))
+    at = points.select("f", F.explode(F.array(*(own.bitwiseXOR(cell) for own, cell, _ in grids))).alias("cell"))
+    around = [own.bitwiseXOR(cell + F.lit(s)) for own, cell, n in grids for s in steps(radius, n)]
+    asks = points.select(F.col("f").alias("g"), F.explode(F.array(*around)).alias("cell"))
+    return at.join(asks, "cell").select("f", "g")
+
+
 def links(points: DataFrame, radius: int = RADIUS) -> DataFrame:
     """a < b for every two of the distinct numbers in column f that differ in 1 to ``radius`` bits (2 at most)."""
     if not 0 < radius <= 2:
         raise ValueError("the cells leave room for a radius of 1 or 2")
-    at = points.select("f", _cell(F.col("f")).alias("cell"))
-    asks = at.select(F.col("f").alias("g"), F.explode(F.array(*(F.col("cell") + s for s in map(F.lit, steps(radius))))).alias("cell"))
     near = (F.col("f") != F.col("g")) & (F.bit_count(F.col("f").bitwiseXOR(F.col("g"))) <= radius)
-    met = at.join(asks, "cell").where(near)
-    return met.select(F.least("f", "g").alias("a"), F.greatest("f", "g").alias("b")).distinct()
-
+    return met(points, radius).where(near).select(F.least("f", "g").alias("a"), F.greatest("f", "g").alias("b")).distinct()
 
-def groups(docs: DataFrame, width: int = 3, radius: int = RADIUS, id_col: str = "doc_id", text: str = "text") -> DataFrame:
-    """Per row: id, fingerprint (16 hexadecimal digits), component_id.
 
-    component_id is the least id that a chain of links reaches, the row's own included; equal
-    fingerprints are linked. Texts without words (and null) have fingerprint 0 and are linked
-    like any other. Null ids count for no component; a component of null ids only has none.
-    Repeated rows repeat; other columns are not read.
-    """
+def _grouped(docs: DataFrame, width: int, radius: int, id_col: str, text: str) -> DataFrame:
+    """id, hash, f, root (of the component, a fingerprint), component_id (the least id), of every row."""
     rows = stored(fingerprints(docs, width, id_col, text), "fingerprints")
     least = stored(rows.groupBy("f").agg(F.min("id").alias("least")), "distinct")
     root = components(links(least, radius))
     of = least.join(root.select(F.col("node").alias("f"), "root"), "f", "left")
     of = of.select("f", "least", F.coalesce("root", "f").alias("root"))
     lowest = of.groupBy("root").agg(F.min("least").alias("component_id"))
-    of = of.join(lowest, "root").select("f", "component_id")
-    return rows.join(of, "f").select(
-        F.col("id").alias(id_col), F.lower(F.lpad(F.hex("f"), 16, "0")).alias("fingerprint"), "component_id")
-
-
-# Documents whose shingles are alike to 0.8 differ in about 10 of 64 bits of a fingerprint, too many
-# for a grid of radius 2. So pairs for keep_one come from the shingles themselves: under one order of
-# all shingles, two sets with a Jaccard similarity of 0.8 share one of their first
-# size - ceil(0.8 size) + 1. Any fixed order gives the same result; shingles of rare cells come first.
-CELLS = 1 << 16
-SAMPLE = 8               # one document of so many is counted for the order
-STARS = 3                # rounds that ask one candidate per document before all that is left is asked
-
-
-def similarity(a: str, b: str, width: int) -> float:
-    """Jaccard similarity of the sets of word shingles; two texts without words are alike."""
-    def shingles(text: str) -> set[bytes]:
-        words = text.encode().lower().split()
-        n = max(1, len(words) - width + 1)
-        return {b" ".join(words[i:i + width]) for i in range(n)} if words else set()
-    x, y = shingles(a), shingles(b)
-    return len(x & y) / len(x | y) if x or y else 1.0
+    return rows.join(of.join(lowest, "root").select("f", "root", "component_id"), "f")
 
 
-def _tokens(text: str, width: int) -> np.ndarray:
-    """Distinct hashes of the shingles, ascending."""
-    return np.unique(shingle_hashes(text, width).view(">u8").ravel().astype(np.uint64))
-
-
-def _levels(docs: DataFrame, width: int) -> np.ndarray:
-    """Frequency class of each cell of shingles: twice the binary logarithm of its count, at most 126."""
-    def work():
-        def each(batch: pa.RecordBatch) -> pa.RecordBatch:
-            texts, count = strings(batch, "text"), np.zeros(CELLS, np.int64)
-            for i, j in pieces(texts):
-                cell = np.concatenate([_tokens(x, width) for x in texts[i:j]]) & np.uint64(CELLS - 1)
-                count += np.bincount(cell.astype(np.int64), minlength=CELLS)
-            at = np.flatnonzero(count)
-            return pa.RecordBatch.from_pydict({"cell": pa.array(at, pa.int32()), "n": pa.array(count[at], pa.int64())})
-        return each
-
-    some = docs.where(F.pmod(F.xxhash64("id"), F.lit(SAMPLE)) == 0)
-    got = map_batches(some, work, "cell int, n long").groupBy("cell").agg(F.sum("n").alias("n")).toArrow()  # CELLS rows at most
-    count = np.zeros(CELLS)
-    count[got.column("cell").to_numpy()] = got.column("n").to_numpy()
-    return np.minimum(126, 2 * np.log2(count + 1)).astype(np.uint64)
-
-
-def _sets(docs: DataFrame, width: int, least: float) -> DataFrame:
-    """id, hash, text -> id, hash, node and more (128 bits of the set of shingles), n (its size), prefix."""
-    levels = _levels(docs, width)
-
-    def work():
-        def each(batch: pa.RecordBatch) -> pa.RecordBatch:
-            nodes, mores, sizes, prefixes = [], [], [], []
-            for x in batch.column("text"):  # one text at a time
-                token = _tokens(x.as_py(), width)
-                whole = np.frombuffer(xxhash.xxh3_128_digest(token.tobytes()), np.int64)
-                n = len(token)
-                key = np.sort(levels[token & np.uint64(CELLS - 1)] << np.uint64(56) | token >> np.uint64(8))
-                nodes.append(int(whole[0]))
-                mores.append(int(whole[1]))
-                sizes.append(n)
-                prefixes.append(key[:n - ceil(least * n - 1e-9) + 1].astype(np.int64) if n else [])
-            return pa.RecordBatch.from_pydict({
-                "id": batch.column("id"), "hash": batch.column("hash"), "node": pa.array(nodes, pa.int64()),
-                "more": pa.array(mores, pa.int64()), "n": pa.array(sizes, pa.int64()),
-                "prefix": pa.array(prefixes, pa.list_(pa.int64()))})
-        return each
-    return map_batches(docs, work, f"id {dict(docs.dtypes)['id']}, hash long, node long, more long, n long, prefix array<long>")
-
-
-def _may_match(least: float) -> Column:
-    """Whether sizes n, m and places (from 0) i, j of a shared token leave room for the similarity."""
-    both = F.col("n") + F.col("m")
-    needed = F.ceil(both * least / (1 + least) - 1e-9)
-    return ((F.col("n") >= F.col("m") * least - 1e-9) & (F.col("m") >= F.col("n") * least - 1e-9)
-            & (F.least("i", "j") + F.least(F.col("n") - F.col("i"), F.col("m") - F.col("j")) >= needed))
-
-
-def _pair(a: str, b: str) -> list[Column]:
-    return [F.least(a, b).alias("x"), F.greatest(a, b).alias("y")]
-
-
-def _linked(rows: DataFrame, alike: Callable[[DataFrame], DataFrame], least: float) -> DataFrame | None:
-    """x, y: links of nodes whose components are those of all pairs of sets alike to ``least``.
+def groups(docs: DataFrame, width: int = 3, radius: int = RADIUS, id_col: str = "doc_id", text: str = "text") -> DataFrame:
+    """Per row: id, fingerprint (16 hexadecimal digits), component_id.
 
-    First every node asks one candidate of another component, a few times over: a large group of
-    near copies becomes one component at a cost in proportion to its size. Then all pairs of
-    different components that share a token of their prefixes are compared.
+    component_id is the least id that a chain of links reaches, the row's own included; equal
+    fingerprints are linked. Texts without words (and null) have fingerprint 0 and are linked
+    like any other. Null ids count for no component; a component of null ids only has none.
+    Repeated rows repeat; other columns are not read.
     """
-    each = rows.select("node", "n", F.posexplode("prefix").alias("i", "token"))
-    shared = each.groupBy("token").agg(F.min("node").alias("a"), F.max("node").alias("b")).where("a <> b").select("token")
-    shared = stored(shared, "shared").where("token is not null")
-    live = stored(each.join(shared, "token").select("token", "node", "n", "i").distinct(), "prefixes")
-    links_, tried = None, None
-    for turn in range(STARS + 1):
-        if links_ is not None:
-            root = stored(components(links_.select(F.col("x").alias("a"), F.col("y").alias("b"))), "roots")
-            at = live.join(root, "node", "left")
-        else:
-            at = live.withColumn("root", F.lit(None).cast("long"))
-        at = at.select("token", "node", "n", "i", F.coalesce("root", "node").alias("root"))
-        first = at.groupBy("token").agg(
-            F.min("root").alias("lo"), F.max("root").alias("hi"),
-            F.min(F.struct(F.xxhash64("node", F.lit(turn)).alias("h"), "node", "n", "i", "root")).alias("p")).where("lo <> hi")
-        first = first.select("token", F.col("p.node").alias("other"), F.col("p.n").alias("m"), F.col("p.i").alias("j"),
-                             F.col("p.root").alias("other_root"))
-        if turn < STARS:
-            asks = at.join(first, "token").where((F.col("root") != F.col("other_root")) & _may_match(least))
-            best = asks.groupBy("node", "other").count().groupBy("node").agg(F.max(F.struct("count", "other"))["other"].alias("other"))
-            pairs = best.select(*_pair("node", "other")).distinct()
-        else:
-            open_ = stored(at.join(first.select("token"), "token"), "open")
-            kinds = open_.select("token", "root").distinct()
-            apart = kinds.join(kinds.withColumnRenamed("root", "other_root"), "token").where("root < other_root")
-            others = open_.withColumnsRenamed({"node": "other", "n": "m", "i": "j", "root": "other_root"})
-            met = apart.join(open_, ["token", "root"]).join(others, ["token", "other_root"]).where(_may_match(least))
-            pairs = met.select(*_pair("node", "other")).distinct()
-        if tried is not None:
-            pairs = pairs.join(tried, ["x", "y"], "left_anti")
-        pairs = stored(pairs, "pairs")
-        if pairs.isEmpty():
-            continue
-        tried = pairs if tried is None else tried.unionByName(pairs)
-        found = alike(pairs)
-        links_ = found if links_ is None else links_.unionByName(found)
-    return links_
-
-
-def _alike(texts: DataFrame, pairs: DataFrame, width: int, least: float) -> DataFrame:
-    """The pairs of nodes whose texts (node, text) have a similarity of ``least`` or more."""
-    ends = stored(pairs.select(F.explode(F.array("x", "y")).alias("node"), "x", "y"), "ends").where("x <> y")
-    sides = texts.join(ends, "node").groupBy("x", "y").agg(
-        F.max(F.when(F.col("node") == F.col("x"), F.col("text"))).alias("s"),
-        F.max(F.when(F.col("node") == F.col("y"), F.col("text"))).alias("t"))
-
-    def work():
-        def each(batch: pa.RecordBatch) -> pa.RecordBatch:
-            both = zip(batch.column("s"), batch.column("t"))  # one pair of texts at a time
-            good = [similarity(s.as_py(), t.as_py(), width) >= least for s, t in both]
-            return batch.select(["x", "y"]).filter(pa.array(good, pa.bool_()))
-        return each
-    kind = dict(pairs.dtypes)["x"]
-    return map_batches(sides, work, f"x {kind}, y {kind}")
+    return _grouped(docs, width, radius, id_col, text).select(
+        F.col("id").alias(id_col), F.lower(F.lpad(F.hex("f"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-def keep_one(docs: DataFrame, width: int = 5, least: float = 0.8, id_col: str = "doc_id", text: str = "text") -> DataFrame:
-    """``docs`` with one row, that of the least id, of each group of near duplicates.
+def keep_one(docs: DataFrame, width: int = 3, radius: int = RADIUS, id_col: str = "doc_id", text: str = "text") -> DataFrame:
+    """``docs`` with one document of each component of ``groups``: that of the least id.
 
-    Two documents are linked when the sets of their shingles have a similarity of ``least`` or more;
-    a group is what chains of links join. No such pair is missed (but for equal 64-bit hashes of different
-    sets), and pairs that are joined already are not compared. Null counts as empty, and texts
-    without words are alike. Rows that share an id are one document, linked by each of its texts,
-    and stay or go together; rows without an id stay.
+    Rows that share an id are one document where their texts fall into one component, and each text of
+    a repeated id is judged by its own component. Rows without an id go where a document with one is in
+    their component; of a component without ids the texts of the least fingerprint and hash stay.
+    No text is shuffled but to drop it: what goes is told by id and hash.
     """
-    given = docs.select(docs[id_col].alias("id"), F.coalesce(docs[text], F.lit("")).alias("text")).where("id is not null")
-    given = given.select("id", F.xxhash64("text").alias("hash"), "text")  # tells the texts of a repeated id apart
-    rows = stored(_sets(given, width, least), "sets")
-    first = stored(rows.groupBy("node", "more").agg(F.min(F.struct("id", "hash")).alias("at")), "nodes")
-    same = rows.select("node", "more", "id").join(first, ["node", "more"]).where("id <> at.id").select(
-        F.col("id").alias("a"), F.col("at.id").alias("b")).distinct()
-    place = rows.join(first, ["node", "more"]).where("id = at.id and hash = at.hash").select("id", "hash", "node").distinct()
-    place = stored(place, "places")
-
-    def alike(pairs: DataFrame) -> DataFrame:
-        wanted = pairs.select(F.explode(F.array("x", "y")).alias("node")).distinct()
-        wanted = stored(place.join(wanted, "node"), "wanted").where("id is not null")
-        with filtered_joins(docs.sparkSession):
-            return stored(_alike(given.join(wanted, ["id", "hash"]).select("node", "text"), pairs, width, least), "near")
-
-    found = _linked(rows, alike, least)
-    if found is not None:
-        ids = first.select("node", F.col("at.id").alias("id"))
-        met = (found.join(ids.withColumnsRenamed({"node": "x", "id": "a"}), "x")
-               .join(ids.withColumnsRenamed({"node": "y", "id": "b"}), "y").select("a", "b"))
-        same = same.unionByName(met)
-    root = stored(components(same), "groups")
-    least_id = root.groupBy("root").agg(F.min("node").alias("least"))
-    gone = root.join(least_id, "root").where("node <> least").select(F.col("node").alias("_gone"))
-    return docs.join(gone, docs[id_col] == gone["_gone"], "left_anti")
+    found = _grouped(docs, width, radius, id_col, text)
+    nameless = found.where("component_id is null").groupBy("root").agg(F.min(F.struct("f", "hash")).alias("first"))
+    other = found.where("component_id is null").join(nameless, "root").where("struct(f, hash) <> first")
+    gone = found.where("component_id is not null and not id <=> component_id").select("id", "hash")
+    gone = gone.unionByName(other.select("id", "hash")).distinct().select(F.col("id").alias("_gone"), F.col("hash").alias("_text"))
+    rows = docs.withColumn("_hash", _hash(docs[text]))
+    dropped = rows[id_col].eqNullSafe(gone["_gone"]) & (rows["_hash"] == gone["_text"])
+    return rows.join(gone, dropped, "left_anti").select(*docs.columns)

@@ -10,7 +10,7 @@ import corpus_pipeline
 from propensity.llm import byte_bpe, toxicity
 from propensity.llm.queries import QUERIES
 from test_decontaminate import by_hand as leaks_by_hand
-from test_simhash import near_by_hand
+from test_simhash import kept_by_hand as least_by_hand
 
 SF = "/root/testdata/sf0.001"
 
@@ -29,7 +29,7 @@ def kept_by_hand(spark):
     docs = docs[model.scores(docs.text.fillna("").tolist()) < 0.3]
     body = docs.text.str.replace("[\\x20\\x09-\\x0D]", "", regex=True)
     docs = docs.assign(body=body, points=-docs.text.str.len()).sort_values(["points", "doc_id"]).drop_duplicates("body")
-    docs = docs[docs.doc_id.isin(near_by_hand(list(zip(docs.doc_id.tolist(), docs.text))))]
+    docs = docs[docs.doc_id.isin(least_by_hand(list(zip(docs.doc_id.tolist(), docs.text))))]
     pairs = list(zip(items.item_id.tolist(), items.text))
     return docs[[not leaks_by_hand(t, pairs) for t in docs.text]]
 
