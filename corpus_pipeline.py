@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 
 from propensity.llm import byte_bpe, decontaminate, exact_dedup, simhash, toxicity
@@ -22,8 +20,8 @@ def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group with five-word shingles alike to 0.8 or more."""
-    return simhash.keep_one(docs)
+    """One document of each group linked by fingerprints of three-word shingles that differ in at most two bits."""
+    return simhash.keep_one(docs, width=3, radius=2)
 
 
 def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -47,7 +45,7 @@ STAGES = [
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over ``documents``; what each keeps is written to the shared folder and reread."""
-    folder = f"{work_folder(spark, 'pipeline')}-{uuid.uuid4().hex[:8]}"
+    folder = f"{work_folder(spark, 'pipeline')}"
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES:
         stage(spark, docs, sf_dir).write.parquet(f"{folder}/{name}")
