@@ -1,20 +1,24 @@
 """Target rates over one, two and three columns, from few scans.
 
-Every family of column subsets comes from one scan and one shuffle: a row is spread over
-the subsets and counted map-side, so that groups, not rows, cross the network.
+Every family of column subsets comes from one grouping of the rows by few fine blocks of
+columns; the subsets are counted from those groups, so that neither rows nor subsets multiply.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Mapping, Sequence
 from itertools import combinations
-from math import lcm
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from propensity.operators.order import edge_table, quantile_edges, unpivot_bins
 
+# Columns that are grouped together whatever their levels; groups that a block of more columns is expected to have at most.
+FEW = 6
+MOST_GROUPS = 1_000_000
+
 
 def _rate(positives: str = "positives", count: str = "count") -> Column:
     return F.col(positives) / F.col(count)
@@ -81,27 +85,57 @@ def interaction_range(table: DataFrame) -> DataFrame:
                      F.min("target_rate_pct").alias("min_pct"), F.max("target_rate_pct").alias("max_pct"))
 
 
+def column_blocks(subsets: Sequence[Sequence[str]], sizes: Mapping[str, int], most: int) -> list[tuple[str, ...]]:
+    """Few sets of columns so that every subset lies in one and none is expected to have over ``most`` groups,
+    unless a subset alone has. ``sizes``: levels per column."""
+    blocks: list[set[str]] = []
+    for s in sorted(map(set, subsets), key=lambda s: -math.prod(sizes[c] for c in s)):
+        fits = [b for b in blocks if math.prod(sizes[c] for c in b | s) <= most]
+        if any(s <= b for b in blocks):
+            continue
+        if fits:
+            min(fits, key=lambda b: len(s - b)).update(s)
+        else:
+            blocks.append(set(s))
+    return [tuple(sorted(b)) for b in blocks]
+
+
 def subset_counts(df: DataFrame, subsets: Sequence[Sequence[str]],
                   y: str | None = None) -> tuple[DataFrame, Column]:
     """Counts of every combination of every column subset, and the overall target rate.
 
     Rows (``subset``, ``count``, ``positives``), with ``subset`` the position in
-    ``subsets``; combinations with a null key are left out. Any number of columns and subsets:
-    a group is known by its subset's number and the texts of its keys.
+    ``subsets``; combinations with a null key are left out. Rows are grouped once, by blocks of columns
+    fine enough for several subsets each; subsets are counted from those groups, never from rows. Up to
+    ``FEW`` columns are one block; more are dealt into blocks by their numbers of levels. A group of a subset
+    is known by its number and the texts of its keys.
     """
     subsets = [tuple(s) for s in subsets]
     used = sorted({c for s in subsets for c in s})
     place = {c: i for i, c in enumerate(used)}
-    # Subset number -> places of its columns, as one literal.
-    places = F.expr("array(" + ", ".join(f"array({', '.join(str(place[c]) for c in s)})" for s in subsets) + ")")
+    rows = _labelled(df, y).select("_one", "_label", *used)
+    sums = [F.count("_one").alias("count"), F.sum("_label").alias("positives")]
+    if len(used) <= FEW:
+        blocks = [tuple(used)]
+        fine = rows.groupBy(*used).agg(*sums).withColumn("_block", F.lit(0))
+    else:
+        found = rows.agg(*[F.approx_count_distinct(c).alias(c) for c in used]).first()
+        blocks = column_blocks(subsets, {c: max(1, found[c]) for c in used}, MOST_GROUPS)
+        # The bits of the columns a block leaves out, the first column highest.
+        ids = [sum(1 << len(used) - 1 - place[c] for c in used if c not in b) for b in blocks]
+        number = F.create_map(*[F.lit(x) for i, bits in enumerate(ids) for x in (bits, i)])
+        fine = (rows.groupingSets([[F.col(c) for c in b] for b in blocks], *map(F.col, used))
+                .agg(*sums, F.grouping_id(*used).alias("_bits")).withColumn("_block", number[F.col("_bits")]))
+    # Block -> its subsets, each counted from the first block that holds it; subset -> places of its columns.
+    of = [next(i for i, b in enumerate(blocks) if set(s) <= set(b)) for s in subsets]
+    mine = F.array(*[F.array(*[F.lit(i) for i, b in enumerate(of) if b == k]).cast("array<int>") for k in range(len(blocks))])
+    places = F.array(*[F.array(*[F.lit(place[c]) for c in s]) for s in subsets])
     texts = F.array(*[F.col(c).cast("string") for c in used])
-    rows = _labelled(df, y).select("_one", "_label", texts.alias("_texts"),
-                                   F.explode(F.sequence(F.lit(0), F.lit(len(subsets) - 1))).alias("subset"))
+    spread = fine.select("count", "positives", texts.alias("_texts"), F.explode(F.get(mine, F.col("_block"))).alias("subset"))
     keys = F.transform(F.get(places, F.col("subset")), lambda i: F.get(F.col("_texts"), i))
-    stats = (rows.select("_one", "_label", "subset", keys.alias("_keys"))
-             .where(~F.exists("_keys", lambda k: k.isNull()))
-             .groupBy("subset", "_keys").agg(F.count("_one").alias("count"), F.sum("_label").alias("positives")))
-    overall = _labelled(df, y).agg((F.sum("_label") / F.count("_one")).alias("rate")).scalar()
+    stats = (spread.select("count", "positives", "subset", keys.alias("_keys")).where(~F.exists("_keys", lambda k: k.isNull()))
+             .groupBy("subset", "_keys").agg(F.sum("count").alias("count"), F.sum("positives").alias("positives")))
+    overall = fine.where("_block = 0").agg((F.sum("positives") / F.sum("count")).alias("rate")).scalar()
     return stats.drop("_keys"), overall
 
 
@@ -194,7 +228,7 @@ def _remainders(df: DataFrame, cols: Sequence[str], mods: Sequence[int], sums: d
     remainder of every modulus exactly, so rows are expanded once per column instead of
     once per column and modulus.
     """
-    span = lcm(*mods)
+    span = math.lcm(*mods)
     kinds = dict(df.dtypes)
 
     def rest(c: str) -> Column:

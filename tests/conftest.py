@@ -2,10 +2,9 @@ import pytest
 
 from propensity import scale
 from propensity.session import build_session
+from shared import FOLDER
 from synthetic import buyers
 
-FOLDER = "/root/testdata/sf0.001"
-
 
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory):

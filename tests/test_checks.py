@@ -115,7 +115,7 @@ def test_align_models_needs_every_key_finite(spark):
     a, b = preds(spark, [(1, 0.1), (2, 0.2)]), preds(spark, [(1, 0.3), (2, 0.4)])
     assert {tuple(r) for r in align.align_models({"a": a, "b": b}, "id").collect()} == {(1, 0.1, 0.3), (2, 0.2, 0.4)}
     for bad in (preds(spark, [(1, 0.3)]), preds(spark, [(1, 0.3), (2, math.nan)]), preds(spark, [(1, 0.3), (2, None)])):
-        with pytest.raises(PySparkException, match="no finite prediction"):
+        with pytest.raises(ContractError, match="do not align"):
             align.align_models({"a": a, "b": bad}, "id").collect()
 
 

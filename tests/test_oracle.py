@@ -4,7 +4,7 @@ import pytest
 
 import compare
 from __spark_entry__ import entry, oracle_sql, queries
-from conftest import FOLDER
+from shared import FOLDER
 
 # The job queries are compared with their tables in test_jobs.
 SQL = sorted(n for n in oracle_sql() if not n.startswith("job_"))

@@ -1,3 +1,4 @@
+import itertools
 import math
 
 import numpy as np
@@ -118,10 +119,34 @@ def test_pairs_without_a_large_group_are_left_out(sdf):
     assert rates.pair_interactions(sdf, ["g", "h"], "y", 10_000).count() == 0
 
 
-def test_more_subsets_than_one_pass_holds(sdf, pdf, monkeypatch):
-    monkeypatch.setattr(rates, "SETS_PER_PASS", 2)
+@pytest.mark.parametrize("most", [1, 6, 1000])
+def test_subsets_in_several_blocks(sdf, pdf, monkeypatch, most):
+    cols = ["g", "h", "w", "y"]
+    whole = [sorted(map(tuple, f(sdf, cols, "y", 5).collect())) for f in (rates.pair_interactions, rates.triple_interactions)]
+    monkeypatch.setattr(rates, "FEW", 0)
+    monkeypatch.setattr(rates, "MOST_GROUPS", most)
     got = {r["features"]: r["n_combinations"] for r in rates.combo_frequencies(sdf, ["g", "h", "w"]).collect()}
     assert got == {"g × h": 6, "g × w": 9, "h × w": 6}
+    blocks = [sorted(map(tuple, f(sdf, cols, "y", 5).collect())) for f in (rates.pair_interactions, rates.triple_interactions)]
+    for a, b in zip(whole, blocks):
+        assert len(a) == len(b)
+        for x, z in zip(a, b):
+            assert x == pytest.approx(z)
+
+
+def test_blocks_hold_every_subset():
+    sizes = {f"c{i}": 2 + i % 5 for i in range(40)}
+    pairs = list(itertools.combinations(sizes, 2))
+    blocks = rates.column_blocks(pairs, sizes, 100_000)
+    assert all(any(set(p) <= set(b) for b in blocks) for p in pairs) and len(blocks) < len(pairs) / 4
+    assert all(math.prod(sizes[c] for c in b) <= 100_000 for b in blocks)
+    assert rates.column_blocks([("a", "b"), ("a", "c")], {"a": 10, "b": 10, "c": 10}, 50) == [("a", "b"), ("a", "c")]
+
+
+def test_forty_columns_in_one_query(spark):
+    df = spark.range(300).select(F.pmod("id", F.lit(2)).alias("y"), *[F.pmod(F.xxhash64("id", F.lit(i)), F.lit(3)).alias(f"c{i}") for i in range(40)])
+    got = rates.pair_interactions(df, [f"c{i}" for i in range(40)], "y", 1).collect()
+    assert len(got) == 780 and {r["n_combinations"] for r in got} == {9}
 
 
 def test_grid_of_bins_and_levels(sdf, pdf, tiny_tasks):
