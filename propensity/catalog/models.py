@@ -6,23 +6,22 @@ that operator's.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from propensity.catalog import alignment, evaluation, profiling, rates  # noqa: F401  (their SQL is reused below)
 from propensity.catalog.registry import ORACLES, P, query, rounded, with_p
-from propensity.operators import ensemble, features, folds, model, search
+from propensity.operators import ensemble, features, folds, impute, model, search
 from propensity.plans import jobs
 from propensity.session import stored, work_folder
 from propensity.sources import files, frames, ledger
 
 ROUNDS = {"num_boost_round": 10, "num_leaves": 15}
-FILL = {"Income_per_Age": 0.0, "Income_per_Commute": 0.0}
 
 
 def planted_splits(spark, folder, spec="v1") -> tuple[DataFrame, DataFrame]:
     df = features.build_features(frames.planted_frame(spark, folder), spec, frames.ROLES)
-    df = stored(df.na.fill({c: v for c, v in FILL.items() if c in df.columns}), "planted")
+    df = stored(df, "planted")
     train = folds.stratified_folds(df.where("split = 'train'"), "id", "y")
     return train.drop("split"), df.where("split = 'test'").drop("split", "y")
 
@@ -94,8 +93,7 @@ def _train_job(spark, folder, spec) -> DataFrame:
     train, test, template = _job_splits(spark, folder)
     out = work_folder(spark, f"train-{spec}")
     result = jobs.train_frames(train, test, template, "id", "y", out, spec, frames.ROLES, frames.CATEGORIES, ROUNDS,
-                               name=f"train_{spec}", ledger=ledger.RunLedger(spark, f"{out}/ledger"),
-                               fill={c: v for c, v in FILL.items() if c in features.feature_names(spec)})
+                               name=f"train_{spec}", ledger=ledger.RunLedger(spark, f"{out}/ledger"))
     return _summary(spark, result.summary)
 
 
@@ -114,8 +112,7 @@ def job_tune(spark, folder):
     train, test, template = _job_splits(spark, folder)
     out = work_folder(spark, "tune")
     result, _ = jobs.tune_frames(train, test, template, "id", "y", out, frames.ROLES, frames.CATEGORIES, n_trials=2,
-                                 fixed={"num_boost_round": 5}, ledger=ledger.RunLedger(spark, f"{out}/ledger"),
-                                 fill={"Income_per_Age": 0.0})
+                                 fixed={"num_boost_round": 5}, ledger=ledger.RunLedger(spark, f"{out}/ledger"))
     return _summary(spark, result.summary)
 
 
@@ -195,3 +192,57 @@ def job_interactions_named_pair(spark, folder):
     tables = jobs.interaction_tables(df, "y", ["amount"], frames.CATEGORIES, frames.CATEGORIES, ["qty"], frames.ROLES,
                                      pairs=[("rich", "urgency")])
     return rounded(tables["pair_rich_urgency"])
+
+
+PATIENCE = 3
+
+
+@query("SELECT CAST(k AS INTEGER) AS fold, true AS rounds_are_whole, true AS trees_end_at_the_best, true AS auc_is_that_round_s "
+       "FROM (VALUES (0), (1), (2), (3), (4)) f(k)")
+def early_stopping_audit(spark, folder):
+    """Trees kept by patience against the round that follows from the stored AUC of every round, by fold."""
+    result = model.fit_encoded(encoded(spark, folder), {**ROUNDS, "num_boost_round": 30, "learning_rate": 0.6}, patience=PATIENCE)
+    so_far = Window.partitionBy("fold").orderBy("round").rowsBetween(Window.unboundedPreceding, 0)
+    best = F.max(F.struct("auc", (-F.col("round")).alias("r"))).over(so_far)
+    seen = stored(result.rounds.withColumn("best", -best["r"]), "seen")
+    ends = seen.groupBy("fold").agg(
+        F.coalesce(F.min(F.when(F.col("round") - F.col("best") >= PATIENCE, F.col("round"))), F.max("round")).alias("last"),
+        (F.max("round") == F.count(F.lit(1))).alias("rounds_are_whole"))
+    chosen = ends.join(seen, "fold").where("round = last").select("fold", "rounds_are_whole", F.col("best").alias("round"))
+    chosen = chosen.join(seen.select("fold", "round", "auc"), ["fold", "round"])
+    kept = spark.createDataFrame([(k, (m.stages[-1] if hasattr(m, "stages") else m).getNumTrees, a) for (k, m), a in
+                                  zip(sorted(result.models.items()), result.fold_aucs)], "fold int, trees int, fold_auc double")
+    return chosen.join(kept, "fold").select("fold", "rounds_are_whole", (F.col("trees") == F.col("round")).alias("trees_end_at_the_best"),
+                                            (F.abs(F.col("auc") - F.col("fold_auc")) < 1e-9).alias("auc_is_that_round_s"))
+
+
+_RATIO = "CASE WHEN nation <> 0 THEN amount / nation END"
+
+
+@query(with_p(f"""SELECT c AS "column", CAST(k AS INTEGER) AS fold, round(median(v), 6) AS median
+  FROM (SELECT 'ratio' AS c, id, {_RATIO} AS v FROM p UNION ALL SELECT 'balance', id, balance FROM p) x, range(5) f(k)
+  WHERE id % 5 <> k AND v IS NOT NULL GROUP BY c, k"""))
+def fold_medians(spark, folder):
+    """Medians that fill a fold's model: of the values of all other folds, gaps left out."""
+    df = frames.orders_frame(spark, folder, ["id", "amount", "nation", "balance"])
+    df = stored(df.select((F.col("id") % 5).cast("int").alias("fold"), F.expr(_RATIO).alias("ratio"), "balance"), "gaps")
+    return rounded(impute.fold_medians(df, ["ratio", "balance"], "fold"))
+
+
+@query("SELECT CAST(i AS INTEGER) AS trial, true AS in_space, i = 0 AS is_default, true AS same_again FROM range(12) t(i)")
+def guided_search_audit(spark, folder):
+    """Points of a search of 12 trials, the last two guided: within the ranges, the first the defaults, and
+    the same when the search goes on from a ledger that holds the first half."""
+    data = encoded(spark, folder)
+    fixed = {"num_boost_round": 1, "num_leaves": 4, "max_depth": 2}
+    space = {k: r for k, r in search.SPACE.items() if k not in fixed}
+    book = ledger.RunLedger(spark, work_folder(spark, "ledger"))
+    search.search(data, 6, space=space, fixed=fixed, ledger=book)
+    found = [search.search(data, 12, space=space, fixed=fixed, ledger=b).trials for b in (book, None)]
+    default = spark.createDataFrame([(k, float(v)) for k, v in search.default_point(space).items()], "param string, preset double")
+    bounds = spark.createDataFrame([(k, r.low, r.high) for k, r in space.items()], "param string, low double, high double")
+    other = found[1].select("trial", "param", F.col("value").alias("again"))
+    both = found[0].join(other, ["trial", "param"]).join(default, "param").join(bounds, "param")
+    return both.groupBy("trial").agg(
+        F.every(F.col("value").between(F.col("low"), F.col("high"))).alias("in_space"),
+        F.every(F.col("value") == F.col("preset")).alias("is_default"), F.every(F.col("value") == F.col("again")).alias("same_again"))

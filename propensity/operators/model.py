@@ -15,12 +15,14 @@ from multiprocessing.pool import ThreadPool
 from pyspark import inheritable_thread_target
 from pyspark.ml import Model, PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression
-from pyspark.ml.feature import OneHotEncoder, StringIndexerModel, VectorAssembler
+from pyspark.ml.feature import OneHotEncoder, SQLTransformer, StringIndexerModel, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from propensity.operators import staged
 from propensity.operators.encode import build_vocab, level_lists
+from propensity.operators.impute import fold_medians, known
 from propensity.operators.metrics import fold_auc, roc_auc
 from propensity.session import stored, work_folder
 
@@ -94,20 +96,42 @@ def make_gbt(params: Mapping[str, object], max_bins: int, early_stopping: float
 
 @dataclass
 class Encoded:
-    """Feature vectors of both splits, as tables."""
+    """Feature vectors of both splits, as tables.
 
-    train: DataFrame  # key, label, fold, features
-    test: DataFrame | None  # key, features
+    Numeric columns with missing values stand beside the vector ``base`` as ``gaps``; a fold's model fills
+    them with that fold's ``fills`` before its own vector is assembled. Without gaps ``base`` is ``features``.
+    """
+
+    train: DataFrame  # key, label, fold, base, gaps
+    test: DataFrame | None  # key, base, gaps
     key: str
     names: list[str]
     max_bins: int
     rows: int
     stages: PipelineModel
-
-
-def _assembler(train: DataFrame, numeric: Sequence[str], cats: Sequence[str],
-               levels: Mapping[str, Sequence[str]], encoder: str) -> PipelineModel:
+    base: str = "features"
+    gaps: list[str] = field(default_factory=list)
+    fills: dict[int, list[float]] = field(default_factory=dict)
+
+    def filling(self, k: int) -> list:
+        """Stages that turn base and gaps into the features of fold ``k``'s model."""
+        if not self.gaps:
+            return []
+        filled = [f"_full_{i}" for i in range(len(self.gaps))]
+        parts = ", ".join(f"coalesce({g}, DOUBLE({v!r})) AS {f}" for g, v, f in zip(self.gaps, self.fills[k], filled))
+        return [SQLTransformer(statement=f"SELECT *, {parts} FROM __THIS__"),
+                VectorAssembler(inputCols=[self.base, *filled], outputCol="features", handleInvalid="error")]
+
+
+def _assembler(train: DataFrame, numeric: Sequence[str], gaps: Mapping[str, str], cats: Sequence[str],
+               levels: Mapping[str, Sequence[str]], encoder: str, out: str) -> PipelineModel:
     stages, parts = [], list(numeric)
+    if gaps:
+        flags = {f"_missing{g}": f"`{c}`" for c, g in gaps.items()}
+        made = [f"CASE WHEN NOT isnan(DOUBLE(`{c}`)) THEN DOUBLE(`{c}`) END AS {g}" for c, g in gaps.items()]
+        made += [f"INT({x} IS NULL OR isnan(DOUBLE({x}))) AS {flag}" for flag, x in flags.items()]
+        stages.append(SQLTransformer(statement=f"SELECT *, {', '.join(made)} FROM __THIS__"))
+        parts += list(flags)
     if cats:
         codes = [f"_code_{c}" for c in cats]
         stages += [StringIndexerModel.from_labels(list(levels.get(c, [])), inputCol=c, outputCol=code,
@@ -122,31 +146,55 @@ def _assembler(train: DataFrame, numeric: Sequence[str], cats: Sequence[str],
             parts += codes
         else:
             raise ValueError(f"encoder must be codes or onehot, not {encoder!r}")
-    stages.append(VectorAssembler(inputCols=parts, outputCol="features", handleInvalid="error"))
+    stages.append(VectorAssembler(inputCols=parts, outputCol=out, handleInvalid="error"))
     return PipelineModel(stages)
 
 
+def _with_gaps(frames: Sequence[DataFrame], numeric: Sequence[str]) -> list[str]:
+    """Numeric columns in which a frame has a missing value."""
+    found = set()
+    for df in frames:
+        row = df.agg(*[F.max(known(c).isNull()).alias(str(i)) for i, c in enumerate(numeric)]).first() if numeric else []
+        found |= {c for c, missing in zip(numeric, row) if missing}
+    return [c for c in numeric if c in found]
+
+
 def encode_frames(train: DataFrame, test: DataFrame | None, key: str, y: str, fold: str,
                   features: Sequence[str], cats: Sequence[str] = (), encoder: str = "codes") -> Encoded:
-    """Encode both splits once. Category levels come from both, never from the target."""
+    """Encode both splits once. Category levels come from both, never from the target.
+
+    A numeric column with missing values gets a flag, and each fold's model fills it with the median of
+    the rows it is fitted on (0 where those have no value).
+    """
     spark = train.sparkSession
     cats = [c for c in cats if c in features]
     numeric = [c for c in features if c not in cats]
     levels = level_lists(build_vocab(train, test if test is not None else train, cats)) if cats else {}
-    stages = _assembler(train, numeric, cats, levels, encoder)
+    open_ = _with_gaps([train] if test is None else [train, test], numeric)
+    gaps = {c: f"_gap_{i}" for i, c in enumerate(open_)}
+    full = [c for c in numeric if c not in gaps]
+    base = "_base" if gaps else "features"
+    stages = _assembler(train, full, gaps, cats, levels, encoder, base)
 
     folder = work_folder(spark, "features")
-    (stages.transform(train).select(key, F.col(y).cast("double").alias("label"), F.col(fold).alias("fold"), "features")
+    kept = [base, *gaps.values()]
+    (stages.transform(train).select(key, F.col(y).cast("double").alias("label"), F.col(fold).alias("fold"), *kept)
      .write.partitionBy("fold").parquet(f"{folder}/train"))
-    stored = spark.read.parquet(f"{folder}/train")
+    encoded = spark.read.parquet(f"{folder}/train")
     scored = None
     if test is not None:
-        stages.transform(test).select(key, "features").write.parquet(f"{folder}/test")
+        stages.transform(test).select(key, *kept).write.parquet(f"{folder}/test")
         scored = spark.read.parquet(f"{folder}/test")
     widest = max((len(v) for v in levels.values()), default=0) + 1
     bins = widest if encoder == "codes" else 2
+    fills: dict[int, list[float]] = {}
+    if gaps:
+        found = {(r["column"], r["fold"]): r["median"] for r in fold_medians(train, list(gaps), fold).collect()}
+        for k in sorted({k for _, k in found}):
+            fills[k] = [0.0 if found[(c, k)] is None else found[(c, k)] for c in gaps]
+    names = [*full, *cats, *gaps]
     # The count is read from the written table's footers.
-    return Encoded(stored, scored, key, [*numeric, *cats], bins, stored.count(), stages)
+    return Encoded(encoded, scored, key, names, bins, encoded.count(), stages, base, list(gaps.values()), fills)
 
 
 # --- fitting --------------------------------------------------------------------
@@ -159,6 +207,7 @@ class CvResult:
     fold_aucs: list[float]
     data: Encoded
     params: dict[str, object] = field(default_factory=dict)
+    rounds: DataFrame | None = None  # fold, round, auc of every round fitted with patience
 
     @property
     def mean(self) -> float:
@@ -174,13 +223,17 @@ class CvResult:
 
 
 def probability(df: DataFrame, model: Model, out: str) -> DataFrame:
-    """Append the chance of class 1."""
-    scored = model.copy().setProbabilityCol("_prob").setRawPredictionCol("").setPredictionCol("").transform(df)
-    return scored.withColumn(out, vector_to_array("_prob")[1]).drop("_prob")
+    """Append the chance of class 1. A pipeline's first stages make the features, which do not stay."""
+    last, given = model, df
+    if isinstance(model, PipelineModel):
+        *before, last = model.stages
+        given = PipelineModel(before).transform(df)
+    scored = last.copy().setProbabilityCol("_prob").setRawPredictionCol("").setPredictionCol("").transform(given)
+    return scored.select(*df.columns, vector_to_array("_prob")[1].alias(out))
 
 
 def score(df: DataFrame, models: Sequence[Model], out: str = "prediction") -> DataFrame:
-    """Mean chance of class 1 over the models, for rows that carry ``features``.
+    """Mean chance of class 1 over the models, for rows that carry encoded columns.
 
     A row-wise map: also legal on a streaming frame.
     """
@@ -207,51 +260,91 @@ def fold_ids(data: Encoded) -> list[int]:
 
 def fit_fold(data: Encoded, k: int, params: Mapping[str, object], kind: str = "gbt",
              early_stopping: float | None = None) -> Model:
-    """Fit on every fold but ``k``. With early stopping, fold ``k`` decides when to stop."""
+    """Fit on every fold but ``k``. With a tolerance, the loss on fold ``k`` decides when to stop."""
     estimator = _estimator(kind, params, data, early_stopping)
+    filling = data.filling(k)
+    rows = PipelineModel(filling).transform(data.train) if filling else data.train
     if early_stopping is not None and kind == "gbt":
-        return estimator.fit(data.train.withColumn("_held", F.col("fold") == k))
-    return estimator.fit(data.train.where(F.col("fold") != k))
+        fitted = estimator.fit(rows.withColumn("_held", F.col("fold") == k))
+    else:
+        fitted = estimator.fit(rows.where(F.col("fold") != k))
+    return PipelineModel([*filling, fitted]) if filling else fitted
+
+
+def fit_patient(data: Encoded, k: int, params: Mapping[str, object], patience: int) -> tuple[Model, DataFrame]:
+    """The model of fold ``k`` cut to its best round, and (fold, round, auc) of every round fitted.
+
+    Rounds end where fold ``k``'s AUC has not risen for ``patience`` of them, or at ``num_boost_round``. Trees do not
+    depend on how many follow, so they are fitted in lots that double until the end lies within: at most
+    twice the trees that are needed, never all of a long budget.
+    """
+    most = int(params["num_boost_round"])
+    rounds = min(most, max(2 * patience, 16))
+    held = data.train.where(F.col("fold") == k)
+    while True:
+        fitted = fit_fold(data, k, {**params, "num_boost_round": rounds})
+        *filling, trees = fitted.stages if isinstance(fitted, PipelineModel) else (fitted,)
+        seen = PipelineModel(filling).transform(held) if filling else held
+        scores = stored(staged.margins(seen, trees, "label"), "rounds")
+        table = stored(staged.round_auc(scores).select(F.lit(k).alias("fold"), "round", "auc"), "round_auc")
+        best, ended = staged.best_round([r["auc"] for r in table.orderBy("round").collect()], patience)
+        if ended or rounds >= most:
+            cut = staged.first_trees(trees, best)
+            return (PipelineModel([*filling, cut]) if filling else cut), table
+        rounds = min(most, 2 * rounds)
 
 
 def out_of_fold(data: Encoded, models: Mapping[int, Model]) -> DataFrame:
     """Each row scored by the model that did not see it."""
     out = None
     for k, model in models.items():
-        part = probability(data.train.where(F.col("fold") == k), model, "prediction").drop("features")
+        part = probability(data.train.where(F.col("fold") == k), model, "prediction").drop(data.base, *data.gaps)
         out = part if out is None else out.unionByName(part)
     return out
 
 
 def fit_encoded(data: Encoded, params: Mapping[str, object] | None = None, kind: str = "gbt",
-                early_stopping: float | None = None, parallelism: int = 8) -> CvResult:
-    """K fits, submitted together so that small stages of one fill gaps of another."""
+                early_stopping: float | None = None, parallelism: int = 8, patience: int | None = None) -> CvResult:
+    """K fits, submitted together so that small stages of one fill gaps of another.
+
+    ``patience`` ends a fold's trees after so many rounds without a higher AUC on it and keeps the best.
+    """
+    if patience is not None and (kind != "gbt" or early_stopping is not None):
+        raise ValueError("patience is for trees, and excludes a tolerance of the loss")
     merged = merge_params(params)
     spark = data.train.sparkSession
     ks = fold_ids(data)
 
-    def one(k: int) -> Model:
-        return fit_fold(data, k, merged, kind, early_stopping)
+    def one(k: int) -> tuple[Model, DataFrame | None]:
+        if patience is not None:
+            return fit_patient(data, k, merged, patience)
+        return fit_fold(data, k, merged, kind, early_stopping), None
 
     pool = ThreadPool(min(parallelism, len(ks)))
     try:
-        models = dict(zip(ks, pool.map(inheritable_thread_target(spark)(one), ks)))
+        fitted = dict(zip(ks, pool.map(inheritable_thread_target(spark)(one), ks)))
     finally:
         pool.close()
+    models = {k: m for k, (m, _) in fitted.items()}
+    rounds = None
+    for _, table in fitted.values():
+        if table is not None:
+            rounds = table if rounds is None else rounds.unionByName(table)
     # Scores are kept as a table: every later reading would run all models again.
     oof = stored(out_of_fold(data, models), "oof")
     found = fold_auc(oof, "label", "prediction", "fold")
     aucs = {r["fold"]: r["auc"] for r in found.collect()}
-    test = None if data.test is None else score(data.test, list(models.values())).drop("features")
-    return CvResult(models, oof, test, [aucs[k] for k in ks], data, merged)
+    test = None if data.test is None else score(data.test, list(models.values())).drop(data.base, *data.gaps)
+    return CvResult(models, oof, test, [aucs[k] for k in ks], data, merged, rounds)
 
 
 def cross_val_fit(train: DataFrame, test: DataFrame | None, key: str, y: str, fold: str, features: Sequence[str],
                   cats: Sequence[str] = (), params: Mapping[str, object] | None = None, encoder: str = "codes",
-                  kind: str = "gbt", early_stopping: float | None = None, parallelism: int = 8) -> CvResult:
+                  kind: str = "gbt", early_stopping: float | None = None, parallelism: int = 8,
+                  patience: int | None = None) -> CvResult:
     """Out-of-fold scores of ``train``, mean scores of ``test``, AUC per fold."""
     data = encode_frames(train, test, key, y, fold, features, cats, encoder)
-    return fit_encoded(data, params, kind, early_stopping, parallelism)
+    return fit_encoded(data, params, kind, early_stopping, parallelism, patience)
 
 
 def fold_report(result: CvResult) -> DataFrame:

@@ -73,13 +73,18 @@ def train_frames(train: DataFrame, test: DataFrame, template: DataFrame, key: st
                  roles: Roles = Roles(), declared: Sequence[str] = (), params: Mapping[str, object] | None = None,
                  encoder: str = "codes", kind: str = "gbt", early_stopping: float | None = None, k: int = 5,
                  seed: int = 42, name: str = "train", form: str = "csv", ledger: RunLedger | None = None,
-                 fill: Mapping[str, float] | None = None) -> TrainResult:
-    """Features, folds, k-fold fit, evaluation, scored file with read-back."""
+                 fill: Mapping[str, float] | None = None, patience: int | None = None) -> TrainResult:
+    """Features, folds, k-fold fit, evaluation, scored file with read-back.
+
+    Missing numbers are filled by fold medians unless ``fill`` names a value; ``patience`` ends a fold's trees
+    after so many rounds without gain.
+    """
     ready, scored = _ready(train, test, key, y, spec, roles, k, seed)
     if fill:
         ready, scored = ready.na.fill(dict(fill)), scored.na.fill(dict(fill))
     names, cats = features.discover_features(ready.drop("fold"), key, y, declared)
-    cv = model.cross_val_fit(ready, scored, key, y, "fold", names, cats, params, encoder, kind, early_stopping)
+    cv = model.cross_val_fit(ready, scored, key, y, "fold", names, cats, params, encoder, kind, early_stopping,
+                             patience=patience)
     return _finish(cv, template, key, y, out, name, spec, names, form, ledger)
 
 
@@ -115,14 +120,15 @@ def tune_frames(train: DataFrame, test: DataFrame, template: DataFrame, key: str
                 roles: Roles = Roles(), declared: Sequence[str] = (), n_trials: int = 25, seed: int = 42, k: int = 5,
                 fixed: Mapping[str, object] | None = None, space: Mapping[str, tuning.Range] = tuning.SPACE,
                 early_stopping: float | None = None, name: str = "tune", form: str = "csv",
-                ledger: RunLedger | None = None, fill: Mapping[str, float] | None = None) -> tuple[TrainResult, DataFrame]:
+                ledger: RunLedger | None = None, fill: Mapping[str, float] | None = None,
+                patience: int | None = None) -> tuple[TrainResult, DataFrame]:
     """Search, then the scored file of the best point. Returns the result and all trials."""
     ready, scored = _ready(train, test, key, y, "v1", roles, k, seed)
     if fill:
         ready, scored = ready.na.fill(dict(fill)), scored.na.fill(dict(fill))
     names, cats = features.discover_features(ready.drop("fold"), key, y, declared)
     data = model.encode_frames(ready, scored, key, y, "fold", names, cats)
-    found = tuning.search(data, n_trials, seed, space, fixed, early_stopping, ledger, name)
+    found = tuning.search(data, n_trials, seed, space, fixed, early_stopping, ledger, name, patience=patience)
     files.write_report(found.trials, f"{out}/trials")
     result = _finish(found.best, template, key, y, out, name, "v1", names, form, ledger,
                      {"best_score": found.best_score, "n_trials": float(n_trials)})

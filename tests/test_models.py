@@ -1,11 +1,12 @@
 """Model floors on the planted signal, whole jobs, and scoring of a stream."""
 
 import math
+import random
 
 import pytest
 from pyspark.sql import functions as F
 
-from propensity.operators import checks, ensemble, features, folds, metrics, model, search
+from propensity.operators import checks, ensemble, features, folds, impute, metrics, model, parzen, search, staged
 from propensity.operators.checks import ContractError
 from propensity.plans import jobs
 from propensity.session import stored, work_folder
@@ -284,3 +285,167 @@ def test_settings_that_name_another_objective_are_refused():
     for wrong in ({"objective": "regression"}, {"metric": "rmse"}, {"tree_method": "exact"}):
         with pytest.raises(ValueError, match="fitted with"):
             model.merge_params(wrong)
+
+
+# --- rounds and gaps ------------------------------------------------------------
+
+def test_best_round():
+    assert staged.best_round([0.5, 0.6, 0.7, 0.65, 0.7, 0.69, 0.9], 3) == (3, True)
+    assert staged.best_round([0.5, 0.6, 0.7, 0.65, 0.71, 0.69], 3) == (5, False)
+    assert staged.best_round([0.5], 1) == (1, False) and staged.best_round([0.5, 0.5], 1) == (1, True)
+    assert staged.best_round([None, 0.5, 0.4], 2) == (2, False)
+
+
+def test_margins_of_every_round(spark, encoded):
+    fitted = model.fit_fold(encoded, 0, model.merge_params(FAST))
+    rows = encoded.train.where("fold = 0").limit(50)
+    got = {(r["id"], r["round"]): r["margin"] for r in staged.margins(rows, fitted, "id").collect()}
+    assert len(got) == 50 * 6
+    for n in (1, 4, 6):
+        cut = staged.first_trees(fitted, n)
+        assert cut.getNumTrees == n
+        for r in model.probability(rows, cut, "p").select("id", "p").collect():
+            assert r["p"] == pytest.approx(1 / (1 + math.exp(-2 * got[(r["id"], n)])), abs=1e-9)
+
+
+def test_patience_keeps_the_best_round(encoded):
+    params = {**FAST, "num_boost_round": 40, "learning_rate": 0.9}
+    result = model.fit_encoded(encoded, params, patience=4)
+    table = {}
+    for r in result.rounds.collect():
+        table.setdefault(r["fold"], {})[r["round"]] = r["auc"]
+    for (k, fitted), auc in zip(sorted(result.models.items()), result.fold_aucs):
+        seen = [table[k][i] for i in sorted(table[k])]
+        best, ended = staged.best_round(seen, 4)
+        assert fitted.getNumTrees == best and (ended or len(seen) == 40)
+        assert auc == pytest.approx(seen[best - 1], abs=1e-9)
+    with pytest.raises(ValueError, match="excludes"):
+        model.fit_encoded(encoded, params, early_stopping=0.1, patience=4)
+
+
+def gappy(df):
+    """Every third age and, where someone is young, the income missing, as null or NaN."""
+    age = F.when(F.col("id") % 3 == 0, None).otherwise(F.col("Age"))
+    income = F.when(F.col("Age") < 30, float("nan")).otherwise(F.col("Annual_Income_USD"))
+    return df.withColumns({"Age": age, "Annual_Income_USD": income})
+
+
+def test_missing_numbers_in_training(spark, splits):
+    train, test = splits
+    names = ["Age", "Annual_Income_USD", "Subsidy_Available", "Range_Anxiety_Level", "Environmental_Concern_Level"]
+    cats = ["Subsidy_Available", "Range_Anxiety_Level"]
+    data = model.encode_frames(gappy(train), gappy(test), "id", "Will_Buy_EV", "fold", names, cats)
+    frame = gappy(train).select("fold", "Age", "Annual_Income_USD").toPandas()
+    for k, fills in data.fills.items():
+        rest = frame[frame.fold != k]
+        assert fills == [rest.Age.median(), rest.Annual_Income_USD.median()]
+    result = model.fit_encoded(data, FAST)
+    assert result.mean > 0.8 and result.oof.count() == 7000 and result.oof.columns == ["id", "label", "fold", "prediction"]
+    assert result.test.count() == 1500 and result.test.columns == ["id", "prediction"]
+    checks.require(checks.validate_predictions(result.test, "prediction"))
+    patient = model.fit_encoded(data, FAST, patience=2)
+    assert patient.mean >= result.mean - 0.02
+    # New rows, encoded by the same stages, are filled by each model itself.
+    fresh = model.score(data.stages.transform(gappy(test)), list(result.models.values())).select("id", "prediction")
+    want = {r["id"]: r["prediction"] for r in result.test.collect()}
+    assert all(want[r["id"]] == pytest.approx(r["prediction"]) for r in fresh.collect())
+
+
+def test_fold_medians(spark):
+    rows = [(i % 3, None if i % 7 == 0 else float(i % 11), float("nan") if i % 2 else float(i), None) for i in range(100)]
+    df = spark.createDataFrame(rows, "fold int, a double, b double, c double")
+    frame = df.toPandas()
+    got = {(r["column"], r["fold"]): r["median"] for r in impute.fold_medians(df, ["a", "b", "c"], "fold").collect()}
+    assert len(got) == 9
+    for k in range(3):
+        rest = frame[frame.fold != k]
+        assert (got[("a", k)], got[("b", k)], got[("c", k)]) == (rest.a.median(), rest.b.median(), None)
+
+
+# --- guided search --------------------------------------------------------------
+
+SPACE = {"a": parzen.Range(0.01, 1.0, log=True), "b": parzen.Range(1, 4, whole=True), "c": parzen.Range(-2.0, 3.0)}
+
+
+def density_by_hand(points, x):
+    """Mix of a uniform and of cut normal kernels, the cut found by summing a fine grid."""
+    def unit(name, v):
+        return math.log(v / 0.01) / math.log(100) if name == "a" else (v - 0.5) / 4 if name == "b" else (v + 2) / 5
+    width = 0.2 * len(points) ** (-1 / 7)
+    steps = [(i + 0.5) / 20_000 for i in range(20_000)]
+    total = 0.25
+    for p in points:
+        product = 1.0
+        for n in "abc":
+            c, u = unit(n, p[n]), unit(n, x[n])
+            bell = [math.exp(-((s - c) / width) ** 2 / 2) for s in steps]
+            mass = sum(bell) / len(steps)
+            if n == "b":
+                product *= sum(b for s, b in zip(steps, bell) if abs(s - u) <= 0.125) / len(steps) / mass
+            else:
+                product *= math.exp(-((u - c) / width) ** 2 / 2) / mass
+        total += product
+    return total / (len(points) + 1)
+
+
+def test_density_against_brute_force():
+    points = [{"a": 0.02, "b": 1, "c": -2.0}, {"a": 0.9, "b": 3, "c": 1.5}, {"a": 0.3, "b": 3, "c": 1.0}]
+    made = parzen.Density(SPACE, points)
+    for x in (*points, {"a": 0.05, "b": 2, "c": 3.0}, {"a": 1.0, "b": 4, "c": 0.0}):
+        assert made.at(x) == pytest.approx(density_by_hand(points, x), rel=1e-3)
+
+
+def test_drawn_points_follow_the_density():
+    rng = random.Random(3)
+    made = parzen.Density({"b": SPACE["b"]}, [{"b": 2}, {"b": 2}, {"b": 4}])
+    drawn = [made.draw(rng)["b"] for _ in range(20_000)]
+    for v in (1, 2, 3, 4):
+        assert drawn.count(v) / len(drawn) == pytest.approx(made.at({"b": v}), abs=0.015)
+    assert sum(made.at({"b": v}) for v in (1, 2, 3, 4)) == pytest.approx(1)
+    assert all(SPACE[k].holds(v) for _ in range(300) for k, v in parzen.Density(SPACE, []).draw(rng).items())
+
+
+def test_guided_points_go_where_the_score_is():
+    def score(p):
+        return -abs(math.log(p["a"] / 0.1)) - abs(p["c"] - 1) - (p["b"] != 3)
+    def run(seed, guided):
+        trials, rng = [], random.Random(seed)
+        for _ in range(40):
+            p = (parzen.propose(trials, SPACE, seed) if guided and len(trials) >= 10
+                 else {k: r.draw(rng) for k, r in SPACE.items()})
+            trials.append((p, score(p)))
+        return trials
+    better = sum(max(s for _, s in run(k, True)) > max(s for _, s in run(k, False)) for k in range(10))
+    assert better >= 8
+    trials = run(0, True)[:20]
+    assert parzen.propose(trials, SPACE, 1) == parzen.propose(trials, SPACE, 1) != parzen.propose(trials, SPACE, 2)
+
+
+def test_search_goes_on_from_its_ledger(spark, monkeypatch, tmp_path):
+    asked = []
+
+    class Result:
+        def __init__(self, point):
+            self.mean = 1 - abs(point["c"] - 1) / 9
+
+    def fit(data, params, **options):
+        asked.append(dict(params))
+        return Result(params)
+
+    class Data:
+        train = spark.range(1)
+    monkeypatch.setattr(search, "fit_encoded", fit)
+    monkeypatch.setattr(search, "default_point", lambda space: {"a": 0.5, "b": 2, "c": 0.0})
+    whole = search.search(Data, 30, 5, SPACE)
+    points = asked[:]
+    assert points[0] == {"a": 0.5, "b": 2, "c": 0.0} and len(points) == 30
+    asked.clear()
+    book = RunLedger(spark, str(tmp_path / "ledger"))
+    search.search(Data, 13, 5, SPACE, ledger=book)
+    book.append(book.start("search_trial_13"), {"a": 0.5})  # cut off: no score
+    found = search.search(Data, 30, 5, SPACE, ledger=book)
+    assert asked == points or asked[:30] == points
+    assert (found.best_params, found.best_score) == (whole.best_params, whole.best_score)
+    before = len(asked)
+    again = search.search(Data, 30, 5, SPACE, ledger=book)
+    assert len(asked) == before + 1 and again.best_params == whole.best_params  # only the best point is fitted anew
