@@ -75,20 +75,19 @@ def _hash(text: Column) -> Column:
     return F.xxhash64(F.coalesce(text, F.lit("")))
 
 
-def _grids(f: Column) -> list[tuple[Column, Column, int]]:
-    """Per block: a hash of its bits, the bit counts of the other segments (four bits each, with room for
-    two steps down and up) and how many those are."""
-    out = []
+def _grids(points: DataFrame) -> DataFrame:
+    """f, block, own, cell: per block a hash of its bits and the bit counts of the other segments, four bits
+    each, with room for two steps down and up."""
+    f, grids = F.col("f"), []
     for at, block in enumerate(BLOCKS):
         mask = sum(255 << 8 * k for k in block)
         own = F.xxhash64(F.lit(at), f.bitwiseAND(F.lit(mask - 2**64 if mask >> 63 else mask)))
-        rest = [k for k in range(SEGMENTS) if k not in block]
         cell = F.lit(0).cast("long")
-        for i, k in enumerate(rest):
+        for i, k in enumerate(k for k in range(SEGMENTS) if k not in block):
             part = F.shiftrightunsigned(f, 8 * k).bitwiseAND(F.lit(255))
             cell = cell + F.shiftleft(F.bit_count(part).cast("long") + 2, 4 * i)
-        out.append((own, cell, len(rest)))
-    return out
+        grids.append(F.struct(F.lit(at).alias("block"), own.alias("own"), cell.alias("cell")))
+    return points.select("f", F.explode(F.array(*grids)).alias("grid")).select("f", "grid.*")
 
 
 def steps(radius: int, segments: int) -> list[int]:
@@ -102,10 +101,11 @@ def steps(radius: int, segments: int) -> list[int]:
 
 def met(points: DataFrame, radius: int) -> DataFrame:
     """f, g: the numbers of column f that a grid brings together, some of them repeatedly."""
-    grids = _grids(F.col("f"))
-    at = points.select("f", F.explode(F.array(*(own.bitwiseXOR(cell) for own, cell, _ in grids))).alias("cell"))
-    around = [own.bitwiseXOR(cell + F.lit(s)) for own, cell, n in grids for s in steps(radius, n)]
-    asks = points.select(F.col("f").alias("g"), F.explode(F.array(*around)).alias("cell"))
+    grids = _grids(points)
+    at = grids.select("f", F.col("own").bitwiseXOR(F.col("cell")).alias("cell"))
+    around = F.array(*[F.array(*map(F.lit, steps(radius, SEGMENTS - len(block)))) for block in BLOCKS])
+    asks = grids.select(F.col("f").alias("g"), "own", "cell", F.explode(F.get(around, F.col("block"))).alias("step"))
+    asks = asks.select("g", F.col("own").bitwiseXOR(F.col("cell") + F.col("step")).alias("cell"))
     return at.join(asks, "cell").select("f", "g")
 
 

@@ -129,16 +129,13 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", rows: int = RO
     return train([(bucket[int(i)].values.to_numpy(), label_[int(i)].as_py()) for i in order])
 
 
-def _scorer(model, columns: list[str], text: str, keep_below: float | None = None):
+def _scorer(model):
     def work():
         own = model.value
 
         def each(batch: pa.RecordBatch) -> pa.RecordBatch:
-            s = own.scores(strings(batch, text))
-            out = {c: batch.column(c) for c in columns}
-            if keep_below is not None:
-                return pa.RecordBatch.from_pydict(out).filter(pa.array(s < keep_below))
-            return pa.RecordBatch.from_pydict(out | {"_score": pa.array(s, pa.float64())})
+            s = own.scores(strings(batch, "_text"))
+            return pa.RecordBatch.from_pydict({"_id": batch.column("_id"), "_score": pa.array(s, pa.float64())})
         return each
     return work
 
@@ -152,7 +149,7 @@ def score(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD, id_c
     """
     model = docs.sparkSession.sparkContext.broadcast(fit(docs, labels, id_col=id_col, text=text))
     kind = dict(docs.dtypes)[id_col]
-    got = map_batches(docs.select(docs[id_col].alias("_id"), docs[text].alias("_text")), _scorer(model, ["_id"], "_text"),
+    got = map_batches(docs.select(docs[id_col].alias("_id"), docs[text].alias("_text")), _scorer(model),
                       f"_id {kind}, _score double")
     return got.select(F.col("_id").alias(id_col), held_out(F.col("_id"), PARTS, LEFT_OUT).alias("held_out"),
                       F.col("_score").alias("score"), (F.col("_score") >= threshold).cast("int").alias("predicted"))
@@ -160,6 +157,13 @@ def score(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD, id_c
 
 def keep_clean(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD, id_col: str = "doc_id",
                text: str = "text") -> DataFrame:
-    """``docs`` without the rows that score at or above the threshold; no row moves between tasks."""
+    """``docs`` without the rows that score at or above the threshold.
+
+    No row moves between tasks, and only the text goes to Python; the other columns wait in the JVM.
+    """
     model = docs.sparkSession.sparkContext.broadcast(fit(docs, labels, id_col=id_col, text=text))
-    return map_batches(docs, _scorer(model, docs.columns, text, threshold), docs.schema)
+
+    @F.arrow_udf("double")
+    def clean(texts: pa.Array) -> pa.Array:
+        return pa.array(model.value.scores([x or "" for x in texts.to_pylist()]), pa.float64())
+    return docs.where(clean(docs[text]) < threshold)
