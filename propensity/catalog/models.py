@@ -240,7 +240,7 @@ def guided_search_audit(spark, folder):
     search.search(data, 6, space=space, fixed=fixed, ledger=book)
     found = [search.search(data, 12, space=space, fixed=fixed, ledger=b).trials for b in (book, None)]
     default = spark.createDataFrame([(k, float(v)) for k, v in search.default_point(space).items()], "param string, preset double")
-    bounds = spark.createDataFrame([(k, r.low, r.high) for k, r in space.items()], "param string, low double, high double")
+    bounds = spark.createDataFrame([(k, float(r.low), float(r.high)) for k, r in space.items()], "param string, low double, high double")
     other = found[1].select("trial", "param", F.col("value").alias("again"))
     both = found[0].join(other, ["trial", "param"]).join(default, "param").join(bounds, "param")
     return both.groupBy("trial").agg(
