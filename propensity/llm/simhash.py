@@ -106,7 +106,8 @@ def met(points: DataFrame, radius: int) -> DataFrame:
     around = F.array(*[F.array(*map(F.lit, steps(radius, SEGMENTS - len(block)))) for block in BLOCKS])
     asks = grids.select(F.col("f").alias("g"), "own", "cell", F.explode(F.get(around, F.col("block"))).alias("step"))
     asks = asks.select("g", F.col("own").bitwiseXOR(F.col("cell") + F.col("step")).alias("cell"))
-    return at.join(asks, "cell").select("f", "g")
+    # The planner does not see that rows multiply, and would broadcast a side by the size of its table.
+    return at.hint("merge").join(asks, "cell").select("f", "g")
 
 
 def links(points: DataFrame, radius: int = RADIUS) -> DataFrame:
