@@ -10,8 +10,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from propensity.catalog import alignment, evaluation, profiling, rates  # noqa: F401  (their SQL is reused below)
-from propensity.catalog.registry import ORACLES, P, query, rounded, with_p
-from propensity.operators import ensemble, features, folds, impute, model, search
+from propensity.catalog.registry import ORACLES, P, auc_sql, query, rounded, with_p
+from propensity.operators import encode, ensemble, features, folds, impute, model, order, search
 from propensity.plans import jobs
 from propensity.session import stored, work_folder
 from propensity.sources import files, frames, ledger
@@ -246,3 +246,51 @@ def guided_search_audit(spark, folder):
     return both.groupBy("trial").agg(
         F.every(F.col("value").between(F.col("low"), F.col("high"))).alias("in_space"),
         F.every(F.col("value") == F.col("preset")).alias("is_default"), F.every(F.col("value") == F.col("again")).alias("same_again"))
+
+
+@query(with_p(" UNION ALL ".join(
+    [f"SELECT 'auc_{m}' AS metric, round(auc, 6) + 0.0 AS value FROM ({auc_sql(f'(SELECT y, score_{m} AS s FROM p)')}) {m}" for m in "ab"]
+    + ["SELECT 'rows', CAST(count(*) AS DOUBLE) FROM p", "SELECT 'scored', CAST(count(*) AS DOUBLE) FROM p",
+       "SELECT 'scored_in_range', CAST(count(*) AS DOUBLE) FROM p"])))
+def job_stack_report(spark, folder):
+    """Two saved models stacked into a template: the exact part of the report, and what was read back."""
+    df = stored(frames.orders_frame(spark, folder, ["id", "y", "score_a", "score_b"]), "scores")
+    out = work_folder(spark, "stack")
+    for name in ("a", "b"):
+        files.save_predictions(df, out, name, "id", f"score_{name}")
+    saved = {name: files.load_predictions(spark, out, name, "id") for name in ("a", "b")}
+    template = df.select("id", F.lit(0.0).alias("y"), F.lit("kept").alias("extra"))
+    found, _ = jobs.stack(saved, saved, df, template, "id", "y", "y", out)
+    back = files.read_back(spark, f"{out}/scored", template.schema).agg(
+        F.count(F.lit(1)).alias("scored"), F.count_if(F.col("y").between(0, 1) & (F.col("extra") == "kept")).alias("scored_in_range"))
+    exact = found.report.where(F.col("metric").isin("rows", "auc_a", "auc_b"))
+    return rounded(exact.unionByName(back.select(F.expr(
+        "stack(2, 'scored', double(scored), 'scored_in_range', double(scored_in_range)) AS (metric, value)"))))
+
+
+@query("SELECT s AS setting, f AS features, true AS all_folds, true AS above_chance FROM (VALUES ('base', 17), ('one_hot', 17), "
+       "('without_rich', 16), ('crossed', 28)) t(s, f)")
+def comparison_audit(spark, folder):
+    """Feature sets and encoders on the same folds: columns used, whether all folds were scored, AUC above chance."""
+    df = stored(frames.planted_frame(spark, folder), "planted").where("split = 'train'").drop("split")
+    few = {"num_boost_round": 3, "num_leaves": 8}
+    settings = {"base": jobs.Setting(params=few), "one_hot": jobs.Setting(encoder="onehot", params=few),
+                "without_rich": jobs.Setting(without=["rich"], params=few), "crossed": jobs.Setting(spec="v2", params=few)}
+    table = jobs.compare(df, "id", "y", settings, frames.ROLES, frames.CATEGORIES)
+    return table.groupBy("setting", "features").agg(
+        (F.count_if(F.col("metric").startswith("fold_")) == 5).alias("all_folds"),
+        F.min(F.when(F.col("metric").endswith("auc"), F.col("value")) > 0.55).alias("above_chance"))
+
+
+@query("SELECT url, n, CAST(sum(n) OVER (ORDER BY url) AS BIGINT) AS cum_n FROM (SELECT url, count(*) AS n FROM pages WHERE url IS NOT NULL GROUP BY url)")
+def running_totals_by_url(spark, folder):
+    """Running count of pages in the order of their urls, texts that begin alike."""
+    df = frames.table(spark, folder, "pages").select("url", F.lit(1).alias("n"))
+    return order.ordered_cumsum(df, "url", ["n"])
+
+
+@query("""SELECT 'url' AS "column", url AS level, CAST(row_number() OVER (ORDER BY url) - 1 AS INTEGER) AS code
+          FROM (SELECT DISTINCT url FROM pages WHERE url IS NOT NULL)""")
+def vocabulary_of_urls(spark, folder):
+    df = frames.table(spark, folder, "pages").select("url")
+    return encode.build_vocab(df, df, ["url"])

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark.ml.feature import OneHotEncoder, VectorAssembler
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -65,3 +66,19 @@ def one_hot(df: DataFrame, vocab: DataFrame, cols: Sequence[str], keep: Sequence
     bits = [F.coalesce((F.col(c).cast("string") == level).cast("int"), F.lit(0)).alias(f"{c}_{level}")
             for c in cols for level in levels.get(c, [])]
     return df.select(*keep, *bits)
+
+
+def one_hot_vector(df: DataFrame, vocab: DataFrame, cols: Sequence[str], keep: Sequence[str] = (), out: str = "features") -> DataFrame:
+    """``keep`` columns and a sparse 0/1 vector over the levels of all columns, for any number of levels.
+
+    Columns follow each other in order, their levels by code; each column ends with a slot for null and
+    unseen levels. Codes come from joins, and the driver learns only how many levels a column has.
+    """
+    sizes = {r["column"]: r["n"] for r in vocab.groupBy("column").agg(F.count(F.lit(1)).alias("n")).collect()}  # one row per column
+    codes = [f"_code_{i}" for i in range(len(cols))]
+    coded = encode_codes(df.select(*keep, *cols), vocab, cols, "_code").select(*keep, *[
+        F.coalesce(F.col(f"{c}_code"), F.lit(sizes.get(c, 0))).cast("double").alias(code) for c, code in zip(cols, codes)])
+    widths = df.sparkSession.createDataFrame([[float(sizes.get(c, 0)) for c in cols]], ", ".join(f"{c} double" for c in codes))
+    hot = OneHotEncoder(inputCols=codes, outputCols=[f"_hot{c}" for c in codes], dropLast=False).fit(widths)
+    assembled = VectorAssembler(inputCols=hot.getOutputCols(), outputCol=out).transform(hot.transform(coded))
+    return assembled.select(*keep, out)

@@ -2,7 +2,8 @@
 
 Rows are ordered by the md5 of ``seed:key``. The first hex digits of that hash are
 uniform buckets, so ranks come from windows inside a bucket plus a small table of
-bucket counts: no class, however large, is sorted in one task.
+bucket counts: no class, however large, is sorted in one task. The number of digits follows
+from the largest class, so a bucket never holds many more than ``BUCKET_ROWS`` rows.
 """
 
 from __future__ import annotations
@@ -17,8 +18,8 @@ from propensity.operators.checks import ContractError
 from propensity.operators.order import ordered_cumsum
 from propensity.session import stored
 
-# 16^3 buckets per class.
-DIGITS = 3
+# Rows of a bucket, about.
+BUCKET_ROWS = 100_000
 
 
 def key_hash(key: str, seed: int) -> Column:
@@ -26,13 +27,23 @@ def key_hash(key: str, seed: int) -> Column:
     return F.md5(F.concat(F.lit(f"{seed}:"), _required(key)))
 
 
+def digits_for(rows: int) -> int:
+    """Hex digits that cut so many rows into buckets of ``BUCKET_ROWS`` or fewer."""
+    digits = 0
+    while rows > BUCKET_ROWS * 16 ** digits:
+        digits += 1
+    return digits
+
+
 def _hashed(df: DataFrame, key: str, y: str | None, seed: int) -> DataFrame:
+    counts = df.groupBy(*([] if y is None else [y])).agg(F.count(F.lit(1)).alias("n"))
+    digits = digits_for(counts.agg(F.max("n")).first()[0] or 0)
     if y is None:
         group = F.substring(_required(key), 1, 0)
     else:
         group = F.coalesce(F.col(y).cast("string"), F.raise_error(F.lit(f"null class in {y}")).cast("string"))
     return df.withColumns({"_class": group, "_hash": key_hash(key, seed)}).withColumn(
-        "_bucket", F.coalesce(F.substring("_hash", 1, DIGITS), F.lit("")))
+        "_bucket", F.coalesce(F.substring("_hash", 1, digits), F.lit("")))
 
 
 def _required(key: str) -> Column:
@@ -43,7 +54,7 @@ def stratified_position(df: DataFrame, key: str, y: str | None, seed: int, out:
     """Append the 0-based place of a row when sorted by class, then hash."""
     keyed = _hashed(df, key, y, seed)
     counts = keyed.groupBy("_class", "_bucket").agg(F.count(F.lit(1)).alias("_n"))
-    # At most 4,096 buckets of a class meet in a task; classes are counted through by ranges.
+    # A row per bucket: some ten for each million rows of a class. Classes are counted through by ranges.
     earlier = Window.partitionBy("_class").orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     totals = ordered_cumsum(counts, "_class", ["_n"]).select("_class", (F.col("cum__n") - F.col("_n")).alias("_start"))
     offsets = counts.select("_class", "_bucket", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_in")).join(
@@ -73,7 +84,7 @@ def _smallest(df: DataFrame, key: str, y: str | None, seed: int, size: Callable[
     """Flag ``_taken`` on the ``size(class count)`` rows of lowest hash in every class.
 
     Bucket counts tell which buckets are wholly in or out; only the rows of one boundary
-    bucket per class (1 in 4096) are ranked, and the cut-off hash is read from them. The
+    bucket per class are ranked, and the cut-off hash is read from them. The
     table of cut-offs has one row per class and stays distributed; where it is small, the join
     with it moves no row of ``df``.
     """

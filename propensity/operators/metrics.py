@@ -1,12 +1,13 @@
 """Exact ROC-AUC, average precision and tables built on them.
 
-Rows are first counted per (group, score), which runs map-side and removes ties. The
+For one grouping rows are first counted per (group, score), which runs map-side and removes ties. The
 ordered part then works on distinct scores, cut into score ranges, so neither a large
-group nor a heavily tied score ends up in one task.
+group nor a heavily tied score ends up in one task. For many groupings at once rows are dealt by score range.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -19,23 +20,28 @@ from propensity.operators.order import (
     edge_table,
     quantile_edges,
     running_totals,
-    unpivot_bins,
     with_bucket,
 )
 
+# Tasks that share the rows of a score which fills a range.
+SALTS = 64
 
-def _score_counts(df: DataFrame, y: str, p: str, by: Sequence[str]) -> DataFrame:
-    """Positives and negatives per (by, score). Rows with a null key have no group; a label that
-    is not 0 or 1 and a score that is null, NaN or infinite fail the query."""
-    keep = F.lit(True)
-    for c in by:
-        keep = keep & F.col(c).isNotNull()
+
+def _checked_score(y: str, p: str) -> Column:
+    """The score as a double; a label that is not 0 or 1 and a score that is null, NaN or infinite fail the query."""
     score, label = F.col(p).cast("double"), F.col(y).cast("double")
     good = label.isin(0.0, 1.0) & ~F.isnan(score) & (F.abs(score) < float("inf"))
     text = F.concat(F.lit("label or score not usable: "), F.coalesce(F.col(y).cast("string"), F.lit("null")), F.lit(", "),
                     F.coalesce(F.col(p).cast("string"), F.lit("null")))
-    checked = F.when(F.coalesce(good, F.lit(False)), score).otherwise(F.raise_error(text).cast("double"))
-    return (df.where(keep).groupBy(*by, checked.alias("_s"))
+    return F.when(F.coalesce(good, F.lit(False)), score).otherwise(F.raise_error(text).cast("double"))
+
+
+def _score_counts(df: DataFrame, y: str, p: str, by: Sequence[str]) -> DataFrame:
+    """Positives and negatives per (by, score). Rows with a null key have no group."""
+    keep = F.lit(True)
+    for c in by:
+        keep = keep & F.col(c).isNotNull()
+    return (df.where(keep).groupBy(*by, _checked_score(y, p).alias("_s"))
             .agg(F.sum(F.col(y).cast("long")).alias("_pos"), F.count(F.lit(1)).alias("_n"))
             .withColumn("_neg", F.col("_n") - F.col("_pos")))
 
@@ -111,30 +117,60 @@ def pooled_vs_fold(df: DataFrame, y: str, p: str, fold: str,
                      F.stddev_pop("auc").alias("std_auc")).withColumn("pooled_auc", pooled.select("auc").scalar())
 
 
+def _tied_ranges(cuts: Sequence[float]) -> list[int]:
+    """Ranges that hold a single score."""
+    return [i + 1 for i, (a, b) in enumerate(zip(cuts, cuts[1:])) if b == math.nextafter(a, math.inf)]
+
+
+def _auc_of_values(df: DataFrame, y: str, p: str, values: Sequence[tuple[str, Column]], cuts: Sequence[float]) -> DataFrame:
+    """column, value, n, positives, auc, score_sum for every value of many columns.
+
+    Each row is shuffled once, by its range of scores, however many columns there are; inside a range
+    it is spread over the columns, counted and passed in order. What then crosses the network has a row per
+    range and value. A score that fills a range needs no order, so its rows are dealt over ``SALTS`` tasks.
+    """
+    rows = df.select(_checked_score(y, p).alias("_s"), F.col(y).cast("long").alias("_y"),
+                     F.array(*[F.struct(F.lit(n).alias("column"), v.alias("value")) for n, v in values]).alias("_cells"))
+    tied = F.col(BUCKET).isin(_tied_ranges(cuts))
+    salt = F.when(tied, F.pmod(F.spark_partition_id(), F.lit(SALTS))).otherwise(F.lit(0))
+    dealt = with_bucket(rows, "_s", cuts).withColumn("_salt", salt).repartition(BUCKET, "_salt")
+    by = [BUCKET, "_salt", "column", "value"]
+    counts = (dealt.select(BUCKET, "_salt", "_s", "_y", F.explode("_cells").alias("_c")).select(BUCKET, "_salt", "_s", "_y", "_c.*")
+              .where(F.col("value").isNotNull()).groupBy(*by, "_s").agg(F.sum("_y").alias("_pos"), F.count(F.lit(1)).alias("_n"))
+              .withColumn("_neg", F.col("_n") - F.col("_pos")))
+    lower = Window.partitionBy(*by).orderBy("_s").rowsBetween(Window.unboundedPreceding, -1)
+    below = F.coalesce(F.sum("_neg").over(lower), F.lit(0))
+    wins = F.col("_pos").cast("double") * (F.col("_below") + F.col("_neg") / 2)
+    parts = counts.withColumn("_below", below).groupBy("column", "value", BUCKET).agg(
+        F.sum(wins).alias("_wins"), F.sum("_pos").alias("_pos"), F.sum("_neg").alias("_neg"), F.sum(F.col("_s") * F.col("_n")).alias("_sum"))
+    own = F.when(tied, F.col("_pos").cast("double") * F.col("_neg") / 2).otherwise(F.col("_wins"))
+    prior = Window.partitionBy("column", "value").orderBy(BUCKET).rowsBetween(Window.unboundedPreceding, -1)
+    carried = F.col("_pos").cast("double") * F.coalesce(F.sum("_neg").over(prior), F.lit(0))
+    whole = parts.withColumn("_wins", own + carried).groupBy("column", "value").agg(
+        *[F.sum(c).alias(c) for c in ("_wins", "_pos", "_neg", "_sum")])
+    pairs = F.col("_pos").cast("double") * F.col("_neg")
+    return whole.select("column", "value", (F.col("_pos") + F.col("_neg")).alias("n"), F.col("_pos").alias("positives"),
+                        F.when(pairs > 0, F.col("_wins") / pairs).alias("auc"), F.col("_sum").alias("score_sum"))
+
+
 def subgroup_auc(df: DataFrame, cols: Sequence[str], y: str, p: str,
                  cuts: Sequence[float] | None = None) -> DataFrame:
     """``grouped_auc`` for each of many columns, stacked as (feature, value, ...)."""
     cuts = cut_points(df, p) if cuts is None else cuts
-    texts = df.select(F.col(y).alias("_y"), F.col(p).alias("_p"), *[F.col(c).cast("string").alias(c) for c in cols])
-    long = texts.unpivot(["_y", "_p"], list(cols), "feature", "value")
-    return grouped_auc(long, ["feature", "value"], "_y", "_p", cuts=cuts)
+    found = _auc_of_values(df, y, p, [(c, F.col(c).cast("string")) for c in cols], cuts)
+    return found.select(F.col("column").alias("feature"), "value", "n", (F.col("positives") / F.col("n")).alias("positive_rate"), "auc")
 
 
 def auc_by_quantiles(df: DataFrame, cols: Sequence[str], y: str, p: str, q: int = 10,
                      cuts: Sequence[float] | None = None,
                      edges: Mapping[str, Sequence[float]] | None = None) -> DataFrame:
-    """Per quantile bin of many columns: bounds, rows, positive rate, AUC, mean prediction.
-
-    The mean comes from the same per-score counts as the AUC, so the rows are read once.
-    """
+    """Per quantile bin of many columns: bounds, rows, positive rate, AUC, mean prediction."""
     edges = edges or quantile_edges(df, cols, q)
     cuts = cut_points(df, p) if cuts is None else cuts
-    by = ["column", "bin"]
-    counts = _score_counts(unpivot_bins(df, edges, [y, p]), y, p, by)
-    means = counts.groupBy(*by).agg((F.sum(F.col("_s") * F.col("_n")) / F.sum("_n")).alias("mean_prediction"))
-    out = _auc_by(counts, by, cuts).join(means, by).join(F.broadcast(edge_table(df, edges)), by)
-    return out.select(*by, "lo", "hi", "n", (F.col("positives") / F.col("n")).alias("positive_rate"),
-                      "auc", "mean_prediction")
+    found = _auc_of_values(df, y, p, [(c, bin_of(c, marks)) for c, marks in edges.items()], cuts)
+    out = found.withColumnRenamed("value", "bin").join(F.broadcast(edge_table(df, edges)), ["column", "bin"])
+    return out.select("column", "bin", "lo", "hi", "n", (F.col("positives") / F.col("n")).alias("positive_rate"),
+                      "auc", (F.col("score_sum") / F.col("n")).alias("mean_prediction"))
 
 
 def auc_by_quantile(df: DataFrame, col: str, y: str, p: str, q: int = 10,
@@ -151,13 +187,9 @@ def conditional_auc(df: DataFrame, y: str, p: str, by: Sequence[str] = (), bins:
     Groups below ``min_count`` rows or with one class are left out.
     """
     bins = bins or {}
-    keyed, names = df, list(by)
-    for q in sorted(set(bins.values())):
-        cols = [c for c, want in bins.items() if want == q]
-        edges = quantile_edges(df, cols, q)
-        keyed = keyed.withColumns({f"{c}_bin": bin_of(c, edges[c]) for c in cols})
-    names += [f"{c}_bin" for c in bins]
-    return grouped_auc(keyed, names, y, p, min_count, True, cuts)
+    edges = quantile_edges(df, list(bins), bins) if bins else {}
+    keyed = df.withColumns({f"{c}_bin": bin_of(c, edges[c]) for c in bins})
+    return grouped_auc(keyed, [*by, *[f"{c}_bin" for c in bins]], y, p, min_count, True, cuts)
 
 
 def confusion_at(df: DataFrame, y: str, p: str, thresholds: Sequence[float]) -> DataFrame:

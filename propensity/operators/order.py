@@ -1,14 +1,14 @@
 """Global order without a global sort task: running totals, ranks, exact quantiles, bins.
 
 A window over the whole table would put every row in one task. Here the value range is
-cut into buckets at sampled points. Windows run inside a bucket, and the small table of
+cut into buckets at quantiles of a sketch. Windows run inside a bucket, and the small table of
 bucket totals carries the sums from one bucket to the next. The cut points are literals
 read to the driver once, so a retried task sees the same buckets; results do not depend
 on where the cuts fall, only the balance does. A small table is one bucket.
 
-Cuts are taken on a number that never falls as the value rises (``place``); inside a bucket
-rows are ordered by the value itself, so texts, times and whole numbers beyond the reach of
-a double are ordered as they are.
+Numbers and times are cut by a double that never falls as the value rises (``place``), texts by texts.
+Inside a bucket rows are ordered by the value itself, so whole numbers beyond the reach of a double are
+ordered as they are.
 """
 
 from __future__ import annotations
@@ -17,21 +17,29 @@ import math
 from collections.abc import Mapping, Sequence
 
 from pyspark.ml.feature import Bucketizer
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
 
 from propensity import scale
 
 BUCKET = "_bucket"
+Cuts = Sequence[float] | Sequence[str]
+# Texts are cut by so many first characters; those that share them all stand in one range.
+TEXT_CUT = 1024
+RADIX = 16               # texts a step of the search for a range looks at
+# Steps of the sketch that finds where quantiles lie; the values between two or three of them are counted exactly.
+SKETCH = 20_000
 
 
 # --- cut points -----------------------------------------------------------------
 
+def is_text(df: DataFrame, col: str) -> bool:
+    return dict(df.dtypes)[col] == "string"
+
+
 def place(df: DataFrame, col: str) -> Column:
-    """A double that never falls as ``col`` rises: the value, its time, or a text's first six bytes."""
+    """A double that never falls as ``col`` rises: the number or the time."""
     kind = dict(df.dtypes)[col]
-    if kind == "string":
-        return F.conv(F.rpad(F.hex(F.substring(F.col(col).cast("binary"), 1, 6)), 12, "0"), 16, 10).cast("double")
     if kind == "date":
         return F.unix_date(col).cast("double")
     if kind.startswith("timestamp"):
@@ -40,32 +48,65 @@ def place(df: DataFrame, col: str) -> Column:
     return F.col(col).cast("double") + F.lit(0.0)
 
 
-def _sampled_quantiles(df: DataFrame, cols: Sequence[str], rows: int) -> dict[str, list[float]]:
-    parts = scale.range_count(df, rows)
-    if parts < 2:
-        return {c: [] for c in cols}
-    probs = [i / parts for i in range(1, parts)]
-    picked = df.select(*[place(df, c).alias(c) for c in cols])
-    sample = max(scale.SAMPLE_ROWS, scale.SAMPLE_PER_RANGE * parts)
-    if rows > sample:
-        # The sample is bounded, so the sketches that meet in one task are too.
-        picked = picked.sample(sample / rows, seed=17)
-    row = picked.agg(*[F.percentile_approx(c, probs, 4 * parts).alias(c) for c in cols]).first()
-    return {c: list(row[c] or []) for c in cols}
+def _even(marks: Sequence, parts: int) -> list:
+    """``parts`` - 1 of the sorted ``marks``, evenly spread."""
+    return [marks[min(len(marks) - 1, i * (len(marks) + 1) // parts - 1)] for i in range(1, parts) if marks]
+
+
+def _text_quantiles(df: DataFrame, col: str, parts: int) -> list[str]:
+    """Of a bounded number of rows drawn by lot, the texts that split them evenly."""
+    few = max(scale.SAMPLE_ROWS, scale.SAMPLE_PER_RANGE * parts)
+    drawn = df.where(F.col(col).isNotNull()).select(F.substring(col, 1, TEXT_CUT).alias("t")).orderBy(F.rand(17)).limit(few)
+    return _even(sorted(r["t"] for r in drawn.collect()), parts)
+
 
+def _quantiles_of_places(df: DataFrame, cols: Sequence[str]) -> tuple[int, dict[str, list]]:
+    """Number of rows, and about as many quantiles per column as ranges are wanted: one scan, and one for each text."""
+    most = scale.MOST_RANGES
+    probs = [i / most for i in range(1, most)]
+    numbers = [c for c in cols if not is_text(df, c)]
+    sketches = [F.percentile_approx(place(df, c), probs, 4 * most).alias(f"_q{i}") for i, c in enumerate(numbers)]
+    row = df.agg(F.count(F.lit(1)).alias("_n"), *sketches).first()
+    parts = scale.range_count(df, row["_n"])
+    found: dict[str, list] = {c: _even(row[f"_q{i}"] or [], parts) for i, c in enumerate(numbers)}
+    for c in cols:
+        if c not in found:
+            found[c] = _text_quantiles(df, c, parts) if parts > 1 else []
+    return row["_n"], found
 
-def cut_points(df: DataFrame, col: str) -> list[float]:
-    """Sorted interior cuts that split the places of ``col`` into balanced ranges; [] for one range.
+
+def cut_points(df: DataFrame, col: str) -> list:
+    """Sorted interior cuts that split ``col`` into balanced ranges; [] for one range.
 
     A value that fills a whole range (many ties) becomes a range of its own.
     """
-    return _with_heavy_values(_sampled_quantiles(df, [col], df.count())[col])
+    return _with_heavy_values(_quantiles_of_places(df, [col])[1][col])
+
+
+def _with_heavy_values(quantiles: Sequence) -> list:
+    after = {a for a, b in zip(quantiles, quantiles[1:]) if a == b}
+    if any(isinstance(q, str) for q in quantiles):
+        return sorted({*quantiles, *(a + "\0" for a in after)})
+    return sorted(c for c in {*quantiles, *(math.nextafter(a, math.inf) for a in after)} if math.isfinite(c))
+
+
+def _texts(values: Sequence[str]) -> Column:
+    return F.array(*map(F.lit, values)).cast("array<string>")
 
 
-def _with_heavy_values(quantiles: Sequence[float]) -> list[float]:
-    cuts = set(quantiles)
-    cuts |= {math.nextafter(a, math.inf) for a, b in zip(quantiles, quantiles[1:]) if a == b}
-    return sorted(c for c in cuts if math.isfinite(c))
+def _count_upto(x: Column, cuts: Sequence[str]) -> Column:
+    """How many of the sorted texts ``cuts`` are not after ``x``: a few are looked at on each of a few levels."""
+    block = 1
+    while block * RADIX < len(cuts):
+        block *= RADIX
+    found = F.lit(0)
+    while block:
+        # The last text of each inner block, listed by outer block; then those of the outer block x lies in.
+        ends = [cuts[i] for i in range(block - 1, len(cuts), block)]
+        lists = F.array(*[_texts(ends[i:i + RADIX]) for i in range(0, len(ends) + 1, RADIX)])
+        found = found * RADIX + F.size(F.filter(F.get(lists, found), lambda c: c <= x))
+        block //= RADIX
+    return found
 
 
 def _bucketizer(cols: Sequence[str], cuts: Sequence[Sequence[float]], outs: Sequence[str]) -> Bucketizer:
@@ -74,10 +115,12 @@ def _bucketizer(cols: Sequence[str], cuts: Sequence[Sequence[float]], outs: Sequ
     return Bucketizer(splitsArray=ends, inputCols=list(cols), outputCols=list(outs), handleInvalid="keep")
 
 
-def with_bucket(df: DataFrame, col: str, cuts: Sequence[float]) -> DataFrame:
+def with_bucket(df: DataFrame, col: str, cuts: Cuts) -> DataFrame:
     """Append the range number of ``col``; 0 when there are no cuts, -1 for null."""
     if not cuts:
         return df.withColumn(BUCKET, F.when(F.col(col).isNull(), -1).otherwise(0))
+    if is_text(df, col):
+        return df.withColumn(BUCKET, F.coalesce(F.when(F.col(col).isNotNull(), _count_upto(F.col(col), cuts)), F.lit(-1)))
     keyed = _bucketizer(["_x"], [cuts], [BUCKET]).transform(df.withColumn("_x", place(df, col)))
     # Never null: joins on it then need no null filter, so both sides can share a shuffle.
     number = F.when(F.col(col).isNull(), -1).otherwise(F.col(BUCKET).cast("int"))
@@ -87,7 +130,7 @@ def with_bucket(df: DataFrame, col: str, cuts: Sequence[float]) -> DataFrame:
 # --- running totals -------------------------------------------------------------
 
 def running_totals(df: DataFrame, order: str, totals: Sequence[str], by: Sequence[str] = (),
-                   cuts: Sequence[float] = (), descending: bool = False) -> DataFrame:
+                   cuts: Cuts = (), descending: bool = False) -> DataFrame:
     """Inclusive running sums ``cum_<col>`` of ``totals`` along ``order`` inside ``by``.
 
     ``df`` holds one row per (by, order): aggregate ties first, they share their totals.
@@ -139,11 +182,10 @@ def percentile_rank(df: DataFrame, col: str, key: str, out: str = "pct_rank") ->
 
 def percentile_ranks(df: DataFrame, cols: Mapping[str, str], key: str) -> DataFrame:
     """``percentile_rank`` of several columns (column -> name of its rank): one shuffle for each."""
-    n = df.count()
-    sampled = _sampled_quantiles(df, list(cols), n)
+    _, marks = _quantiles_of_places(df, list(cols))
     out = df
     for col, name in cols.items():
-        cuts = _with_heavy_values(sampled[col])
+        cuts = _with_heavy_values(marks[col])
         x = F.col(col)
         # Counted over ``df``, not over the ranks so far.
         sizes = (with_bucket(df, col, cuts).groupBy(BUCKET)
@@ -169,63 +211,96 @@ def percentile_ranks(df: DataFrame, cols: Mapping[str, str], key: str) -> DataFr
 
 # --- exact quantiles ------------------------------------------------------------
 
-def quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float]) -> dict[str, list[float]]:
-    """Exact quantiles of numbers with linear interpolation, for all columns together.
+def _merged(spans: Sequence[tuple[float, float]]) -> list[tuple[float, float]]:
+    """Closed intervals, sorted, those that touch made one."""
+    out: list[tuple[float, float]] = []
+    for lo, hi in sorted(spans):
+        if out and lo <= out[-1][1]:
+            out[-1] = (out[-1][0], max(hi, out[-1][1]))
+        else:
+            out.append((lo, hi))
+    return out
+
 
-    A count, a sample for the cuts, counts per range; then only the ranges that hold a wanted
-    position are grouped by value and counted through. No value map of a whole column is built.
+def _values_at(df: DataFrame, values: Sequence[Column], spans: Sequence[Sequence[tuple[float, float]]],
+               spots: Sequence[Sequence[int]]) -> dict[tuple[int, int], tuple[float | None, int]]:
+    """(column, spot) -> the value at that place in order, and its segment: 2 i + 1 within span i, 2 i before it.
+
+    One scan. Rows outside the spans are only counted, so the value is None where a spot lies there.
+    """
+    cells = []
+    for i, (x, own) in enumerate(zip(values, spans)):
+        segment = sum(((x >= lo).cast("int") + (x > hi).cast("int") for lo, hi in own), F.lit(0))
+        cells += [F.lit(i), F.when(x.isNotNull(), segment), F.when(segment % 2 == 1, x)]
+    long = df.select(F.stack(F.lit(len(values)), *cells).alias("c", "s", "v")).where(F.col("s").isNotNull())
+    counted = long.groupBy("c", "s", "v").agg(F.count(F.lit(1)).alias("n"))
+    before = Window.partitionBy("c").orderBy("s").rowsBetween(Window.unboundedPreceding, -1)
+    # A row for each column and segment.
+    segments = counted.groupBy("c", "s").agg(F.sum("n").alias("n")).select("c", "s", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("pre"))
+    upto = Window.partitionBy("c", "s").orderBy("v").rowsBetween(Window.unboundedPreceding, 0)
+    last = counted.withColumn("last", F.sum("n").over(upto)).join(segments, ["c", "s"])
+    wanted = F.array(*[F.array(*[F.lit(k).cast("long") for k in own]).cast("array<bigint>") for own in spots])
+    end = F.col("last") + F.col("pre")
+    hits = last.select("c", "s", "v", F.filter(F.get(wanted, F.col("c")), lambda k: (k < end) & (k >= end - F.col("n"))).alias("at"))
+    return {(r["c"], k): (r["v"], r["s"]) for r in hits.where(F.size("at") > 0).collect() for k in r["at"]}
+
+
+def quantiles_and(df: DataFrame, cols: Sequence[str], probs: Sequence[float], *more: Column) -> tuple[dict[str, list[float]], Row]:
+    """Exact quantiles of numbers with linear interpolation, for all columns together, and a row of further aggregates.
+
+    Two scans: a sketch says between which values each position lies (and ``more`` is aggregated beside it);
+    then only those values are grouped and counted, all others are counted through. Should a position lie
+    elsewhere after all, the part of the range it lies in is counted too.
     """
     cols, probs = list(cols), list(probs)
-    sampled = _sampled_quantiles(df, cols, df.count())
-    cuts = [_with_heavy_values(sampled[c]) for c in cols]
-    values = df.select(*[(F.col(c).cast("double") + F.lit(0.0)).alias(f"v{i}")
-                         for i, c in enumerate(cols)])
-    keyed = _bucketizer(values.columns, cuts, [f"b{i}" for i in range(len(cols))]).transform(values)
-    cells = [x for i in range(len(cols)) for x in (F.lit(i), F.col(f"b{i}").cast("int"), F.col(f"v{i}"))]
-    long = keyed.select(F.stack(F.lit(len(cols)), *cells).alias("c", "b", "v")).where(F.col("v").isNotNull())
-
-    # At most (columns x ranges) rows.
-    counted = sorted((r["c"], r["b"], r["n"]) for r in
-                     long.groupBy("c", "b").agg(F.count(F.lit(1)).alias("n")).collect())
-    size = [sum(n for c, _, n in counted if c == i) for i in range(len(cols))]
-    spots: list[set[int]] = []
+    values = [F.col(c).cast("double") + F.lit(0.0) for c in cols]
+    slack = 2 / SKETCH
+    ends = [max(0.0, p - slack) for p in probs] + [min(1.0, p + slack) for p in probs]
+    row = df.agg(*[F.count(v).alias(f"_n{i}") for i, v in enumerate(values)],
+                 *[F.percentile_approx(v, ends, SKETCH).alias(f"_e{i}") for i, v in enumerate(values)], *more).first()
+    size = [row[f"_n{i}"] for i in range(len(cols))]
+    spots, spans = [], []
     for i in range(len(cols)):
         at = [(size[i] - 1) * p for p in probs] if size[i] else []
-        spots.append({math.floor(a) for a in at} | {math.ceil(a) for a in at})
-    wanted, before = [], [0] * len(cols)
-    for c, b, n in counted:
-        inside = sorted(s for s in spots[c] if before[c] <= s < before[c] + n)
-        if inside:
-            wanted.append((c, b, before[c], inside))
-        before[c] += n
-    if not wanted:
-        return {c: [] for c in cols}
-
-    # At most (columns x positions) rows.
-    table = df.sparkSession.createDataFrame(wanted, "c int, b int, pre long, spots array<long>")
-    grouped = (long.join(F.broadcast(table.select("c", "b")), ["c", "b"], "left_semi")
-               .groupBy("c", "b", "v").agg(F.count(F.lit(1)).alias("n")))
-    upto = Window.partitionBy("c", "b").orderBy("v").rowsBetween(Window.unboundedPreceding, 0)
-    last = (grouped.withColumn("last", F.sum("n").over(upto))
-            .join(F.broadcast(table), ["c", "b"]).withColumn("last", F.col("last") + F.col("pre")))
-    hits = last.select("c", "v", F.filter("spots", lambda s: (s < F.col("last")) &
-                                          (s >= F.col("last") - F.col("n"))).alias("at"))
-    found = {(r["c"], s): r["v"] for r in hits.where(F.size("at") > 0).collect() for s in r["at"]}
+        spots.append(sorted({math.floor(a) for a in at} | {math.ceil(a) for a in at}))
+        marks = row[f"_e{i}"] or []
+        spans.append(_merged([(marks[k], marks[k + len(probs)]) for k in range(len(probs))] if marks else []))
+    found: dict[tuple[int, int], float] = {}
+    while any(spots):
+        seen = _values_at(df, values, spans, spots)
+        for (c, k), (v, s) in seen.items():
+            if v is not None:
+                found[c, k] = v
+                continue
+            low = spans[c][s // 2 - 1][1] if s else -math.inf
+            high = spans[c][s // 2][0] if s // 2 < len(spans[c]) else math.inf
+            spans[c] = [*spans[c], (low, high)]  # merged below, once all of this round are known
+        if all((c, k) in found for c, own in enumerate(spots) for k in own):
+            break
+        spans = [_merged(own) for own in spans]
 
     out: dict[str, list[float]] = {}
     for i, c in enumerate(cols):
         out[c] = []
         for p in probs if size[i] else []:
             at = (size[i] - 1) * p
-            lo, hi = found[(i, math.floor(at))], found[(i, math.ceil(at))]
+            lo, hi = found[i, math.floor(at)], found[i, math.ceil(at)]
             out[c].append(lo if lo == hi else lo + (hi - lo) * (at - math.floor(at)))
-    return out
+    return out, row
+
+
+def quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float]) -> dict[str, list[float]]:
+    """Exact quantiles of numbers with linear interpolation, for all columns together."""
+    return quantiles_and(df, cols, probs)[0]
 
 
-def quantile_edges(df: DataFrame, cols: Sequence[str], q: int) -> dict[str, list[float]]:
-    """Distinct equal-frequency bin edges per column."""
-    found = quantiles(df, cols, [i / q for i in range(q + 1)])
-    return {c: sorted(set(edges)) for c, edges in found.items()}
+def quantile_edges(df: DataFrame, cols: Sequence[str], q: int | Mapping[str, int]) -> dict[str, list[float]]:
+    """Distinct equal-frequency bin edges per column; ``q`` bins, or a number of its own for each column."""
+    own = {c: q if isinstance(q, int) else q[c] for c in cols}
+    probs = sorted({i / k for k in own.values() for i in range(k + 1)})
+    found = quantiles(df, cols, probs)
+    edges = {c: dict(zip(probs, values)) for c, values in found.items()}
+    return {c: sorted({edges[c][i / own[c]] for i in range(own[c] + 1)}) if edges[c] else [] for c in cols}
 
 
 def bin_of(col: str, edges: Sequence[float]) -> Column:

@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
-from pyspark.sql import Column, DataFrame
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from propensity.operators.order import quantiles
+from propensity.operators.order import quantiles_and
+
+# Rows that are multiplied at once.
+BLOCK = 4096
 
 
 def _stack(df: DataFrame, cells: Sequence[Column]) -> DataFrame:
@@ -84,25 +89,28 @@ def distinct_levels(df: DataFrame, col: str) -> DataFrame:
 
 
 def describe(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """count, mean, sample deviation, min, quartiles, max: one row per column."""
-    found = quantiles(df, cols, [0.25, 0.5, 0.75])
-    q = {c: F.array(*[F.lit(v) for v in found[c] or [None] * 3]) for c in cols}
-
-    def cell(c: str) -> Column:
+    """count, mean, sample deviation, min, quartiles, max: one row per column, from two scans."""
+    more = []
+    for i, c in enumerate(cols):
         x = F.col(c).cast("double")
-        parts = [F.lit(c).alias("column"), F.count(c).alias("count"), F.avg(x).alias("mean"),
-                 F.when(F.count(c) > 1, F.stddev_samp(x)).alias("std"), F.min(x).alias("min")]
-        parts += [q[c][i].cast("double").alias(f"q{p}") for i, p in enumerate((25, 50, 75))]
-        return F.struct(*parts, F.max(x).alias("max"))
-
-    return _stack(df, [cell(c) for c in cols])
+        parts = [F.count(c), F.avg(x), F.when(F.count(c) > 1, F.stddev_samp(x)), F.min(x), F.max(x)]
+        more += [p.alias(f"_m{i}_{k}") for k, p in enumerate(parts)]
+    found, row = quantiles_and(df, cols, [0.25, 0.5, 0.75], *more)
+    rows = []
+    for i, c in enumerate(cols):
+        n, mean, std, least, most = (row[f"_m{i}_{k}"] for k in range(5))
+        rows.append((c, n, mean, std, least, *(found[c] or [None] * 3), most))
+    return df.sparkSession.createDataFrame(
+        rows, "column string, count long, mean double, std double, min double, q25 double, q50 double, q75 double, max double")
 
 
 def prediction_stats(df: DataFrame, col: str) -> DataFrame:
-    """min, max, mean, median and population deviation of a prediction column."""
-    median = F.lit((quantiles(df, [col], [0.5])[col] or [None])[0]).cast("double")
-    return df.agg(F.min(col).alias("min"), F.max(col).alias("max"), F.avg(col).alias("mean"),
-                  median.alias("median"), F.stddev_pop(col).alias("std"))
+    """min, max, mean, median and population deviation of a prediction column, from two scans."""
+    x = F.col(col).cast("double")
+    found, row = quantiles_and(df, [col], [0.5], F.min(x).alias("min"), F.max(x).alias("max"), F.avg(x).alias("mean"),
+                               F.stddev_pop(x).alias("std"))
+    values = (row["min"], row["max"], row["mean"], (found[col] or [None])[0], row["std"])
+    return df.sparkSession.createDataFrame([values], "min double, max double, mean double, median double, std double")
 
 
 def level_consistency(train: DataFrame, test: DataFrame, cols: Sequence[str]) -> DataFrame:
@@ -192,21 +200,69 @@ def histogram(df: DataFrame, col: str, bins: int, by: str | None = None) -> Data
                         (F.col("count") / F.col("_total") / F.col("_w")).alias("density"))
 
 
+def _merge(a: tuple[np.ndarray, ...], b: tuple[np.ndarray, ...]) -> tuple[np.ndarray, ...]:
+    """Counts, means and centred sums of two sets of rows together, for every pair of columns."""
+    (n, x, xx, xy), (m, z, zz, zw) = a, b
+    both = n + m
+    part = np.divide(m, both, out=np.zeros_like(both), where=both > 0)
+    gap = np.where((n > 0) & (m > 0), z - x, 0.0)
+    return (both, np.where(n > 0, x + gap * part, z), xx + zz + gap * gap * n * part, xy + zw + gap * gap.T * n * part)
+
+
+def _moments(x: np.ndarray) -> tuple[np.ndarray, ...]:
+    """For every pair (a, b) of columns over the rows where both are known: rows, mean of a, its squared
+    deviations, and the products with b's deviations."""
+    known = ~np.isnan(x)
+    mask = known.astype(np.float64)
+    centre = np.divide(np.where(known, x, 0.0).sum(0), mask.sum(0), out=np.zeros(x.shape[1]), where=mask.sum(0) > 0)
+    low, high = np.where(known, x, np.inf).min(0), np.where(known, x, -np.inf).max(0)
+    centre = np.where(low == high, low, centre)  # a value that never changes has no deviation, not even a rounded one
+    y = np.where(known, x - centre, 0.0)
+    n, total = mask.T @ mask, y.T @ mask
+    mean = np.divide(total, n, out=np.zeros_like(n), where=n > 0)
+    return n, centre[:, None] + mean, (y * y).T @ mask - mean * total, y.T @ y - mean * total.T
+
+
 def corr_matrix(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """Pearson correlation of every pair over the rows where both are known, long form.
 
-    One scan. Pairs are rows of a generated column rather than aggregates of one wide
-    row: a few hundred aggregation buffers would make code too large to be compiled.
+    One scan. Each task adds up blocks of rows as matrices, for all pairs at once; what is shuffled is one row
+    for each task and pair, however many rows there are. NaN counts as missing; null where a column does
+    not vary or fewer than two rows are known.
     """
-    pairs = [(a, b) for i, a in enumerate(cols) for b in cols[i:]]
-    cells = [x for i, (a, b) in enumerate(pairs)
-             for x in (F.lit(i), F.col(a).cast("double"), F.col(b).cast("double"))]
-    long = df.select(F.stack(F.lit(len(pairs)), *cells).alias("_i", "_x", "_z"))
-    found = long.groupBy("_i").agg(F.corr("_x", "_z").alias("corr"))
-    sides = [(i, x, z) for i, (a, b) in enumerate(pairs) for x, z in {(a, b), (b, a)}]
+    width = len(cols)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = None
+        for batch in batches:
+            x = np.column_stack([batch.column(i).to_numpy(zero_copy_only=False).astype(np.float64) for i in range(width)])
+            for at in range(0, len(x), BLOCK):
+                part = _moments(x[at:at + BLOCK])
+                total = part if total is None else _merge(total, part)
+        if total is not None:
+            i, j = np.triu_indices(width)
+            n, mean, square, product = total
+            yield pa.RecordBatch.from_arrays([pa.array(v) for v in (
+                i.astype(np.int32), j.astype(np.int32), n[i, j], mean[i, j], mean[j, i], square[i, j], square[j, i], product[i, j])],
+                ["i", "j", "n", "mx", "mz", "xx", "zz", "xz"])
+
+    numbers = df.select(*[F.col(c).cast("double").alias(f"c{k}") for k, c in enumerate(cols)])
+    parts = numbers.mapInArrow(run, "i int, j int, n double, mx double, mz double, xx double, zz double, xz double").where("n > 0")
+    pair = Window.partitionBy("i", "j")
+
+    def gap(mean: str) -> Column:
+        whole = F.sum(F.col("n") * F.col(mean)).over(pair) / F.sum("n").over(pair)
+        return F.when(F.min(mean).over(pair) == F.max(mean).over(pair), 0.0).otherwise(F.col(mean) - whole)
+    spread = parts.withColumns({"dx": gap("mx"), "dz": gap("mz")})
+    sums = spread.groupBy("i", "j").agg(
+        F.sum(F.col("xx") + F.col("n") * F.col("dx") * F.col("dx")).alias("xx"),
+        F.sum(F.col("zz") + F.col("n") * F.col("dz") * F.col("dz")).alias("zz"),
+        F.sum(F.col("xz") + F.col("n") * F.col("dx") * F.col("dz")).alias("xz"))
+    found = sums.select("i", "j", F.try_divide("xz", F.sqrt("xx") * F.sqrt("zz")).alias("corr"))
+    sides = [(i, j, x, z) for i, a in enumerate(cols) for j, b in enumerate(cols) if i <= j for x, z in {(a, b), (b, a)}]
     # One row per cell of the matrix.
-    names = df.sparkSession.createDataFrame(sides, "_i int, a string, b string")
-    return names.join(found, "_i", "left").select("a", "b", "corr")
+    names = df.sparkSession.createDataFrame(sides, "i int, j int, a string, b string")
+    return names.join(found, ["i", "j"], "left").select("a", "b", "corr")
 
 
 def corr_wide(long: DataFrame, cols: Sequence[str], digits: int = 3) -> DataFrame:

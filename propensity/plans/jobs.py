@@ -1,4 +1,4 @@
-"""The six whole jobs: two trainings, tuning, profile, interaction mining, error analysis.
+"""The whole jobs: two trainings, tuning, blends, stacking, comparison of settings, profile, interaction mining, error analysis.
 
 Each takes DataFrames (training also paths), writes its results under an output folder
 and returns the tables. A frame that several steps read is stored once.
@@ -162,6 +162,59 @@ def blend(predictions: Mapping[str, DataFrame], template: DataFrame, key: str, t
     return scored, checked
 
 
+def stack(oof: Mapping[str, DataFrame], test: Mapping[str, DataFrame], labelled: DataFrame, template: DataFrame, key: str,
+          y: str, target: str, out: str, c: float = 1.0, holdout: float = 0.2, seed: int = 42,
+          form: str = "csv") -> tuple[ensemble.StackResult, DataFrame]:
+    """Saved predictions of several models to one scored file by a second-level logistic model.
+
+    Out-of-fold predictions and labels are aligned by key, the model is judged on a held-out part beside each
+    single model, fitted again on all rows, and its test scores go into the template, are written and read back.
+    Gives the result with its report, which is also written, and the read-back.
+    """
+    if set(oof) != set(test):
+        raise checks.ContractError(f"out-of-fold predictions of {sorted(oof)}, test predictions of {sorted(test)}")
+    checks.require(checks.validate_binary(labelled, y), "target")
+    level = stored(align.attach(labelled.select(key, y), align.align_models(oof, key), key), "level")
+    found = ensemble.stack_logistic(level, key, y, list(oof), stored(align.align_models(test, key), "aligned"), c, holdout, seed)
+    files.write_report(found.report, f"{out}/report")
+    scored = align.apply_template(template, stored(found.scored, "stack"), key, target)
+    path = files.write_scored(scored, f"{out}/scored", key, form)
+    checked = files.verify_written(path, scored, key, target, form)
+    checks.require(checked, path)
+    return found, checked
+
+
+@dataclass(frozen=True)
+class Setting:
+    """What one row of a comparison fits: feature set, encoder, columns left out, parameters, estimator."""
+    spec: str = "v1"
+    encoder: str = "codes"
+    without: Sequence[str] = ()
+    params: Mapping[str, object] = field(default_factory=dict)
+    kind: str = "gbt"
+
+
+def compare(train: DataFrame, key: str, y: str, settings: Mapping[str, Setting], roles: Roles = Roles(), declared: Sequence[str] = (),
+            k: int = 5, seed: int = 42, out: str | None = None, patience: int | None = None) -> DataFrame:
+    """(setting, features, metric, value): each setting fitted on the same folds, one setting changed at a time or several.
+
+    Folds depend on key, class and seed only, so a difference between two settings is theirs.
+    """
+    checks.require(checks.validate_raw(train, key, y), "train")
+    checks.require(checks.validate_binary(train, y), "target")
+    base = stored(folds.stratified_folds(train, key, y, k, seed), "folds")
+    rows = []
+    for name, setting in settings.items():
+        built = features.build_features(base, setting.spec, roles).drop(*setting.without)
+        names, cats = features.discover_features(built.drop("fold"), key, y, declared)
+        cv = model.cross_val_fit(built, None, key, y, "fold", names, cats, setting.params, setting.encoder, setting.kind,
+                                 patience=patience if setting.kind == "gbt" else None)
+        pooled = metrics.roc_auc(cv.oof, "label", "prediction").first()["auc"]
+        rows += [(name, len(names), m, float(v)) for m, v in {**cv.metrics(), "pooled_auc": pooled}.items()]
+    table = train.sparkSession.createDataFrame(rows, "setting string, features int, metric string, value double")
+    return _write_all({"comparison": table}, out)["comparison"]
+
+
 def _write_all(tables: Mapping[str, DataFrame], out: str | None) -> dict[str, DataFrame]:
     if out is not None:
         for name, table in tables.items():

@@ -185,3 +185,27 @@ def test_reports_keep_struct_columns_readable(spark, sdf, tmp_path):
 
     path = write_report(quantile_bin(sdf, "a", 4).select("id", "a_bin"), str(tmp_path / "deep" / "report"))
     assert spark.read.option("header", True).csv(path).columns == ["id", "a_bin_bin", "a_bin_lo", "a_bin_hi"]
+
+
+@pytest.mark.parametrize("block", [3, 4096])
+def test_corr_in_blocks_with_gaps_and_constants(spark, monkeypatch, block):
+    monkeypatch.setattr(profile, "BLOCK", block)
+    rng = np.random.default_rng(4)
+    frame = pd.DataFrame({"a": 1e9 + rng.normal(size=300), "b": rng.normal(size=300), "c": 0.1, "d": np.nan, "e": rng.integers(0, 3, 300).astype(float)})
+    frame["f"] = frame.a * 2 - frame.b
+    frame.loc[::3, "b"] = np.nan
+    frame.loc[1::3, "e"] = np.nan
+    rows = [tuple(None if np.isnan(v) else float(v) for v in r) for r in frame.itertuples(index=False)]
+    df = spark.createDataFrame(rows, ", ".join(f"{c} double" for c in frame)).repartition(7)
+    want = frame.corr()
+    got = profile.corr_matrix(df, list(frame)).collect()
+    assert len(got) == 36
+    for r in got:
+        w = want.loc[r["a"], r["b"]]
+        assert r["corr"] is None if np.isnan(w) or "c" in (r["a"], r["b"]) else r["corr"] == pytest.approx(w, abs=1e-7)
+
+
+def test_two_hundred_columns(spark):
+    df = spark.range(400).select(*[F.rand(i).alias(f"c{i}") for i in range(200)])
+    got = profile.corr_matrix(df, df.columns)
+    assert got.count() == 40_000 and got.where("a = b and abs(corr - 1) > 1e-9").count() == 0

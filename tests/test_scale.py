@@ -2,6 +2,7 @@
 
 import random
 
+import pandas as pd
 import pytest
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
@@ -91,3 +92,66 @@ def test_scores_and_labels_that_cannot_be_ranked_fail(spark, row):
     for made in (metrics.roc_auc, metrics.average_precision):
         with pytest.raises(PySparkException):
             made(df, "y", "p").collect()
+
+
+def test_texts_that_begin_alike_fall_into_even_ranges(spark, monkeypatch):
+    cuts_of(monkeypatch, 1000)
+    rng = random.Random(2)
+    urls = [f"https://host.example/catalogue/items?page={rng.randrange(5000)}" for _ in range(20_000)]
+    urls[:7000] = [urls[0]] * 7000
+    df = spark.createDataFrame([(i, u) for i, u in enumerate(urls)] + [(-1, None)], "id long, url string")
+    cuts = order.cut_points(df, "url")
+    sizes = order.with_bucket(df, "url", cuts).where("url is not null").groupBy(order.BUCKET).agg(
+        F.count("*").alias("n"), F.countDistinct("url").alias("d")).collect()
+    assert len(sizes) > 8 and max(r["n"] for r in sizes if r["d"] > 1) <= 3 * 20_000 / len(sizes)
+    assert [r["d"] for r in sizes if r["n"] > 5000] == [1]
+    ranks = pd.Series(urls).rank(pct=True).tolist()
+    got = {r["id"]: r["pct_rank"] for r in order.percentile_rank(df, "url", "id").collect()}
+    assert got.pop(-1) is None and all(got[i] == pytest.approx(ranks[i]) for i in range(20_000))
+
+
+@pytest.mark.parametrize("n", [1, 15, 16, 17, 255, 256, 257, 700])
+def test_search_among_texts(spark, n):
+    rng = random.Random(n)
+    cuts = sorted(rng.sample([f"k{i:04d}" for i in range(2000)], n))
+    asked = [f"k{rng.randrange(2000):04d}" for _ in range(300)] + cuts[:3] + cuts[-3:] + ["", "z"]
+    df = spark.createDataFrame([(t,) for t in asked], "t string")
+    for r in order.with_bucket(df, "t", cuts).collect():
+        assert r[order.BUCKET] == sum(c <= r["t"] for c in cuts)
+
+
+def test_quantiles_where_the_sketch_misses(spark, monkeypatch):
+    rng = random.Random(9)
+    values = [rng.gauss(0, 1) for _ in range(500)]
+    df = spark.createDataFrame([(v, abs(v)) for v in values], "x double, z double").cache()
+    probs = [0.0, 0.2, 0.5, 0.99, 1.0]
+    want = order.quantiles(df, ["x", "z"], probs)
+    monkeypatch.setattr(order.F, "percentile_approx", lambda c, p, a: F.array(*[F.lit(0.1)] * len(p)))
+    assert order.quantiles(df, ["x", "z"], probs) == want
+    assert want["x"] == pytest.approx(pd.Series(values).quantile(probs).tolist())
+
+
+def test_digits_follow_the_largest_class(spark, monkeypatch):
+    assert [folds.digits_for(n) for n in (0, 100_000, 100_001, 1_600_001, 10**8, 10**12)] == [0, 0, 1, 2, 3, 6]
+    df = spark.range(3000).select("id", (F.col("id") % 7 == 0).cast("int").alias("y"))
+    whole = sorted(map(tuple, folds.stratified_folds(df, "id", "y").collect()))
+    monkeypatch.setattr(folds, "BUCKET_ROWS", 5)
+    assert sorted(map(tuple, folds.stratified_folds(df, "id", "y").collect())) == whole
+
+
+def test_wide_one_hot_equals_the_dense_form(spark):
+    df = spark.range(2000).select("id", F.concat(F.lit("a"), F.col("id") * 7 % 900).alias("a"),
+                                  F.when(F.col("id") % 5 > 0, F.concat(F.lit("b"), F.col("id") % 3)).alias("b"))
+    vocab = encode.build_vocab(df.where("id < 1500"), df.where("id < 1500"), ["a", "b"])
+    wide = {r["id"]: r["features"] for r in encode.one_hot_vector(df, vocab, ["a", "b"], ["id"]).collect()}
+    dense = {r[0]: list(r)[1:] for r in encode.one_hot(df, vocab, ["a", "b"], ["id"]).collect()}
+    for i, v in wide.items():
+        full = v.toArray().tolist()
+        assert full[:900] + full[901:904] == dense[i] and full[904] == (i % 5 == 0) and sum(full) == 2
+
+
+def test_two_hundred_thousand_levels(spark):
+    df = spark.range(200_000).select("id", F.concat(F.lit("level"), "id").alias("c"))
+    got = encode.one_hot_vector(df, encode.build_vocab(df, df, ["c"]), ["c"], ["id"]).limit(50).collect()
+    assert all(r["features"].size == 200_001 and r["features"].numNonzeros() == 1 for r in got)
+    assert len({int(r["features"].indices[0]) for r in got}) == 50
