@@ -302,7 +302,7 @@ def remove(docs: DataFrame, id_col: str = "doc_id", text: str = "text", many: in
 
 
 def digest(docs: DataFrame, id_col: str = "doc_id", text: str = "text", many: int = MANY) -> DataFrame:
-    """Per row: id, n_bytes, n_removed, n_spans, kept_sha256.
+    """Per row: id, n_bytes, n_removed, n_spans, kept_sha256, repeats (whether anything was removed).
 
     Null counts as empty. Texts of fewer than 400 bytes keep everything; a copy of a longer text
     loses everything, in every copy. Repeated rows are copies of each other. Rows without an id
@@ -320,4 +320,5 @@ def digest(docs: DataFrame, id_col: str = "doc_id", text: str = "text", many: in
                                                 F.sha2(F.col("raw").cast("binary"), 256).alias("whole"))
     return all_rows.join(cut, "rid", "left").select(
         F.col("id").alias(id_col), "n_bytes", F.coalesce("n_removed", F.lit(0)).cast("long").alias("n_removed"),
-        F.coalesce("n_spans", F.lit(0)).cast("long").alias("n_spans"), F.coalesce("kept_sha256", "whole").alias("kept_sha256"))
+        F.coalesce("n_spans", F.lit(0)).cast("long").alias("n_spans"), F.coalesce("kept_sha256", "whole").alias("kept_sha256"),
+        (F.coalesce("n_removed", F.lit(0)) > 0).alias("repeats"))
