@@ -29,6 +29,7 @@ from propensity.llm.texts import map_batches, pieces, strings
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 LONG = 200          # bytes; longer pre-tokens go through the queue one by one
 KNOWN = 500_000     # chunks of text whose ids a worker remembers between batches
+PIECE = 4_000_000        # characters of texts that are encoded together
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -315,7 +316,7 @@ def encode(docs: DataFrame, path: str | None = None, id_col: str = "doc_id", tex
         def each(batch: pa.RecordBatch) -> pa.RecordBatch:
             counts, hashes, back, packed = [], [], [], []
             texts = strings(batch, "text")
-            for first, last in pieces(texts, 32_000_000):
+            for first, last in pieces(texts, PIECE):
                 for got in own.encode_many(texts[first:last]):
                     raw = got.astype("<u4").tobytes()
                     counts.append(len(got))
