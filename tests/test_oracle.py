@@ -6,7 +6,7 @@ import compare
 from __spark_entry__ import entry, oracle_sql, queries
 from shared import FOLDER
 
-# The job queries are compared with their tables in test_jobs.
+# The job queries are compared in test_jobs, the text queries in tests/llm.
 SQL = sorted(n for n in oracle_sql() if not n.startswith("job_"))
 ORDERED = [n for n in SQL if any(w in n for w in (
     "auc", "precision", "quantile", "rank", "running", "decile", "describe", "stats", "profile", "numeric_cat",
