@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 import compare
 from __spark_entry__ import oracle_sql
+from propensity.operators import features
 from propensity.operators.checks import ContractError
 from propensity.plans import jobs
 from propensity.sources import frames
@@ -46,7 +47,8 @@ def test_stack_refuses_models_and_keys_that_do_not_fit(spark, tmp_path):
 def test_compare_changes_one_setting_on_the_same_folds(spark, tmp_path):
     df = frames.planted_frame(spark, FOLDER).where("split = 'train'").drop("split")
     few = {"num_boost_round": 2, "num_leaves": 4}
-    settings = {"all": jobs.Setting(params=few), "again": jobs.Setting(params=few), "less": jobs.Setting(without=["rich", "urgency"], params=few)}
+    told = [*frames.NUMBERS, "rich", "urgency", "priority", *features.feature_names("v1")]
+    settings = {"all": jobs.Setting(params=few), "again": jobs.Setting(params=few), "less": jobs.Setting(without=told, params=few)}
     table = jobs.compare(df, "id", "y", settings, frames.ROLES, frames.CATEGORIES, k=3, out=str(tmp_path / "t"))
     got = {}
     for r in table.collect():
