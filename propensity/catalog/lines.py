@@ -45,16 +45,16 @@ def line_numeric_profiles(spark, folder):
     return rounded(rates.numeric_profiles(df, NUMS, "y", 10), lo=5, hi=5)
 
 
-_BINNED = ", ".join(f"{bin_sql('e_' + c, c)} AS {c}_bin" for c in ("quantity", "price"))
-_EDGES = ", ".join(f"{edges_sql('t', c, 5)} AS e_{c}" for c in ("quantity", "price"))
+_BINNED = ", ".join(f"{bin_sql('e_' + c, c)} AS {c}_bin" for c in NUMS)
+_EDGES = ", ".join(f"{edges_sql('t', c, 5)} AS e_{c}" for c in NUMS)
 
 
 @query(f"WITH t AS ({T}), b AS (SELECT *, {_BINNED} FROM (SELECT t.*, {_EDGES} FROM t) a) " + " UNION ALL ".join(
     spread_sql(f"'{n}' AS numerical, '{c}' AS categorical", [f"{n}_bin", c], "b", RANGE_SQL)
-    for n in ("quantity", "price") for c in CATS))
+    for n in NUMS for c in CATS))
 def line_numeric_cat_interactions(spark, folder):
     df = frames.lines_frame(spark, folder)
-    return rounded(rates.numeric_cat_interactions(df, ["quantity", "price"], CATS, "y", 5, 100))
+    return rounded(rates.numeric_cat_interactions(df, NUMS, CATS, "y", 5, 100))
 
 
 @query(_with(" UNION ALL ".join(

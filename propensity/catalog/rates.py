@@ -121,7 +121,7 @@ def numeric_profiles_all(spark, folder):
     return rounded(rates.numeric_profiles(df, frames.NUMBERS, "y", 10), lo=5, hi=5)
 
 
-_GRID_NUMS = ["amount", "balance", "n_lines", "qty"]
+_GRID_NUMS = frames.NUMBERS
 _BINNED = ", ".join(f"{bin_sql('e_' + c, c)} AS {c}_bin" for c in _GRID_NUMS)
 _EDGES = ", ".join(f"{edges_sql('p', c, 5)} AS e_{c}" for c in _GRID_NUMS)
 
