@@ -25,6 +25,7 @@ from propensity.operators.encode import build_vocab, level_lists
 from propensity.operators.impute import fold_medians, known
 from propensity.operators.metrics import fold_auc, roc_auc
 from propensity.session import stored, work_folder
+from propensity.sources.stages import Stages, content
 
 # Default parameters under their usual booster names.
 DEFAULTS: dict[str, float] = {
@@ -304,10 +305,13 @@ def out_of_fold(data: Encoded, models: Mapping[int, Model]) -> DataFrame:
 
 
 def fit_encoded(data: Encoded, params: Mapping[str, object] | None = None, kind: str = "gbt",
-                early_stopping: float | None = None, parallelism: int = 8, patience: int | None = None) -> CvResult:
+                early_stopping: float | None = None, parallelism: int = 8, patience: int | None = None,
+                stages: Stages | None = None) -> CvResult:
     """K fits, submitted together so that small stages of one fill gaps of another.
 
     ``patience`` ends a fold's trees after so many rounds without a higher AUC on it and keeps the best.
+    With ``stages`` each fold's model is kept there as soon as it is fitted, and not fitted again
+    from the same rows with the same settings.
     """
     if patience is not None and (kind != "gbt" or early_stopping is not None):
         raise ValueError("patience is for trees, and excludes a tolerance of the loss")
@@ -315,11 +319,29 @@ def fit_encoded(data: Encoded, params: Mapping[str, object] | None = None, kind:
     spark = data.train.sparkSession
     ks = fold_ids(data)
 
-    def one(k: int) -> tuple[Model, DataFrame | None]:
+    made_from: dict[str, object] = {}
+    if stages is not None:
+        made_from = {"data": content(data.train, data.key, "label", "fold", vector_to_array(data.base), *data.gaps), "names": data.names,
+                     "fills": data.fills, "params": merged, "kind": kind, "tolerance": early_stopping, "patience": patience}
+
+    def fit(k: int) -> tuple[Model, DataFrame | None]:
         if patience is not None:
             return fit_patient(data, k, merged, patience)
         return fit_fold(data, k, merged, kind, early_stopping), None
 
+    def one(k: int) -> tuple[Model, DataFrame | None]:
+        if stages is None:
+            return fit(k)
+        fitted: list[tuple[Model, DataFrame | None]] = []
+
+        def fresh() -> tuple[Model, DataFrame | None]:
+            fitted[:] = fitted or [fit(k)]
+            return fitted[0]
+        key = {**made_from, "fold": k}
+        # The table first: the model's manifest says that both are whole.
+        table = None if patience is None else stages.table(f"rounds-{k}", key, lambda: fresh()[1])
+        return stages.model(f"model-{k}", key, lambda: fresh()[0]), table
+
     pool = ThreadPool(min(parallelism, len(ks)))
     try:
         fitted = dict(zip(ks, pool.map(inheritable_thread_target(spark)(one), ks)))
@@ -341,10 +363,10 @@ def fit_encoded(data: Encoded, params: Mapping[str, object] | None = None, kind:
 def cross_val_fit(train: DataFrame, test: DataFrame | None, key: str, y: str, fold: str, features: Sequence[str],
                   cats: Sequence[str] = (), params: Mapping[str, object] | None = None, encoder: str = "codes",
                   kind: str = "gbt", early_stopping: float | None = None, parallelism: int = 8,
-                  patience: int | None = None) -> CvResult:
+                  patience: int | None = None, stages: Stages | None = None) -> CvResult:
     """Out-of-fold scores of ``train``, mean scores of ``test``, AUC per fold."""
     data = encode_frames(train, test, key, y, fold, features, cats, encoder)
-    return fit_encoded(data, params, kind, early_stopping, parallelism, patience)
+    return fit_encoded(data, params, kind, early_stopping, parallelism, patience, stages)
 
 
 def fold_report(result: CvResult) -> DataFrame:

@@ -20,6 +20,7 @@ from propensity.session import stored
 from propensity.sources import files
 from propensity.sources.contract import BUYERS, TableContract
 from propensity.sources.ledger import RunLedger
+from propensity.sources.stages import Stages
 
 
 @dataclass
@@ -73,19 +74,23 @@ def train_frames(train: DataFrame, test: DataFrame, template: DataFrame, key: st
                  roles: Roles = Roles(), declared: Sequence[str] = (), params: Mapping[str, object] | None = None,
                  encoder: str = "codes", kind: str = "gbt", early_stopping: float | None = None, k: int = 5,
                  seed: int = 42, name: str = "train", form: str = "csv", ledger: RunLedger | None = None,
-                 fill: Mapping[str, float] | None = None, patience: int | None = None) -> TrainResult:
+                 fill: Mapping[str, float] | None = None, patience: int | None = None, resume: str | None = None) -> TrainResult:
     """Features, folds, k-fold fit, evaluation, scored file with read-back.
 
     Missing numbers are filled by fold medians unless ``fill`` names a value; ``patience`` ends a fold's trees
-    after so many rounds without gain.
+    after so many rounds without gain. ``resume`` names a folder for the fold models as they are fitted: a job that was
+    cut off takes those it finds from there, and removes the folder when it is done.
     """
     ready, scored = _ready(train, test, key, y, spec, roles, k, seed)
     if fill:
         ready, scored = ready.na.fill(dict(fill)), scored.na.fill(dict(fill))
     names, cats = features.discover_features(ready.drop("fold"), key, y, declared)
     cv = model.cross_val_fit(ready, scored, key, y, "fold", names, cats, params, encoder, kind, early_stopping,
-                             patience=patience)
-    return _finish(cv, template, key, y, out, name, spec, names, form, ledger)
+                             patience=patience, stages=None if resume is None else Stages(train.sparkSession, resume))
+    result = _finish(cv, template, key, y, out, name, spec, names, form, ledger)
+    if resume is not None:
+        Stages(train.sparkSession, resume).remove()
+    return result
 
 
 def _template(spark: SparkSession, path: str, test: DataFrame, key: str) -> DataFrame:

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 import compare
 from __spark_entry__ import oracle_sql
-from propensity.operators import features
+from propensity.operators import features, model
 from propensity.operators.checks import ContractError
 from propensity.plans import jobs
 from propensity.sources import frames
@@ -56,3 +56,32 @@ def test_compare_changes_one_setting_on_the_same_folds(spark, tmp_path):
     assert got["all"] == got["again"] and len(got["all"]) == 6
     assert got["less"]["cv_auc_mean"] < got["all"]["cv_auc_mean"]
     assert spark.read.option("header", True).csv(str(tmp_path / "t" / "comparison")).count() == 18
+
+
+@pytest.mark.parametrize("patience", [None, 2])
+def test_a_job_cut_off_between_folds_goes_on(spark, monkeypatch, tmp_path, patience):
+    df = frames.planted_frame(spark, FOLDER)
+    train, test = df.where("split = 'train'").drop("split"), df.where("split = 'test'").drop("split", "y")
+    template = test.select("id", F.lit(0.0).alias("y"))
+    fitted, real = [], model.fit_fold
+
+    def run(out, fail_at=None, **options):
+        def fit(data, k, *rest):
+            if k == fail_at:
+                raise RuntimeError("cut off")
+            fitted.append(k)
+            return real(data, k, *rest)
+        monkeypatch.setattr(model, "fit_fold", fit)
+        return jobs.train_frames(train, test, template, "id", "y", str(tmp_path / out), roles=frames.ROLES, declared=frames.CATEGORIES,
+                                 params={"num_boost_round": 3, "num_leaves": 4}, k=3, patience=patience, **options)
+    folder = str(tmp_path / "stages")
+    with pytest.raises(RuntimeError, match="cut off"):
+        run("a", 2, resume=folder)
+    assert sorted(set(fitted)) == [0, 1] and (tmp_path / "stages").exists()
+    fitted.clear()
+    resumed = run("b", resume=folder)
+    assert set(fitted) == {2} and not (tmp_path / "stages").exists()
+    fitted.clear()
+    whole = run("c")
+    assert set(fitted) == {0, 1, 2}
+    assert resumed.summary == pytest.approx(whole.summary)
