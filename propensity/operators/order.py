@@ -28,7 +28,7 @@ Cuts = Sequence[float] | Sequence[str]
 TEXT_CUT = 1024
 RADIX = 16               # texts a step of the search for a range looks at
 # Steps of the sketch that finds where quantiles lie; the values between two or three of them are counted exactly.
-SKETCH = 20_000
+SKETCH = 2_000
 
 
 # --- cut points -----------------------------------------------------------------
@@ -228,11 +228,19 @@ def _values_at(df: DataFrame, values: Sequence[Column], spans: Sequence[Sequence
 
     One scan. Rows outside the spans are only counted, so the value is None where a spot lies there.
     """
-    cells = []
-    for i, (x, own) in enumerate(zip(values, spans)):
-        segment = sum(((x >= lo).cast("int") + (x > hi).cast("int") for lo, hi in own), F.lit(0))
-        cells += [F.lit(i), F.when(x.isNotNull(), segment), F.when(segment % 2 == 1, x)]
-    long = df.select(F.stack(F.lit(len(values)), *cells).alias("c", "s", "v")).where(F.col("s").isNotNull())
+    table = df.select(*[x.alias(f"v{i}") for i, x in enumerate(values)])
+    marks = [[m for lo, hi in own for m in (lo, math.nextafter(hi, math.inf))] for own in spans]
+    if all(math.isfinite(m) for own in marks for m in own) and all(a < b for own in marks for a, b in zip(own, own[1:])):
+        # A binary search for each value.
+        table = _bucketizer(table.columns, [own or [0.0, 1.0] for own in marks], [f"s{i}" for i in range(len(values))]).transform(table)
+        segments = [F.col(f"s{i}").cast("int") for i in range(len(values))]
+    else:
+        segments = [sum(((F.col(f"v{i}") >= lo).cast("int") + (F.col(f"v{i}") > hi).cast("int") for lo, hi in own), F.lit(0))
+                    for i, own in enumerate(spans)]
+    found = table.select(*[c for i, s in enumerate(segments) for c in (F.col(f"v{i}").alias(f"v{i}"), s.alias(f"k{i}"))])
+    cells = [c for i in range(len(values)) for c in (
+        F.lit(i), F.when(F.col(f"v{i}").isNotNull(), F.col(f"k{i}")), F.when(F.col(f"k{i}") % 2 == 1, F.col(f"v{i}")))]
+    long = found.select(F.stack(F.lit(len(values)), *cells).alias("c", "s", "v")).where(F.col("s").isNotNull())
     counted = long.groupBy("c", "s", "v").agg(F.count(F.lit(1)).alias("n"))
     before = Window.partitionBy("c").orderBy("s").rowsBetween(Window.unboundedPreceding, -1)
     # A row for each column and segment.

@@ -9,10 +9,10 @@ import math
 
 from pyspark.sql import DataFrame
 
-# Rows of a range, as long as there are not over ``MOST_RANGES``; beyond 4 x 10^9 rows the ranges grow, not their number.
+# Rows of a range, as long as there are not over ``MOST_RANGES``; beyond 10^9 rows the ranges grow, not their number.
 MOST_ROWS = 1_000_000
 # What the driver holds of a column: a cut for each range.
-MOST_RANGES = 4096
+MOST_RANGES = 1024
 # Below this a range is not worth a task of its own.
 LEAST_ROWS = 20_000
 # Texts drawn by lot for cuts between texts, at least, and for each range.
