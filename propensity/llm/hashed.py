@@ -59,10 +59,10 @@ def sampled(docs: DataFrame, labels: DataFrame, label: str, rows: int, parts: in
 
     Documents whose crc32 of the id (as text) leaves ``left_out`` modulo ``parts`` are never among
     them. The rows are those of the lowest hashes of the ids that are among ``docs``, so the choice does
-    not depend on the order of the input. Null labels and ids are left out; of repeated labels of an id
+    not depend on the order of the input. Labels other than 0 and 1 and null ids are left out; of repeated labels of an id
     the highest holds, of its texts the least (null counts as empty).
     """
-    marks = (labels.where(F.col(label).isNotNull() & F.col(id_col).isNotNull())
+    marks = (labels.where(F.col(label).isin(0, 1) & F.col(id_col).isNotNull())
              .where(~held_out(F.col(id_col), parts, left_out))
              .groupBy(F.col(id_col).alias("id")).agg(F.max(label).cast("int").alias("label")))
     present = docs.select(docs[id_col].alias("id")).distinct()

@@ -63,26 +63,63 @@ class Model:
         return np.concatenate(out) if out else np.zeros(0)
 
 
-def telling(data: list[tuple[np.ndarray, int]], least: float) -> np.ndarray:
-    """Buckets whose presence depends on the label: likelihood-ratio statistic of ``least`` or more."""
-    flat = np.concatenate([b for b, _ in data])
-    label = np.repeat([y for _, y in data], [len(b) for b, _ in data])
-    buckets, at = np.unique(flat, return_inverse=True)
-    one = np.bincount(at, label, len(buckets))
-    both = np.bincount(at, minlength=len(buckets)).astype(float)
-    n, n1 = len(data), sum(y for _, y in data)
-    total = np.zeros(len(buckets))
+def ratio(one: np.ndarray, both: np.ndarray, n1: float, n: float) -> np.ndarray:
+    """Likelihood-ratio statistic of presence (``both`` of n documents, ``one`` of them of label 1) against the label."""
+    total = np.zeros(np.shape(both))
     for seen, wanted in ((one, both * n1), (both - one, both * (n - n1)), (n1 - one, (n - both) * n1),
                          (n - n1 - both + one, (n - both) * (n - n1))):
         total += 2 * seen * np.log(np.maximum(seen, 1e-9) * n / np.maximum(wanted, 1e-9))
-    return buckets[total >= least]
+    return total
+
+
+def telling(data: list[tuple[np.ndarray, int]], least: float, least_pair: float = 40.0, support: float = 0.02,
+            block: int = 512) -> np.ndarray:
+    """Buckets whose presence depends on the label, alone or with another one.
+
+    Alone: likelihood-ratio statistic of ``least`` or more. With another one: that of both being present
+    is ``least_pair`` or more above the sum of their own. All pairs of terms in a share of ``support``
+    or more of the documents are counted, ``block`` by ``block`` terms at a time.
+    """
+    flat = np.concatenate([b for b, _ in data])
+    label = np.array([y for _, y in data], float)
+    row = np.repeat(np.arange(len(data)), [len(b) for b, _ in data])
+    buckets, at = np.unique(flat, return_inverse=True)
+    one = np.bincount(at, label[row], len(buckets))
+    both = np.bincount(at, minlength=len(buckets)).astype(float)
+    n, n1 = len(data), label.sum()
+    alone = ratio(one, both, n1, n)
+    use = alone >= least
+
+    often = np.flatnonzero(both >= max(2, support * n))
+    place = np.full(len(buckets), -1)
+    place[often] = np.arange(len(often))
+    order = np.argsort(place[at], kind="stable")
+    col, row = place[at][order], row[order]
+
+    def present(first: int) -> np.ndarray:
+        """Documents by terms ``first`` to ``first + block``: 1 where present."""
+        low, high = np.searchsorted(col, (first, first + block))
+        out = np.zeros((n, min(block, len(often) - first)), np.float32)
+        out[row[low:high], col[low:high] - first] = 1
+        return out
+
+    for i in range(0, len(often), block):
+        x = present(i)
+        marked = x * label[:, None].astype(np.float32)
+        for j in range(i, len(often), block):
+            y = present(j)
+            a, b = often[i:i + block], often[j:j + block]
+            gain = ratio((marked.T @ y).astype(float), (x.T @ y).astype(float), n1, n) - alone[a][:, None] - alone[b]
+            first, second = np.nonzero(gain >= least_pair)
+            use[a[first]] = use[b[second]] = True
+    return buckets[use]
 
 
 def train(data: list[tuple[np.ndarray, int]], size: int = 4, epochs: int = 20, rate: float = 0.2, ridge: float = 0.0005,
           least: float = 15.0, seed: int = 7) -> Model:
     """Adaptive stochastic gradient descent over (buckets, label), one document at a time.
 
-    Only ``telling`` terms are learned; the bias stays at the log odds of label 1. Without data
+    Only terms ``telling`` alone or in a pair are learned; the bias stays at the log odds of label 1. Without data
     every score is 0.5.
     """
     if not data:

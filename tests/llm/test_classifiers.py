@@ -58,6 +58,58 @@ def test_pairs_of_terms_count():
     assert model.scores(texts[:2]).min() > 0.6 > 0.4 > low
 
 
+def test_pairs_of_terms_count_at_the_defaults():
+    """An insult says nothing by itself; with a group it is toxic, without one it is not."""
+    rng = np.random.default_rng(2)
+    rows = []
+    for _ in range(3000):
+        a, b = rng.integers(0, 2, 2)
+        toxic = int(a == b) if a else int(rng.random() < 0.5)
+        words = [f"w{k}" for k in rng.integers(0, 50, 6)] + ["insult"] * a + ["group"] * b
+        rows.append((np.unique(toxicity.terms([" ".join(words)])[0]), toxic))
+    model = toxicity.train(rows)
+    both, insult = model.scores(["insult group w1", "insult w1"])
+    assert both > 0.8 and insult < 0.2
+
+
+def by_hand(model, text):
+    """Score of one text from weights and all pairs of its known terms."""
+    has = set(toxicity.terms([text])[0].tolist())
+    at = [k for k, b in enumerate(model.buckets.tolist()) if b in has]
+    margin = model.bias + sum(model.weight[k] for k in at)
+    margin += sum(model.latent[i] @ model.latent[j] for i in at for j in at if i < j)
+    return 1 / (1 + np.exp(-margin))
+
+
+def test_scores_are_those_of_all_pairs(marked):
+    train, test = split(marked, 4, 2, 400)
+    model = toxicity.train([(np.unique(toxicity.terms([t])[0]), y) for t, y in zip(train.text, train.toxic)], least=6.0)
+    texts = [*test.text.head(60), "", "x"]
+    assert len(model.buckets) > 5 and np.allclose(model.scores(texts), [by_hand(model, t) for t in texts])
+
+
+def test_telling_pairs_in_blocks():
+    """Against every pair counted by itself; blocks do not matter."""
+    rng = np.random.default_rng(3)
+    data = []
+    for _ in range(400):
+        has = np.flatnonzero(rng.random(24) < 0.4)
+        data.append((has * 10, int((3 in has) == (17 in has)) if rng.random() < 0.9 else 0))
+    n, n1 = len(data), sum(y for _, y in data)
+
+    def statistic(*wanted):
+        seen = [y for b, y in data if set(wanted) <= set(b.tolist())]
+        return float(toxicity.ratio(np.array(float(sum(seen))), np.array(float(len(seen))), n1, n))
+    want = {b for b in range(0, 240, 10) if statistic(b) >= 15}
+    for a in range(0, 240, 10):
+        for b in range(a + 10, 240, 10):
+            if statistic(a, b) - statistic(a) - statistic(b) >= 40:
+                want |= {a, b}
+    assert {30, 170} <= want
+    for block in (5, 512):
+        assert set(toxicity.telling(data, 15.0, block=block).tolist()) == want
+
+
 def test_scores_do_not_depend_on_the_batch():
     texts = ["", "a", "Der Haus", "a a a", "x" * 5000, "é 漢\n\nb !!"] * 3
     rows = [(b, n, i % 2) for i, (b, n) in enumerate(quality.counted(texts))]
@@ -83,7 +135,7 @@ def test_hashes_of_runs_depend_on_the_run_only():
 def test_rows(spark, module):
     rows = [(1, "good day", "x"), (1, "good day", "x"), (2, None, "x"), (3, "", "x"), (None, "bad day", "x")]
     docs = spark.createDataFrame(rows, "doc_id long, text string, score string")
-    labels = spark.createDataFrame([(1, 1, 0), (1, 1, 0), (2, None, None), (None, 1, 1), (9, 0, 1)],
+    labels = spark.createDataFrame([(1, 1, 0), (1, 1, 0), (2, None, None), (None, 1, 1), (9, 0, 1), (3, 2, -1)],
                                    "doc_id long, quality int, toxic int")
     got = sorted(map(tuple, module.score(docs, labels).collect()), key=repr)
     assert [r[0] for r in got] == [1, 1, 2, 3, None] and got[0] == got[1]
