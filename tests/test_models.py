@@ -6,6 +6,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from propensity.catalog import QUERIES
 from propensity.operators import checks, ensemble, features, folds, impute, metrics, model, parzen, search, staged
 from propensity.operators.checks import ContractError
 from propensity.plans import jobs
@@ -449,3 +450,9 @@ def test_search_goes_on_from_its_ledger(spark, monkeypatch, tmp_path):
     before = len(asked)
     again = search.search(Data, 30, 5, SPACE, ledger=book)
     assert len(asked) == before + 1 and again.best_params == whole.best_params  # only the best point is fitted anew
+
+
+def test_trees_of_models_that_fill_gaps(spark, folder):
+    rows = QUERIES["cross_val_early_stopping"](spark, folder).orderBy("fold").collect()
+    assert [r["fold"] for r in rows] == [0, 1, 2, 3, 4]
+    assert all(1 <= r["trees"] <= 30 and 0.6 < r["auc"] <= 1 for r in rows)
