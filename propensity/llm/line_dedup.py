@@ -4,8 +4,9 @@ A line is the set of its words. Words have an order from rare to frequent (by a
 words in ``BUCKETS`` hashed cells, then by hash: any fixed order gives the same result, a rare
 word first gives few candidates). Two sets with a Jaccard similarity of 0.8 or more share one of
 their first size - ceil(0.8 size) + 1 words, so only these prefixes are joined. Pairs whose sizes,
-places of the shared word or 64-bit parities rule the similarity out are dropped inside the join;
-of the rest the words themselves are compared. Lines with equal sets are one node of the join.
+places of the shared word or 64-bit parities rule the similarity out are dropped inside the join,
+then those whose words share too few 16-bit hashes; of the rest the words themselves are compared.
+Lines with equal sets are one node of the join.
 """
 
 from __future__ import annotations
@@ -13,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from propensity.llm.texts import SPACE, filtered_joins
+from propensity.llm.texts import SPACE
 from propensity.session import stored
 
 BUCKETS = 1 << 16
@@ -32,12 +33,12 @@ def lines(docs: DataFrame, id_col: str, text: str) -> DataFrame:
 
 
 def _levels(docs: DataFrame, text: str) -> Column:
-    """Frequency class of each cell, as a literal: twice the binary logarithm of its count, at most 126."""
+    """Frequency class of each cell above 56 bits, as a literal: twice the binary logarithm of its count, at most 126."""
     cell = F.xxhash64("w").bitwiseAND(F.lit(BUCKETS - 1)).alias("cell")
     all_words = docs.select(F.explode(F.split(F.lower(docs[text]), f"{SPACE}+")).alias("w"))
     counts = {r.cell: r.n for r in all_words.groupBy(cell).agg(F.count(F.lit(1)).alias("n")).collect()}  # BUCKETS rows at most
-    levels = (str(min(126, (counts.get(c, 0) ** 2).bit_length())) for c in range(BUCKETS))
-    return F.expr(f"cast(split('{','.join(levels)}', ',') as array<tinyint>)")
+    levels = (str(min(126, (counts.get(c, 0) ** 2).bit_length()) << 56) for c in range(BUCKETS))
+    return F.expr(f"cast(split('{','.join(levels)}', ',') as array<bigint>)")
 
 
 def _sets(rows: DataFrame, levels: Column, similarity: float) -> DataFrame:
@@ -49,15 +50,47 @@ def _sets(rows: DataFrame, levels: Column, similarity: float) -> DataFrame:
     def key(w: Column) -> Column:
         h = F.xxhash64(w)
         level = F.element_at(levels, h.bitwiseAND(F.lit(BUCKETS - 1)).cast("int") + 1)
-        return F.shiftleft(level.cast("long"), 56).bitwiseOR(F.shiftrightunsigned(h, 8))
+        return level.bitwiseOR(F.shiftrightunsigned(h, 8))
+    # A filter on the size would be moved below the words and cut every line twice.
+    rows = rows.where(F.col("line").rlike(r"[^\x20\x09-\x0D]"))
     rows = rows.select("id", "no", F.sort_array(F.array_distinct(F.transform(words(F.col("line")), key))).alias("k"))
     one = F.lit(1).cast("long")
     parity = F.aggregate("k", F.lit(0).cast("long"), lambda p, k: p.bitwiseXOR(
         F.call_function("shiftleft", one, k.bitwiseAND(F.lit(63)).cast("int"))))
     size = F.size("k")
     first = F.slice("k", F.lit(1), size - F.ceil(size * similarity - 1e-9).cast("int") + 1)
-    return rows.where(size > 0).select("id", "no", F.xxhash64("k").alias("set"), size.alias("size"), parity.alias("parity"),
-                                       F.transform(first, lambda k: F.hash(k)).alias("prefix"))
+    return rows.select("id", "no", F.xxhash64("k").alias("set"), size.alias("size"), parity.alias("parity"),
+                       F.transform(first, lambda k: F.hash(k)).alias("prefix"))
+
+
+def _marks(w: str) -> Column:
+    """Distinct 16-bit hashes of words."""
+    return F.array_distinct(F.transform(w, lambda x: F.shiftright(F.hash(x), 16).cast("smallint"))).alias("marks")
+
+
+def _candidates(nodes: DataFrame, similarity: float) -> DataFrame:
+    """y and x (id, no): places of two nodes that may be alike, x before y.
+
+    Of two sets the smaller shares a word already in a shorter prefix: its first
+    size - ceil(2 s / (1 + s) size) + 1 words, s the similarity.
+    """
+    # Both sides are the same rows, so that Spark shuffles them once.
+    part = nodes.select("id", "no", "size", "parity", F.posexplode("prefix").alias("place", "word"))
+    a, b = (lambda c: F.col(f"a.{c}")), (lambda c: F.col(f"b.{c}"))
+    both = a("size") + b("size")
+    needed = F.ceil(both * similarity / (1 + similarity) - 1e-9)
+    ahead = F.least(a("size") - a("place"), b("size") - b("place"))
+    small = F.least(a("size"), b("size"))
+    short = small - F.ceil(small * (2 * similarity / (1 + similarity)) - 1e-9)
+    y, x = F.struct(a("id").alias("id"), a("no").alias("no")), F.struct(b("id").alias("id"), b("no").alias("no"))
+    near = part.alias("a").join(part.alias("b"), a("word") == b("word")).where(
+        (small >= F.greatest(a("size"), b("size")) * similarity - 1e-9)
+        & (F.bit_count(a("parity").bitwiseXOR(b("parity"))) <= both - 2 * needed)
+        & (F.least(a("place"), b("place")) + ahead >= needed)
+        & (F.when(a("size") < b("size"), a("place")).when(a("size") > b("size"), b("place"))
+           .otherwise(F.least(a("place"), b("place"))) <= short)
+        & (x < y))
+    return near.select(y.alias("y"), x.alias("x")).distinct()
 
 
 def matches(docs: DataFrame, id_col: str = "doc_id", text: str = "text", similarity: float = SIMILARITY) -> DataFrame:
@@ -71,53 +104,43 @@ def matches(docs: DataFrame, id_col: str = "doc_id", text: str = "text", similar
     node = ["set", "size", "parity"]
     sets = stored(_sets(all_lines, levels, similarity), "sets")
     nodes = sets.groupBy(*node).agg(F.min(F.struct("id", "no", "prefix")).alias("first"))
-    nodes = stored(nodes.select(F.struct(*node).alias("node"), F.struct("first.id", "first.no").alias("at"), "first.prefix"), "nodes")
+    nodes = stored(nodes.select(*node, "first.*"), "nodes")
+    # The later line of each pair asks, the earlier one answers.
+    asked = stored(_candidates(nodes, similarity), "asked")
 
-    part = nodes.select("node.*", F.posexplode("prefix").alias("place", "word"))
-    other = part.select(*(F.col(c).alias(f"{c}2") for c in part.columns if c != "word"), "word")
-    both = F.col("size") + F.col("size2")
-    needed = F.ceil(both * similarity / (1 + similarity) - 1e-9)
-    ahead = F.least(F.col("size") - F.col("place"), F.col("size2") - F.col("place2"))
-    near = part.join(other, "word").where(
-        ((F.col("set") < F.col("set2")) | (F.col("set") == F.col("set2")) & (F.col("parity") < F.col("parity2")))
-        & (F.col("size") >= F.col("size2") * similarity - 1e-9) & (F.col("size2") >= F.col("size") * similarity - 1e-9)
-        & (F.least("place", "place2") + ahead >= needed)
-        & (F.bit_count(F.col("parity").bitwiseXOR(F.col("parity2"))) <= both - 2 * needed))
-    pairs = near.select(F.struct(*node).alias("a"), F.struct(*(F.col(f"{c}2").alias(c) for c in node)).alias("b")).distinct()
-    pairs = stored(pairs, "pairs")
+    places = asked.select(F.explode(F.array("y", "x")).alias("at")).distinct()
+    some = all_lines.select(F.struct("id", "no").alias("at"), "line").join(places, "at", "left_semi").distinct()
+    some = some.withColumn("w", F.array_distinct(words(F.col("line")))).select("at", "line", F.size("w").alias("n"), _marks("w"))
+    found = stored(some, "lines")
 
-    # The later line of each pair asks, the earlier one answers.
-    at = nodes.select("node", "at")
-    both = (pairs.join(at.withColumnsRenamed({"node": "a", "at": "a_at"}), "a")
-            .join(at.withColumnsRenamed({"node": "b", "at": "b_at"}), "b"))
-    sides = [F.struct(F.col(f"{c}_at").alias("at"), F.col(c).alias("node")) for c in "ab"]
-    asked = stored(both.select(F.greatest(*sides).alias("y"), F.least(*sides).alias("x")), "asked")
-    ids = asked.select(F.explode(F.array("x.at", "y.at")).alias("at")).distinct()
-    places = stored(ids.withColumn("n", F.lit(1)), "places").where("n > 0").select("at")
-    ids = stored(places.groupBy(F.col("at.id").alias("i")).agg(F.count(F.lit(1)).alias("n")), "ids").where("n > 0").select("i")
-    some = docs.select(docs[id_col].alias("id"), docs[text].alias("text")).join(ids, F.col("id").eqNullSafe(F.col("i")))
-    found = lines(some, "id", "text").select(F.struct("id", "no").alias("at"), "line").join(places, "at")
-    with filtered_joins(spark):
-        found = stored(found.select("at", F.array_distinct(words(F.col("line"))).alias("w")).dropDuplicates(["at"]), "words")
+    def sides(tries: DataFrame, *cols: str) -> DataFrame:
+        for c in "yx":
+            tries = tries.join(found.select(F.col("at").alias(c), *(F.col(k).alias(f"{c}_{k}") for k in cols)), c)
+        return tries
+
+    def alike(common: Column, x: Column, y: Column) -> Column:
+        """Common words are at least the similarity times all words; written so that they are counted once."""
+        return common * (1 + similarity) >= similarity * (x + y) - 1e-9
+
+    # Words that share a mark are at most as many as the marks are fewer than the words.
+    given = sides(asked, "n", "marks")
+    same = F.size(F.array_intersect("x_marks", "y_marks")) + F.least(*(F.col(f"{c}_n") - F.size(f"{c}_marks") for c in "xy"))
+    likely = stored(given.where(alike(same, F.col("x_n"), F.col("y_n"))).select("y", "x"), "likely")
 
     def matched(tries: DataFrame) -> DataFrame:
         """The asking lines of the pairs that are alike enough."""
-        w = tries.select(F.col("y.at").alias("y_at"), F.col("x.at").alias("x_at"), F.col("y.node").alias("node"))
-        w = w.join(found.withColumnsRenamed({"at": "y_at", "w": "y_w"}), "y_at").join(
-            found.withColumnsRenamed({"at": "x_at", "w": "x_w"}), "x_at")
-        common = F.size(F.array_intersect("x_w", "y_w"))
-        alike = common >= similarity * (F.size("x_w") + F.size("y_w") - common) - 1e-9
-        return w.where(alike).select("node").distinct()
-
-    # Nearly all that have a match have it in their earliest candidate. Only the others try all.
-    earliest = asked.groupBy("y").agg(F.min("x").alias("x"))
+        w = sides(tries, "line").select("y", *(F.array_distinct(words(F.col(f"{c}_line"))).alias(f"{c}_w") for c in "xy"))
+        is_match = alike(F.size(F.array_intersect("x_w", "y_w")), F.size("x_w"), F.size("y_w"))
+        return w.select("y", is_match.alias("is_match")).where("is_match").select("y").distinct()
+
+    # Nearly all that have a match have it in their earliest likely one. Only the others try all.
+    earliest = likely.groupBy("y").agg(F.min("x").alias("x"))
     sure = stored(matched(earliest), "matched")
-    open_ = asked.join(sure.select(F.col("node").alias("sure")), F.col("y.node") == F.col("sure"), "left_anti")
-    open_ = open_.join(earliest.withColumnsRenamed({"y": "y1", "x": "x1"}),
-                       (F.col("y") == F.col("y1")) & (F.col("x") == F.col("x1")), "left_anti")
+    open_ = likely.join(sure, "y", "left_anti").join(earliest, ["y", "x"], "left_anti")
     later = sure.unionByName(matched(open_)).distinct()
-    state = nodes.join(later.withColumn("matched", F.lit(True)), "node", "left").select(
-        "node.*", "at", F.coalesce("matched", F.lit(False)).alias("matched"))
+    first = nodes.select(*node, F.struct("id", "no").alias("at"))
+    state = first.join(later.withColumn("matched", F.lit(True)), first["at"] == F.col("y"), "left").select(
+        *node, "at", F.coalesce("matched", F.lit(False)).alias("matched"))
     return sets.select("id", "no", *node).join(state, node).select(
         "id", "no", (F.col("matched") | (F.struct("id", "no") > F.col("at"))).alias("removed"))
 

@@ -66,3 +66,29 @@ def test_repeated_rows_and_empty_table(spark):
 def test_whole_table(spark):
     docs = pd.read_parquet(f"{SF}/documents.parquet")
     assert rows_of(ld.dedup(spark.read.parquet(f"{SF}/documents.parquet"))) == by_hand(list(zip(docs.doc_id.tolist(), docs.text)))
+
+
+def test_words_are_cut_once(spark):
+    docs = spark.createDataFrame([(1, "a b\nc")], "doc_id long, text string")
+    plan = ld._sets(ld.lines(docs, "doc_id", "text"), ld._levels(docs, "text"), 0.8)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("array_distinct(") == plan.count("array_remove(") == 1
+
+
+def test_only_likely_pairs_come_to_words(spark, monkeypatch):
+    rng = random.Random(6)
+    texts = []
+    for i in range(30):
+        base = [f"g{i}_{k}" for k in range(40)]
+        for changed in (0, 1, 7, 12):
+            line = base[changed:] + [f"x{i}_{changed}_{k}" for k in range(changed)]
+            rng.shuffle(line)
+            texts.append(" ".join(line))
+    rng.shuffle(texts)
+    docs = list(enumerate(texts))
+    kept = {}
+    monkeypatch.setattr(ld, "stored", lambda df, label, f=ld.stored: kept.setdefault(label, f(df, label)))
+    assert rows_of(ld.dedup(spark.createDataFrame(docs, "doc_id long, text string"))) == by_hand(docs)
+    sets = [set(t.split()) for t in texts]
+    pairs = {(r.y.id, r.x.id) for r in kept["likely"].collect()}
+    assert pairs == {(y, x) for y in range(len(sets)) for x in range(y) if 10 * len(sets[x] & sets[y]) >= 8 * len(sets[x] | sets[y])}
+    assert pairs <= {(r.y.id, r.x.id) for r in kept["asked"].collect()}
