@@ -2,23 +2,23 @@
 
 A first pass counts in how many documents of its language each term stands. The kept terms, sorted by
 Spark, become minimal transducers that give each term's ordinal; the texts then stream through them and
-are recounted, so that short numbers instead of terms cross the network. Ordinals stand for terms until
+are recounted, so that short numbers instead of terms cross the network. A lot of texts is numbered by its
+distinct terms first, in Arrow arrays, so that a term takes its way once a lot. Ordinals stand for terms until
 the last join, and break ties, since they rise as the terms do.
 """
 
 from __future__ import annotations
 
-from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from propensity.llm.entropy_mix import numbered
-from propensity.llm.texts import pieces
 from propensity.llm.transducer import Transducer
 from propensity.session import stored
 
@@ -27,7 +27,7 @@ UNIT = 1_000_000_000
 LETTERS = bytes(b + 32 if 65 <= b <= 90 else b if 97 <= b <= 122 or b >= 128 else 32 for b in range(256))
 PIECE = 500_000          # terms of one transducer
 BLOCK = 64 << 20         # bytes of transducers that tasks hold at a time
-FLUSH = 500_000          # entries a task gathers before it hands them on
+FLUSH = 8 << 20          # bytes of texts that a task counts at once before it hands them on
 CHUNK = 1 << 20          # numbers of a block that numpy works on at once
 
 
@@ -35,23 +35,56 @@ def _documents(docs: DataFrame, text: str, lang: str, source: str) -> DataFrame:
     return docs.select(*[F.coalesce(docs[c], F.lit("")).alias(n) for c, n in ((lang, "lang"), (source, "source"), (text, "text"))])
 
 
+def _by_lang(batches: Iterator[pa.RecordBatch], limit: int) -> Iterator[tuple[str, pa.Table]]:
+    """Rows of one language together, in lots of some ``limit`` bytes."""
+    def lots() -> Iterator[pa.Table]:
+        held, size = [], 0
+        for batch in batches:
+            held.append(batch)
+            size += batch.nbytes
+            if size > limit:
+                yield pa.Table.from_batches(held)
+                held, size = [], 0
+        if held:
+            yield pa.Table.from_batches(held)
+    for lot in lots():
+        langs = lot.column("lang").combine_chunks().dictionary_encode()
+        codes = langs.indices.to_numpy(zero_copy_only=False)
+        for k, lang in enumerate(langs.dictionary.to_pylist()):
+            yield lang, lot.take(np.flatnonzero(codes == k)).combine_chunks()
+
+
+def _terms(texts: pa.ChunkedArray, limit: int) -> Iterator[tuple[int, pa.StringArray, np.ndarray, np.ndarray]]:
+    """Terms of about ``limit`` bytes of texts at a time, a text as a whole: place of the first text, distinct
+    terms, and of each occurrence the term (its place among them) and the text (from 0)."""
+    texts = pa.concat_arrays(texts.chunks).cast(pa.large_string()) if texts.num_chunks else pa.array([], pa.large_string())
+    edges = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset:texts.offset + len(texts) + 1] if len(texts) else np.zeros(1, np.int64)
+    start = 0
+    while start < len(texts):
+        stop = max(start + 1, int(np.searchsorted(edges, edges[start] + limit, "right")) - 1)
+        raw = texts.buffers()[2][int(edges[start]):int(edges[stop])].to_pybytes().translate(LETTERS)
+        part = pa.LargeStringArray.from_buffers(stop - start, pa.py_buffer(edges[start:stop + 1] - edges[start]), pa.py_buffer(raw))
+        words = pc.ascii_split_whitespace(part)
+        found = words.flatten().cast(pa.string()).dictionary_encode()
+        codes, owner = found.indices.to_numpy(zero_copy_only=False), pc.list_parent_indices(words).to_numpy(zero_copy_only=False)
+        # Splitting leaves an empty word before a first space and after a last one.
+        empty = found.dictionary.index("").as_py()
+        if empty >= 0:
+            codes, owner = codes[codes != empty], owner[codes != empty]
+        yield start, found.dictionary, codes.astype(np.int64), owner.astype(np.int64)
+        start = stop
+
+
 def document_counts(given: DataFrame) -> DataFrame:
     """lang, term, docs: in how many documents of the language a term stands."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        found: dict[str, Counter] = {}
-
-        def out() -> pa.RecordBatch:
-            rows = [(lang, term.decode(), n) for lang, c in found.items() for term, n in c.items()]
-            found.clear()
-            langs, terms, counts = zip(*rows) if rows else ((), (), ())
-            return pa.RecordBatch.from_arrays([pa.array(langs, pa.string()), pa.array(terms, pa.string()), pa.array(counts, pa.int64())],
-                                              ["lang", "term", "docs"])
-        for batch in batches:
-            for lang, text in zip(batch.column("lang"), batch.column("text")):
-                found.setdefault(lang.as_py(), Counter()).update(set(text.as_py().encode().translate(LETTERS).split()))
-                if sum(map(len, found.values())) > FLUSH:
-                    yield out()
-        yield out()
+        for lang, rows in _by_lang(batches, FLUSH):
+            for _, terms, codes, owner in _terms(rows.column("text"), FLUSH):
+                once = np.unique(owner * len(terms) + codes) % max(1, len(terms))
+                docs = np.bincount(once, minlength=len(terms))
+                some = np.flatnonzero(docs)
+                yield pa.RecordBatch.from_arrays([pa.repeat(lang, len(some)), terms.take(pa.array(some)), pa.array(docs[some].astype(np.int64))],
+                                                 ["lang", "term", "docs"])
     return given.select("lang", "text").mapInArrow(run, "lang string, term string, docs long").groupBy("lang", "term").agg(F.sum("docs").alias("docs"))
 
 
@@ -93,47 +126,24 @@ def _recount(given: DataFrame, held) -> DataFrame:
         known: dict[str, list[tuple[int, Transducer]]] = {}
         for lang, base, packed in held.value:
             known.setdefault(lang, []).append((base, Transducer.unpack(packed)))
-        names: dict[tuple[str, str], int] = {}
-        groups, ordinals, counts, waiting = [], [], [], 0
-
-        def add(g: np.ndarray, o: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-            order = np.lexsort((o, g))
-            g, o, n = g[order], o[order], n[order]
-            first = np.flatnonzero(np.concatenate(([True], (g[1:] != g[:-1]) | (o[1:] != o[:-1])))) if len(g) else np.zeros(0, np.int64)
-            return g[first], o[first], np.add.reduceat(n, first) if len(g) else n
-
-        def out() -> pa.RecordBatch:
-            g, o, n = add(*map(np.concatenate, (groups, ordinals, counts)))
-            groups.clear(), ordinals.clear(), counts.clear()
-            both = list(names)
-            return pa.RecordBatch.from_arrays([pa.array([both[i][0] for i in g.tolist()], pa.string()), pa.array([both[i][1] for i in g.tolist()], pa.string()),
-                                               pa.array(o), pa.array(n)], ["lang", "source", "ordinal", "n"])
-        for batch in batches:
-            # Documents of one language stand together, so that a block of text has one transducer.
-            by_lang = pa.Table.from_batches([batch]).to_pandas(strings_to_categorical=False).groupby("lang", sort=False)
-            for lang, rows in by_lang:
-                if lang not in known:
+        for lang, rows in _by_lang(batches, FLUSH):
+            if lang not in known:
+                continue
+            sources = rows.column("source").combine_chunks().dictionary_encode()
+            group = sources.indices.to_numpy(zero_copy_only=False).astype(np.int64)
+            for first, terms, codes, owner in _terms(rows.column("text"), FLUSH):
+                if not len(codes):
                     continue
-                texts = rows["text"].tolist()
-                group = np.array([names.setdefault((lang, s), len(names)) for s in rows["source"]], np.int64)
-                for i, j in pieces(texts):
-                    raw = [t.encode().translate(LETTERS) for t in texts[i:j]]
-                    text = np.frombuffer(b" ".join(raw) + b" ", np.uint8)
-                    edges = np.diff((text != 32).view(np.int8), prepend=np.int8(0))
-                    starts, ends = np.flatnonzero(edges == 1), np.flatnonzero(edges == -1)
-                    stops = np.cumsum([len(r) + 1 for r in raw])
-                    owner = group[i:j][np.searchsorted(stops, starts, "right")]
-                    for base, transducer in known[lang]:
-                        found = transducer.ordinals(text, starts, ends)
-                        hit = found >= 0
-                        g, o, n = add(owner[hit], found[hit] + base, np.ones(int(hit.sum()), np.int64))
-                        groups.append(g), ordinals.append(o), counts.append(n)
-                        waiting += len(g)
-            if waiting > FLUSH:
-                yield out()
-                waiting = 0
-        if groups:
-            yield out()
+                both, counts = np.unique(group[first + owner] * len(terms) + codes, return_counts=True)
+                edges = np.frombuffer(terms.buffers()[1], np.int32)[terms.offset:terms.offset + len(terms) + 1].astype(np.int64)
+                # A term takes its way through the transducer once for all its occurrences.
+                text = np.frombuffer(terms.buffers()[2], np.uint8)
+                for base, transducer in known[lang]:
+                    place = transducer.ordinals(text, edges[:-1], edges[1:])[both % len(terms)]
+                    hit = place >= 0
+                    here = sources.dictionary.take(pa.array(both[hit] // len(terms)))
+                    yield pa.RecordBatch.from_arrays([pa.repeat(lang, len(here)), here, pa.array(place[hit] + base), pa.array(counts[hit].astype(np.int64))],
+                                                     ["lang", "source", "ordinal", "n"])
     return given.mapInArrow(run, "lang string, source string, ordinal long, n long").groupBy("lang", "source", "ordinal").agg(F.sum("n").alias("n"))
 
 

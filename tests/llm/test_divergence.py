@@ -3,6 +3,7 @@ import re
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from propensity.llm import divergence
@@ -112,3 +113,20 @@ def test_transducer_is_minimal():
         endings[frozenset(walk(state))] = state
     assert len(endings) == len(made.final)
     assert frozenset(terms) in endings
+
+
+def test_lots_number_each_term_once():
+    rng = random.Random(9)
+    texts = [t or "" for t, _, _ in corpus(8, 60)] + ["", "   ", "x" * 300, " a  b\n", "\x00\t9"]
+    rng.shuffle(texts)
+    want = [re.findall("[^\x00-\x40\x5B-\x60\x7B-\x7F]+", re.sub("[A-Z]", lambda m: m[0].lower(), t)) for t in texts]
+    for limit in (1, 200, 1 << 20):
+        for given_texts in (pa.chunked_array([texts[:20], texts[20:]]), pa.chunked_array([pa.array(["ab", *texts])[1:]])):
+            got, lots = [[] for _ in texts], 0
+            for first, terms, codes, owner in divergence._terms(given_texts, limit):
+                terms, lots = terms.to_pylist(), lots + 1
+                assert len(set(terms)) == len(terms)
+                for c, o in zip(codes.tolist(), owner.tolist()):
+                    got[first + o].append(terms[c])
+            assert got == want and lots == {1: len(texts), 1 << 20: 1}.get(limit, lots)
+    assert not list(divergence._terms(pa.chunked_array([], pa.string()), 10))
