@@ -27,7 +27,7 @@ UNIT = 1_000_000_000
 LETTERS = bytes(b + 32 if 65 <= b <= 90 else b if 97 <= b <= 122 or b >= 128 else 32 for b in range(256))
 PIECE = 500_000          # terms of one transducer
 BLOCK = 64 << 20         # bytes of transducers that tasks hold at a time
-FLUSH = 8 << 20          # bytes of texts that a task counts at once before it hands them on
+FLUSH = 2 << 20          # bytes of texts that a task counts at once before it hands them on
 CHUNK = 1 << 20          # numbers of a block that numpy works on at once
 
 
