@@ -4,7 +4,7 @@ A line is the set of its words. Words have an order from rare to frequent (by a
 words in ``BUCKETS`` hashed cells, then by hash: any fixed order gives the same result, a rare
 word first gives few candidates). Two sets with a Jaccard similarity of 0.8 or more share one of
 their first size - ceil(0.8 size) + 1 words, so only these prefixes are joined. Pairs whose sizes,
-places of the shared word or 64-bit parities rule the similarity out are dropped inside the join,
+places of the shared word or 128 bits of parities rule the similarity out are dropped inside the join,
 then those whose words share too few 16-bit hashes; of the rest the words themselves are compared.
 Lines with equal sets are one node of the join.
 """
@@ -42,7 +42,7 @@ def _levels(docs: DataFrame, text: str) -> Column:
 
 
 def _sets(rows: DataFrame, levels: Column, similarity: float) -> DataFrame:
-    """id, no -> set (hash of the ordered words), size, parity and the prefix; lines without words are left out.
+    """id, no -> set (hash of the ordered words), size, two parities and the prefix; lines without words are left out.
 
     A word is a whole number: its frequency class above 56 bits of its hash. The prefix holds 32
     bits of each, enough to find candidates.
@@ -55,12 +55,16 @@ def _sets(rows: DataFrame, levels: Column, similarity: float) -> DataFrame:
     rows = rows.where(F.col("line").rlike(r"[^\x20\x09-\x0D]"))
     rows = rows.select("id", "no", F.sort_array(F.array_distinct(F.transform(words(F.col("line")), key))).alias("k"))
     one = F.lit(1).cast("long")
-    parity = F.aggregate("k", F.lit(0).cast("long"), lambda p, k: p.bitwiseXOR(
-        F.call_function("shiftleft", one, k.bitwiseAND(F.lit(63)).cast("int"))))
+
+    def parity(half: int) -> Column:
+        """Of the words of one half, 64 bits: how often each of 64 cells is met, odd or even."""
+        mine = F.filter("k", lambda k: k.bitwiseAND(F.lit(64)) == F.lit(64 * half))
+        return F.aggregate(mine, F.lit(0).cast("long"), lambda p, k: p.bitwiseXOR(
+            F.call_function("shiftleft", one, k.bitwiseAND(F.lit(63)).cast("int"))))
     size = F.size("k")
     first = F.slice("k", F.lit(1), size - F.ceil(size * similarity - 1e-9).cast("int") + 1)
-    return rows.select("id", "no", F.xxhash64("k").alias("set"), size.alias("size"), parity.alias("parity"),
-                       F.transform(first, lambda k: F.hash(k)).alias("prefix"))
+    return rows.select("id", "no", F.xxhash64("k").alias("set"), size.alias("size"),
+                       parity(0).alias("parity"), parity(1).alias("parity2"), F.transform(first, lambda k: F.hash(k)).alias("prefix"))
 
 
 def _marks(w: str) -> Column:
@@ -75,7 +79,7 @@ def _candidates(nodes: DataFrame, similarity: float) -> DataFrame:
     size - ceil(2 s / (1 + s) size) + 1 words, s the similarity.
     """
     # Both sides are the same rows, so that Spark shuffles them once.
-    part = nodes.select("id", "no", "size", "parity", F.posexplode("prefix").alias("place", "word"))
+    part = nodes.select("id", "no", "size", "parity", "parity2", F.posexplode("prefix").alias("place", "word"))
     a, b = (lambda c: F.col(f"a.{c}")), (lambda c: F.col(f"b.{c}"))
     both = a("size") + b("size")
     needed = F.ceil(both * similarity / (1 + similarity) - 1e-9)
@@ -85,7 +89,7 @@ def _candidates(nodes: DataFrame, similarity: float) -> DataFrame:
     y, x = F.struct(a("id").alias("id"), a("no").alias("no")), F.struct(b("id").alias("id"), b("no").alias("no"))
     near = part.alias("a").join(part.alias("b"), a("word") == b("word")).where(
         (small >= F.greatest(a("size"), b("size")) * similarity - 1e-9)
-        & (F.bit_count(a("parity").bitwiseXOR(b("parity"))) <= both - 2 * needed)
+        & (sum((F.bit_count(a(p).bitwiseXOR(b(p))) for p in ("parity", "parity2")), F.lit(0)) <= both - 2 * needed)
         & (F.least(a("place"), b("place")) + ahead >= needed)
         & (F.when(a("size") < b("size"), a("place")).when(a("size") > b("size"), b("place"))
            .otherwise(F.least(a("place"), b("place"))) <= short)
@@ -101,7 +105,7 @@ def matches(docs: DataFrame, id_col: str = "doc_id", text: str = "text", similar
     spark = docs.sparkSession
     levels = _levels(docs, text)
     all_lines = lines(docs, id_col, text)
-    node = ["set", "size", "parity"]
+    node = ["set", "size", "parity", "parity2"]
     sets = stored(_sets(all_lines, levels, similarity), "sets")
     nodes = sets.groupBy(*node).agg(F.min(F.struct("id", "no", "prefix")).alias("first"))
     nodes = stored(nodes.select(*node, "first.*"), "nodes")
