@@ -92,3 +92,33 @@ def test_only_likely_pairs_come_to_words(spark, monkeypatch):
     pairs = {(r.y.id, r.x.id) for r in kept["likely"].collect()}
     assert pairs == {(y, x) for y in range(len(sets)) for x in range(y) if 10 * len(sets[x] & sets[y]) >= 8 * len(sets[x] | sets[y])}
     assert pairs <= {(r.y.id, r.x.id) for r in kept["asked"].collect()}
+
+
+def test_pairs_grow_with_the_lines_of_a_group(spark, monkeypatch):
+    rng = random.Random(8)
+    base = [f"g{k}" for k in range(40)]
+    texts = []
+    for i in range(60):
+        line = base[:i % 40] + [f"x{i}"] + base[i % 40 + 1:]
+        rng.shuffle(line)
+        texts.append(" ".join(line))
+    docs = list(enumerate(texts))
+    compared = []
+
+    def stored(df, label, f=ld.stored):
+        out = f(df, label)
+        if label.startswith("likely"):
+            compared.append(out.count())
+        return out
+    monkeypatch.setattr(ld, "stored", stored)
+    assert rows_of(ld.dedup(spark.createDataFrame(docs, "doc_id long, text string"))) == by_hand(docs)
+    assert 1 <= sum(compared) < len(texts)
+
+
+def test_sizes_beside_powers_of_two(spark):
+    rng = random.Random(9)
+    words = [f"v{k}" for k in range(140)]
+    texts = [" ".join(words[:k]) for k in range(1, 140)] + [" ".join(words[140 - k:]) for k in (3, 4, 5, 8, 31, 32, 33, 64, 128)]
+    rng.shuffle(texts)
+    docs = [(k, "\n".join(texts[3 * k:3 * k + 3])) for k in range(50)]
+    assert rows_of(ld.dedup(spark.createDataFrame(docs, "doc_id long, text string"))) == by_hand(docs)
