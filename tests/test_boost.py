@@ -10,6 +10,11 @@ from propensity.operators import boost, draws, model
 from propensity.session import stored
 
 
+@pytest.fixture(autouse=True)
+def blocks_at_any_size(monkeypatch):
+    monkeypatch.setattr(boost, "LEAST_ROWS", 0)
+
+
 def rows_of(spark, n, gaps):
     """Two numbers, one with gaps where asked, a category, and an outcome that follows them; folds 0 to 2."""
     df = spark.range(n).select("id", (F.xxhash64("id") % 1000 / 10).alias("a"), (F.xxhash64("id", F.lit(1)) % 7).alias("b"),
@@ -37,7 +42,7 @@ def same(a, b):
 def test_trees_are_those_of_mllib(spark, monkeypatch, gaps, encoder, tolerance):
     monkeypatch.setattr(boost, "BLOCK", 500)
     data = model.encode_frames(rows_of(spark, 4000, gaps), None, "id", "y", "fold", ["a", "b", "c"], ["c"], encoder)
-    params = model.merge_params({"num_boost_round": 5, "num_leaves": 15, "min_data_in_leaf": 20, "learning_rate": 0.5, "feature_fraction": 0.6})
+    params = model.merge_params({"num_boost_round": 4, "num_leaves": 8, "min_data_in_leaf": 20, "learning_rate": 0.5, "feature_fraction": 0.6})
     found = model.parts(model.fit_fold(data, 1, params, early_stopping=tolerance))[1]
     filling = data.filling(1)
     rows = PipelineModel(filling).transform(data.train) if filling else data.train
@@ -69,6 +74,15 @@ def test_rows_are_binned_once_for_all_settings(spark, monkeypatch):
     assert len(made) == 3
 
 
+def test_small_tables_have_the_same_trees_from_mllib(spark, monkeypatch):
+    data = model.encode_frames(rows_of(spark, 1500, True), None, "id", "y", "fold", ["a", "b", "c"], ["c"])
+    params = model.merge_params({"num_boost_round": 2, "num_leaves": 4, "min_data_in_leaf": 10})
+    one = plain(model.parts(model.fit_fold(data, 0, params))[1])
+    monkeypatch.setattr(boost, "LEAST_ROWS", 1500)
+    monkeypatch.setattr(boost, "fit_trees", None)
+    same(plain(model.parts(model.fit_fold(data, 0, params))[1]), one)
+
+
 def test_labels_and_numbers_that_do_not_fit_are_refused(spark):
     df = rows_of(spark, 300, False).withColumn("y", F.col("y") + 1)
     data = model.encode_frames(df, None, "id", "y", "fold", ["a", "b"])
